@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gleaner.llm.op2_mixing import op2_mixing
+from gleaner.llm.op4_packing import op4_packing
 from gleaner.llm.op7_minhash import op7_minhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_mixing": op2_mixing,
+        "op4_packing": op4_packing,
         "op7_minhash": op7_minhash,
     }
 
