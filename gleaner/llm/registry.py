@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleaner.llm.op2_mixing import op2_mixing
 from gleaner.llm.op4_packing import op4_packing
+from gleaner.llm.op5_quality import op5_quality
 from gleaner.llm.op7_minhash import op7_minhash
 
 
@@ -15,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mixing": op2_mixing,
         "op4_packing": op4_packing,
+        "op5_quality": op5_quality,
         "op7_minhash": op7_minhash,
     }
 

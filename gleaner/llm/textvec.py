@@ -41,6 +41,37 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+@lru_cache(1)
+def letters() -> np.ndarray:
+    """Which code points are letters."""
+    return np.frombuffer(bytes(chr(c).isalpha() for c in range(0x110000)), bool)
+
+
+@lru_cache(1)
+def folded() -> np.ndarray:
+    """Lower case of each code point where that is one code point, else itself."""
+    table = np.arange(0x110000, dtype=np.uint32)
+    for c in range(0x20000):
+        low = chr(c).lower()
+        if len(low) == 1:
+            table[c] = ord(low)
+    return table
+
+
+def runs(member: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text) of each run of True that lies within one text, in order."""
+    size = len(member)
+    begins, ends = member.copy(), member.copy()
+    begins[1:] &= ~member[:-1]
+    ends[:-1] &= ~member[1:]
+    inner = bounds[1:-1]
+    inner = inner[(inner > 0) & (inner < size)]
+    begins[inner] = member[inner]
+    ends[inner - 1] = member[inner - 1]
+    start = np.flatnonzero(begins)
+    return start, np.flatnonzero(ends) + 1, np.searchsorted(bounds, start, side="right") - 1
+
+
 @lru_cache(1)
 def _ascii_space() -> np.ndarray:
     table = np.zeros(0x110000, bool)
@@ -60,30 +91,26 @@ class Batch:
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, text) of each run free of ASCII white space, in order."""
-        size = len(self.codes)
-        solid = ~_ascii_space()[self.codes]
-        begins = solid.copy()
-        begins[1:] &= ~solid[:-1]
-        ends = solid.copy()
-        ends[:-1] &= ~solid[1:]
-        inner = self.bounds[1:-1]
-        inner = inner[(inner > 0) & (inner < size)]
-        begins[inner] = solid[inner]
-        ends[inner - 1] = solid[inner - 1]
-        start = np.flatnonzero(begins)
-        end = np.flatnonzero(ends) + 1
-        return start, end, np.searchsorted(self.bounds, start, side="right") - 1
+        return runs(~_ascii_space()[self.codes], self.bounds)
 
-    def hashes(self, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    def sums(self, codes: np.ndarray | None = None) -> np.ndarray:
+        """Running sums that ``span_hash`` reads; ``codes`` may be folded ones."""
+        codes = self.codes if codes is None else codes
+        power, self._inverse = _power_tables(len(codes) + 1)
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(_code_values()[codes] * power[: len(codes)], out=sums[1:])
+        return sums
+
+    def span_hash(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each span's characters, the same wherever the span stands."""
+        return mix((sums[end] - sums[start]) * self._inverse[start] + (end - start).astype(np.uint64))
+
+    def hashes(self, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+        """``span_hash`` over the text itself, or with A-Z lower-cased."""
         codes = self.codes
         if lower:
-            upper = (codes >= 65) & (codes <= 90)
-            codes = codes + np.where(upper, np.uint32(32), np.uint32(0)).astype(np.uint32)
-        power, inverse = _power_tables(len(codes) + 1)
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(_code_values()[codes] * power[: len(codes)], out=sums[1:])
-        return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+            codes = codes + np.uint32(32) * ((codes >= 65) & (codes <= 90)).astype(np.uint32)
+        return self.span_hash(self.sums(codes), start, end)
 
 
 def chunks(texts: list[str], limit: int = 2_000_000):
