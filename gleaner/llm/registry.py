@@ -10,6 +10,7 @@ from gleaner.llm.op2_mixing import op2_mixing
 from gleaner.llm.op4_packing import op4_packing
 from gleaner.llm.op5_quality import op5_quality
 from gleaner.llm.op7_minhash import op7_minhash
+from gleaner.llm.op8_toxicity import op8_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op5_quality": op5_quality,
         "op7_minhash": op7_minhash,
+        "op8_toxicity": op8_toxicity,
     }
 
 
