@@ -28,6 +28,8 @@ LEXICON = 2000
 STEMS = (4, 5, 6)
 #: Natural-log likelihood ratio a learned word must reach over chance.
 PROOF = 13.0
+#: Share of a learned word's documents that must be toxic.
+PRECISION = 0.92
 THRESHOLD = 0.7
 
 # Seed classes.
@@ -223,7 +225,7 @@ def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> tuple[dict[str,
     p = F.least((F.col("bad") + 0.0) / F.col("n"), F.lit(1 - 1e-9))
     proof = F.col("bad") * F.log(F.greatest(p, F.lit(1e-9)) / base) + (F.col("n") - F.col("bad")) * F.log((1 - p) / (1 - base))
     best = (
-        counted.where((F.col("bad") >= 4) & (p >= 0.75)).withColumn("proof", proof).where(F.col("proof") >= PROOF)
+        counted.where((F.col("bad") >= 4) & (p >= PRECISION)).withColumn("proof", proof).where(F.col("proof") >= PROOF)
         .orderBy(F.desc("proof"), "entry").limit(2 * LEXICON).collect()
     )
     weigh = lambda r: r.bad / (r.n + 1)
