@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gleaner.llm.op2_mixing import op2_mixing
+from gleaner.llm.op3_embeddings import op3_embeddings
 from gleaner.llm.op4_packing import op4_packing
 from gleaner.llm.op5_quality import op5_quality
+from gleaner.llm.op6_topk import SQL as OP6_SQL
+from gleaner.llm.op6_topk import op6_topk
 from gleaner.llm.op7_minhash import op7_minhash
 from gleaner.llm.op8_toxicity import op8_toxicity
 
@@ -16,12 +19,16 @@ from gleaner.llm.op8_toxicity import op8_toxicity
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mixing": op2_mixing,
+        "op3_embeddings": op3_embeddings,
         "op4_packing": op4_packing,
         "op5_quality": op5_quality,
+        "op6_topk": op6_topk,
         "op7_minhash": op7_minhash,
         "op8_toxicity": op8_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_topk": OP6_SQL,
+    }
