@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gleaner.llm.op1_secrets import op1_secrets
 from gleaner.llm.op2_mixing import op2_mixing
 from gleaner.llm.op3_embeddings import op3_embeddings
 from gleaner.llm.op4_packing import op4_packing
@@ -18,6 +19,7 @@ from gleaner.llm.op8_toxicity import op8_toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secrets": op1_secrets,
         "op2_mixing": op2_mixing,
         "op3_embeddings": op3_embeddings,
         "op4_packing": op4_packing,
