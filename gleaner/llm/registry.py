@@ -15,6 +15,7 @@ from gleaner.llm.op6_topk import SQL as OP6_SQL
 from gleaner.llm.op6_topk import op6_topk
 from gleaner.llm.op7_minhash import op7_minhash
 from gleaner.llm.op8_toxicity import op8_toxicity
+from gleaner.llm.op9_pii import op9_pii
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -27,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_topk": op6_topk,
         "op7_minhash": op7_minhash,
         "op8_toxicity": op8_toxicity,
+        "op9_pii": op9_pii,
     }
 
 

@@ -103,3 +103,29 @@ def test_secrets_of_an_empty_table(spark):
     from gleaner.llm.op1_secrets import scan
 
     assert scan(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_personal_data_equals_plain_scanning(spark, seed):
+    from gleaner.llm.op9_pii import scan
+
+    rows = awkward() + fuzz(seed)
+    check(rows, scan(documents(spark, rows)), PERSONAL, True)
+
+
+def test_context_discovers_unseen_identifiers(spark):
+    from gleaner.llm.op9_pii import scan
+
+    rng = random.Random(8)
+    number = lambda: "".join(rng.choice("0123456789") for _ in range(7))
+    rows = [(i, f"please dial +1 (555) {number()} today", "s") for i in range(12)]
+    rows += [(50, "please dial 555 0199 8812 today", "s"), (51, "order 555 0199 8812 shipped", "s")]
+    got = {r.doc_id: r.spans for r in scan(documents(spark, rows)).collect()}
+    assert got[50] == "phone_context:12:25"
+    assert got[51] == ""
+
+
+def test_personal_data_of_an_empty_table(spark):
+    from gleaner.llm.op9_pii import scan
+
+    assert scan(documents(spark, [])).count() == 0
