@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+from gleaner.llm.op10_licenses import op10_licenses
 from gleaner.llm.op1_secrets import op1_secrets
 from gleaner.llm.op2_mixing import op2_mixing
 from gleaner.llm.op3_embeddings import op3_embeddings
@@ -29,6 +31,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_minhash": op7_minhash,
         "op8_toxicity": op8_toxicity,
         "op9_pii": op9_pii,
+        "op10_licenses": op10_licenses,
+        "pipeline": corpus_pipeline.run,
     }
 
 
