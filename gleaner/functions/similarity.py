@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def indel(a: str, b: str) -> float:
@@ -75,17 +76,17 @@ def weighted_ratio(a: str, b: str) -> float:
     return max(best, 0.95 * scale * (100.0 if shared else partial(sa, sb)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel(x or "", y or "") for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_sort(folded(x), folded(y)) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def wratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([weighted_ratio(x, y) for x, y in zip(a, b)])
 

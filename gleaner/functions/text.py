@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gleaner import config as C
 
@@ -18,7 +19,7 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_nfkc(texts: pd.Series) -> pd.Series:
     """HTML entities decoded, tags to spaces, compatibility characters composed."""
     import html

@@ -71,7 +71,7 @@ def merge_locations(primary: str, new: str) -> str:
 
 def merged_locations(locations: Column) -> Column:
     """All locations of a cluster at once: up to three joined, more counted."""
-    distinct = F.array_distinct(F.filter(F.transform(locations, F.trim), lambda x: x != ""))
+    distinct = F.array_distinct(F.filter(F.transform(locations, lambda x: F.trim(x)), lambda x: x != ""))
     return F.when(F.size(distinct) > SHOWN, F.format_string("Multiple Locations (%d)", F.size(distinct))).otherwise(F.array_join(distinct, "; "))
 
 

@@ -22,8 +22,31 @@ def boosted(company: Column, names: frozenset[str]) -> Column:
     return (c != "") & (F.array_contains(listed, c) | F.array_contains(listed, bare) | F.array_contains(listed, F.rtrim(bare, F.lit("."))))
 
 
+def munched(hits: list[tuple]) -> list[tuple]:
+    """``pruned`` over plain tuples, in one sweep per field."""
+    out = []
+    for field in ("title", "desc"):
+        widest = (-1, -1)
+        for h in sorted((h for h in hits if h[1] == field), key=lambda h: (h[3], -h[4])):
+            span = (h[3], h[4])
+            if h[4] > widest[1] or span == widest:
+                out.append(h)
+                widest = span
+    return out
+
+
+def best_of(hits: list[tuple]) -> list[tuple]:
+    """``one_per_term`` over plain tuples."""
+    best: dict[str, tuple] = {}
+    for h in hits:
+        key = re.sub("[^a-z0-9]", "", h[0].lower())
+        if key not in best or (-h[2], h[1] != "title") < (-best[key][2], best[key][1] != "title"):
+            best[key] = h
+    return list(best.values())
+
+
 def keyword_hits(lexicon: Lexicon):
-    """Arrow UDF (title, description, company key) -> array of hits, gates applied."""
+    """Arrow UDF (title, description, company key) -> the best hit of each term, gates applied."""
 
     def compiled(terms):
         return [(t, re.compile(rf"\b{re.escape(t)}\b", re.I)) for t in terms]
@@ -56,7 +79,7 @@ def keyword_hits(lexicon: Lexicon):
                     continue
                 for m in p.finditer(body):
                     out.append((term, "desc", lexicon.description[term], m.start(), m.end(), term in lexicon.capped))
-            return out
+            return best_of(munched(out))
 
         return pd.Series([one(t or "", b or "", c or "") for t, b, c in zip(titles, bodies, companies)])
 
@@ -118,7 +141,8 @@ def score_records(df: DataFrame, lexicon: Lexicon, native: bool = False) -> Data
     negative = F.lit(False)
     for t in lexicon.negative:
         negative = negative | has_term(both, t)
-    df = df.withColumn("_kept", one_per_term(pruned(F.col("_hits"))))
+    # The Arrow side has pruned already; the native side has one hit per term and field.
+    df = df.withColumn("_kept", one_per_term(F.col("_hits")))
     titled = F.exists("_kept", lambda h: h["field"] == "title")
     listed = boosted(F.col("company"), lexicon.boost_companies)
     raw = total(F.col("_kept"), lexicon.cap) + penalty + F.when(titled & listed, lexicon.boost).otherwise(0)
