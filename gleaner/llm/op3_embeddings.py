@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import batches, ship, table
+from gleaner.llm.common import batches, table
 from gleaner.llm.components import connected_components
+from gleaner.runtime import ship
 
 THRESHOLD = 0.98
 #: Most vectors the centroids are fitted on, and most centroids; both bound what is broadcast.
@@ -67,14 +68,17 @@ def fit_centroids(rows: list, shard: int, most: int, total: int) -> dict[tuple,
     return out
 
 
-def robust_prune(x: np.ndarray, degree: int = DEGREE) -> list[np.ndarray]:
-    """Out-neighbours of each vector: near ones and a few far ones, none shadowed by a closer one."""
+def robust_prune(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (from, to): near vectors and a few far ones, none shadowed by a closer one.
+
+    Edges are also laid back, as far as a vector has room, so that no vector is unreachable.
+    """
     n = len(x)
     random = np.random.RandomState(n)
     near = min(CANDIDATES, n - 1)
-    out: list[set] = [set() for _ in range(n)]
     if near < 1:
-        return [np.zeros(0, np.int64)] * n
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    heads, tails = [], []
     for a in range(0, n, 512):
         b = min(a + 512, n)
         sims = x[a:b] @ x.T
@@ -85,64 +89,72 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE) -> list[np.ndarray]:
         held = np.take_along_axis(sims, cand, axis=1)
         order = np.argsort(-held, axis=1, kind="stable")
         cand, held = np.take_along_axis(cand, order, axis=1), np.take_along_axis(held, order, axis=1)
-        between = np.einsum("qid,qjd->qij", x[cand], x[cand])
+        own = x[cand]
+        apart = np.sqrt(np.maximum(2 - 2 * np.matmul(own, own.transpose(0, 2, 1)), 0))
         to_q = np.sqrt(np.maximum(2 - 2 * held, 0))
-        apart = np.sqrt(np.maximum(2 - 2 * between, 0))
         alive = held > -1.5
-        kept = np.zeros(b - a, int)
+        kept = np.zeros_like(alive)
+        room = np.full(b - a, degree)
         for j in range(cand.shape[1]):
-            take = alive[:, j] & (kept < degree)
-            for i in np.flatnonzero(take):
-                out[a + i].add(int(cand[i, j]))
-            kept += take
-            alive &= ~(take[:, None] & (ALPHA * apart[:, j, :] <= to_q))
-    for i in range(n):  # edges back, so that no vector is unreachable
-        for j in list(out[i]):
-            if len(out[j]) < 2 * degree:
-                out[j].add(i)
-    return [np.array(sorted(s), np.int64) for s in out]
+            kept[:, j] = alive[:, j] & (room > 0)
+            room -= kept[:, j]
+            alive &= ~(kept[:, j, None] & (ALPHA * apart[:, j, :] <= to_q))
+        at, which = np.nonzero(kept)
+        heads.append(at + a)
+        tails.append(cand[at, which])
+    head, tail = np.concatenate(heads), np.concatenate(tails)  # by vector, nearest first
+    # First the way back from everyone's nearest, then forward edges, then other ways back.
+    nearest = np.append(True, head[1:] != head[:-1])
+    rank = np.concatenate([np.ones(len(head), np.int64), np.where(nearest, 0, 2)])
+    head, tail = np.concatenate([head, tail]), np.concatenate([tail, head])
+    order = np.lexsort((tail, rank, head))
+    head, tail = head[order], tail[order]
+    first = np.searchsorted(head, np.arange(n))
+    fits = np.arange(len(head)) - first[head] < 2 * degree
+    return head[fits], tail[fits]
 
 
 def range_search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, threshold: float):
     """(query, found) index arrays with cosine at or above ``threshold``, by graph search.
 
-    ``graph`` is padded with the vector's own index. Greedy descent keeps a beam from the
-    medoid and the query's own place; then everything within ``SLACK`` of range is expanded.
+    ``graph`` is padded with the vector's own index. A greedy descent keeps a beam from the
+    medoid and the query's own place; then everything within ``SLACK`` of range is expanded
+    until nothing new comes up. Only vectors that the search reaches are looked at; the
+    cosines it reads come from one matrix product, which at shard size costs less than
+    gathering vectors step by step.
     """
     n, q = len(x), len(queries)
     medoid = int((x @ x.mean(axis=0)).argmax())
     rows = np.arange(q)[:, None]
-    sims = np.full((q, n), np.nan, np.float32 if n > 20_000 else np.float64)
+    sims = x[queries] @ x.T
+    seen, expanded = np.zeros((q, n), bool), np.zeros((q, n), bool)
     beam = np.stack([np.full(q, medoid), queries], axis=1)
-    sims[rows, beam] = np.einsum("qd,qkd->qk", x[queries], x[beam])
-    expanded = np.zeros((q, n), bool)
-
-    def open_up(at_q: np.ndarray, at_v: np.ndarray) -> None:
-        expanded[at_q, at_v] = True
-        next_q, next_v = np.repeat(at_q, graph.shape[1]), graph[at_v].ravel()
-        new = np.isnan(sims[next_q, next_v])
-        next_q, next_v = next_q[new], next_v[new]
-        for i in range(0, len(next_q), 200_000):
-            a, b = next_q[i : i + 200_000], next_v[i : i + 200_000]
-            sims[a, b] = np.einsum("kd,kd->k", x[queries[a]], x[b])
-
-    width = min(BEAM, n)
-    for _ in range(60):
-        score = np.where(np.isnan(sims), -3, sims)
-        beam = np.argpartition(-score, width - 1, axis=1)[:, :width]
-        todo = (score[rows, beam] > -2) & ~expanded[rows, beam]
-        if not todo.any():
+    seen[rows, beam] = True
+    value = sims[rows, beam]
+    for _ in range(100):
+        open_ = np.where(expanded[rows, beam], -3.0, value)
+        width = min(4, beam.shape[1])
+        pick = np.argpartition(-open_, width - 1, axis=1)[:, :width]
+        use = np.take_along_axis(open_, pick, axis=1) > -2
+        if not use.any():
             break
-        best = np.where(todo, score[rows, beam], -3)
-        pick = np.argsort(-best, axis=1)[:, :4]
-        use = np.take_along_axis(todo, pick, axis=1)
-        open_up(np.broadcast_to(rows, use.shape)[use], np.take_along_axis(beam, pick, axis=1)[use])
+        node = np.take_along_axis(beam, pick, axis=1)
+        expanded[np.broadcast_to(rows, use.shape)[use], node[use]] = True
+        near = graph[node].reshape(q, -1)
+        new = ~seen[rows, near] & np.repeat(use, graph.shape[1], axis=1)
+        seen[np.broadcast_to(rows, new.shape)[new], near[new]] = True
+        beam = np.hstack([beam, near])
+        value = np.hstack([value, np.where(new, sims[rows, near], -3.0)])
+        if beam.shape[1] > BEAM:
+            keep = np.argpartition(-value, BEAM - 1, axis=1)[:, :BEAM]
+            beam, value = np.take_along_axis(beam, keep, axis=1), np.take_along_axis(value, keep, axis=1)
     while True:
-        at_q, at_v = np.nonzero((np.nan_to_num(sims, nan=-3) >= threshold - SLACK) & ~expanded)
+        at_q, at_v = np.nonzero(seen & ~expanded & (sims >= threshold - SLACK))
         if not len(at_q):
             break
-        open_up(at_q, at_v)
-    return np.nonzero(np.nan_to_num(sims, nan=-3) >= threshold - 1e-5)
+        expanded[at_q, at_v] = True
+        seen[np.repeat(at_q, graph.shape[1]), graph[at_v].ravel()] = True
+    return np.nonzero(seen & (sims >= threshold - 1e-5))
 
 
 def exact_cosine(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -163,11 +175,10 @@ def _build(group: pa.Table) -> pa.Table:
     x = unit(_matrix(group.column("embedding")))
     node = group.column("node").to_numpy()
     order = np.argsort(node, kind="stable")
-    lists = robust_prune(x[order])
+    head, tail = robust_prune(x[order])
     node = node[order]
-    at = np.cumsum([0] + [len(v) for v in lists]).astype(np.int32)
-    flat = node[np.concatenate(lists).astype(np.int64)] if len(lists) else np.zeros(0, np.int64)
-    return pa.table({"node": node, "near": pa.ListArray.from_arrays(at, flat)})
+    at = np.searchsorted(head, np.arange(len(node) + 1)).astype(np.int32)
+    return pa.table({"node": node, "near": pa.ListArray.from_arrays(at, node[tail])})
 
 
 def _search(threshold: float):
@@ -197,7 +208,7 @@ def _search(threshold: float):
         for i, own in enumerate(shards):
             member[i, [names[s] for s in own if s in names]] = True
         member[:, names[here]] = False
-        links = np.zeros(n, np.int64)
+        links, linked = np.zeros(n, np.int64), np.zeros(n, np.int64)
         parent = np.arange(n)
 
         def root(i):
@@ -222,6 +233,9 @@ def _search(threshold: float):
                     tree.append((node[i], node[j]))
             mine = ~(member[q] & member[v]).any(axis=1)
             np.add.at(links, q[mine], copies[v[mine]])
+            np.add.at(linked, v[mine], copies[q[mine]])
+        # A link is a link from either end: what one search has missed, the other's found.
+        links = np.maximum(links, linked)
         a, b = zip(*tree) if tree else ((), ())
         return pa.table({
             "node": pa.array([*node.tolist(), *a], pa.int64()),
