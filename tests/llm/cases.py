@@ -20,7 +20,7 @@ def awkward(seed=5, n=60):
     rows = [(None, None, None), (None, "no id here at all", "s1"), (1, "", "s1"), (2, None, "s2"), (3, " \n\t ", None), (4, "one", "s2"), (4, "one", "s2")]
     for i in range(10, 10 + n):
         rows.append((i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 60))), f"s{rng.randint(1, 4)}"))
-    rows += [(200 + i, rows[12][1], "s1") for i in range(5)]
-    rows.append((300, "word " * 30000, "s3"))
-    rows.append((301, "x" * 120000, "s3"))
+    rows += [(5000 + i, rows[12][1], "s1") for i in range(5)]
+    rows.append((5300, "word " * 30000, "s3"))
+    rows.append((5301, "x" * 120000, "s3"))
     return rows
