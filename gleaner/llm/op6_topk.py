@@ -1,11 +1,14 @@
 """Exact top-k inner products over an impact-ordered, score-at-a-time index.
 
-A block of candidates is inverted by component: for each component the candidates are held
-in order of their quantised value, so equal values form posting segments. A query takes
-segments in falling order of impact, |query value * posting value|, adding to accumulators.
-What the untouched segments could still add to a candidate is bounded by the level reached
-times the components it has not been seen in. The query stops only when these bounds prove
-which candidates can be members; those are rescored exactly.
+A block of candidates is cut into posting segments by quantised impact, the size of a
+component: the layer of the highest impacts comes first. Queries take the layers in falling
+order of impact and add to accumulators. What the layers not yet taken could still add to a
+candidate is bounded by the highest impact left times the query's weight in the components
+the candidate has not been seen in. A query stops only when these bounds prove which
+candidates can be members; those are rescored exactly.
+
+A layer is applied to many queries at once as a matrix product, in doubles, which are exact
+for these integers.
 
 Queries are a stated set and meet all candidates block by block: query blocks are dealt
 to every candidate block, and each pair of blocks returns at most k rows a query.
@@ -18,67 +21,70 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import ship, table
+from gleaner.llm.common import table
+from gleaner.runtime import ship
 
 K, EVERY, SCALE = 20, 20, 64
 BLOCK, QUERIES = 8192, 2048
-#: Share of the highest impact at which successive levels end; 0 takes whatever is left.
-LEVELS = (0.5, 0.35, 0.25, 0.17, 0.11, 0.06, 0.0)
+#: Shares of all postings in which the layers of highest impact end.
+LAYERS = (0.25, 0.55, 1.0)
+AT_ONCE = 256
 
 
 class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order].astype(np.int64)
-        self.by_value = np.argsort(self.vectors, axis=0, kind="stable")
-        self.values = np.take_along_axis(self.vectors, self.by_value, axis=0)
-        self.postings = [np.ascontiguousarray(self.by_value[:, j]) for j in range(self.vectors.shape[1])]
-        self.sorted_values = [np.ascontiguousarray(self.values[:, j]) for j in range(self.vectors.shape[1])]
-
-    def search(self, query: np.ndarray, own: int | None, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best, ties to smaller ids, without the row ``own`` stands for."""
-        n, width = self.vectors.shape
-        query = query.astype(np.int64)
+        impact = np.abs(self.vectors)
+        sizes = np.sort(impact, axis=None)[::-1] if impact.size else np.zeros(1, np.int64)
+        levels = sorted({int(sizes[min(len(sizes) - 1, int(len(sizes) * s))]) for s in LAYERS[:-1]} - {0}, reverse=True) + [0]
+        self.layers = []
+        taken = np.zeros(impact.shape, bool)
+        for level in levels:
+            new = (impact >= level) & ~taken
+            taken |= new
+            left = int(impact[~taken].max()) if not taken.all() else 0
+            self.layers.append((np.where(new, self.vectors, 0).astype(np.float64).T, new.astype(np.float64).T, left))
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (ids, scores) of its k best, ties to smaller ids, without rows of its own id."""
+        out = []
+        for i in range(0, len(queries), AT_ONCE):
+            out += self._search(queries[i : i + AT_ONCE].astype(np.int64), own[i : i + AT_ONCE], k)
+        return out
+
+    def _search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        n = len(self.ids)
+        result: list = [(self.ids[:0], np.zeros(0, np.int64))] * len(queries)
         if not n:
-            return self.ids, np.zeros(0, np.int64)
-        reach = np.array([max(abs(int(v[0])), abs(int(v[-1]))) for v in self.sorted_values]) * np.abs(query)
-        live = np.flatnonzero(query)
-        score = np.zeros(n, np.int64)
-        unseen = np.full(n, len(live), np.int64)
-        members = np.arange(n)
-        lows = {j: (0, n) for j in live.tolist()}  # what lies between is not yet processed
-        top = int(reach.max()) if width else 0
-        wanted = k + (own is not None)
-        for share in LEVELS:
-            level = int(top * share)
-            for j in live.tolist():
-                a, b = lows[j]
-                if a >= b or reach[j] < level:
-                    continue
-                # Unprocessed segments of this component with impact at or above the level.
-                bound = -(-level // abs(int(query[j]))) if level else 0
-                values, posts = self.sorted_values[j], self.postings[j]
-                left = int(np.searchsorted(values, -bound, side="right")) if level else n
-                right = int(np.searchsorted(values, bound, side="left")) if level else n
-                for s, e in ((a, min(max(left, a), b)), (max(min(right, b), min(max(left, a), b)), b)):
-                    if s < e:
-                        docs = posts[s:e]
-                        score[docs] += query[j] * values[s:e]
-                        unseen[docs] -= 1
-                lows[j] = (min(max(left, a), b), max(min(right, b), min(max(left, a), b)))
-            if not level:
+            return result
+        live = np.arange(len(queries))
+        q = queries.astype(np.float64)
+        weight = np.abs(q)
+        score, unseen = np.zeros((len(q), n)), np.repeat(weight.sum(axis=1)[:, None], n, axis=1)
+        mine = [np.flatnonzero(self.ids == o) for o in own]
+        for layer, mask, left in self.layers:
+            score += q[live] @ layer
+            unseen -= weight[live] @ mask
+            slack = unseen * left
+            low = score - slack
+            for at, i in enumerate(live):
+                low[at, mine[i]] = -np.inf
+            floor = np.partition(low, n - k, axis=1)[:, n - k] if n > k else np.full(len(live), -np.inf)
+            possible = score + slack >= floor[:, None]
+            proven = (possible.sum(axis=1) <= max(8 * k, n // 50)) | (left == 0)
+            for at in np.flatnonzero(proven):
+                i = live[at]
+                members = np.flatnonzero(possible[at])
+                members = members[self.ids[members] != own[i]]
+                exact = self.vectors[members] @ queries[i]
+                best = np.lexsort((self.ids[members], -exact))[:k]
+                result[i] = self.ids[members][best], exact[best]
+            stay = ~proven
+            live, score, unseen = live[stay], score[stay], unseen[stay]
+            if not len(live):
                 break
-            slack = unseen * (level - 1)
-            if n > wanted:
-                floor = np.partition(score - slack, n - wanted)[n - wanted]
-                members = np.flatnonzero(score + slack >= floor)
-                if len(members) <= max(4 * wanted, n // 50):
-                    break
-        if own is not None:
-            members = members[self.ids[members] != own]
-        exact = self.vectors[members] @ query
-        best = np.lexsort((self.ids[members], -exact))[:k]
-        return self.ids[members][best], exact[best]
+        return result
 
 
 def _padded(column, width: int) -> np.ndarray:
@@ -97,9 +103,9 @@ def _search_block(k: int):
         vectors = _padded(lists, width)
         index = ImpactIndex(ids[~is_query], vectors[~is_query])
         q, d, s = [], [], []
-        for at in np.flatnonzero(is_query):
-            found, score = index.search(vectors[at], int(ids[at]), k)
-            q += [int(ids[at])] * len(found)
+        asked = ids[is_query]
+        for own, (found, score) in zip(asked.tolist(), index.search(vectors[is_query], asked, k)):
+            q += [own] * len(found)
             d += found.tolist()
             s += score.tolist()
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(d, pa.int64()), "score": pa.array(s, pa.int64())})
