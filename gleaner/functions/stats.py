@@ -26,7 +26,8 @@ def bucket(score: Column, width: int = 10) -> Column:
 def days_since(posted: Column, first_seen: Column, as_of: Column) -> Column:
     """Whole days since the first of the two that is there, at least 0; null if it can't be read."""
     ref = F.coalesce(F.nullif(posted, F.lit("")), F.nullif(first_seen, F.lit("")))
-    return F.greatest(F.lit(0), F.datediff(as_of, F.try_to_date(F.substring(ref, 1, 10))))
+    days = F.datediff(as_of, F.try_to_date(F.substring(ref, 1, 10)))
+    return F.when(days.isNotNull(), F.greatest(F.lit(0), days))
 
 
 def days_between(start: Column, end: Column) -> Column:

@@ -9,7 +9,11 @@ from gleaner.operators import aggregates as A
 from gleaner.operators import consensus, lifecycle, publish, resolve, state
 from gleaner.plans.registry import Tables, query
 
-DAY = F.to_date("ts")
+
+
+def day():
+    return F.to_date("ts")
+
 
 
 @query("""
@@ -51,7 +55,7 @@ SELECT CAST(ts AS DATE) AS day, count(*) FILTER (event_type = 'click') AS click,
 """)
 def eav_pivot(t: Tables) -> DataFrame:
     kinds = ["click", "error", "purchase"]
-    long = t.events.groupBy(DAY.alias("day"), F.col("event_type").alias("stat_type")).agg(F.count(F.lit(1)).alias("stat_value"))
+    long = t.events.groupBy(day().alias("day"), F.col("event_type").alias("stat_type")).agg(F.count(F.lit(1)).alias("stat_value"))
     return A.wide(long, "day", kinds).fillna(0, kinds)
 
 
@@ -61,7 +65,7 @@ UNION ALL SELECT CAST(ts AS DATE), 'total_active', 'all', count(*) FROM events G
 UNION ALL SELECT CAST(ts AS DATE), 'users', 'distinct', count(DISTINCT user_id) FROM events GROUP BY 1
 """)
 def daily_snapshot_eav(t: Tables) -> DataFrame:
-    e = t.events.withColumn("stat_date", DAY)
+    e = t.events.withColumn("stat_date", day())
     part = lambda g, kind, key, agg: g.agg(agg.alias("stat_value")).select("stat_date", F.lit(kind).alias("stat_type"), key.alias("stat_key"), "stat_value")
     n = F.count(F.lit(1))
     return (
@@ -73,7 +77,7 @@ def daily_snapshot_eav(t: Tables) -> DataFrame:
 
 @query("SELECT * FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1 ORDER BY 1 DESC LIMIT 14) ORDER BY 1")
 def trend_last_n(t: Tables) -> DataFrame:
-    return A.latest(t.events.groupBy(DAY.alias("day")).agg(F.count(F.lit(1)).alias("n")), "day", 14)
+    return A.latest(t.events.groupBy(day().alias("day")).agg(F.count(F.lit(1)).alias("n")), "day", 14)
 
 
 @query("""
@@ -93,7 +97,7 @@ SELECT coalesce(min(CASE WHEN total > 0 THEN rn END) - 1, count(*))::BIGINT AS s
 """)
 def zero_run_streak(t: Tables) -> DataFrame:
     hits = (F.col("event_type") == "purchase") & (F.col("value") > 480)
-    return A.zero_streak(t.events.groupBy(DAY.alias("day")).agg(F.count_if(hits).alias("total")), "day", "total")
+    return A.zero_streak(t.events.groupBy(day().alias("day")).agg(F.count_if(hits).alias("total")), "day", "total")
 
 
 @query("""

@@ -213,7 +213,9 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 def stale_feeds(d: DataFrame, now: Column, days: int = 7) -> DataFrame:
     """(feed, latest, stale): feeds with no entry newer than ``days``."""
-    at = F.try_to_timestamp("published", F.lit("EEE, dd MMM yyyy HH:mm:ss Z"))
+    # Spark reads no weekday names.
+    bare = F.regexp_replace("published", r"^[A-Za-z]{3},\s*", "")
+    at = F.coalesce(*[F.try_to_timestamp(bare, F.lit(f"d MMM yyyy HH:mm:ss {zone}")) for zone in ("Z", "z")], F.try_to_timestamp("published"))
     return d.groupBy("feed").agg(F.max(at).alias("latest")).withColumn("stale", F.coalesce(F.col("latest") < now - F.expr(f"INTERVAL {days} DAYS"), F.lit(True)))
 
 
