@@ -108,7 +108,15 @@ SCRIPT_REDIRECTS = (
 )
 TITLE_SEPARATORS = (" — ", " – ", " - ", " at ", " @ ", " | ")
 RSS_SEPARATORS = (" - ", " | ", " – ", " — ")
-QUALITY_LEVELS = ("http", "https")
+COSIGNALS = (
+    "analytics", "insights", "data", "dashboard", "survey", "Python", "SQL", "Tableau", "R programming", "Qualtrics", "Workday", "people data", "HRIS", "Visier",
+)
+ANALYTIC_SIGNALS = ("analytics", "insights", "data", "survey", "listening")
+PLANNING_SIGNALS = ANALYTIC_SIGNALS + ("manager", "director", "lead", "head", "analyst", "optimization", "optimisation", "strategy", "strategic")
+PLANNING_VETOES = (
+    "nurse", "nursing", "shift schedule", "shift schedules", "staff schedule", "staff scheduling", "staffing ratio", "staffing ratios", "clinical staff",
+    "retail staff", "call center", "call centre", "contact center", "contact centre",
+)
 
 # ---- Settings ---------------------------------------------------------------------------
 
@@ -119,8 +127,27 @@ class Gate:
 
     coterms: tuple[str, ...]
     points: int
+    #: Characters on either side of the hit in which a co-term counts; None for the whole title.
     window: int | None = 60
     else_points: int = 0
+    #: Characters of the description that count; None for all, 0 for none.
+    body: int | None = None
+    #: Terms anywhere in title or description that shut the gate.
+    vetoes: tuple[str, ...] = ()
+
+
+def published_gates() -> dict[str, Gate]:
+    """Gates of the published keyword list."""
+    return {
+        "continuous listening": Gate(("employee", "workforce"), 50, 60, 25, body=0),
+        "xm scientist": Gate(("employee", "EX", "EE"), 25),
+        "behavioral scientist": Gate(("HR", "people", "employee", "workforce"), 25),
+        "labor economist": Gate(("HR", "people", "employee", "employer", "workforce", "corporate", "company"), 25),
+        "partner experience analyst": Gate(("Starbucks", "HR", "people", "partner engagement"), 25),
+        "employee engagement": Gate(ANALYTIC_SIGNALS + ("analyst", "director", "head", "vp"), 25),
+        "employee experience": Gate(ANALYTIC_SIGNALS, 5, None, body=400),
+        "workforce planning": Gate(PLANNING_SIGNALS, 15, None, body=400, vetoes=PLANNING_VETOES),
+    }
 
 
 @dataclass(frozen=True)
@@ -136,6 +163,8 @@ class Lexicon:
     cosignals: tuple[str, ...] = ()
     cosignal_terms: frozenset[str] = frozenset()
     boost_companies: frozenset[str] = frozenset()
+    #: Reducers that don't count beside one of their co-terms.
+    waivers: dict[str, tuple[str, ...]] = field(default_factory=dict)
     include_at: int = 50
     review_at: int = 15
     cap: int = 16
@@ -170,6 +199,9 @@ class Lexicon:
         if companies:
             c = yaml.safe_load(Path(companies).read_text(encoding="utf-8"))
             boost = {e["name"].strip().lower() for tier in ("tier1", "tier2") for e in c.get(tier) or [] if e.get("name")}
+        settings = {
+            "gates": published_gates(), "cosignals": COSIGNALS, "waivers": {"change management consultant": ("listening", "analytics")},
+        } | settings
         return cls(
             title=title, description=description, capped=frozenset(terms("tier2_description")) - frozenset(terms("tier1_description")),
             negative=tuple(terms("negative_auto_reject")), reducers=reducers, cosignal_terms=frozenset(terms("tier3_title")),

@@ -54,17 +54,23 @@ def keyword_hits(lexicon: Lexicon):
     @F.pandas_udf(f"array<{HIT}>")
     def hits(titles: pd.Series, bodies: pd.Series, companies: pd.Series) -> pd.Series:
         in_title, in_body = compiled(lexicon.title), compiled(lexicon.description)
-        co = {t: compiled(g.coterms) for t, g in lexicon.gates.items()}
+        gates = {t.lower(): g for t, g in lexicon.gates.items()}
+        co = {t: compiled(g.coterms) for t, g in gates.items()}
+        veto = {t: compiled(g.vetoes) for t, g in gates.items()}
         signals = compiled(lexicon.cosignals)
 
         def points(term: str, text: str, m: re.Match, body: str, base: int) -> int:
-            if term in lexicon.cosignal_terms and term not in lexicon.gates:
+            key = term.lower()
+            if term in lexicon.cosignal_terms and key not in gates:
                 return base if any(p.search(body) for _, p in signals) else 0
-            gate = lexicon.gates.get(term)
+            gate = gates.get(key)
             if gate is None:
                 return base
             near = text if gate.window is None else text[max(0, m.start() - gate.window) : m.end() + gate.window]
-            met = any(p.search(near) or p.search(body) for _, p in co[term])
+            scope = body if gate.body is None else body[: gate.body]
+            met = any(p.search(near) or p.search(scope) for _, p in co[key])
+            if met and any(p.search(text) or p.search(body) for _, p in veto[key]):
+                met = False
             return gate.points if met else gate.else_points
 
         def one(title, body, company):
@@ -137,7 +143,12 @@ def score_records(df: DataFrame, lexicon: Lexicon, native: bool = False) -> Data
         key = F.regexp_replace(normalize_company(F.col("company")), "[^a-z0-9]", "")
         df = df.withColumn("_hits", keyword_hits(lexicon)("_t", "_d", key))
     both = F.concat_ws("\n", "_t", "_d")
-    penalty = sum((F.when(has_term(both, t), p).otherwise(0) for t, p in lexicon.reducers.items()), F.lit(0))
+    penalty = F.lit(0)
+    for t, p in lexicon.reducers.items():
+        counts = has_term(both, t)
+        for co in lexicon.waivers.get(t.lower(), ()):
+            counts = counts & ~has_term(both, co)
+        penalty = penalty + F.when(counts, p).otherwise(0)
     negative = F.lit(False)
     for t in lexicon.negative:
         negative = negative | has_term(both, t)
