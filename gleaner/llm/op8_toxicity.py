@@ -27,7 +27,7 @@ SAMPLE = 8000
 LEXICON = 2000
 STEMS = (4, 5, 6)
 #: Natural-log likelihood ratio a learned word must reach over chance.
-PROOF = 13.0
+PROOF = 8.0
 #: Share of a learned word's documents that must be toxic.
 PRECISION = 0.92
 THRESHOLD = 0.7
