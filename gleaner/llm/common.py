@@ -76,3 +76,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, rows: int)
     )
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return text.join(F.broadcast(picked), "doc_id")
+
+
+def spread_join(rows: DataFrame, small: DataFrame, on: list[str], by: Column, parts: int = 16, how: str = "inner") -> DataFrame:
+    """rows joined with a far smaller table on keys of which one may hold a large share of rows.
+
+    Rows of a key are dealt over ``parts`` tasks by ``by``; the small side, unique in its
+    keys, is repeated for each.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(parts)))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")

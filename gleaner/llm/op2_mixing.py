@@ -13,12 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import SPACE, table
+from gleaner.llm.common import SPACE, cut, spread_join, table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
 BINS = 4096
 SEED = 7
+#: Most sources whose plan is broadcast, about 100 bytes each; beyond, a salted join.
+SOURCES = 20_000
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -105,7 +107,13 @@ def _taken(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
         .select(same[0].alias("_s"), same[1].alias("_n"), F.col("end._bin").alias("_end"), F.col("end.before").alias("_before"),
                 "_source_size", "_target", "_epochs", "_rest")
     )
-    joined = rows.withColumn("_s", same[0]).withColumn("_n", same[1]).join(ends, ["_s", "_n"])
+    # One row per source: broadcast where they are few, so that texts stay where they are.
+    ends = cut(ends)
+    keyed = rows.withColumn("_s", same[0]).withColumn("_n", same[1])
+    if ends.limit(SOURCES + 1).count() <= SOURCES:
+        joined = keyed.join(F.broadcast(ends), ["_s", "_n"])
+    else:
+        joined = spread_join(keyed, ends, ["_s", "_n"], F.col("_key"), 64)
     clear = joined.where(F.col("_bin") != F.col("_end")).withColumn(
         "_part", F.when(F.col("_bin") < F.col("_end"), F.col("_size")).otherwise(F.lit(0)).cast("long")
     )
