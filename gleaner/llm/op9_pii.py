@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import table
+from gleaner.llm.common import spread_join, table
 from gleaner.llm.spans import found, joined, located, placed
 
 # Fixed patterns; the possessive forms match what the plain ones do, in linear time.
@@ -142,7 +142,7 @@ def scan(docs: DataFrame) -> DataFrame:
         F.sha2(joined(F.col("_base"), kind_first=True), 256).alias("base_sha256"),
     )
     more = F.coalesce("_more", F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>"))
-    return narrow.join(discovered, ["_h", "_g"], "left").select(
+    return spread_join(narrow, discovered, ["_h", "_g"], F.col("doc_id"), how="left").select(
         "doc_id", *[f"n_{k}" for k in KINDS], "base_sha256",
         joined(F.concat("_base", more), kind_first=True).alias("spans"), F.size(more).cast("long").alias("n_context"),
     )
