@@ -2,9 +2,11 @@
 
 Every document gets ``TREES`` independent MinHash orders of ``DEPTH`` values each. In one
 order, the documents that agree on the first ``BASE`` values form a region; the depth then
-adapts per region, going deeper where a region is crowded. Within a region candidates are
-the longest-common-prefix neighbours in sorted order and the region's most central
-document. Candidates are confirmed on full shingle sets.
+adapts per region, going deeper where a region is crowded. The most central document of
+a region is compared first with all others. After that every pair that agrees on BASE
+values in some order and isn't joined yet is a candidate: all pairs of a small region, and
+those of crowded ones by an exact join on their rarest shingles. Candidates are confirmed
+on full shingle sets.
 
 Copies with equal shingle sets collapse to one representative before any candidate is
 made, and pairs inside a component that is already known are not verified again, so a
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import batches, cut, spread_join, table
@@ -23,10 +25,8 @@ from gleaner.llm.components import connected_components
 from gleaner.llm.textvec import Batch, chunks, mix
 
 TREES, DEPTH, BASE = 16, 8, 5
-#: A region of more rows than this goes deeper; past full depth it is dealt into salted parts.
+#: A region of more rows than this goes deeper, and its pairs come from rare shingles.
 CROWD = 64
-#: Sorted neighbours looked at on one side; each pair is seen from its other side too.
-NEIGHBOURS = 12
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>, tails array<long>"
 SETS_SCHEMA = "doc_id long, shingles array<long>"
 
@@ -140,6 +140,41 @@ def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _rare_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs (x, nx, y, ny) of ``rows(id, shingles, part)`` of different parts that can be linked.
+
+    Rarest shingles first, a set of n that is linked with another shares one of the first
+    ``n - ceil(n * percent / 100) + 1`` with it, and the first shared place in both bounds what
+    they have in common. The bound leaves out sets that share only what all share, and rows
+    of the part that most of a shingle's rows are in meet only those of other parts.
+    """
+    words = rows.select("id", "part", F.xxhash64("shingles").alias("set"), F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    common = words.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
+    places = (
+        words.join(common, "s").groupBy("id", "part", "set", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("all"))
+        .withColumn("first", F.expr(f"slice(all, 1, n - cast(ceil(n * {percent} / 100) as int) + 1)"))
+        .select("id", "part", "n", F.posexplode("first").alias("at", "w")).where("w.df > 1")
+        .select("id", "part", "n", F.col("w.s").alias("s"), (F.col("n") - F.col("at")).alias("rest"))
+    )
+    places = table(places)
+    lists = (
+        places.groupBy("s", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("s")
+        .agg(F.max(F.struct("k", "part")).alias("most"), F.sum("k").alias("rows"), F.count(F.lit(1)).alias("n_parts"))
+        .where("n_parts > 1").select("s", F.col("most.part").alias("main"), F.ceil(F.col("rows") / (4 * CROWD)).alias("deals"))
+    )
+    placed = places.join(lists, "s").withColumn("other", (F.col("part") != F.col("main")).cast("int"))
+    # The smaller set of a linked pair has its first shared shingle within a shorter prefix.
+    left = placed.where((100 + percent) * F.col("rest") >= 2 * percent * F.col("n")).select(
+        "s", F.pmod(F.xxhash64("id"), "deals").alias("deal"), F.explode(F.when(F.col("other") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))).alias("other"),
+        F.col("id").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"), F.col("rest").alias("rx"))
+    right = placed.select("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"), "other",
+                          F.col("id").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"), F.col("rest").alias("ry"))
+    meets = (left["px"] != right["py"]) & (left["nx"] <= right["ny"]) & (
+        (100 + percent) * F.least(left["rx"], right["ry"]) >= percent * (left["nx"] + right["ny"]))
+    on = (left["s"] == right["s"]) & (left["deal"] == right["deal"]) & (left["other"] == right["other"])
+    return left.join(right, on & meets).select("x", "nx", "y", "ny")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id, kept.
 
@@ -185,19 +220,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     first = cut(_verified(_ordered(leaders("key").unionByName(leaders("region")), percent), sets, percent))
     parts = connected_components(first)
 
-    # Neighbours in sorted order, where the first links don't already join them.
-    grown = forest.groupBy("region").agg(F.count(F.lit(1)).alias("members"))
-    salt = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / CROWD))
-    order = Window.partitionBy("region", "salt").orderBy("key", "tail", "id").rowsBetween(1, NEIGHBOURS)
-    near = (
-        forest.join(grown.where("members > 1"), "region").withColumn("salt", salt)
-        .join(parts.withColumnRenamed("component", "part"), "id", "left")
-        .withColumn("part", F.coalesce("part", "id"))
-        .withColumn("next", F.collect_list(F.struct("id", "n", "part")).over(order))
-        .select(F.col("id").alias("x"), F.col("n").alias("nx"), "part",
-                F.explode(F.filter("next", lambda o: o["part"] != F.col("part"))).alias("o"))
-        .select("x", "nx", F.col("o.id").alias("y"), F.col("o.n").alias("ny"))
+    # All other pairs that share a key, where the first links don't already join them.
+    def in_parts(rows: DataFrame) -> DataFrame:
+        return rows.join(parts.withColumnRenamed("component", "part"), "id", "left").withColumn("part", F.coalesce("part", "id"))
+
+    small = (
+        in_parts(forest.where(F.col("size") <= CROWD).select("key", "id", "n")).groupBy("key")
+        .agg(F.collect_set(F.struct("part", "id", "n")).alias("all")).select("all", F.explode("all").alias("o"))
+        .select(F.col("o.id").alias("x"), F.col("o.n").alias("nx"), F.explode(F.filter("all", lambda p: p["part"] > F.col("o.part"))).alias("p"))
+        .select("x", "nx", F.col("p.id").alias("y"), F.col("p.n").alias("ny"))
     )
+    crowded = forest.where(F.col("size") > CROWD).select("id").distinct()
+    near = small.unionByName(_rare_pairs(in_parts(sets.withColumnRenamed("doc_id", "id").join(crowded, "id", "left_semi")), percent))
     second = _verified(_ordered(near, percent), sets, percent)
     joined = connected_components(first.unionByName(second)).withColumnRenamed("id", "rep")
 

@@ -84,6 +84,21 @@ def test_one_large_group_of_near_copies_is_one_component(spark):
     assert got == want
 
 
+def test_links_among_many_documents_of_one_boilerplate(spark):
+    rng = random.Random(6)
+    own = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(base + own(21)), "s") for i in range(560)]
+    for i in range(600, 680, 2):
+        shared = own(8)
+        rows += [(i, " ".join(base + shared + own(13)), "s"), (i + 1, " ".join(base + shared + own(13)), "s")]
+    rng.shuffle(rows)
+    rows = [(i, t, s) for i, (_, t, s) in enumerate(rows)]
+    want = brute(rows, 3, 85)
+    got = {r.doc_id: r.component_id for r in near_duplicates(documents(spark, rows), 3, 85).collect()}
+    assert len(set(want.values())) == 600 and got == want
+
+
 def test_stage_keeps_one_of_each_group_and_the_columns(spark):
     rows = near_copies(2) + [(1, None, None), (2, "", "s")]
     docs = documents(spark, rows)
