@@ -131,6 +131,19 @@ def test_licenses_are_found_by_wording(spark):
     assert sum(r.n_licenses for i, r in got.items() if i is not None and i < 2000) == 0
 
 
+def test_a_license_is_found_amid_long_running_text(spark):
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    rows, want = [], {}
+    names = ["Apache-2.0", "MIT", "ISC", "all-rights-reserved"]
+    for i, (n, name) in enumerate((n, name) for n in (60, 120, 400, 3000) for name in names):
+        before, notice = prose(n // 2), op10_licenses.TEMPLATES[name][-1]
+        rows.append((i, f"{before} {notice} {prose(n // 2)}", "s"))
+        want[i] = f"{name}:{len(before) + 1}:{len(before) + 1 + len(notice.rstrip('.:'))}"
+    got = {r.doc_id: r.licenses for r in op10_licenses.scan(documents(spark, rows)).collect()}
+    assert got == want
+
+
 def test_pipeline_stage_by_stage(spark, tmp_path):
     rows, labels = corpus(150)
     rows += [(5000 + i, rows[2][1], "s1") for i in range(3)] + [(6000, 'keep this line with a token = "abcdefabcdef0123456789" please and read on.', "s2")]
