@@ -144,6 +144,16 @@ def test_a_license_is_found_amid_long_running_text(spark):
     assert got == want
 
 
+def test_all_licenses_of_a_line_are_found(spark):
+    names = ["MIT", "Apache-2.0", "GPL-3.0", "MIT", "BSD-3-Clause", "CC-BY-4.0", "MPL-2.0", "LGPL-3.0", "AGPL-3.0", "MIT", "Unlicense", "all-rights-reserved"]
+    line = " ".join(op10_licenses.TEMPLATES[n][0] for n in names)
+    rows = [(1, line, "s"), (2, "All rights reserved. " * 500, "s"), (3, f"first line\n{line}\n{line}\nlast", "s")]
+    got = {r.doc_id: r for r in op10_licenses.scan(documents(spark, rows)).collect()}
+    assert re.sub(r":\d+", "", got[1].licenses).split(",") == names and got[1].n_licenses == 12
+    assert got[2].n_licenses == 500 and got[3].n_licenses == 24
+    assert got[1].missing == got[1].added == 0
+
+
 def test_pipeline_stage_by_stage(spark, tmp_path):
     rows, labels = corpus(150)
     rows += [(5000 + i, rows[2][1], "s1") for i in range(3)] + [(6000, 'keep this line with a token = "abcdefabcdef0123456789" please and read on.', "s2")]
