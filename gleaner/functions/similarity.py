@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -35,6 +36,7 @@ def folded(s: str) -> str:
     return _NOT_WORD.sub(" ", s or "").lower().strip()
 
 
+@lru_cache(1 << 17)
 def token_sort(a: str, b: str) -> float:
     return indel(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
 
@@ -60,6 +62,7 @@ def partial(a: str, b: str) -> float:
     return max(indel(a, b[max(0, i) : i + n]) for i in range(1 - n, len(b)))
 
 
+@lru_cache(1 << 17)
 def weighted_ratio(a: str, b: str) -> float:
     """Plain, token and, for unequal lengths, partial ratios, each scaled by its reliability."""
     a, b = folded(a), folded(b)

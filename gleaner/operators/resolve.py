@@ -76,14 +76,16 @@ def merged_locations(locations: Column) -> Column:
 
 
 def cluster(df: DataFrame, key: str = "external_id", arrival: str = "arrival", block: str | None = None) -> DataFrame:
-    """Greedy clustering in order of arrival, exact within a block (by default the company's first token).
+    """Greedy clustering in order of arrival, each record against all that are kept so far.
 
-    Returns (key, primary, outcome, score, location). Blocks are handled one to a task, so the
-    block should be a narrow key; records of one cluster must share it.
+    Returns (key, primary, outcome, score, location). The fold is sequential by its contract
+    and takes one task. With ``block`` it takes a task a block, exact only where no records
+    of different blocks are similar: equal cities or companies alone let two records match,
+    so neither a company's token nor any other single field is such a key.
     """
     from gleaner.functions.similarity import folded, token_sort, weighted_ratio
 
-    own = F.col(block).cast("string") if block else F.coalesce(F.try_element_at(F.split("_c", " "), F.lit(1)), F.lit(""))
+    own = F.col(block).cast("string") if block else F.lit("")
     ready = prepared(df).select(
         F.col(key).cast("string").alias("key"), F.col(arrival).cast("long").alias("arrival"), "_c", "_n", F.coalesce("location", F.lit("")).alias("location"),
         F.col("_u").cast("int").alias("_u"), own.alias("block"),
@@ -97,8 +99,12 @@ def cluster(df: DataFrame, key: str = "external_id", arrival: str = "arrival", b
             best, score, company = None, -1.0, 0.0
             here = row["location"].split(",")[0].strip().lower()
             for k in kept:
-                c, t = weighted_ratio(row["c"], k["c"]), token_sort(row["n"], k["n"])
+                t = token_sort(row["n"], k["n"])
                 there = k["location"].split(",")[0].strip().lower()
+                # Even an equal company would not make it the best.
+                if (50 + 0.5 * t if not here or not there else 40 + 0.4 * t + 20.0 * (here == there)) < score:
+                    continue
+                c = weighted_ratio(row["c"], k["c"])
                 s = 0.5 * c + 0.5 * t if not here or not there else 0.4 * c + 0.4 * t + 20.0 * (here == there)
                 if s > score:
                     best, score, company = k, s, c

@@ -74,9 +74,8 @@ def fuzzy_pairs(t: Tables) -> DataFrame:
 @query()
 def dedup_clusters(t: Tables) -> DataFrame:
     parts = t.part.select(F.col("p_partkey").cast("string").alias("external_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("company"),
-                          F.concat("p_type", F.lit(", XX")).alias("location"), F.lit("https://x.example").alias("apply_url"), F.col("p_partkey").alias("arrival"),
-                          F.concat_ws("|", "p_brand", F.floor(F.col("p_size") / 5)).alias("k"))
-    return resolve.cluster(parts, block="k")
+                          F.concat("p_type", F.lit(", XX")).alias("location"), F.lit("https://x.example").alias("apply_url"), F.col("p_partkey").alias("arrival"))
+    return resolve.cluster(parts)
 
 
 @query()

@@ -204,3 +204,35 @@ def test_lexicon_reads_the_published_layout(tmp_path):
     assert lex.boost_companies == {"acme"} and lex.negative == ("barista",)
     with pytest.raises(FileNotFoundError):
         Lexicon.load(tmp_path / "none.yaml")
+
+
+def test_clusters_equal_an_unblocked_fold(spark, sf_dir):
+    from gleaner.functions.similarity import folded, token_sort, weighted_ratio
+    from gleaner.functions.text import normalize_company, normalize_title
+    from gleaner.plans import catalogue
+
+    def brute(rows):
+        kept, out = [], {}
+        for key, c, n, where in rows:
+            scores = []
+            for k in kept:
+                sc, st = weighted_ratio(c, k["c"]), token_sort(folded(n), folded(k["n"]))
+                there = k["location"].split(",")[0].strip().lower()
+                here = where.split(",")[0].strip().lower()
+                scores.append((0.4 * sc + 0.4 * st + 20 * (here == there) if here and there else 0.5 * sc + 0.5 * st, sc, k))
+            best = max(scores, key=lambda x: x[0], default=None)
+            if best and best[0] >= (75 if best[1] >= 95 else 85):
+                best[2]["location"] = resolve.merge_locations(best[2]["location"], where)
+                out[key] = (best[2]["key"], "duplicate")
+            else:
+                kept.append({"key": key, "c": c, "n": n, "location": where})
+                out[key] = (key, "flagged" if best and best[0] >= 70 else "kept")
+        return out
+
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").orderBy("p_partkey")
+    rows = parts.select(F.col("p_partkey").cast("string"), normalize_company(F.col("p_brand")), normalize_title(F.col("p_name")), F.concat("p_type", F.lit(", XX"))).collect()
+    got = {r.key: (r.primary, r.outcome) for r in catalogue.queries()["dedup_clusters"](spark, sf_dir).collect()}
+    assert got == brute(rows)
+    two = spark.createDataFrame([("a", 1, "Acme", "Data Analyst"), ("b", 2, "The Acme", "Data Analyst")], "external_id string, arrival int, company string, title string")
+    two = two.withColumns({"location": F.lit("Austin, TX"), "apply_url": F.lit("https://acme.com")})
+    assert {r.key: r.primary for r in resolve.cluster(two).collect()} == {"a": "a", "b": "a"}
