@@ -39,11 +39,12 @@ def blocks(df: DataFrame) -> DataFrame:
     return df.withColumn("block", F.explode(F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit("")))))
 
 
-def scored_pairs(left: DataFrame, right: DataFrame, key: str = "external_id") -> DataFrame:
-    """Distinct blocked pairs of left and right records with their similarity and outcome."""
+def scored_pairs(left: DataFrame, right: DataFrame, key: str = "external_id", block: str | None = None) -> DataFrame:
+    """Distinct pairs of left and right records of a block, by default a company token, with their similarity and outcome."""
     names = [key, "_c", "_n", "_y", "_u", "block"]
-    a = blocks(prepared(left)).select(*[F.col(n).alias(f"a_{n}") for n in names])
-    b = blocks(prepared(right)).select(*[F.col(n).alias(f"b_{n}") for n in names])
+    placed = (lambda df: df.withColumn("block", F.col(block))) if block else blocks
+    a = placed(prepared(left)).select(*[F.col(n).alias(f"a_{n}") for n in names])
+    b = placed(prepared(right)).select(*[F.col(n).alias(f"b_{n}") for n in names])
     pairs = a.join(b, (F.col("a_block") == F.col("b_block")) & (F.col(f"a_{key}") != F.col(f"b_{key}"))).drop("a_block", "b_block").distinct()
     out = pairs.withColumn("company_similarity", wratio("a__c", "b__c")).withColumn("title_similarity", token_sort_ratio("a__n", "b__n"))
     score = composite(F.col("company_similarity"), F.col("title_similarity"), F.col("a__y"), F.col("b__y"))

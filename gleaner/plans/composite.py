@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.config import Gate, Lexicon
-from gleaner.functions.similarity import native_indel
+from gleaner.functions.similarity import indel_ratio
 from gleaner.operators import enrich, jsonld, resolve, scoring
 from gleaner.plans.registry import Tables, query
 from gleaner.streaming import jobs
@@ -63,12 +63,26 @@ def keyword_score_spans(t: Tables) -> DataFrame:
 
 @query()
 def fuzzy_pairs(t: Tables) -> DataFrame:
-    parts = t.part.select(F.col("p_partkey").cast("string").alias("external_id"), F.col("p_name").alias("title"), F.concat_ws(" ", "p_brand", "p_type").alias("company"),
-                          F.col("p_type").alias("location"), F.lit("").alias("apply_url"), F.concat_ws("|", "p_brand", "p_type", "p_size").alias("k"))
-    # Records of one brand, type and size meet; names repeat, so distinct names stand for them.
-    names = parts.groupBy("k", "title").agg(F.min("external_id").alias("id"))
-    pairs = names.alias("a").join(names.alias("b"), (F.col("a.k") == F.col("b.k")) & (F.col("a.title") < F.col("b.title")))
-    return pairs.select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), F.round(native_indel(F.col("a.title"), F.col("b.title")), 4).alias("ratio"))
+    parts = t.part.select(F.col("p_partkey").cast("string").alias("external_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("company"),
+                          F.concat("p_type", F.lit(", XX")).alias("location"), F.lit("").alias("apply_url"))
+    # Records of one brand meet; one stands for all copies of a text, and they are listed beside it.
+    texts = parts.groupBy("title", "company", "location", "apply_url").agg(F.min("external_id").alias("external_id"), F.sort_array(F.collect_list("external_id")).alias("copies"))
+    pairs = resolve.scored_pairs(texts, texts, block="company")
+    best = resolve.best_match(pairs).select("a_external_id", F.col("b_external_id").alias("best_id"))
+    copies = texts.select(F.col("external_id").alias("left_id"), "title", "copies")
+    out = pairs.join(best, "a_external_id").select(
+        F.col("a_external_id").alias("left_id"), F.col("b_external_id").alias("right_id"), F.round("company_similarity", 4).alias("company_similarity"),
+        F.round("title_similarity", 4).alias("title_similarity"), F.round("score", 4).alias("score"), "outcome", (F.col("b_external_id") == F.col("best_id")).alias("best"))
+    right = copies.select(F.col("left_id").alias("right_id"), F.col("title").alias("_t"), F.col("copies").alias("right_copies"))
+    return (
+        out.join(copies, "left_id").join(right, "right_id")
+        .select("left_id", "right_id", F.round(indel_ratio("title", "_t"), 4).alias("ratio"), "company_similarity", "title_similarity", "score", "outcome", "best",
+                F.col("copies").alias("left_copies"), "right_copies")
+        # A text of several records and no other of its brand still shows its copies.
+        .unionByName(texts.where(F.size("copies") > 1).select(
+            F.col("external_id").alias("left_id"), F.col("external_id").alias("right_id"), *[F.lit(100.0).alias(c) for c in ("ratio", "company_similarity", "title_similarity", "score")],
+            F.lit("duplicate").alias("outcome"), F.lit(False).alias("best"), F.col("copies").alias("left_copies"), F.col("copies").alias("right_copies")))
+    )
 
 
 @query()

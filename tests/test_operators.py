@@ -236,3 +236,28 @@ def test_clusters_equal_an_unblocked_fold(spark, sf_dir):
     two = spark.createDataFrame([("a", 1, "Acme", "Data Analyst"), ("b", 2, "The Acme", "Data Analyst")], "external_id string, arrival int, company string, title string")
     two = two.withColumns({"location": F.lit("Austin, TX"), "apply_url": F.lit("https://acme.com")})
     assert {r.key: r.primary for r in resolve.cluster(two).collect()} == {"a": "a", "b": "a"}
+
+
+def test_fuzzy_pairs_equal_all_pairs_of_a_brand(spark, sf_dir):
+    from gleaner.functions.similarity import folded, indel, token_sort
+    from gleaner.plans import catalogue
+
+    texts = {}
+    for r in spark.read.parquet(f"{sf_dir}/part.parquet").collect():
+        texts.setdefault((r.p_brand, r.p_name, r.p_type), []).append(str(r.p_partkey))
+    want, every = {}, list(texts.items())
+    for (brand, name, kind), a in every:
+        scored = []
+        for (brand2, name2, kind2), b in every:
+            if brand == brand2 and a != b:
+                score = 40 + 0.4 * token_sort(folded(name), folded(name2)) + 20 * (kind == kind2)
+                scored.append((-round(score, 9), min(b)))
+                want[min(a), min(b)] = [indel(name, name2), score, tuple(sorted(a)), tuple(sorted(b)), False]
+        if scored:
+            want[min(a), min(scored)[1]][4] = True
+        if len(a) > 1:
+            want[min(a), min(a)] = [100.0, 100.0, tuple(sorted(a)), tuple(sorted(a)), False]
+    got = {(r.left_id, r.right_id): [r.ratio, r.score, tuple(r.left_copies), tuple(r.right_copies), r.best] for r in catalogue.queries()["fuzzy_pairs"](spark, sf_dir).collect()}
+    assert len(want) > 1000 and got.keys() == want.keys()
+    for k, (ratio, score, *rest) in want.items():
+        assert abs(got[k][0] - ratio) < 1e-3 and abs(got[k][1] - score) < 1e-3 and got[k][2:] == rest
