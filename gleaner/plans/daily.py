@@ -50,7 +50,19 @@ def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answer
     arrived = labelled.withColumn("arrival", F.xxhash64("external_id"))
     clusters = resolve.cluster(arrived)
     primaries = labelled.drop("location").join(clusters.where("key = primary").select(F.col("key").alias("external_id"), "location"), "external_id")
+    primaries, clusters = primaries.cache(), clusters.cache()
     duplicates = clusters.where("key <> primary")
+    texts = [F.coalesce(c, F.lit("")).alias(c) for c in ("company", "title", "location", "apply_url")]
+    records = lambda df: df.select("external_id", *texts, F.lit("").alias("pool"))
+    matches = resolve.best_match(resolve.scored_pairs(records(primaries), records(lifecycle.dedup_pool(jobs, day)), block="pool")).where("outcome = 'duplicate'")
+    matches = matches.cache()
+    known = matches.select(F.col("a_external_id").alias("external_id"))
+    duplicates = duplicates.unionByName(matches.join(primaries.select(F.col("external_id").alias("a_external_id"), "location"), "a_external_id").select(
+        F.col("a_external_id").alias("key"), F.col("b_external_id").alias("primary"), "outcome", "score", "location"))
+    urls = resolve.url_upgrades(matches).join(primaries.select("external_id", F.col("apply_url").alias("url")), "external_id")
+    better = urls.groupBy(F.col("against").alias("external_id")).agg(F.min(F.struct(-F.col("new_score"), F.col("external_id"), "url"))["url"].alias("_url"))
+    jobs = jobs.join(better, "external_id", "left").withColumn("apply_url", F.coalesce("_url", "apply_url")).select(*jobs.columns)
+    primaries = primaries.join(known, "external_id", "left_anti")
     # Votes on the arrangement, by source prior and by the description's own words.
     own = consensus.observations(primaries, "external_id", ("is_remote", "work_arrangement"))
     said = rules.best_confidence(F.coalesce("description", F.lit("")))

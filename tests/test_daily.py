@@ -56,3 +56,19 @@ def test_a_day(spark):
     assert stats["category_count", "People Analytics"] >= 1
     assert out.published.where("payload like '%people%' or payload like '%People%'").count() == 1
     assert sum(r.n for r in out.by_source.collect()) == 3
+
+
+def test_a_posting_already_stored_under_another_id_is_not_new(spark):
+    rows = [("lever_acme_9", "People Analytics Manager", "Acme", "Austin, TX", "people analytics", "lever", "unknown"),
+            ("lever_beta_1", "People Analytics Lead", "Beta", "Reno, NV", "people analytics", "lever", "unknown")]
+    names = [c.split()[0] for c in JOBS.split(", ")]
+    kinds = dict(c.split() for c in JOBS.split(", "))
+    old = datetime.date(2024, 6, 28)
+    filled = {"external_id": "jooble_5", "title": "People Analytics Manager", "company": "Acme", "location": "Austin, TX", "apply_url": "https://jooble.org/5",
+              "first_seen_date": old, "last_seen_date": old, "is_active": 1, "lifecycle_status": "active"}
+    jobs = spark.range(1).select(*[F.lit(filled.get(c)).cast(kinds[c]).alias(c) for c in names])
+    out = daily.run(batch(spark, rows), jobs, LEXICON, DAY)
+    state = {r.external_id: r for r in out.jobs.collect()}
+    assert state.keys() == {"jooble_5", "lever_beta_1"} and state["jooble_5"].apply_url == "https://acme.com/lever_acme_9"
+    assert [(r.key, r.primary) for r in out.duplicates.collect()] == [("lever_acme_9", "jooble_5")]
+    assert [r.external_id for r in out.published.collect()] == ["lever_beta_1"]
