@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -18,14 +19,16 @@ SPACE = r"\x20\x09-\x0D"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is read from ``spark.checkpoint.dir``; only where that is unset (tests, a
-    laptop) does this set a folder of its own.
+    It is read from ``spark.checkpoint.dir``; only where that is unset in a session of one
+    machine (tests, a laptop) does this set a folder of its own. A cluster without it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-"))
         current = spark._jsc.sc().getCheckpointDir()
     return current.get().rstrip("/")
@@ -40,16 +43,11 @@ def batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint; lost executors can't lose it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def table(df: DataFrame) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
-    Used for wide intermediates, where Parquet is far smaller than a checkpoint.
+    This cuts lineage as a checkpoint does, but plans after it see the true size; a
+    checkpoint keeps the estimate, which a loop of joins squares in every round.
     """
     path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -87,3 +85,29 @@ def spread_join(rows: DataFrame, small: DataFrame, on: list[str], by: Column, pa
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(parts)))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+#: Most keys that are broadcast to filter a wide table: 64-bit keys, some 32 bytes each when hashed.
+FEW = 2_000_000
+
+
+def matching(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi", few: int = FEW) -> DataFrame:
+    """rows joined with ``keys``, unique in ``on``, without shuffling rows where the keys are few.
+
+    The keys are counted first; beyond ``few`` both sides are shuffled.
+    """
+    keys = table(keys)
+    return rows.join(F.broadcast(keys) if keys.limit(few + 1).count() <= few else keys, on, how)
+
+
+def dealt_join(rows: DataFrame, wide: DataFrame, key: str, by: Column, most: int = 1000) -> DataFrame:
+    """Inner join of narrow ``rows``, in which one key may be very frequent, with ``wide``, unique in ``key``.
+
+    Only wide rows whose key is frequent are repeated, once for every ``most`` rows, and the
+    rows of that key are dealt over the repeats by ``by``.
+    """
+    hot = table(rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / most).alias("_deals")).where("_deals > 1"))
+    deals = F.coalesce("_deals", F.lit(1).cast("long"))
+    dealt = spread_join(rows, hot, [key], by, how="left").withColumn("_deal", F.pmod(F.xxhash64(by), deals)).drop("_deals")
+    copies = wide.join(hot, key, "left").withColumn("_deal", F.explode(F.sequence(F.lit(0).cast("long"), deals - 1))).drop("_deals")
+    return dealt.join(copies, [key, "_deal"]).drop("_deal")

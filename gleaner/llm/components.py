@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut
+from gleaner.llm.common import spread_join, table
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(id, component) for each id in ``edges(a, b)``; component is the smallest id reachable.
 
-    Each round is a map-side combined minimum and a join, then a reliable checkpoint; the
-    edge list never grows and stays distributed. Raises if ``max_rounds`` don't suffice,
+    Each round is a map-side combined minimum and a join in which the edges of a hub are dealt
+    over several tasks, then a written table; the edge list never grows and stays
+    distributed. Raises if ``max_rounds`` don't suffice,
     rather than return a partial labelling. Self loops and null ends are ignored; an empty
     list gives an empty result.
     """
-    edges = cut(
+    edges = table(
         edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
@@ -26,13 +27,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
-            both.join(low, "u").where(F.col("v") > F.col("u"))
+            spread_join(both, low, ["u"], F.col("v")).where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
         # Small star: every neighbour at or below u, and u itself, joins the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hooked = large.join(low, "u")
-        edges = cut(
+        hooked = spread_join(large, low, ["u"], F.col("v"))
+        edges = table(
             hooked.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v")))
             .where("u <> v").distinct()

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import SPACE, cut, spread_join, table
+from gleaner.llm.common import SPACE, spread_join, table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -108,7 +108,7 @@ def _taken(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
                 "_source_size", "_target", "_epochs", "_rest")
     )
     # One row per source: broadcast where they are few, so that texts stay where they are.
-    ends = cut(ends)
+    ends = table(ends)
     keyed = rows.withColumn("_s", same[0]).withColumn("_n", same[1])
     if ends.limit(SOURCES + 1).count() <= SOURCES:
         joined = keyed.join(F.broadcast(ends), ["_s", "_n"])

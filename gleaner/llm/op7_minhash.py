@@ -5,8 +5,9 @@ order, the documents that agree on the first ``BASE`` values form a region; the
 adapts per region, going deeper where a region is crowded. The most central document of
 a region is compared first with all others. After that every pair that agrees on BASE
 values in some order and isn't joined yet is a candidate: all pairs of a small region, and
-those of crowded ones by an exact join on their rarest shingles. Candidates are confirmed
-on full shingle sets.
+those of crowded ones by an exact join on their rarest shingles. A map of parities bounds
+from below in how many shingles two documents differ; candidates that it doesn't rule out
+are confirmed on full shingle sets, which are made for these documents only.
 
 Copies with equal shingle sets collapse to one representative before any candidate is
 made, and pairs inside a component that is already known are not verified again, so a
@@ -17,18 +18,22 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import batches, cut, spread_join, table
+from gleaner.llm.common import batches, dealt_join, matching, spread_join, table
 from gleaner.llm.components import connected_components
 from gleaner.llm.textvec import Batch, chunks, mix
 
 TREES, DEPTH, BASE = 16, 8, 5
 #: A region of more rows than this goes deeper, and its pairs come from rare shingles.
 CROWD = 64
-SIGNATURE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>, tails array<long>"
-SETS_SCHEMA = "doc_id long, shingles array<long>"
+#: Most classes of equal sets that are broadcast, of three 64-bit keys each.
+FEW_CLASSES = 500_000
+#: Bits of a document's parity map, and counters of the sketch of shingle frequencies.
+BITS, COUNTERS = 2048, 1 << 20
+SIGNATURE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>, tails array<long>, bits array<long>"
+SETS_SCHEMA = "id long, shingles array<long>"
 
 _random = np.random.RandomState(20240607)
 _A = _random.randint(1, 2**32, TREES * DEPTH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -88,6 +93,15 @@ def region_keys(signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys.view(np.int64), tails.view(np.int64)
 
 
+def parity_map(shingles: np.ndarray) -> np.ndarray:
+    """BITS bits, each the parity of how many shingles fall on it.
+
+    Two sets whose maps differ in h bits differ in at least h shingles, whatever their sizes.
+    """
+    odd = (np.bincount((shingles >> np.uint64(53)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _signatures(words: int):
     def run(frames):
         for frame in frames:
@@ -100,10 +114,12 @@ def _signatures(words: int):
                     h1 = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                     h2 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 every = np.arange(0, TREES * (b - a) + 1, TREES, dtype=np.int32)
+                bits = np.stack([parity_map(s) for s in sets])
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": frame.column("doc_id").slice(a, b - a), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "h1": h1, "h2": h2, "keys": pa.ListArray.from_arrays(every, keys.ravel()),
                     "tails": pa.ListArray.from_arrays(every, tails.ravel()),
+                    "bits": pa.ListArray.from_arrays(np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32), bits.ravel()),
                 })
     return run
 
@@ -116,19 +132,29 @@ def _sets(words: int):
                 sets = shingle_sets(texts[a:b], words)
                 at = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": frame.column("doc_id").slice(a, b - a),
+                    "id": frame.column("doc_id").slice(a, b - a),
                     "shingles": pa.ListArray.from_arrays(at, np.concatenate(sets).view(np.int64)),
                 })
     return run
 
 
+def _bounded(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can be linked by their parity maps, ``bits(id, n, bits)``. Loses no link."""
+    left = bits.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
+    right = bits.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+    both = dealt_join(dealt_join(pairs, left, "a", F.col("b")), right, "b", F.col("a"))
+    apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    size = F.col("na") + F.col("nb")
+    return both.where((100 + percent) * F.floor((size - apart) / 2) >= percent * size).select("a", "b").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    both = dealt_join(dealt_join(pairs, left, "a", F.col("b")), right, "b", F.col("a"))
     shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    return both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b").distinct()
 
 
 def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
@@ -140,29 +166,60 @@ def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _rare_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs (x, nx, y, ny) of ``rows(id, shingles, part)`` of different parts that can be linked.
+def _frequencies(frames):
+    """Counters of the shingles of a task's sets, hashed to COUNTERS cells."""
+    total = np.zeros(COUNTERS, np.int64)
+    for frame in frames:
+        flat = frame.column("shingles").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        total += np.bincount((flat >> np.uint64(33)).astype(np.int64) & (COUNTERS - 1), minlength=COUNTERS)
+    cell = np.flatnonzero(total)
+    yield pa.RecordBatch.from_pydict({"cell": pa.array(cell, pa.int64()), "n": pa.array(total[cell], pa.int64())})
+
+
+def _prefixes(often: np.ndarray, percent: int):
+    """Of each set the rarest shingles that a linked set must share one of, and how many are left from each."""
+    def run(frames):
+        for frame in frames:
+            ids = frame.column("id").to_pylist()
+            column = frame.column("shingles")
+            flat, at = column.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(column.value_lengths().to_numpy()))
+            out_id, out_n, out_s, out_rest = [], [], [], []
+            for i, own in enumerate(ids):
+                s = flat[at[i] : at[i + 1]]
+                n = len(s)
+                take = n - -(-n * percent // 100) + 1
+                df = often[(s.view(np.uint64) >> np.uint64(33)).astype(np.int64) & (COUNTERS - 1)]
+                first = s[np.lexsort((s, df))[:take]]
+                out_id.append(np.full(take, own))
+                out_n.append(np.full(take, n))
+                out_s.append(first)
+                out_rest.append(n - np.arange(take))
+            if ids:
+                yield pa.RecordBatch.from_pydict({
+                    k: pa.array(np.concatenate(v), pa.int64()) for k, v in (("id", out_id), ("n", out_n), ("s", out_s), ("rest", out_rest))})
+    return run
 
-    Rarest shingles first, a set of n that is linked with another shares one of the first
-    ``n - ceil(n * percent / 100) + 1`` with it, and the first shared place in both bounds what
-    they have in common. The bound leaves out sets that share only what all share, and rows
-    of the part that most of a shingle's rows are in meet only those of other parts.
+
+def _rare_pairs(sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """All pairs (x, nx, y, ny) of ``sets(id, shingles)`` of different ``parts(id, part)`` that can be linked.
+
+    Any one order of shingles will do: a set of n that is linked with another shares one of
+    its first ``n - ceil(n * percent / 100) + 1`` with it, and the first shared place in both
+    bounds what they have in common. Rarest first by a sketch of fixed size, so sets that share
+    only what all share hardly meet; rows of the part that most of a shingle's rows are in
+    meet only those of other parts.
     """
-    words = rows.select("id", "part", F.xxhash64("shingles").alias("set"), F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    common = words.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    places = (
-        words.join(common, "s").groupBy("id", "part", "set", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("all"))
-        .withColumn("first", F.expr(f"slice(all, 1, n - cast(ceil(n * {percent} / 100) as int) + 1)"))
-        .select("id", "part", "n", F.posexplode("first").alias("at", "w")).where("w.df > 1")
-        .select("id", "part", "n", F.col("w.s").alias("s"), (F.col("n") - F.col("at")).alias("rest"))
-    )
+    counted = batches(sets, _frequencies, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where("n > 2").toArrow()
+    often = np.zeros(COUNTERS, np.int64)  # at most COUNTERS rows come to the driver
+    often[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    places = batches(sets, _prefixes(often, percent), "id long, n long, s long, rest long").join(parts, "id")
     places = table(places)
     lists = (
         places.groupBy("s", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("s")
         .agg(F.max(F.struct("k", "part")).alias("most"), F.sum("k").alias("rows"), F.count(F.lit(1)).alias("n_parts"))
         .where("n_parts > 1").select("s", F.col("most.part").alias("main"), F.ceil(F.col("rows") / (4 * CROWD)).alias("deals"))
     )
-    placed = places.join(lists, "s").withColumn("other", (F.col("part") != F.col("main")).cast("int"))
+    placed = spread_join(places, lists, ["s"], F.col("id")).withColumn("other", (F.col("part") != F.col("main")).cast("int"))
     # The smaller set of a linked pair has its first shared shingle within a shorter prefix.
     left = placed.where((100 + percent) * F.col("rest") >= 2 * percent * F.col("n")).select(
         "s", F.pmod(F.xxhash64("id"), "deals").alias("deal"), F.explode(F.when(F.col("other") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))).alias("other"),
@@ -187,16 +244,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     signed = table(batches(slim, _signatures(words), SIGNATURE_SCHEMA))
 
-    # Equal sets: one representative each.
+    # Equal sets, by size and two sums of hashes: one representative each.
     known = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = known.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    reps = known.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    same = ["n_shingles", "h1", "h2"]
+    classes = known.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
+    classed = matching(signed, classes, same, "left", FEW_CLASSES).withColumn("rep", F.coalesce("rep", "doc_id"))
+    reps = classed.where((F.col("doc_id") == F.col("rep")) & (F.col("n_shingles") > 0)).withColumnsRenamed({"doc_id": "id", "n_shingles": "n"})
 
     # The forest: a row per representative, tree and region of two or more.
-    placed = reps.select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"),
-        F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("tails").alias("tail"))).alias("t"),
-    ).select("id", "n", F.col("t.key").alias("key"), F.col("t.tail").alias("tail"))
+    placed = reps.select("id", "n", F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("tails").alias("tail"))).alias("t")).select(
+        "id", "n", F.col("t.key").alias("key"), F.col("t.tail").alias("tail"))
     sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     crowd = F.lit(CROWD)
     region = (
@@ -205,42 +262,45 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .when(F.col("size") <= crowd * 64, F.xxhash64("key", F.shiftrightunsigned("tail", 21)))
         .otherwise(F.xxhash64("key", "tail"))
     )
-    forest = table(placed.join(sizes, "key").withColumn("region", region))
+    forest = table(spread_join(placed, sizes, ["key"], F.col("id")).withColumn("region", region).drop("tail"))
     central = forest.groupBy("id").agg(F.sum("size").alias("weight"))
-    weighted = forest.select("id", "n", "key", "region").join(central, "id")
+    weighted = forest.join(central, "id")
 
     def leaders(level: str) -> DataFrame:
         best = weighted.groupBy(level).agg(F.min(F.struct(-F.col("weight"), "id", "n")).alias("lead"))
-        return weighted.select(level, F.col("id").alias("x"), F.col("n").alias("nx")).join(
-            best.select(level, F.col("lead.id").alias("y"), F.col("lead.n").alias("ny")), level
+        return spread_join(
+            weighted.select(level, F.col("id").alias("x"), F.col("n").alias("nx")),
+            best.select(level, F.col("lead.id").alias("y"), F.col("lead.n").alias("ny")), [level], F.col("x"),
         ).select("x", "nx", "y", "ny")
 
-    involved = forest.select(F.col("id").alias("doc_id")).distinct()
-    sets = table(batches(slim.join(involved, "doc_id", "left_semi"), _sets(words), SETS_SCHEMA))
-    first = cut(_verified(_ordered(leaders("key").unionByName(leaders("region")), percent), sets, percent))
-    parts = connected_components(first)
+    bits = table(matching(reps.select("id", "n", "bits"), forest.select("id").distinct(), ["id"]))
 
-    # All other pairs that share a key, where the first links don't already join them.
-    def in_parts(rows: DataFrame) -> DataFrame:
-        return rows.join(parts.withColumnRenamed("component", "part"), "id", "left").withColumn("part", F.coalesce("part", "id"))
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return table(batches(matching(slim, ids.select(F.col("id").alias("doc_id")).distinct(), ["doc_id"]), _sets(words), SETS_SCHEMA))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Candidates, by their sizes and parity maps, then by full sets of those that are left."""
+        left = table(_bounded(table(_ordered(pairs, percent)), bits, percent))
+        return table(_verified(left, sets_of(left.select(F.explode(F.array("a", "b")).alias("id"))), percent))
+
+    first = linked(leaders("key").unionByName(leaders("region")))
+    parts = connected_components(first).withColumnRenamed("component", "part")
 
+    # All other pairs that share a key, where the first links don't already join them.
+    members = table(forest.select("key", "id", "n", "size").join(parts, "id", "left").withColumn("part", F.coalesce("part", "id")))
     small = (
-        in_parts(forest.where(F.col("size") <= CROWD).select("key", "id", "n")).groupBy("key")
+        members.where(F.col("size") <= CROWD).groupBy("key")
         .agg(F.collect_set(F.struct("part", "id", "n")).alias("all")).select("all", F.explode("all").alias("o"))
         .select(F.col("o.id").alias("x"), F.col("o.n").alias("nx"), F.explode(F.filter("all", lambda p: p["part"] > F.col("o.part"))).alias("p"))
         .select("x", "nx", F.col("p.id").alias("y"), F.col("p.n").alias("ny"))
     )
-    crowded = forest.where(F.col("size") > CROWD).select("id").distinct()
-    near = small.unionByName(_rare_pairs(in_parts(sets.withColumnRenamed("doc_id", "id").join(crowded, "id", "left_semi")), percent))
-    second = _verified(_ordered(near, percent), sets, percent)
-    joined = connected_components(first.unionByName(second)).withColumnRenamed("id", "rep")
-
-    grouped = classes.where("copies > 1").select("n_shingles", "h1", "h2", "rep")
-    mapped = (
-        spread_join(signed.select("doc_id", "n_shingles", "h1", "h2"), grouped, ["n_shingles", "h1", "h2"], F.col("doc_id"), how="left")
-        .withColumn("rep", F.coalesce("rep", "doc_id"))
-    )
-    mapped = spread_join(mapped, joined, ["rep"], F.col("doc_id"), how="left")
+    crowded = members.where(F.col("size") > CROWD)
+    mixed = crowded.groupBy("key").agg(F.min("part").alias("one"), F.max("part").alias("two")).where("one < two").select("key")
+    crowded = table(spread_join(crowded.select("key", "id", "part"), mixed, ["key"], F.col("id")).select("id", "part").distinct())
+    near = small.unionByName(_rare_pairs(sets_of(crowded), crowded, percent))
+    joined = connected_components(first.unionByName(linked(near))).withColumnRenamed("id", "rep")
+
+    mapped = spread_join(classed.select("doc_id", "n_shingles", "rep"), joined, ["rep"], F.col("doc_id"), how="left")
     component = F.coalesce("component", "rep")
     return mapped.select(
         "doc_id", "n_shingles", component.alias("component_id"),
@@ -254,6 +314,15 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates (five words, similarity 0.8)."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keep one document of each group of near-duplicates (five words, similarity 0.8).
+
+    Of rows that share a doc_id one stays, the least by a hash of its text. Rows without an id stay.
+    """
+    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    kept = matching(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
+    again = table(kept.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id"))
+    if again.isEmpty():
+        return kept
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    one = matching(kept, again, ["doc_id"]).select(*docs.columns, F.row_number().over(order).alias("_nth")).where("_nth = 1").drop("_nth")
+    return matching(kept, again, ["doc_id"], "left_anti").select(*docs.columns).unionByName(one)
