@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from gleaner.runtime import ship
 
+#: Bytes of a record batch that a worker reads at once.
+SLICE = 4 << 20
 #: ASCII white space as the word rules of this package see it.
 SPACE = r"\x20\x09-\x0D"
 
@@ -38,9 +40,18 @@ def batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """mapInArrow with this package at hand on the executors.
 
     ``run`` maps an iterator of record batches; Arrow keeps 64-bit ids exact beside nulls.
+    Batches of wide rows come in slices of about ``SLICE`` bytes, so that a worker never holds
+    a whole one as Python objects.
     """
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def sliced(frames):
+        for frame in frames:
+            step = max(1, frame.num_rows * SLICE // max(frame.nbytes, 1))
+            for i in range(0, frame.num_rows, step):
+                yield frame.slice(i, step)
+
+    return df.mapInArrow(lambda frames: run(sliced(frames)), schema)
 
 
 def table(df: DataFrame) -> DataFrame:

@@ -107,7 +107,7 @@ def _packer(tokenizer: str | None, window: int, end: int):
             at, held = 0, 0
             for i, text in enumerate(texts):
                 held += len(text)
-                if held < 2_000_000 and i + 1 < len(texts):
+                if held < 1_000_000 and i + 1 < len(texts):
                     continue
                 ids, counts = encoder.encode(texts[at : i + 1])
                 full: list[tuple] = []

@@ -113,7 +113,7 @@ class Batch:
         return self.span_hash(self.sums(codes), start, end)
 
 
-def chunks(texts: list[str], limit: int = 2_000_000):
+def chunks(texts: list[str], limit: int = 1_000_000):
     """(first, last) index ranges holding about ``limit`` characters each."""
     first, held = 0, 0
     for i, text in enumerate(texts):
