@@ -98,8 +98,8 @@ def spread_join(rows: DataFrame, small: DataFrame, on: list[str], by: Column, pa
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-#: Most keys that are broadcast to filter a wide table: 64-bit keys, some 32 bytes each when hashed.
-FEW = 2_000_000
+#: Most keys that are broadcast to filter a wide table: 64-bit keys, some 70 bytes each when hashed.
+FEW = 500_000
 
 
 def matching(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi", few: int = FEW) -> DataFrame:

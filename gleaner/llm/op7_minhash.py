@@ -29,7 +29,7 @@ TREES, DEPTH, BASE = 16, 8, 5
 #: A region of more rows than this goes deeper, and its pairs come from rare shingles.
 CROWD = 64
 #: Most classes of equal sets that are broadcast, of three 64-bit keys each.
-FEW_CLASSES = 500_000
+FEW_CLASSES = 100_000
 #: Bits of a document's parity map, and counters of the sketch of shingle frequencies.
 BITS, COUNTERS = 2048, 1 << 20
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>, tails array<long>, bits array<long>"
