@@ -74,7 +74,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, rows: int)
     """At most ``rows`` labelled (doc_id, text, label) rows outside the held-out fold.
 
     The choice is by a hash of the id, so it is the same on every run. The chosen ids
-    are at most ``rows``, so broadcasting them is bounded whatever the corpus holds.
+    are at most ``rows``, so broadcasting them is bounded whatever the corpus holds. Of rows
+    that share an id the one of the least text is taken.
     """
     picked = (
         labels.select(F.col("doc_id").alias("doc_id"), F.col(target).cast("int").alias("label"))
@@ -84,7 +85,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, rows: int)
         .limit(rows)
     )
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return text.join(F.broadcast(picked), "doc_id")
+    return text.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def spread_join(rows: DataFrame, small: DataFrame, on: list[str], by: Column, parts: int = 16, how: str = "inner") -> DataFrame:

@@ -22,6 +22,8 @@ from gleaner.llm.textvec import Batch, chunks, mix, runs
 
 #: Most labelled rows the field is fitted on.
 SAMPLE = 2000
+#: Most lines of a row the field is fitted on; longer rows are scored but not learned from.
+LINES = 2000
 ROUNDS = 60
 #: Classes a line's characters are counted in.
 _SPACE, _LOWER, _UPPER, _LETTER, _DIGIT, _STOP, _SHOUT, _BAR, _SYMBOL, _OTHER = range(10)
@@ -207,8 +209,9 @@ class Field:
 
 
 def _features(frames):
-    """(label, lines, features and sizes as half floats) of each training row."""
+    """(label, lines, features and sizes as half floats) of each training row of at most LINES lines."""
     for frame in frames:
+        frame = frame.filter(pa.array([t.count("\n") < LINES for t in frame.column("text").to_pylist()], pa.bool_()))
         texts = frame.column("text").to_pylist()
         for a, b in chunks(texts):
             own, sizes, lengths = line_features(texts[a:b])
@@ -240,7 +243,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
 
 
 def score(docs: DataFrame, field: Field) -> DataFrame:
-    """docs(doc_id, text) with held_out, score and predicted, a row for each row."""
+    """docs(doc_id, text) with held_out, score and predicted, a row for each row.
+
+    A null or empty text is one empty line and is scored as such. Rows may repeat; a null id is
+    not held out. An empty table gives an empty result; other columns are ignored.
+    """
     def run(frames):
         for frame in frames:
             texts = frame.column("text").to_pylist()

@@ -1,14 +1,16 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Five small transducers read a clause as token classes: insults, threats, targets, negation
-and reported speech. Their composition is one weighted automaton whose best path gives a
-clause its pattern: a bare insult, an insult at a target, a threat at a target, and each of
-these negated or reported. What a pattern is worth, and which words are insults beside the
-seed list, is learned from labelled rows outside the held-out fold; documents are scored by
-the patterns of their clauses, never by isolated words.
-
-Words are found with hashes over the whole batch; only clauses that hold a hit are read
-token by token.
+Four weighted transducers read a clause as a string of token classes. The first decides
+whether an insult or a threat is meant; the second marks what a negation reaches; the third
+what is reported speech; the last looks for patterns: a bare insult, an insult near a
+person, a threat that is followed by a person, and those that are negated or reported. Arcs
+carry a constant and a multiple of the token's own weight. Their composition is built once;
+the path of greatest weight through it gives a clause its pattern and its score. A word
+alone decides nothing: a threat without a person after it, or a negated insult, is another
+path of another weight.
+
+What a pattern is worth to a document, and which words are insults beside the seed list, is
+learned from labelled rows outside the held-out fold.
 """
 
 from __future__ import annotations
@@ -38,80 +40,188 @@ INSULTS = (
     "imbecile jerk creep vermin filth coward bastard bitch asshole retard degenerate subhuman parasite parasites garbage "
     "ugly hateful"
 ).split()
-THREATS = "kill murder hurt destroy burn shoot stab beat crush strangle hang exterminate die".split()
-TARGETS = (
-    "you your yours he him his she her they them their this that these those people everyone guy woman man men women "
-    "is are vous tu il elle ils du sie er ihr usted tu ellos ella"
+THREATS = "kill murder hurt destroy burn shoot stab beat crush strangle hang exterminate".split()
+PERSONS = (
+    "you your yours him his her them their he she they people everyone guy woman man men women vous tu toi il elle ils "
+    "du dich dir sie er ihr ihn usted te ellos ella"
 ).split()
 NEGATIONS = "not no never nobody isn aren wasn don doesn didn without hardly nicht kein keine pas jamais nunca".split()
 REPORTS = "said says say told wrote writes quoted claimed called reported according stated sagte dit dijo".split()
 
-_INSULT, _THREAT, _TARGET, _NEGATION, _REPORT, _PLAIN = range(6)
+#: Classes of tokens; a break is a mark inside a clause, such as a comma.
+CLASSES = ("insult", "threat", "person", "negation", "report", "word", "break")
+_INSULT, _THREAT, _PERSON, _NEGATION, _REPORT, _PLAIN, _BREAK = range(7)
 #: Patterns a clause can end in.
 PATTERNS = ("insult", "insult_target", "threat_target", "negated", "reported")
-#: Tokens over which a negation reaches.
-REACH = 3
+#: Tokens over which a negation reaches, and at which a person is near an insult or follows a threat.
+REACH, NEAR, AFTER = 3, 3, 2
+#: Weights: a person near an insult, a threat at a person, and the share that negated and reported ones keep.
+AT_PERSON, AT_THREAT, NEGATED, REPORTED = 0.5, 0.5, 0.25, 0.5
 
 
 class Transducer:
-    """Weighted arcs (state, class) -> (state, emitted mark); other classes stay where they are."""
-
-    def __init__(self, arcs: dict[tuple[int, int], tuple[int, str]]):
-        self.arcs = arcs
-
-    def step(self, state: int, kind: int) -> tuple[int, str]:
-        return self.arcs.get((state, kind), (state, ""))
-
-
-INSULT_FST = Transducer({(0, _INSULT): (1, "insult"), (1, _INSULT): (1, "insult")})
-THREAT_FST = Transducer({(0, _THREAT): (1, "threat"), (1, _THREAT): (1, "threat")})
-TARGET_FST = Transducer({(0, _TARGET): (1, "target")})
-REPORT_FST = Transducer({(0, _REPORT): (1, "report")})
-#: Negation counts down over the tokens that follow it.
-NEGATION_FST = Transducer(
-    {(s, _NEGATION): (REACH, "") for s in range(REACH + 1)}
-    | {(s, k): (s - 1, "negated" if k in (_INSULT, _THREAT) else "") for s in range(1, REACH + 1) for k in (_INSULT, _THREAT, _TARGET, _REPORT, _PLAIN)}
-)
-
-
-def compose(*parts: Transducer):
-    """The product automaton, built as its states are met."""
-    memo: dict[tuple, tuple] = {}
-
-    def step(state: tuple, kind: int) -> tuple[tuple, tuple[str, ...]]:
-        key = (state, kind)
-        if key not in memo:
-            moves = [p.step(s, kind) for p, s in zip(parts, state)]
-            memo[key] = tuple(m[0] for m in moves), tuple(m[1] for m in moves if m[1])
-        return memo[key]
-
-    return step
+    """Weighted arcs (state, input, output, constant, multiple of the token's weight, next state); state 0 starts.
 
+    ``finals`` names the states a path may end in.
+    """
 
-GRAMMAR = compose(INSULT_FST, THREAT_FST, TARGET_FST, REPORT_FST, NEGATION_FST)
+    def __init__(self, arcs: list[tuple], finals: dict):
+        self.arcs, self.finals = arcs, finals
+        self.leaving: dict[tuple, list[tuple]] = {}
+        for state, symbol, *rest in arcs:
+            self.leaving.setdefault((state, symbol), []).append(tuple(rest))
+
+    def then(self, other: Transducer) -> Transducer:
+        """The composition: what this one puts out, ``other`` reads. Weights add."""
+        numbers, arcs, todo = {(0, 0): 0}, [], [(0, 0)]
+        symbols = {s for _, s, *_ in self.arcs}
+        while todo:
+            at = todo.pop()
+            for symbol in sorted(symbols):
+                for out, constant, multiple, to in self.leaving.get((at[0], symbol), ()):
+                    for out2, constant2, multiple2, to2 in other.leaving.get((at[1], out), ()):
+                        if (to, to2) not in numbers:
+                            numbers[to, to2] = len(numbers)
+                            todo.append((to, to2))
+                        arcs.append((numbers[at], symbol, out2, constant + constant2, multiple + multiple2, numbers[to, to2]))
+        finals = {n: other.finals[b] for (a, b), n in numbers.items() if a in self.finals and b in other.finals}
+        return Transducer(arcs, finals)
+
+
+def _sense() -> Transducer:
+    """Insults and threats are meant, or are words like others."""
+    arcs = [(0, c, c, 0.0, 0.0, 0) for c in CLASSES]
+    return Transducer(arcs + [(0, c, "word", 0.0, 0.0, 0) for c in ("insult", "threat")], {0: ""})
+
+
+def _negation() -> Transducer:
+    """Counts down over the tokens after a negation; a break ends it."""
+    arcs = []
+    for left in range(REACH + 1):
+        for c in CLASSES:
+            to = REACH if c == "negation" else 0 if c == "break" else max(left - 1, 0)
+            hit = left > 0 and c in ("insult", "threat")
+            arcs.append((left, c, "negated" if hit else c, 0.0, 0.0, to))
+    return Transducer(arcs, dict.fromkeys(range(REACH + 1), ""))
+
+
+def _report() -> Transducer:
+    """What follows a verb of saying is reported."""
+    arcs = []
+    for c in (*CLASSES, "negated"):
+        arcs.append((0, c, c, 0.0, 0.0, 1 if c == "report" else 0))
+        arcs.append((1, c, "reported" if c in ("insult", "threat") else c, 0.0, 0.0, 1))
+    return Transducer(arcs, {0: "", 1: ""})
+
+
+def _pattern() -> Transducer:
+    """Which pattern a clause makes.
+
+    A state is (best pattern so far, what is near: a person, an insult without one, a threat
+    that still needs one, or nothing; tokens it stays near).
+    """
+    ranks = ("", "negated", "reported", *PATTERNS[:3])
+    numbers: dict[tuple, int] = {}
+    arcs, todo = [], []
+
+    def number(state: tuple) -> int:
+        if state not in numbers:
+            numbers[state] = len(numbers)
+            todo.append(state)
+        return numbers[state]
+
+    def best(a: str, b: str) -> str:
+        return max(a, b, key=ranks.index)
+
+    number(("", "", 0))
+    while todo:
+        state = todo.pop()
+        have, near, left = state
+        fade = (have, near, left - 1) if left > 1 else (have, "", 0)
+        for c in (*CLASSES, "negated", "reported"):
+            moves = []
+            if c == "insult":
+                if near == "person":
+                    moves.append((AT_PERSON, 1.0, (best(have, "insult_target"), near, left)))
+                elif near != "threat":
+                    moves.append((0.0, 1.0, (best(have, "insult"), "insult", NEAR)))
+                else:
+                    moves.append((0.0, 1.0, (best(have, "insult"), *fade[1:])))
+            elif c == "threat":
+                moves.append((0.0, 1.0, (have, "threat", AFTER)))
+            elif c == "person":
+                if near == "threat":
+                    moves.append((AT_THREAT, 0.0, (best(have, "threat_target"), "person", NEAR)))
+                elif near == "insult":
+                    moves.append((AT_PERSON, 0.0, (best(have, "insult_target"), "person", NEAR)))
+                else:
+                    moves.append((0.0, 0.0, (have, "person", NEAR)))
+            elif c in ("negated", "reported"):
+                moves.append((0.0, NEGATED if c == "negated" else REPORTED, (best(have, c), *fade[1:])))
+            else:
+                moves.append((0.0, 0.0, fade))
+            for constant, multiple, to in moves:
+                if near == "threat" and left <= 1 and c != "person":
+                    continue  # a threat that no person has followed is not one
+                arcs.append((numbers[state], c, c, constant, multiple, number(to)))
+    return Transducer(arcs, {n: have for (have, near, _), n in numbers.items() if near != "threat"})
+
+
+PARTS = (_sense(), _negation(), _report(), _pattern())
+
+
+class Automaton:
+    """Best paths through the composed grammar, many clauses at a time."""
+
+    def __init__(self, *parts: Transducer):
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.then(part)
+        self.states = 1 + max(max(a[0], a[-1]) for a in whole.arcs)
+        self.moves = []
+        for c in CLASSES:
+            arcs = sorted((a for a in whole.arcs if a[1] == c), key=lambda a: (a[5], a[0]))
+            to = np.array([a[5] for a in arcs])
+            first = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+            self.moves.append((np.array([a[0] for a in arcs]), np.array([a[3] for a in arcs]), np.array([a[4] for a in arcs]), first, to[first]))
+        self.final = np.full(self.states, len(PATTERNS))  # nothing found
+        allowed = np.zeros(self.states, bool)
+        for state, name in whole.finals.items():
+            allowed[state] = True
+            if name:
+                self.final[state] = PATTERNS.index(name)
+        self.allowed = allowed
+
+    def best(self, kinds: np.ndarray, weights: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pattern, weight) of each clause; tokens of all clauses end to end. Pattern len(PATTERNS) is none."""
+        starts = np.cumsum(lengths) - lengths
+        order = np.argsort(-lengths, kind="stable")
+        value = np.full((len(lengths), self.states), -np.inf)
+        value[:, 0] = 0.0
+        active = np.searchsorted(-lengths[order], -np.arange(lengths.max(initial=0)), side="left")
+        for t, k in enumerate(active.tolist()):
+            rows = order[:k]
+            at = starts[rows] + t
+            kind, weight = kinds[at], weights[at]
+            for c in np.unique(kind).tolist():
+                here = kind == c
+                source, constant, multiple, first, to = self.moves[c]
+                reached = value[np.ix_(rows[here], source)] + constant + weight[here][:, None] * multiple
+                new = np.full((int(here.sum()), self.states), -np.inf)
+                new[:, to] = np.maximum.reduceat(reached, first, axis=1)
+                value[rows[here]] = new
+        value = np.where(self.allowed, value, -np.inf)
+        end = value.argmax(axis=1)
+        return self.final[end], value[np.arange(len(lengths)), end]
+
+
+AUTOMATON = Automaton(*PARTS)
 
 
 def clause_patterns(kinds: list[int], weights: list[float]) -> dict[str, float]:
-    """Weight by pattern of one clause; a threat needs a target, an insult gains by one."""
-    state = (0, 0, 0, 0, 0)
-    insult = negated = threat = 0.0
-    for kind, weight in zip(kinds, weights):
-        state, marks = GRAMMAR(state, kind)
-        if "negated" in marks:
-            negated += weight
-        elif "insult" in marks:
-            insult += weight
-        elif "threat" in marks:
-            threat += weight
-    _, _, target, reported, _ = state
-    out = dict.fromkeys(PATTERNS, 0.0)
-    if reported:
-        out["reported"] = insult + (threat if target else 0.0)
-    else:
-        out["insult_target" if target else "insult"] = insult
-        out["threat_target"] = threat if target else 0.0
-    out["negated"] = negated
-    return out
+    """The pattern of one clause and its weight; 0 for the others."""
+    pattern, weight = AUTOMATON.best(np.array(kinds, np.int64), np.array(weights, np.float64), np.array([len(kinds)]))
+    return {name: float(weight[0]) if i == pattern[0] else 0.0 for i, name in enumerate(PATTERNS)}
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -128,11 +238,12 @@ class Grammar:
 
     def _tables(self):
         entries: dict[str, tuple[int, float]] = {}
-        for kind, words in ((_REPORT, REPORTS), (_NEGATION, NEGATIONS), (_TARGET, TARGETS), (_THREAT, THREATS), (_INSULT, INSULTS)):
+        for kind, words in ((_REPORT, REPORTS), (_NEGATION, NEGATIONS), (_PERSON, PERSONS), (_THREAT, THREATS), (_INSULT, INSULTS)):
             entries.update({w: (kind, 1.0) for w in words})
-        for w, weight in self.words.items():
-            if entries.get(w, (_INSULT, 0))[0] in (_INSULT, _THREAT):
-                entries[w] = (_INSULT, weight)
+        for w, weight in self.words.items():  # a learned threat stays one
+            kind = entries.get(w, (_INSULT, 0))[0]
+            if kind in (_INSULT, _THREAT):
+                entries[w] = (kind, weight)
         names = sorted(entries)
         h = _hash_words(names)
         order = np.argsort(h)
@@ -176,10 +287,21 @@ class Grammar:
         loud = np.unique(clause[(kind == _INSULT) | (kind == _THREAT)])
         first = np.searchsorted(clause, loud, side="left")
         last = np.searchsorted(clause, loud, side="right")
-        for a, b in zip(first.tolist(), last.tolist()):
-            for j, value in enumerate(clause_patterns(kind[a:b].tolist(), weight[a:b].tolist()).values()):
-                out[text[a], j] += value
-        hits = np.bincount(text[first], minlength=batch.n) if len(first) else np.zeros(batch.n)
+        # The tokens of these clauses, with a break before those that a comma or the like precedes.
+        length = last - first
+        token = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        marks = np.concatenate([[0], np.cumsum(np.isin(batch.codes, [ord(c) for c in ",:()–—«»“”\""]))])
+        broken = np.zeros(len(start), bool)
+        broken[1:] = (marks[start[1:]] > marks[start[:-1]]) & (clause[1:] == clause[:-1])
+        places = np.flatnonzero(broken[token])
+        which = np.repeat(np.arange(len(loud)), length)
+        found, value = AUTOMATON.best(
+            np.insert(kind[token], places, _BREAK), np.insert(weight[token], places, 0.0),
+            length + np.bincount(which[places], minlength=len(loud)),
+        )
+        sure = found < len(PATTERNS)
+        np.add.at(out, (text[first[sure]], found[sure]), value[sure])
+        hits = np.bincount(text[first[sure]], minlength=batch.n)
         clauses = np.bincount(text[np.unique(clause, return_index=True)[1]], minlength=batch.n)
         out[:, :-1] = np.log1p(out[:, :-1])
         out[:, -1] = hits / np.maximum(clauses, 1)
@@ -261,7 +383,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
 def score(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> DataFrame:
     """docs(doc_id, text) with held_out, score and predicted, a row for each row.
 
-    Null and empty texts hold no clause and get the score of a clean one.
+    Null and empty texts hold no clause and get the score of a clean one. Rows may repeat; a
+    null id is not held out. An empty table gives an empty result; other columns are ignored.
     """
     def run(frames):
         for frame in frames:

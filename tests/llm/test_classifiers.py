@@ -103,15 +103,60 @@ def test_forward_backward_equals_enumeration():
         at += n
 
 
+def words_run(text):
+    """Pattern totals of a text by the seed lexicon."""
+    x = op8_toxicity.Grammar({}, {}).features([text])[0]
+    return dict(zip(op8_toxicity.PATTERNS, np.expm1(x[:-1]).round(6)))
+
+
 def test_clause_grammar():
-    insult, threat, target, negation, report, plain = range(6)
-    run = lambda *kinds: op8_toxicity.clause_patterns(list(kinds), [1.0] * len(kinds))
-    assert run(target, plain, insult)["insult_target"] == 1
-    assert run(insult)["insult"] == 1
-    assert run(threat)["threat_target"] == 0 and run(threat, target)["threat_target"] == 1
-    assert run(target, negation, insult)["negated"] == 1 and run(target, negation, insult)["insult_target"] == 0
-    assert run(negation, plain, plain, plain, plain, insult)["negated"] == 0
-    assert run(report, target, insult)["reported"] == 1
+    assert words_run("you are an idiot") == {"insult": 0, "insult_target": 1.5, "threat_target": 0, "negated": 0, "reported": 0}
+    assert words_run("what an idiot")["insult"] == 1
+    assert words_run("idiot like you")["insult_target"] == 1.5
+    assert words_run("I will kill you")["threat_target"] == 1.5
+    for harmless in ("the plant will die this week", "You kill the process", "they kill", "a plain text"):
+        assert not any(words_run(harmless).values())
+    assert words_run("you are not an idiot")["negated"] == 0.25 and words_run("you are not an idiot")["insult_target"] == 0
+    assert words_run("that idea is not bad, you idiot")["insult_target"] == 1.5
+    assert words_run("he said you are scum")["reported"] == 0.5
+    assert words_run("not at all in any way scum")["insult"] == 1
+
+
+def brute_best(kinds, weights):
+    """The best path by trying every path of the cascade, one transducer after another."""
+    best = {}
+
+    def walk(i, states, total):
+        if i == len(kinds):
+            if all(s in part.finals for s, part in zip(states, op8_toxicity.PARTS)):
+                name = op8_toxicity.PARTS[-1].finals[states[-1]]
+                best[name] = max(best.get(name, -1e9), total)
+            return
+
+        def through(k, symbol, after, gained):
+            if k == len(op8_toxicity.PARTS):
+                walk(i + 1, tuple(after), total + gained)
+                return
+            for state, read, out, constant, multiple, to in op8_toxicity.PARTS[k].arcs:
+                if state == states[k] and read == symbol:
+                    through(k + 1, out, [*after, to], gained + constant + multiple * weights[i])
+
+        through(0, op8_toxicity.CLASSES[kinds[i]], [], 0.0)
+
+    walk(0, (0,) * len(op8_toxicity.PARTS), 0.0)
+    return best
+
+
+def test_best_paths_equal_enumeration():
+    rng = random.Random(8)
+    clauses = [[rng.choice(range(7)) for _ in range(rng.randint(1, 6))] for _ in range(120)]
+    weights = [[round(rng.uniform(0.1, 1), 3) for _ in c] for c in clauses]
+    found, value = op8_toxicity.AUTOMATON.best(
+        np.array(sum(clauses, [])), np.array(sum(weights, [])), np.array([len(c) for c in clauses]))
+    for kinds, w, pattern, total in zip(clauses, weights, found, value):
+        best = brute_best(kinds, w)
+        name = (*op8_toxicity.PATTERNS, "")[pattern]
+        assert abs(max(best.values()) - total) < 1e-9 and abs(best[name] - total) < 1e-9
 
 
 def test_licenses_are_found_by_wording(spark):
