@@ -189,6 +189,52 @@ def test_a_license_is_found_amid_long_running_text(spark):
     assert got == want
 
 
+def test_near_versions_and_denials_are_no_licenses(spark):
+    rows = [
+        (1, "This work is licensed under the GNU General Public License, version 4.", "s"),
+        (2, "This code is not licensed under the terms of the MIT license", "s"),
+        (3, "Licensed under CC BY 3.0.", "s"), (4, "This work is licensed under the GNU General Public License, version 2.", "s"),
+    ]
+    got = {r.doc_id: re.sub(r":\d+", "", r.licenses) for r in op10_licenses.scan(documents(spark, rows)).collect()}
+    assert got == {1: "", 2: "", 3: "", 4: "GPL-2.0"}
+
+
+def plain_find(text):
+    """Every place where a template stands word for word, longest first, none overlapping."""
+    words = op10_licenses.words_of(text)
+    spans = []
+    for name, wordings in op10_licenses.TEMPLATES.items():
+        for wording in wordings:
+            want = [w for w, _, _ in op10_licenses.words_of(wording)]
+            for i in range(len(words) - len(want) + 1):
+                if [w for w, _, _ in words[i : i + len(want)]] == want:
+                    spans.append((len(want), i, i + len(want), name))
+    out, taken = [], set()
+    for _, a, b, name in sorted(spans, key=lambda s: (-s[0], s[1])):
+        if not taken & set(range(a, b)):
+            taken |= set(range(a, b))
+            out.append(f"{name}:{words[a][1]}:{words[b - 1][2]}")
+    return sorted(out, key=lambda s: int(s.split(":")[1]))
+
+
+def test_exact_notices_equal_brute_force(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("bcdfgklmnrst") for _ in range(rng.randint(2, 8)))
+    every = [w for ws in op10_licenses.TEMPLATES.values() for w in ws]
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            parts.append(rng.choice(every) if rng.random() < 0.5 else " ".join(word() for _ in range(rng.randint(1, 40))))
+            parts.append(rng.choice([" ", "\n", " - ", "\n\n"]))
+        rows.append((i, "".join(parts), "s"))
+    got = {r.doc_id: r for r in op10_licenses.scan(documents(spark, rows)).collect()}
+    cue = re.compile(op10_licenses.CUE, re.I)
+    for i, text, _ in rows:
+        want = [s for s in plain_find(text) if cue.search(text)]
+        assert got[i].licenses == ",".join(want), (text, want)
+
+
 def test_all_licenses_of_a_line_are_found(spark):
     names = ["MIT", "Apache-2.0", "GPL-3.0", "MIT", "BSD-3-Clause", "CC-BY-4.0", "MPL-2.0", "LGPL-3.0", "AGPL-3.0", "MIT", "Unlicense", "all-rights-reserved"]
     line = " ".join(op10_licenses.TEMPLATES[n][0] for n in names)
