@@ -4,8 +4,9 @@ Vectors are dealt to the shards of their nearest centroids, each to more than on
 close vectors meet in a shard. A shard builds a flat graph by robust pruning; the adjacency
 lists that a vector has got in its shards are united. Every vector then searches its shards
 greedily from the medoid and expands from what it finds within range; pairs are verified by
-exact cosine. An audit compares a fixed sample of vectors with brute force and, if recall
-falls short, the work is done again with more overlap.
+exact cosine. A shard too large for one task, where many vectors lie close together, is cut
+into blocks, and every two of them meet. An audit compares a fixed sample of vectors with
+brute force and, if recall falls short, the work is done again with more overlap.
 
 Centroids are fitted on a bounded sample; every row is indexed and searched. Equal vectors
 collapse to one class first, and a shard returns counts and a spanning forest of its links,
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import batches, table
+from gleaner.llm.common import batches, spread_join, table
 from gleaner.llm.components import connected_components
 from gleaner.runtime import ship
 
@@ -27,9 +28,11 @@ THRESHOLD = 0.98
 #: Most vectors the centroids are fitted on, and most centroids; both bound what is broadcast.
 SAMPLE, CENTROIDS = 50_000, 8192
 SHARD = 1500
+#: Most vectors, about, that one task builds a graph of; two such blocks meet in a search.
+BLOCK = 2 * SHARD
 OVERLAP = 2
-DEGREE, CANDIDATES, LONG, ALPHA = 24, 40, 8, 1.2
-BEAM, SLACK = 24, 0.02
+DEGREE, CANDIDATES, LONG, CLOSE, ALPHA = 24, 40, 8, 6, 1.2
+BEAM, SLACK, ENTRIES = 24, 0.03, 8
 AUDITED, RECALL = 200, 0.99
 
 
@@ -78,7 +81,7 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, np.nd
     near = min(CANDIDATES, n - 1)
     if near < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    heads, tails = [], []
+    heads, tails, nearest_of = [], [], []
     for a in range(0, n, 512):
         b = min(a + 512, n)
         sims = x[a:b] @ x.T
@@ -89,6 +92,7 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, np.nd
         held = np.take_along_axis(sims, cand, axis=1)
         order = np.argsort(-held, axis=1, kind="stable")
         cand, held = np.take_along_axis(cand, order, axis=1), np.take_along_axis(held, order, axis=1)
+        nearest_of.append(cand[:, :CLOSE])
         own = x[cand]
         apart = np.sqrt(np.maximum(2 - 2 * np.matmul(own, own.transpose(0, 2, 1)), 0))
         to_q = np.sqrt(np.maximum(2 - 2 * held, 0))
@@ -103,6 +107,7 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, np.nd
         heads.append(at + a)
         tails.append(cand[at, which])
     head, tail = np.concatenate(heads), np.concatenate(tails)  # by vector, nearest first
+    close = np.concatenate(nearest_of)
     # First the way back from everyone's nearest, then forward edges, then other ways back.
     nearest = np.append(True, head[1:] != head[:-1])
     rank = np.concatenate([np.ones(len(head), np.int64), np.where(nearest, 0, 2)])
@@ -111,50 +116,74 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, np.nd
     head, tail = head[order], tail[order]
     first = np.searchsorted(head, np.arange(n))
     fits = np.arange(len(head)) - first[head] < 2 * degree
-    return head[fits], tail[fits]
+    head, tail = head[fits], tail[fits]
+    # A vector that none of its closest had room to lead to is led to by that of them with the fewest edges.
+    out = np.bincount(head, minlength=n)
+    led = np.isin(close * n + np.arange(n)[:, None], head * n + tail).any(axis=1)
+    more = []
+    for v in np.flatnonzero(~led).tolist():
+        near = close[v]
+        via = int(near[out[near].argmin()])
+        out[via] += 1
+        more.append((via, v))
+    if more:
+        extra = np.array(more)
+        head, tail = np.append(head, extra[:, 0]), np.append(tail, extra[:, 1])
+        order = np.argsort(head, kind="stable")
+        head, tail = head[order], tail[order]
+    return head, tail
+
+
+def pair_cosine(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the rows a of x with the rows b of y."""
+    out = np.empty(len(a))
+    for i in range(0, len(a), 50_000):
+        out[i : i + 50_000] = np.einsum("kd,kd->k", x[a[i : i + 50_000]], y[b[i : i + 50_000]])
+    return out
 
 
-def range_search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, threshold: float):
-    """(query, found) index arrays with cosine at or above ``threshold``, by graph search.
+def range_search(x: np.ndarray, graph: np.ndarray, asked: np.ndarray, own: np.ndarray | None, threshold: float) -> np.ndarray:
+    """(asked, x) booleans: vectors found at cosine ``threshold`` or above, by graph search.
 
     ``graph`` is padded with the vector's own index. A greedy descent keeps a beam from the
-    medoid and the query's own place; then everything within ``SLACK`` of range is expanded
-    until nothing new comes up. Only vectors that the search reaches are looked at; the
-    cosines it reads come from one matrix product, which at shard size costs less than
-    gathering vectors step by step.
+    medoid, a few entries spread over the shard and the place of the vector asked for, if it
+    is one of x; then everything within ``SLACK`` of range is expanded until nothing new comes
+    up. Cosines are taken of those vectors only that the search comes to.
     """
-    n, q = len(x), len(queries)
-    medoid = int((x @ x.mean(axis=0)).argmax())
-    rows = np.arange(q)[:, None]
-    sims = x[queries] @ x.T
-    seen, expanded = np.zeros((q, n), bool), np.zeros((q, n), bool)
-    beam = np.stack([np.full(q, medoid), queries], axis=1)
-    seen[rows, beam] = True
-    value = sims[rows, beam]
+    n, q = len(x), len(asked)
+    sims, seen, expanded = np.full((q, n), -3.0), np.zeros((q, n), bool), np.zeros((q, n), bool)
+    degree = graph.shape[1]
+
+    def look(at_q: np.ndarray, at_v: np.ndarray) -> None:
+        new = np.unique((at_q * n + at_v)[~seen[at_q, at_v]])
+        at_q, at_v = new // n, new % n
+        seen[at_q, at_v] = True
+        sims[at_q, at_v] = pair_cosine(asked, x, at_q, at_v)
+
+    every = np.arange(q)
+    entries = np.unique(np.append(np.linspace(0, n - 1, min(n, ENTRIES)).astype(np.int64), int((x @ x.mean(axis=0)).argmax())))
+    look(np.repeat(every, len(entries)), np.tile(entries, q))
+    if own is not None:
+        look(every, own)
+    width = min(4, n)
     for _ in range(100):
-        open_ = np.where(expanded[rows, beam], -3.0, value)
-        width = min(4, beam.shape[1])
-        pick = np.argpartition(-open_, width - 1, axis=1)[:, :width]
-        use = np.take_along_axis(open_, pick, axis=1) > -2
+        # The best BEAM seen; of these the best that are not yet expanded.
+        beam = np.argpartition(-sims, min(BEAM, n) - 1, axis=1)[:, : min(BEAM, n)]
+        worth = np.where(expanded[every[:, None], beam], -3.0, sims[every[:, None], beam])
+        pick = np.argpartition(-worth, min(width, worth.shape[1]) - 1, axis=1)[:, :width]
+        node, use = np.take_along_axis(beam, pick, axis=1), np.take_along_axis(worth, pick, axis=1) > -2
         if not use.any():
             break
-        node = np.take_along_axis(beam, pick, axis=1)
-        expanded[np.broadcast_to(rows, use.shape)[use], node[use]] = True
-        near = graph[node].reshape(q, -1)
-        new = ~seen[rows, near] & np.repeat(use, graph.shape[1], axis=1)
-        seen[np.broadcast_to(rows, new.shape)[new], near[new]] = True
-        beam = np.hstack([beam, near])
-        value = np.hstack([value, np.where(new, sims[rows, near], -3.0)])
-        if beam.shape[1] > BEAM:
-            keep = np.argpartition(-value, BEAM - 1, axis=1)[:, :BEAM]
-            beam, value = np.take_along_axis(beam, keep, axis=1), np.take_along_axis(value, keep, axis=1)
+        at_q, at_v = np.repeat(every, use.sum(axis=1)), node[use]
+        expanded[at_q, at_v] = True
+        look(np.repeat(at_q, degree), graph[at_v].ravel())
     while True:
-        at_q, at_v = np.nonzero(seen & ~expanded & (sims >= threshold - SLACK))
+        at_q, at_v = np.nonzero(~expanded & (sims >= threshold - SLACK))
         if not len(at_q):
             break
         expanded[at_q, at_v] = True
-        seen[np.repeat(at_q, graph.shape[1]), graph[at_v].ravel()] = True
-    return np.nonzero(seen & (sims >= threshold - 1e-5))
+        look(np.repeat(at_q, degree), graph[at_v].ravel())
+    return sims >= threshold - 1e-5
 
 
 def exact_cosine(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -181,66 +210,81 @@ def _build(group: pa.Table) -> pa.Table:
     return pa.table({"node": node, "near": pa.ListArray.from_arrays(at, node[tail])})
 
 
+def _spanning(hit: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges (root, member) of the components of a symmetric boolean matrix."""
+    left = np.ones(len(hit), bool)
+    roots, members = [], []
+    for root in range(len(hit)):
+        if not left[root]:
+            continue
+        left[root] = False
+        front = np.array([root])
+        while len(front):
+            front = np.flatnonzero(hit[front].any(axis=0) & left)
+            left[front] = False
+            roots += [root] * len(front)
+            members += front.tolist()
+    return roots, members
+
+
 def _search(threshold: float):
+    def graph_of(lists: list, node: np.ndarray) -> np.ndarray:
+        """The united lists as far as they lead to ``node``, padded with the vector's own place."""
+        own = []
+        for near in lists:
+            ids = np.array(near or [], np.int64)
+            at = np.minimum(np.searchsorted(node, ids), len(node) - 1)
+            own.append(at[node[at] == ids])
+        graph = np.repeat(np.arange(len(node))[:, None], max(1, max(map(len, own))), axis=1)
+        for i, v in enumerate(own):
+            graph[i, : len(v)] = v
+        return graph
+
+    def found(x: np.ndarray, graph: np.ndarray, asked: np.ndarray, same: bool) -> np.ndarray:
+        step = max(16, min(256, 4_000_000 // len(x)))
+        return np.concatenate([
+            range_search(x, graph, asked[a : a + step], np.arange(a, min(a + step, len(asked))) if same else None, threshold)
+            for a in range(0, len(asked), step)
+        ])
+
     def run(group: pa.Table) -> pa.Table:
-        node = group.column("node").to_numpy()
-        order = np.argsort(node, kind="stable")
-        group = group.take(pa.array(order))
-        node = node[order]
+        # Rows of one block, or of two blocks whose vectors are compared with each other.
+        group = group.take(pa.array(np.lexsort((group.column("node").to_numpy(), group.column("block").to_numpy()))))
+        node, block = group.column("node").to_numpy(), group.column("block").to_numpy()
         raw = _matrix(group.column("embedding"))
         x = unit(raw)
-        copies = group.column("copies").to_numpy()
-        shards = group.column("shards").to_pylist()
-        here = group.column("shard")[0].as_py()
-        n = len(node)
-        graph_lists = []
-        for i, near in enumerate(group.column("near").to_pylist()):
-            ids = np.array(near or [], np.int64)
-            at = np.minimum(np.searchsorted(node, ids), n - 1)
-            graph_lists.append(at[node[at] == ids])
-        width = max(1, max(map(len, graph_lists)))
-        graph = np.repeat(np.arange(n)[:, None], width, axis=1)
-        for i, v in enumerate(graph_lists):
-            graph[i, : len(v)] = v
+        copies, shards, lists = group.column("copies").to_numpy(), group.column("shards").to_pylist(), group.column("near").to_pylist()
+        n, m = len(node), int((block == block[0]).sum())
+        hit = np.zeros((n, n), bool)
+        one = group.column("low")[0].as_py() == group.column("high")[0].as_py()
+        if one:
+            hit |= found(x, graph_of(lists, node), x, True)
+        elif m < n:
+            hit[m:, :m] = found(x[:m], graph_of(lists[:m], node[:m]), x[m:], False)
+            hit[:m, m:] = found(x[m:], graph_of(lists[m:], node[m:]), x[:m], False)
+        # A link is a link from either end: what one search has missed, the other has found.
+        hit = np.triu(hit | hit.T, 1)
+        a, b = np.nonzero(hit)
+        sure = exact_cosine(raw, a, b) >= threshold
+        hit[a[~sure], b[~sure]] = False
+        a, b = a[sure], b[sure]
         # A pair that meets in several shards counts in the smallest of them.
-        names = {s: i for i, s in enumerate(sorted({s for own in shards for s in own if s <= here}))}
+        here = group.column("shard")[0].as_py()
+        names = {s: i for i, s in enumerate(sorted({s for own in shards for s in own if s < here}))}
         member = np.zeros((n, len(names)), bool)
         for i, own in enumerate(shards):
             member[i, [names[s] for s in own if s in names]] = True
-        member[:, names[here]] = False
-        links, linked = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        parent = np.arange(n)
-
-        def root(i):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        tree = []
-        step = max(16, min(512, 20_000_000 // n))
-        for a in range(0, n, step):
-            queries = np.arange(a, min(a + step, n))
-            q, v = range_search(x, graph, queries, threshold)
-            q = queries[q]
-            q, v = q[q != v], v[q != v]
-            fine = exact_cosine(raw, q, v) >= threshold
-            q, v = q[fine], v[fine]
-            for i, j in zip(q.tolist(), v.tolist()):
-                r, s = root(i), root(j)
-                if r != s:
-                    parent[max(r, s)] = min(r, s)
-                    tree.append((node[i], node[j]))
-            mine = ~(member[q] & member[v]).any(axis=1)
-            np.add.at(links, q[mine], copies[v[mine]])
-            np.add.at(linked, v[mine], copies[q[mine]])
-        # A link is a link from either end: what one search has missed, the other's found.
-        links = np.maximum(links, linked)
-        a, b = zip(*tree) if tree else ((), ())
+        links = np.zeros(n, np.int64)
+        for i in range(0, len(a), 200_000):
+            p, q = a[i : i + 200_000], b[i : i + 200_000]
+            mine = ~(member[p] & member[q]).any(axis=1)
+            np.add.at(links, p[mine], copies[q[mine]])
+            np.add.at(links, q[mine], copies[p[mine]])
+        roots, members = _spanning(hit | hit.T)
         return pa.table({
-            "node": pa.array([*node.tolist(), *a], pa.int64()),
-            "links": pa.array([*links.tolist(), *([0] * len(a))], pa.int64()),
-            "other": pa.array([*([None] * n), *b], pa.int64()),
+            "node": pa.array([*node.tolist(), *node[roots].tolist()], pa.int64()),
+            "links": pa.array([*links.tolist(), *([0] * len(roots))], pa.int64()),
+            "other": pa.array([*([None] * n), *node[members].tolist()], pa.int64()),
         })
     return run
 
@@ -277,12 +321,15 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, overlap: int
     while True:
         found = table(_links(classes, centroids, threshold, overlap))
         links = found.where(F.col("other").isNull()).groupBy("node").agg(F.sum("links").alias("links"))
-        if overlap >= 16 or not expected:
+        if not sum(expected.values()):
             break
+        # What was found is verified, so counts are the pairs found and recall is by pairs.
         got = {r.node: r.links for r in links.where(F.col("node").isin(list(expected))).collect()}
         recall = sum(min(got.get(k, 0), v) for k, v in expected.items()) / max(sum(expected.values()), 1)
-        if recall >= RECALL or not sum(expected.values()):
+        if recall >= RECALL:
             break
+        if overlap >= max(map(len, centroids.values())):
+            raise RuntimeError(f"link recall of {recall:.4f} with all shards overlapping")
         overlap *= 2
     edges = found.where(F.col("other").isNotNull()).select(F.col("node").alias("a"), F.col("other").alias("b"))
     parts = connected_components(edges)
@@ -330,29 +377,42 @@ def _brute_force(classes: DataFrame, asked: dict, threshold: float) -> dict[int,
 def _links(classes: DataFrame, centroids: dict, threshold: float, overlap: int) -> DataFrame:
     def deal(frames):
         for frame in frames:
-            labels, vectors = frame.column("label").to_pylist(), frame.column("embedding").to_pylist()
-            out = []
-            for label, v in zip(labels, vectors):
-                c = centroids.get((label, len(v)))
+            labels, vectors = frame.column("label").to_pylist(), frame.column("embedding")
+            sizes = vectors.value_lengths().to_numpy()
+            flat, at = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.append(0, np.cumsum(sizes))
+            rows: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(labels, sizes.tolist())):
+                rows.setdefault(key, []).append(i)
+            out: list[list[int]] = [[0]] * len(labels)
+            for key, own in rows.items():
+                c = centroids.get(key)
                 if c is None or len(c) == 1:
-                    out.append([0])
-                else:
-                    out.append(np.argsort(-(c @ unit(np.array([v], np.float64))[0]), kind="stable")[:overlap].tolist())
+                    continue
+                for i in range(0, len(own), 1024):
+                    part = own[i : i + 1024]
+                    x = unit(np.stack([flat[at[j] : at[j + 1]] for j in part]))
+                    nearest = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :overlap]
+                    for j, cells in zip(part, nearest.tolist()):
+                        out[j] = cells
             yield frame.append_column("cells", pa.array(out, pa.list_(pa.int64())))
 
     dealt = batches(
         classes.select("node", "label", "copies", "embedding"), deal,
         "node long, label long, copies long, embedding array<float>, cells array<long>",
     )
-    placed = (
+    placed = table(
         dealt.withColumn("shards", F.transform("cells", lambda c: F.xxhash64("label", F.size("embedding"), c)))
         .withColumn("shard", F.explode("shards")).drop("cells", "label")
     )
-    placed = table(placed)
-    lists = placed.select("shard", "node", "embedding").groupBy("shard").applyInArrow(_build, "node long, near array<long>")
+    # A large shard is cut into blocks by hash, and every two of its blocks meet in a task of their own.
+    blocks = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    blocked = table(spread_join(placed, blocks, ["shard"], F.col("node")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
+    lists = blocked.select("shard", "block", "node", "embedding").groupBy("shard", "block").applyInArrow(_build, "node long, near array<long>")
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    return placed.join(united, "node", "left").groupBy("shard").applyInArrow(
-        _search(threshold), "node long, links long, other long"
+    return (
+        blocked.join(united, "node", "left").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("with", "blocks")
+        .groupBy("shard", "low", "high").applyInArrow(_search(threshold), "node long, links long, other long")
     )
 
 

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 
+from gleaner.llm import op3_embeddings
 from gleaner.llm.op3_embeddings import near_duplicates
 from gleaner.llm.op6_topk import ImpactIndex, top_k
 
@@ -56,6 +57,29 @@ def test_links_equal_brute_force(spark):
         assert r.component_id == root(r.vec_id) and r.kept == (r.vec_id == root(r.vec_id))
 
 
+def test_a_crowded_label_is_searched_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op3_embeddings, "BLOCK", 60)
+    rng = np.random.RandomState(4)
+    middle = rng.normal(size=16)
+    rows = [(i, [float(np.float32(x)) for x in middle + rng.normal(0, 0.09, 16)], 1) for i in range(300)]
+    rows += [(300 + i, [float(np.float32(x)) for x in rng.normal(size=16)], 1) for i in range(100)]
+    x = np.array([v for _, v, _ in rows], np.float64)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    want = (x @ x.T >= 0.98).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in near_duplicates(table(spark, rows)).collect()}
+    assert want.sum() > 10_000 and got == dict(enumerate(want.tolist()))
+
+
+def test_every_vector_is_led_to():
+    rng = np.random.RandomState(2)
+    x = op3_embeddings.unit(np.vstack([np.ones(32) + rng.normal(0, 0.1, (700, 32)), rng.normal(size=(100, 32))]))
+    head, tail = op3_embeddings.robust_prune(x)
+    assert len(np.unique(tail)) == 800 and (np.diff(head) >= 0).all()
+    near = np.argsort(-(x @ x.T), axis=1, kind="stable")[:, 1:16]
+    edges = set(zip(head.tolist(), tail.tolist()))
+    assert all(any((int(u), v) in edges for u in near[v]) for v in range(700))
+
+
 def test_no_vectors(spark):
     assert near_duplicates(table(spark, [])).count() == 0
     assert near_duplicates(table(spark, [(1, None, 1)])).collect()[0].kept
