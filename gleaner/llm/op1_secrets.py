@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.llm.common import table
 from gleaner.llm.spans import found, joined, located, masked, placed
 
 # Fixed patterns.
@@ -179,14 +180,17 @@ def _decided(scanned: DataFrame, least: dict[int, int]) -> DataFrame:
 def scan(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
-    Spans are in code points, end exclusive. A null or empty text has none; rows may repeat
-    and ids may be null. An empty table gives an empty result; other columns are ignored.
+    Spans are in code points, end exclusive. Tokens are tested that have 20 characters or more,
+    and letters as well as a digit, capital or sign among them; others are found only by the
+    fixed patterns. A null or empty text has none; rows may repeat and ids may be null. An empty table gives an empty result; other columns are ignored.
     """
     slim = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
-    scanned = _scanned(slim, "_text")
+    # Texts are read once; the decision takes what they hold from a table of spans.
+    scanned = table(_scanned(slim, "_text").select(
+        "doc_id", *[F.size(f"_s_{k}").cast("long").alias(f"n_{k}") for k in KINDS], "_base", "_tokens"))
     decided = _decided(scanned, thresholds(scanned))
     return decided.select(
-        "doc_id", *[F.size(f"_s_{k}").cast("long").alias(f"n_{k}") for k in KINDS],
+        "doc_id", *[f"n_{k}" for k in KINDS],
         F.sha2(joined(F.col("_base")), 256).alias("base_sha256"), joined(F.col("_all")).alias("spans"),
         (F.size("_all") - F.size("_base")).cast("long").alias("n_random"),
     )
@@ -199,8 +203,9 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mark; all documents stay, ``n_chars`` follows the text."""
+    # The whole rows are written beside their spans, which costs less than scanning them twice.
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.coalesce("text", F.lit("")).alias("_text"))
-    scanned = _scanned(kept, "_text")
+    scanned = table(_scanned(kept, "_text").select("_row", "_base", "_tokens")).withColumn("_text", F.coalesce("_row.text", F.lit("")))
     decided = _decided(scanned, thresholds(scanned)).withColumn("_new", masked(F.col("_text"), F.col("_all"), MARK))
     changed = F.size("_all") > 0
     out = []

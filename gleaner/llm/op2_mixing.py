@@ -17,7 +17,10 @@ from gleaner.llm.common import SPACE, spread_join, table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-BINS = 4096
+BINS = 1 << 16
+#: Least quality weight. Bins are even for rows of this weight; none holds more than 1 / (BINS * LEAST) of a source's rows
+#: by expectation whatever their weights.
+LEAST = 0.2
 SEED = 7
 #: Most sources whose plan is broadcast, about 100 bytes each; beyond, a salted join.
 SOURCES = 20_000
@@ -31,10 +34,10 @@ def word_count(text: Column) -> Column:
 
 
 def quality_weight(text: Column) -> Column:
-    """Between 0.2 and 1: falls with the share of characters that prose hardly uses."""
+    """Between LEAST and 1: falls with the share of characters that prose hardly uses."""
     text = F.coalesce(text, F.lit(""))
     kept = F.length(F.regexp_replace(text, r"[!#$%&*|<>{}\[\]\\^~`=@_]+", ""))
-    return F.greatest(F.lit(0.2), 1 - 3 * (1 - kept / F.greatest(F.length(text), F.lit(1))))
+    return F.greatest(F.lit(LEAST), 1 - 3 * (1 - kept / F.greatest(F.length(text), F.lit(1))))
 
 
 def sampling_key(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
@@ -79,7 +82,7 @@ def _keyed(docs: DataFrame, seed: int) -> DataFrame:
     key = sampling_key(F.col("doc_id"), F.coalesce("text", F.lit("")), quality_weight(F.col("text")), seed)
     return (
         docs.withColumn("_size", word_count(F.col("text"))).withColumn("_key", key)
-        .withColumn("_bin", F.floor((1 - F.exp(-F.col("_key"))) * BINS).cast("int"))
+        .withColumn("_bin", F.floor((1 - F.exp(-F.col("_key") * LEAST)) * BINS).cast("int"))
     )
 
 

@@ -1,8 +1,8 @@
 """Personal data: fixed patterns, then bootstrapped contextual extraction, in native expressions.
 
 What the fixed patterns find are seed entities. The words that stand before them, with the
-shape of what follows, are lexical patterns. All number-like instances in the corpus and the
-patterns they occur under form a bipartite graph. Scores go back and forth over it a fixed
+shape of what follows, are lexical patterns. All instances in the corpus, number-like or
+joined by @ or _, and the patterns they occur under form a bipartite graph. Scores go back and forth over it a fixed
 number of rounds: a pattern is worth the share of its distinct instances that are believed,
 once enough distinct ones support it; an instance is believed as far as one of its patterns
 is. Instances under high-confidence patterns that no fixed pattern covers are the unseen
@@ -27,11 +27,13 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9]){12,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
-#: Number-like instances: a word with a digit, and the number groups that follow it.
-INSTANCE = r"(?<!\S)[^\s0-9]*+[0-9]\S*+(?:\x20[0-9().+-]++(?!\S))*+"
+#: Instances: a word with a digit and the number groups that follow it, or a word joined by @ or _.
+INSTANCE = r"(?<!\S)(?:[^\s0-9]*+[0-9]\S*+(?:\x20[0-9().+-]++(?!\S))*+|[^\s0-9@_]++[@_]\S++)"
+#: Instances that need no DIGITS digits: handles, mail and network addresses.
+JOINED = r"\w[@_]\w|^[0-9]+(?:\.[0-9]+){3}(?![0-9])"
 
 ROUNDS = 3
-#: Digits an instance must have, distinct seeds a pattern needs, and the score of confidence.
+#: Digits that other instances must have, distinct seeds a pattern needs, and the score of confidence.
 DIGITS, SUPPORT, CONFIDENT = 6, 3, 0.8
 
 
@@ -67,17 +69,20 @@ def _scanned(slim: DataFrame) -> DataFrame:
     return slim.withColumn("_base", F.concat(*[placed(F.col(f"_s_{k}"), k, i) for i, k in enumerate(KINDS)]))
 
 
-def _instances(scanned: DataFrame) -> DataFrame:
-    """A row per number-like instance: its text's key, place, value, kind if a seed, and patterns."""
-    with_digits = F.when(F.length(F.col("_text")) > 0, found(F.col("_text"), INSTANCE)).otherwise(F.array().cast("array<string>"))
-    rows = (
-        scanned.withColumn("_m", with_digits)
-        .withColumn("_c", located(F.col("_text"), F.col("_m"), INSTANCE, lambda m: F.length(_digits(m)) >= DIGITS, left=True))
-        .where(F.size("_c") > 0)
-        .select("_h", "_g", "_base", F.explode("_c").alias("c"))
-    )
+def _candidates(text: Column, matches: Column) -> Column:
+    """Places of the instances of a text, with the words before them."""
+    wanted = lambda m: (F.length(_digits(m)) >= DIGITS) | m.rlike(JOINED)
+    return F.transform(located(text, matches, INSTANCE, wanted, left=True), lambda c: F.struct(
+        c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value"),
+        # All that stands after the last space but one: at most two words, however long.
+        F.substring_index(F.rtrim(F.regexp_replace(c["left"], r"\s+", " ")), " ", -2).alias("left")))
+
+
+def _instances(once: DataFrame) -> DataFrame:
+    """A row per instance of ``once(_h, _g, _base, _c)``: its text's key, place, value, kind if a seed, and patterns."""
+    rows = once.where(F.size("_c") > 0).select("_h", "_g", "_base", F.explode("_c").alias("c"))
     inner = F.filter("_base", lambda b: (b["start"] < F.col("c.end")) & (F.col("c.start") < b["end"]))
-    words = F.split(F.lower(F.substring(F.rtrim(F.regexp_replace(F.col("c.left"), r"\s", " ")), -80, 80)), " +")
+    words = F.split(F.lower(F.col("c.left")), " ")
     word = lambda i: F.regexp_replace(F.coalesce(F.try_element_at(words, F.lit(i)), F.lit("")), r"[^\p{L}]", "")
     shape = F.regexp_replace(F.regexp_replace("c.value", "[0-9]", "9"), r"\p{L}+", "a")
     return (
@@ -100,7 +105,7 @@ def bootstrap(instances: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT
     believed = edges.where(F.col("seed").isNotNull()).groupBy("instance").agg(F.max("seed").alias("kind")).withColumn("belief", F.lit(1.0))
     scores = None
     for _ in range(rounds):
-        reached = edges.select("pattern", "instance").join(believed, "instance", "left")
+        reached = spread_join(edges.select("pattern", "instance"), believed, ["instance"], F.col("pattern"), how="left")
         per_kind = reached.groupBy("pattern", "kind").agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("belief", F.lit(0.0))).alias("mass"))
         totals = per_kind.groupBy("pattern").agg(F.sum("n").alias("all"), F.max(F.when(F.col("kind").isNotNull(), F.struct("mass", "kind"))).alias("best"))
@@ -110,7 +115,7 @@ def bootstrap(instances: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT
             .where(F.col("confidence") >= confident)
         )
         scores = table(scores)
-        spread = edges.where(F.col("seed").isNull()).join(scores, "pattern").groupBy("instance").agg(
+        spread = spread_join(edges.where(F.col("seed").isNull()), scores, ["pattern"], F.col("instance")).groupBy("instance").agg(
             F.max(F.struct(F.col("confidence").alias("belief"), "kind")).alias("b"))
         believed = believed.where(F.col("belief") == 1.0).unionByName(
             spread.select("instance", F.col("b.kind").alias("kind"), (F.col("b.belief") * 0.999).alias("belief")))
@@ -126,21 +131,24 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     slim = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
     slim = slim.withColumn("_h", F.xxhash64("_text")).withColumn("_g", F.xxhash64(F.lit(9), F.reverse("_text")))
-    scanned = _scanned(slim)
-    instances = table(_instances(scanned))
+    with_instances = F.when(F.length("_text") > 0, found(F.col("_text"), INSTANCE)).otherwise(F.array().cast("array<string>"))
+    # Texts are read once; from here on only places and what stands there are carried.
+    once = table(
+        _scanned(slim.withColumn("_m", with_instances)).select(
+            "doc_id", "_h", "_g", *[F.size(f"_s_{k}").cast("long").alias(f"n_{k}") for k in KINDS], "_base",
+            _candidates(F.col("_text"), F.col("_m")).alias("_c"))
+    )
+    instances = table(_instances(once))
     patterns = bootstrap(instances)
     discovered = (
-        instances.where(F.col("seed").isNull()).select("_h", "_g", "start", "end", F.explode("patterns").alias("pattern"))
-        .join(patterns, "pattern")
+        spread_join(instances.where(F.col("seed").isNull()).select("_h", "_g", "start", "end", F.explode("patterns").alias("pattern")),
+                    patterns, ["pattern"], F.struct("_h", "start"))
         .groupBy("_h", "_g", "start", "end").agg(F.max(F.struct("confidence", "kind"))["kind"].alias("kind"))
         .groupBy("_h", "_g").agg(F.collect_list(F.struct(
             F.col("start"), (F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")) + 3).cast("int").alias("rank"),
             F.col("end"), F.concat("kind", F.lit("_context")).alias("kind"))).alias("_more"))
     )
-    narrow = scanned.select(
-        "doc_id", "_h", "_g", *[F.size(f"_s_{k}").cast("long").alias(f"n_{k}") for k in KINDS], "_base",
-        F.sha2(joined(F.col("_base"), kind_first=True), 256).alias("base_sha256"),
-    )
+    narrow = once.drop("_c").withColumn("base_sha256", F.sha2(joined(F.col("_base"), kind_first=True), 256))
     more = F.coalesce("_more", F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>"))
     return spread_join(narrow, discovered, ["_h", "_g"], F.col("doc_id"), how="left").select(
         "doc_id", *[f"n_{k}" for k in KINDS], "base_sha256",

@@ -1,5 +1,6 @@
 """Operators 4 and 2: exact round trips and plain recomputation."""
 
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gleaner.llm.bpe import Encoder
-from gleaner.llm.op2_mixing import mixed_documents, mixed_rows, targets
+from gleaner.llm.op2_mixing import _keyed, mixed_documents, mixed_rows, targets
 from gleaner.llm.op4_packing import best_fit_decreasing, pack
 from tests.llm.cases import awkward, documents
 
@@ -132,6 +133,25 @@ def test_mix_keeps_to_targets(spark):
     assert again == sorted((str(r.doc_id), r.taken) for r in got)
 
 
+def test_words_taken_equal_brute_force(spark):
+    rows = [(i, t, s) for i, (_, t, s) in enumerate(awkward(n=300))]
+    docs = documents(spark, rows)
+    keyed = [(r.source, r._key, r.doc_id, r._size) for r in _keyed(docs.select("doc_id", "source", "text"), 7).collect()]
+    size = defaultdict(int)
+    for s, _, _, n in keyed:
+        size[s] += n
+    want = {}
+    for s, target in water(size).items():
+        wanted = math.floor(target + 0.5)
+        epochs, left = divmod(wanted, max(size[s], 1))
+        left = wanted - epochs * size[s]
+        for _, doc, n in sorted((k, d, n) for x, k, d, n in keyed if x == s):
+            part = max(0, min(n, left))
+            left -= n
+            want[doc] = epochs * n + part
+    assert {r.doc_id: r.taken for r in mixed_rows(docs).collect()} == want
+
+
 def test_mixed_documents_hold_the_words_taken(spark):
     rows = [r for r in awkward(n=120) if r[0] is not None]
     docs = documents(spark, rows)

@@ -125,6 +125,16 @@ def test_context_discovers_unseen_identifiers(spark):
     assert got[51] == ""
 
 
+def test_contexts_of_addresses_discover_handles(spark):
+    from gleaner.llm.op9_pii import scan
+
+    names = "anna ben cora dan eva finn gina hugo iris jan kim leo".split()
+    rows = [(i, f"please contact {n}.{n[::-1]}@mail.example today", "s") for i, n in enumerate(names)]
+    rows += [(50, "please contact mia_huber today", "s"), (51, "the file mia_huber is gone", "s"), (52, "x" * 300 + " please contact leo_maier", "s")]
+    got = {r.doc_id: r.spans for r in scan(documents(spark, rows)).collect()}
+    assert got[50] == "email_context:15:24" and got[51] == "" and got[52] == "email_context:316:325"
+
+
 def test_personal_data_of_an_empty_table(spark):
     from gleaner.llm.op9_pii import scan
 
