@@ -102,13 +102,45 @@ def within_budget(df: DataFrame, order: list[Column], budget: int) -> DataFrame:
 
 def chunked(df: DataFrame, order: list[str], size: int = 20) -> DataFrame:
     """df with the number of the batch each row goes out in."""
-    return df.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size))
+    return numbered(df, order, "_nth").withColumn("batch", F.floor((F.col("_nth") - 1) / size)).drop("_nth")
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """df with each row's place from 1 in a total ``order``, without bringing all rows into one task.
+
+    Rows are dealt by range and sorted within their partitions; each partition then starts
+    after the rows of those before it. Only one count a partition is gathered.
+    """
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # A fixed number of range partitions is not coalesced, so both uses below see the same ones.
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    part = F.shiftrightunsigned("_at", 33)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return placed.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn(
+        name, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_part", "_before", "_at")
 
 
 def first_n(df: DataFrame, key: str, order: list[Column | str], n: int) -> DataFrame:
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rn") <= n)
 
 
+def breaker_summary(failures: DataFrame, trip: int) -> DataFrame:
+    """One row over ``failures(host, fails)``: the hosts that tripped, sorted, and all failures."""
+    return failures.agg(F.sort_array(F.collect_set(F.when(F.col("fails") >= trip, F.col("host")))).alias("tripped"), F.coalesce(F.sum("fails"), F.lit(0)).alias("failures"))
+
+
+def provider_counts(df: DataFrame) -> DataFrame:
+    """How many rows each classifier provider has answered."""
+    return df.groupBy(F.coalesce("llm_provider", F.lit("none")).alias("provider")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def enrichment_tallies(df: DataFrame) -> DataFrame:
+    """One row: rows enriched from a page, and those that an aggregator alone speaks for."""
+    source = F.coalesce("enrichment_source", F.lit(""))
+    return df.agg(F.count_if(source == "page").alias("enriched"), F.count_if(source == "aggregator").alias("aggregator_only"), F.count(F.lit(1)).alias("total"))
+
+
 def cube_counts(df: DataFrame, *columns: str) -> DataFrame:
     """An extension: counts for every combination of the columns, with the level of each."""
     return df.cube(*columns).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"))

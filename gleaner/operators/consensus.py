@@ -53,6 +53,11 @@ def applied(current: Column, value: Column, confidence: Column, least: float = O
     )
 
 
+def outcome_tallies(outcomes: DataFrame) -> DataFrame:
+    """One row over ``outcomes(outcome)``: how many votes overrode, tied, fell short, or said nothing."""
+    return outcomes.agg(*[F.count_if(F.col("outcome") == o).alias(o) for o in ("override", "tied", "below_threshold", "none")], F.count(F.lit(1)).alias("total"))
+
+
 def badge(confidence: Column) -> Column:
     return F.when(confidence == "confirmed", "✓").when(confidence == "inferred", "~").when(confidence == "aggregator_only", "?").otherwise("")
 

@@ -37,6 +37,19 @@ def from_description(df: DataFrame) -> DataFrame:
     })
 
 
+def from_hints(df: DataFrame) -> DataFrame:
+    """Empty remote and salary filled from the classifier's hints (llm_remote, llm_salary_hint), as inferred."""
+    salary = extract_salary(F.coalesce("llm_salary_hint", F.lit("")))
+    no_remote, no_salary = missing(F.col("is_remote")).isNull(), F.col("salary_min").isNull()
+    hinted = no_remote & F.col("llm_remote").isNotNull()
+    return df.withColumns({
+        "is_remote": F.when(hinted, F.col("llm_remote")).otherwise(F.col("is_remote")),
+        "remote_confidence": F.when(hinted, "inferred").otherwise(F.col("remote_confidence")),
+        "salary_min": F.coalesce("salary_min", salary["min"]), "salary_max": F.when(no_salary, F.coalesce("salary_max", salary["max"])).otherwise(F.col("salary_max")),
+        "salary_confidence": F.when(no_salary & salary.isNotNull(), "inferred").otherwise(F.col("salary_confidence")),
+    })
+
+
 def from_pages(df: DataFrame, pages: DataFrame) -> DataFrame:
     """df joined with fetched ``pages(apply_url, final_url, html)``: redirects, values and confidences."""
     p = pages.select("apply_url", F.col("final_url").alias("_final"), F.col("html").alias("_html"))

@@ -49,6 +49,36 @@ def picks(jobs: DataFrame, as_of: Column, age: int = 2, most: int = PICKS) -> Da
     return jobs.where((F.col("is_active") == 1) & due).orderBy(F.col("last_lifecycle_check").asc_nulls_first(), "external_id").limit(most)
 
 
+def unseen(jobs: DataFrame, as_of: Column, days: int, most: int = 100) -> DataFrame:
+    """Active rows unseen for more than ``days``, longest first, at most ``most``."""
+    old = F.datediff(as_of, F.col("last_seen_date")) > days
+    return jobs.where((F.col("is_active") == 1) & old).orderBy("last_seen_date", "external_id").limit(most)
+
+
+def with_budget(candidates: DataFrame, order: list[Column | str], most: int = CALLS) -> DataFrame:
+    """candidates with ``deferred``: whether they come after the calls a run may make."""
+    first = candidates.orderBy(*order).limit(most).select("external_id").withColumn("_in", F.lit(True))
+    return candidates.join(F.broadcast(first), "external_id", "left").withColumn("deferred", F.col("_in").isNull()).drop("_in")
+
+
+def method_after(method: Column, status: Column) -> Column:
+    """The method to ask a page with again: GET where HEAD is refused, none else."""
+    return F.when((method == "HEAD") & status.isin(403, 405, 501), "GET")
+
+
+def tallies(checked: DataFrame) -> DataFrame:
+    """One row of counts over ``checked(external_id, verdict, status, deferred, old_status, new_status)`` and the ids that changed."""
+    changed = F.col("old_status") != F.col("new_status")
+    to = lambda s: changed & (F.col("new_status") == s)
+    ids = lambda which: F.sort_array(F.collect_list(F.when(which, F.col("external_id"))))
+    return checked.agg(
+        F.count(F.lit(1)).alias("candidates"), F.count_if(~F.col("deferred")).alias("checked"), F.count_if("deferred").alias("deferred"),
+        F.count_if(F.col("verdict") == "active").alias("active"), F.count_if(F.col("verdict") == "likely_closed").alias("closed"),
+        F.count_if(F.col("verdict") == "unknown").alias("unknown"), F.count_if(F.col("status").isNull() & ~F.col("deferred")).alias("by_board"),
+        F.count_if(to("likely_closed")).alias("newly_closed"), F.count_if(to("active")).alias("reopened"),
+        ids(to("likely_closed")).alias("closed_ids"), ids(to("active")).alias("reopened_ids"))
+
+
 def with_verdict(status: Column, verdict_: Column) -> Column:
     """The status after a verdict; unknown never changes it."""
     return F.when(verdict_.isin("active", "likely_closed"), verdict_).otherwise(status)

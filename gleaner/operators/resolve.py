@@ -57,17 +57,36 @@ def best_match(pairs: DataFrame, key: str = "external_id") -> DataFrame:
     return pairs.withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")
 
 
+class Places:
+    """The locations of a cluster: the distinct ones while they are few enough to be shown, then their number."""
+
+    def __init__(self, stored: str | None):
+        stored = (stored or "").strip()
+        counted = re.fullmatch(r"Multiple Locations \((\d+)\)", stored)
+        self.number = int(counted[1]) if counted else 0
+        self.text = stored
+        self.names = [] if counted else list(dict.fromkeys(filter(None, map(str.strip, stored.split(";")))))
+
+    def add(self, place: str | None) -> Places:
+        place = (place or "").strip()
+        if not place:
+            return self
+        if self.number:
+            self.number += 1
+        elif not self.text:
+            self.__init__(place)
+            return self
+        elif place not in self.names:
+            self.names.append(place)
+        if len(self.names) > SHOWN:
+            self.number, self.names = len(self.names), []
+        self.text = f"Multiple Locations ({self.number})" if self.number else "; ".join(self.names)
+        return self
+
+
 def merge_locations(primary: str, new: str) -> str:
-    new, primary = (new or "").strip(), (primary or "").strip()
-    if not new or not primary:
-        return primary or new
-    many = re.fullmatch(r"Multiple Locations \((\d+)\)", primary)
-    if many:
-        return f"Multiple Locations ({int(many[1]) + 1})"
-    known = [s.strip() for s in primary.split(";") if s.strip()]
-    if new not in known:
-        known.append(new)
-    return f"Multiple Locations ({len(known)})" if len(known) > SHOWN else "; ".join(known)
+    """The location text of a record that ``new`` is merged into."""
+    return Places(primary).add(new).text
 
 
 def merged_locations(locations: Column) -> Column:
@@ -76,6 +95,71 @@ def merged_locations(locations: Column) -> Column:
     return F.when(F.size(distinct) > SHOWN, F.format_string("Multiple Locations (%d)", F.size(distinct))).otherwise(F.array_join(distinct, "; "))
 
 
+class Pool:
+    """The clusters so far. Similarities of titles are taken once for each distinct pair of texts."""
+
+    def __init__(self, company_ratio, title_ratio):
+        self.company_ratio, self.title_ratio = company_ratio, title_ratio
+        self.seeds: list[tuple[str, str]] = []  # company and title that a cluster is compared by
+        self.places: list[Places] = []
+        self.primary: list[tuple[int, str]] = []  # quality of its URL, and key
+        self.members: list[list[tuple[str, str, float]]] = []
+
+    @staticmethod
+    def weighed(company: float, title: float, here: str, there: str) -> float:
+        if here and there:
+            return 0.4 * company + 0.4 * title + (20.0 if here == there else 0.0)
+        return (company + title) / 2
+
+    def closest(self, company: str, title: str, here: str) -> tuple[int, float, float]:
+        """(cluster, score, company similarity) of the first best cluster, by falling bound on its score."""
+        bounds = []
+        for i, (_, t) in enumerate(self.seeds):
+            there = city_of(self.places[i].text)
+            ratio = self.title_ratio(title, t)
+            bounds.append((-self.weighed(100.0, ratio, here, there), i, ratio, there))
+        best = (-1, -1.0, 0.0)
+        for bound, i, ratio, there in sorted(bounds):
+            if -bound < best[1]:
+                break
+            c = self.company_ratio(company, self.seeds[i][0])
+            score = self.weighed(c, ratio, here, there)
+            if (score, -i) > (best[1], -best[0]):
+                best = (i, score, c)
+        return best
+
+    def take(self, key: str, company: str, title: str, location: str, quality: int) -> None:
+        i, score, similarity = self.closest(company, title, city_of(location))
+        verdict = "new" if i < 0 else verdict_of(score, similarity)
+        if verdict == "duplicate":
+            self.places[i].add(location)
+            self.members[i].append((key, verdict, score))
+            if quality > self.primary[i][0]:
+                self.primary[i] = (quality, key)
+            return
+        self.seeds.append((company, title))
+        self.places.append(Places(location))
+        self.primary.append((quality, key))
+        self.members.append([(key, "flagged" if verdict == "flagged" else "kept", max(score, 0.0))])
+
+    def rows(self) -> list[tuple]:
+        return [
+            (key, primary, state, float(score), places.text)
+            for members, places, (_, primary) in zip(self.members, self.places, self.primary) for key, state, score in members
+        ]
+
+
+def city_of(location: str) -> str:
+    return location.partition(",")[0].strip().lower()
+
+
+def verdict_of(score: float, company: float) -> str:
+    """``outcome`` of plain numbers."""
+    if score >= (SAME_COMPANY if company >= SAME_COMPANY_SIMILARITY else DUPLICATE):
+        return "duplicate"
+    return "flagged" if score >= FLAG else "new"
+
+
 def cluster(df: DataFrame, key: str = "external_id", arrival: str = "arrival", block: str | None = None) -> DataFrame:
     """Greedy clustering in order of arrival, each record against all that are kept so far.
 
@@ -93,33 +177,11 @@ def cluster(df: DataFrame, key: str = "external_id", arrival: str = "arrival", b
     )
 
     def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        kept: list[dict] = []
-        out = []
-        for r in frame.sort_values(["arrival", "key"]).itertuples(index=False):
-            row = {"key": r.key, "c": r[2], "n": folded(r[3]), "location": r.location, "u": r[5]}
-            best, score, company = None, -1.0, 0.0
-            here = row["location"].split(",")[0].strip().lower()
-            for k in kept:
-                t = token_sort(row["n"], k["n"])
-                there = k["location"].split(",")[0].strip().lower()
-                # Even an equal company would not make it the best.
-                if (50 + 0.5 * t if not here or not there else 40 + 0.4 * t + 20.0 * (here == there)) < score:
-                    continue
-                c = weighted_ratio(row["c"], k["c"])
-                s = 0.5 * c + 0.5 * t if not here or not there else 0.4 * c + 0.4 * t + 20.0 * (here == there)
-                if s > score:
-                    best, score, company = k, s, c
-            if best is not None and score >= (SAME_COMPANY if company >= SAME_COMPANY_SIMILARITY else DUPLICATE):
-                best["location"] = merge_locations(best["location"], row["location"])
-                if row["u"] > best["u"]:
-                    best["primary"], best["u"] = row["key"], row["u"]
-                best["members"].append((row["key"], "duplicate", score))
-            else:
-                state = "flagged" if best is not None and score >= FLAG else "kept"
-                kept.append(row | {"primary": row["key"], "members": [(row["key"], state, max(score, 0.0))]})
-        for k in kept:
-            out += [(m, k["primary"], state, float(s), k["location"]) for m, state, s in k["members"]]
-        return pd.DataFrame(out, columns=["key", "primary", "outcome", "score", "location"])
+        frame = frame.sort_values(["arrival", "key"])
+        pool = Pool(weighted_ratio, token_sort)
+        for key, company, title, location, quality in zip(frame["key"], frame["_c"], map(folded, frame["_n"]), frame["location"], frame["_u"]):
+            pool.take(key, company, title, location, quality)
+        return pd.DataFrame(pool.rows(), columns=["key", "primary", "outcome", "score", "location"])
 
     return ready.groupBy("block").applyInPandas(fold, "key string, primary string, outcome string, score double, location string")
 

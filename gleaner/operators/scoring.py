@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from gleaner.config import Lexicon
 from gleaner.functions.text import dedup_key, has_term, normalize_company, preprocess
 
+#: Characters that match others than their own lower case when case is ignored.
+_ODD_CASE = "\u0131\u017f\u1e9e"
 HIT = "struct<term:string,field:string,pts:int,s:int,e:int,capped:boolean>"
 
 
@@ -22,6 +24,12 @@ def boosted(company: Column, names: frozenset[str]) -> Column:
     return (c != "") & (F.array_contains(listed, c) | F.array_contains(listed, bare) | F.array_contains(listed, F.rtrim(bare, F.lit("."))))
 
 
+def with_boost(raw: Column, titled: Column, listed: Column, lexicon: Lexicon) -> Column:
+    """Listed companies gain where a title term hit and are capped where none did; nothing goes above the most."""
+    raw = F.when(titled & listed, raw + lexicon.boost).when(listed & (raw > lexicon.vendor_cap), lexicon.vendor_cap).otherwise(raw)
+    return F.least(raw, F.lit(lexicon.most))
+
+
 def munched(hits: list[tuple]) -> list[tuple]:
     """``pruned`` over plain tuples, in one sweep per field."""
     out = []
@@ -38,7 +46,7 @@ def munched(hits: list[tuple]) -> list[tuple]:
 def best_of(hits: list[tuple]) -> list[tuple]:
     """``one_per_term`` over plain tuples."""
     best: dict[str, tuple] = {}
-    for h in hits:
+    for h in sorted(hits, key=lambda h: (h[1] != "title", h[3], -h[4], h[0])):
         key = re.sub("[^a-z0-9]", "", h[0].lower())
         if key not in best or (-h[2], h[1] != "title") < (-best[key][2], best[key][1] != "title"):
             best[key] = h
@@ -51,22 +59,54 @@ def keyword_hits(lexicon: Lexicon):
     def compiled(terms):
         return [(t, re.compile(rf"\b{re.escape(t)}\b", re.I)) for t in terms]
 
+    def searcher(terms):
+        """text -> {term: [(start, end)]} of all whole-word places, by one pass over the text for all terms."""
+        import ahocorasick
+
+        plain = {t.lower(): t for t in terms}
+        slow = compiled(terms)
+        if not plain or len(plain) < len(terms):
+            return lambda text: {t: [m.span() for m in p.finditer(text)] for t, p in slow}
+        automaton = ahocorasick.Automaton()
+        for low, t in plain.items():
+            automaton.add_word(low, (t, len(low)))
+        automaton.make_automaton()
+        word = lambda c: c.isalnum() or c == "_"
+
+        def search(text: str) -> dict[str, list[tuple[int, int]]]:
+            low = text.lower()
+            if len(low) != len(text) or any(c in low for c in _ODD_CASE):
+                return {t: [m.span() for m in p.finditer(text)] for t, p in slow}
+            places: dict[str, list[tuple[int, int]]] = {}
+            for last, (t, size) in automaton.iter(low):
+                end = last + 1
+                start = end - size
+                before, after = start > 0 and word(low[start - 1]), end < len(low) and word(low[end])
+                if before == word(low[start]) or after == word(low[last]):
+                    continue
+                own = places.setdefault(t, [])
+                if not own or own[-1][1] <= start:
+                    own.append((start, end))
+            return places
+
+        return search
+
     @F.pandas_udf(f"array<{HIT}>")
     def hits(titles: pd.Series, bodies: pd.Series, companies: pd.Series) -> pd.Series:
-        in_title, in_body = compiled(lexicon.title), compiled(lexicon.description)
+        in_title, in_body = searcher(lexicon.title), searcher(lexicon.description)
         gates = {t.lower(): g for t, g in lexicon.gates.items()}
         co = {t: compiled(g.coterms) for t, g in gates.items()}
         veto = {t: compiled(g.vetoes) for t, g in gates.items()}
         signals = compiled(lexicon.cosignals)
 
-        def points(term: str, text: str, m: re.Match, body: str, base: int) -> int:
+        def points(term: str, text: str, span: tuple[int, int], body: str, base: int) -> int:
             key = term.lower()
             if term in lexicon.cosignal_terms and key not in gates:
                 return base if any(p.search(body) for _, p in signals) else 0
             gate = gates.get(key)
             if gate is None:
                 return base
-            near = text if gate.window is None else text[max(0, m.start() - gate.window) : m.end() + gate.window]
+            near = text if gate.window is None else text[max(0, span[0] - gate.window) : span[1] + gate.window]
             scope = body if gate.body is None else body[: gate.body]
             met = any(p.search(near) or p.search(scope) for _, p in co[key])
             if met and any(p.search(text) or p.search(body) for _, p in veto[key]):
@@ -75,16 +115,15 @@ def keyword_hits(lexicon: Lexicon):
 
         def one(title, body, company):
             out = []
-            for term, p in in_title:
-                for m in p.finditer(title):
-                    pts = points(term, title, m, body, lexicon.title[term])
+            for term, spans in in_title(title).items():
+                for span in spans:
+                    pts = points(term, title, span, body, lexicon.title[term])
                     if pts:
-                        out.append((term, "title", pts, m.start(), m.end(), False))
-            for term, p in in_body:
+                        out.append((term, "title", pts, *span, False))
+            for term, spans in in_body(body).items():
                 if company and re.sub("[^a-z0-9]", "", term.lower()) == company and term not in lexicon.capped:
                     continue
-                for m in p.finditer(body):
-                    out.append((term, "desc", lexicon.description[term], m.start(), m.end(), term in lexicon.capped))
+                out += [(term, "desc", lexicon.description[term], *span, term in lexicon.capped) for span in spans]
             return best_of(munched(out))
 
         return pd.Series([one(t or "", b or "", c or "") for t, b, c in zip(titles, bodies, companies)])
@@ -156,9 +195,8 @@ def score_records(df: DataFrame, lexicon: Lexicon, native: bool = False) -> Data
     df = df.withColumn("_kept", one_per_term(F.col("_hits")))
     titled = F.exists("_kept", lambda h: h["field"] == "title")
     listed = boosted(F.col("company"), lexicon.boost_companies)
-    raw = total(F.col("_kept"), lexicon.cap) + penalty + F.when(titled & listed, lexicon.boost).otherwise(0)
-    raw = F.when(~titled & listed & (raw > lexicon.vendor_cap), lexicon.vendor_cap).otherwise(raw)
-    df = df.withColumn("_raw", F.least(raw, F.lit(lexicon.most))).withColumn("_neg", negative).withColumn("_titled", titled)
+    raw = with_boost(total(F.col("_kept"), lexicon.cap) + penalty, titled, listed, lexicon)
+    df = df.withColumn("_raw", raw).withColumn("_neg", negative).withColumn("_titled", titled)
     rss = F.coalesce(F.col("source_name") == "google_alerts", F.lit(False))
     decision = route(F.col("_raw"), F.col("_neg"), F.col("_titled"), rss, lexicon)
     score = F.when(F.col("_neg") & (F.col("_raw") < lexicon.review_at), -100).otherwise(F.col("_raw"))

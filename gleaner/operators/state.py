@@ -78,26 +78,53 @@ def keep_first(df: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
+def assigned(table: DataFrame, values: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The table with ``columns`` of the rows that ``values`` names replaced; null and empty values change nothing."""
+    new = values.select(key, F.struct(*[F.col(c).alias(c) for c in columns]).alias("_new"))
+    out = table.join(new, key, "left")
+    for c in columns:
+        value = F.col("_new").getField(c)
+        out = out.withColumn(c, F.when(value.isNotNull() & (value.cast("string") != ""), value).otherwise(F.col(c)))
+    return out.select(*table.columns)
+
+
+def pushed(table: DataFrame, keys: DataFrame, key: str = "external_id", columns: tuple[str, ...] = ("wp_post_id", "lifecycle_status", "last_lifecycle_verdict", "last_seen_date")) -> DataFrame:
+    """The narrow payload of the rows with the given keys."""
+    return table.join(keys.select(key).distinct(), key, "left_semi").select(key, *columns)
+
+
+def slug_status(table: DataFrame, scans: DataFrame, as_of: Column) -> DataFrame:
+    """The slug table after scans(ats, slug, status, jobs_found): one row a slug, the latest status wins."""
+    new = scans.groupBy("ats", "slug").agg(F.max_by("status", F.coalesce("jobs_found", F.lit(0))).alias("status"), F.max("jobs_found").alias("jobs_found"))
+    new = new.withColumn("last_checked", as_of.cast("date"))
+    return table.join(new, ["ats", "slug"], "left_anti").unionByName(new.select(*table.columns))
+
+
+def logged(log: DataFrame, run_ts: Column, by_source: DataFrame, published: int, errors: list[str], seconds: float) -> DataFrame:
+    """The run log with one more run, its counts by source as a map."""
+    counts = by_source.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("source_name", "n")))).alias("source_counts"))
+    run = counts.select(
+        run_ts.alias("run_ts"), "source_counts", F.lit(published).cast("long").alias("published"),
+        F.lit(errors).cast("array<string>").alias("errors") if errors else F.array().cast("array<string>").alias("errors"), F.lit(float(seconds)).alias("duration_seconds"))
+    return log.unionByName(run.select(*log.columns))
+
+
 class VersionedTable:
-    """A Parquet table whose versions are whole folders and whose current one is named in a file.
+    """A Parquet table whose versions are whole folders; the newest complete one is current.
 
-    A new version is complete before it is pointed to, so a reader or a failed job never sees
-    half of one. Paths go through Hadoop's file system, so any store that Spark reads will do.
+    A version counts once Spark's writer has marked its folder complete, so a reader or a
+    failed job never sees half of one, and there is no pointer that could be lost between two
+    steps. A half-written folder is overwritten by the next write. Paths go through Hadoop's
+    file system, so any store that Spark reads will do. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
     def version(self) -> int:
-        fs, p = self._fs(f"{self.path}/CURRENT")
-        if not fs.exists(p):
-            return 0
-        return int(self.spark.read.text(f"{self.path}/CURRENT").first()[0])
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v*/_SUCCESS")
+        done = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return max((int(s.getPath().getParent().getName()[1:]) for s in done or ()), default=0)
 
     def read(self) -> DataFrame | None:
         v = self.version()
@@ -106,13 +133,6 @@ class VersionedTable:
     def write(self, df: DataFrame) -> int:
         v = self.version() + 1
         df.write.mode("overwrite").parquet(f"{self.path}/v{v}")
-        fs, p = self._fs(f"{self.path}/.CURRENT.{v}")
-        stream = fs.create(p, True)
-        stream.write(bytearray(f"{v}\n".encode()))
-        stream.close()
-        _, current = self._fs(f"{self.path}/CURRENT")
-        fs.delete(current, False)
-        fs.rename(p, current)
         return v
 
 

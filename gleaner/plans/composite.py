@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from gleaner.config import Gate, Lexicon
 from gleaner.functions.similarity import indel_ratio
 from gleaner.operators import enrich, jsonld, resolve, scoring
-from gleaner.plans.registry import Tables, query
+from gleaner.plans.registry import Tables, query, whole_word
 from gleaner.streaming import jobs
 
 # A substitute lexicon; the test documents hold no postings.
@@ -31,16 +32,16 @@ FIXTURE = (
 
 
 def _records(t: Tables) -> DataFrame:
-    title = F.regexp_replace(F.substring("text", 1, 60), "\n", " ")
+    title = F.substring_index("text", "\n", 1)  # the first line, whole
     return t.documents.select("doc_id", title.alias("title"), F.col("text").alias("description"), F.col("source").alias("company"), F.lit("x").alias("source_name"))
 
 
 def _m(column: str, term: str) -> str:
-    return f"regexp_matches({column}, '\\b{term}\\b', 'i')"
+    return f"regexp_matches({column}, '{whole_word(rf'\b{term}\b')}', 'i')"
 
 
 @query(rf"""
-WITH r AS (SELECT doc_id, source, replace(substr(text, 1, 60), chr(10), ' ') AS t, text AS d FROM documents WHERE lang = 'en'),
+WITH r AS (SELECT doc_id, source, split_part(text, chr(10), 1) AS t, text AS d FROM documents),
 b AS (SELECT *, t || chr(10) || d AS b FROM r),
 m AS (SELECT *, {_m('t', 'license')} AS tl, {_m('t', 'released')} AS tr, {_m('d', 'license')} AS dl, {_m('d', 'the')} AS dt, {_m('d', 'rights reserved')} AS dr, {_m('d', 'with')} AS dw,
  {_m('b', 'idiot')} OR {_m('b', 'moron')} AS neg, CASE WHEN {_m('b', 'token')} THEN -20 ELSE 0 END + CASE WHEN {_m('b', 'scum')} THEN -40 ELSE 0 END AS pen FROM b),
@@ -52,8 +53,7 @@ SELECT doc_id, (CASE WHEN neg AND sc < 15 THEN -100 ELSE sc END)::BIGINT AS keyw
  CASE WHEN neg AND sc < 15 THEN 'auto_reject' WHEN neg THEN 'llm_review' WHEN sc >= 50 AND titled THEN 'auto_include' WHEN sc >= 15 THEN 'llm_review' ELSE 'low_score' END AS decision FROM k
 """)
 def keyword_score_native(t: Tables) -> DataFrame:
-    records = _records(t).join(t.documents.select("doc_id", "lang"), "doc_id").where("lang = 'en'")
-    return scoring.score_records(records, LEXICON, native=True).select("doc_id", F.col("keyword_score").cast("long").alias("keyword_score"), "decision")
+    return scoring.score_records(_records(t), LEXICON, native=True).select("doc_id", F.col("keyword_score").cast("long").alias("keyword_score"), "decision")
 
 
 @query()
@@ -111,9 +111,11 @@ def enrich_confidence(t: Tables) -> DataFrame:
 
 
 def _shared(t: Tables) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share; a temporary one only where none is set on one machine."""
     folder = t.spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", t.spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         import tempfile
 
         folder = f"file://{tempfile.mkdtemp(prefix='gleaner-stream-')}"

@@ -35,7 +35,9 @@ def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answer
     """
     day = F.lit(as_of)
     by_source = batch.groupBy("source_name").agg(F.count(F.lit(1)).alias("n"))
-    scored = scoring.score_records(batch, lexicon)
+    if "arrival" not in batch.columns:  # the order of the batch itself: sources as united, rows as read
+        batch = batch.withColumn("arrival", F.monotonically_increasing_id())
+    scored = scoring.score_records(batch, lexicon).cache()
     rejects = F.col("decision").isin("auto_reject", "low_score")
     rejected = scored.where(rejects)
     kept = classifier.classified(scored.where(~rejects), answers)
@@ -47,8 +49,7 @@ def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answer
         "company_normalized": normalize_company(F.col("company")),
     })
     # Resolution within the batch, then against what is stored.
-    arrived = labelled.withColumn("arrival", F.xxhash64("external_id"))
-    clusters = resolve.cluster(arrived)
+    clusters = resolve.cluster(labelled)
     primaries = labelled.drop("location").join(clusters.where("key = primary").select(F.col("key").alias("external_id"), "location"), "external_id")
     primaries, clusters = primaries.cache(), clusters.cache()
     duplicates = clusters.where("key <> primary")
@@ -63,15 +64,17 @@ def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answer
     better = urls.groupBy(F.col("against").alias("external_id")).agg(F.min(F.struct(-F.col("new_score"), F.col("external_id"), "url"))["url"].alias("_url"))
     jobs = jobs.join(better, "external_id", "left").withColumn("apply_url", F.coalesce("_url", "apply_url")).select(*jobs.columns)
     primaries = primaries.join(known, "external_id", "left_anti")
-    # Votes on the arrangement, by source prior and by the description's own words.
-    own = consensus.observations(primaries, "external_id", ("is_remote", "work_arrangement"))
+    # Votes on the arrangement, by source prior and by the descriptions' own words, of all members of a cluster.
+    members = labelled.join(clusters.select(F.col("key").alias("external_id"), "primary"), "external_id").withColumn("external_id", F.col("primary"))
+    own = consensus.observations(members, "external_id", ("is_remote", "work_arrangement"))
     said = rules.best_confidence(F.coalesce("description", F.lit("")))
-    heard = primaries.select("external_id", F.lit("is_remote").alias("field"), F.lit(9).alias("seq"), F.lit("text_classifier").alias("source"),
+    heard = members.select("external_id", F.lit("is_remote").alias("field"), F.lit(9).alias("seq"), F.lit("text_classifier").alias("source"),
                              said["value"].alias("value"), said["confidence"].alias("confidence")).where("value is not null")
     votes = consensus.vote(own.unionByName(heard), "external_id").where("field = 'is_remote'").select("external_id", F.col("value").alias("_v"), F.col("confidence").alias("_c"))
     voted = primaries.join(votes, "external_id", "left").withColumn("is_remote", consensus.applied(F.col("is_remote"), F.col("_v"), F.col("_c"))["value"]).drop("_v", "_c")
     blank = F.lit("unverified")
-    enriched = enrich.from_description(voted.withColumns({"remote_confidence": blank, "salary_confidence": blank, "location_confidence": blank}))
+    enriched = enrich.from_hints(voted.withColumns({"remote_confidence": blank, "salary_confidence": blank, "location_confidence": blank}))
+    enriched = enrich.from_description(enriched)
     if pages is not None:
         enriched = enrich.from_pages(enriched, pages)
     enriched = enrich.assumed(enriched)
@@ -79,5 +82,5 @@ def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answer
     merged = state.merge(jobs, enriched.select(*stored), "external_id", day)
     archived = lifecycle.archived(merged, day)
     active = archived.where("is_active = 1")
-    published = enriched.select("external_id", publish.payload(enriched, [c for c in enriched.columns if c != "raw_data"]).alias("payload"), "publish")
+    published = enriched.select("external_id", publish.payload(enriched, [c for c in enriched.columns if c not in ("raw_data", "arrival")]).alias("payload"), "publish")
     return Outcome(archived, published, rejected, duplicates, aggregates.snapshot(active, day), by_source)

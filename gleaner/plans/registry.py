@@ -36,6 +36,14 @@ def query(sql: str | None = None):
     return add
 
 
+def whole_word(pattern: str) -> str:
+    """The pattern with word boundaries that know letters of all scripts, for oracle SQL."""
+    other = r"[^\pL\pN_]"
+    if pattern.startswith(r"\b"):
+        pattern = f"(^|{other}){pattern[2:]}"
+    return f"{pattern[:-2]}($|{other})" if pattern.endswith(r"\b") else pattern
+
+
 def case(text: str, rules, default: str) -> str:
     """CASE over regular expressions, in any case, for oracle SQL."""
     whens = " ".join(f"WHEN regexp_matches({text}, '{p}', 'i') THEN '{label}'" for p, label in rules)

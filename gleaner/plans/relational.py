@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.config import Lexicon
 from gleaner.operators import aggregates as A
-from gleaner.operators import consensus, lifecycle, publish, resolve, state
+from gleaner.operators import consensus, lifecycle, publish, resolve, scoring, state
 from gleaner.plans.registry import Tables, query
 
 
@@ -114,9 +115,9 @@ def priority_budget(t: Tables) -> DataFrame:
     return A.within_budget(t.orders, [F.asc("o_orderpriority"), F.desc(F.floor(F.col("o_totalprice") / 10000)), F.asc("o_orderkey")], 300).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
-@query("SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) / 20) AS BIGINT) AS batch FROM orders WHERE o_orderstatus = 'F'")
+@query("SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) / 20) AS BIGINT) AS batch FROM orders")
 def batch_chunking(t: Tables) -> DataFrame:
-    return A.chunked(t.orders.where("o_orderstatus = 'F'"), ["o_orderdate", "o_orderkey"]).select("o_orderkey", "batch")
+    return A.chunked(t.orders, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "batch")
 
 
 @query("SELECT user_id, event_id, rn FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn <= 20")
@@ -192,14 +193,14 @@ def state_transition(t: Tables) -> DataFrame:
 
 @query("""
 WITH j AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS seen, CAST(o_orderdate AS DATE) - 30 AS first_seen,
- CASE WHEN o_orderstatus = 'F' THEN 'likely_closed' ELSE 'active' END AS st, CASE WHEN o_orderkey % 2 = 0 THEN 'likely_closed' ELSE 'active' END AS vd FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01'),
+ CASE WHEN o_orderstatus = 'F' THEN 'likely_closed' ELSE 'active' END AS st, CASE WHEN o_orderkey % 2 = 0 THEN 'likely_closed' ELSE 'active' END AS vd FROM orders),
 g AS (SELECT *, (st = 'likely_closed' AND vd = 'likely_closed') OR date_diff('day', seen, DATE '2001-08-01') >= 21 AS gone, date_diff('day', seen, DATE '2001-08-01') AS unseen FROM j)
 SELECT o_orderkey, CASE WHEN gone OR (st = 'active' AND unseen >= 7) THEN 'likely_closed' ELSE st END AS lifecycle_status, CASE WHEN gone THEN 0 ELSE 1 END AS is_active,
  CASE WHEN gone THEN greatest(1, date_diff('day', first_seen, DATE '2001-08-01')) END::BIGINT AS days_active FROM g
 """)
 def archive_two_track(t: Tables) -> DataFrame:
     day = F.to_date("o_orderdate")
-    jobs = t.orders.where(F.col("o_orderdate") >= F.lit("2001-06-01").cast("timestamp_ntz")).select(
+    jobs = t.orders.select(
         "o_orderkey", day.alias("last_seen_date"), F.date_sub(day, 30).alias("first_seen_date"), F.when(F.col("o_orderstatus") == "F", "likely_closed").otherwise("active").alias("lifecycle_status"),
         F.when(F.col("o_orderkey") % 2 == 0, "likely_closed").otherwise("active").alias("last_lifecycle_verdict"), F.lit(1).alias("is_active"),
         F.lit(None).cast("date").alias("archived_date"), F.lit(None).cast("int").alias("days_active"))
@@ -243,13 +244,12 @@ def doc_exact_dedup(t: Tables) -> DataFrame:
 
 @query("""
 WITH n AS (SELECT o_custkey % 50 AS k, n_name, min(o_orderkey) AS first FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
- WHERE o_orderkey % 200 = 7 GROUP BY 1, 2),
+ GROUP BY 1, 2),
 g AS (SELECT k, list(n_name ORDER BY first) AS l FROM n GROUP BY 1)
 SELECT k, CASE WHEN len(l) > 3 THEN 'Multiple Locations (' || len(l) || ')' ELSE array_to_string(l, '; ') END AS location FROM g
 """)
 def location_merge(t: Tables) -> DataFrame:
-    # The filter chooses the cases of this query; the merge itself takes any number.
-    j = t.orders.where("o_orderkey % 200 = 7").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
     firsts = j.groupBy((F.col("o_custkey") % 50).alias("k"), "n_name").agg(F.min("o_orderkey").alias("first"))
     names = F.transform(F.sort_array(F.collect_list(F.struct("first", "n_name"))), lambda x: x["n_name"])
     return firsts.groupBy("k").agg(resolve.merged_locations(names).alias("location"))
@@ -293,14 +293,92 @@ def cube_counts(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT s_suppkey, lower(s_name) AS n, s_acctbal AS score FROM supplier)
-SELECT s_suppkey, round(CASE WHEN s_suppkey % 3 = 0 THEN least(score + 10, 100) WHEN score > 14 AND s_suppkey % 2 = 0 THEN 14 ELSE least(score, 100) END, 2) AS score FROM s
+WITH s AS (SELECT s_suppkey, s_acctbal AS raw, s_suppkey % 2 = 0 AS titled, s_suppkey < 1000 AND s_suppkey % 3 = 0 AS listed FROM supplier)
+SELECT s_suppkey, listed, round(least(CASE WHEN titled AND listed THEN raw + 10 WHEN listed AND raw > 14 THEN 14 ELSE raw END, 100), 2) AS score FROM s
 """)
 def vendor_cap_boost(t: Tables) -> DataFrame:
-    from gleaner.operators.scoring import boosted
+    names = frozenset(f"supplier#{i}" for i in range(0, 1000, 3))
+    company = F.concat(F.lit(" Supplier#"), F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 4 == 0, ", Inc.").when(F.col("s_suppkey") % 4 == 1, " Co").otherwise(""))
+    listed = scoring.boosted(company, names)
+    score = scoring.with_boost(F.col("s_acctbal"), F.col("s_suppkey") % 2 == 0, listed, Lexicon(boost_companies=names))
+    return t.supplier.select("s_suppkey", listed.alias("listed"), F.round(score, 2).alias("score"))
 
-    listed = boosted(F.concat("s_name", F.lit(", Inc.")), frozenset())
-    on_list = listed | (F.col("s_suppkey") % 3 == 0)
-    raw = F.col("s_acctbal") + F.when(on_list, 10).otherwise(0)
-    capped = F.when(~on_list & (F.col("s_suppkey") % 2 == 0) & (raw > 14), F.lit(14.0)).otherwise(F.least(raw, F.lit(100.0)))
-    return t.supplier.select("s_suppkey", F.round(capped, 2).alias("score"))
+
+@query("""
+SELECT o_orderkey, o_clerk_id, o_orderstatus FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 THEN 'post_' || o_orderkey ELSE o_orderpriority END AS o_clerk_id,
+ CASE WHEN o_orderkey % 3 = 0 THEN 'Z' ELSE o_orderstatus END AS o_orderstatus FROM orders)
+""")
+def assigned_columns(t: Tables) -> DataFrame:
+    table = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("o_clerk_id"), "o_orderstatus")
+    new = t.orders.where("o_orderkey % 3 = 0").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("post_"), F.col("o_orderkey").cast("string"))).otherwise("").alias("o_clerk_id"), F.lit("Z").alias("o_orderstatus"))
+    return state.assigned(table, new, "o_orderkey", ["o_clerk_id", "o_orderstatus"])
+
+
+@query("""
+SELECT o_orderkey AS external_id, CAST(o_orderdate AS DATE) AS last_seen_date FROM orders WHERE o_orderstatus = 'O' AND date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-01') > 30
+ORDER BY o_orderdate, o_orderkey LIMIT 100
+""")
+def unseen_rows(t: Tables) -> DataFrame:
+    jobs = t.orders.select(F.col("o_orderkey").alias("external_id"), F.to_date("o_orderdate").alias("last_seen_date"), (F.col("o_orderstatus") == "O").cast("int").alias("is_active"))
+    return lifecycle.unseen(jobs, F.lit("2001-08-01").cast("date"), 30).select("external_id", "last_seen_date")
+
+
+@query("""
+SELECT o_orderkey AS external_id, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) > 150 AS deferred FROM orders
+""")
+def deferred_calls(t: Tables) -> DataFrame:
+    return lifecycle.with_budget(t.orders.withColumnRenamed("o_orderkey", "external_id"), [F.desc("o_totalprice"), "external_id"]).select("external_id", "deferred")
+
+
+_CHECKED = """
+SELECT o_orderkey AS external_id, CASE o_orderstatus WHEN 'F' THEN 'likely_closed' WHEN 'O' THEN 'active' ELSE 'unknown' END AS verdict, CASE WHEN o_orderkey % 2 = 0 THEN 200 END AS status,
+ o_orderkey % 5 = 0 AS deferred, CASE WHEN o_orderkey % 7 = 0 THEN 'likely_closed' ELSE 'active' END AS old_status,
+ CASE o_orderstatus WHEN 'F' THEN 'likely_closed' WHEN 'O' THEN 'active' ELSE CASE WHEN o_orderkey % 7 = 0 THEN 'likely_closed' ELSE 'active' END END AS new_status FROM orders
+"""
+
+
+@query(f"""
+WITH c AS ({_CHECKED})
+SELECT count(*) AS candidates, count(*) FILTER (NOT deferred) AS checked, count(*) FILTER (deferred) AS deferred, count(*) FILTER (verdict = 'active') AS active,
+ count(*) FILTER (verdict = 'likely_closed') AS closed, count(*) FILTER (verdict = 'unknown') AS unknown, count(*) FILTER (status IS NULL AND NOT deferred) AS by_board,
+ count(*) FILTER (old_status <> new_status AND new_status = 'likely_closed') AS newly_closed, count(*) FILTER (old_status <> new_status AND new_status = 'active') AS reopened,
+ md5(string_agg(CAST(external_id AS VARCHAR), ',' ORDER BY external_id) FILTER (old_status <> new_status AND new_status = 'active')) AS reopened_ids FROM c
+""")
+def lifecycle_tallies(t: Tables) -> DataFrame:
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    old = F.when(key % 7 == 0, "likely_closed").otherwise("active")
+    verdict = F.when(status == "F", "likely_closed").when(status == "O", "active").otherwise("unknown")
+    checked = t.orders.select(key.alias("external_id"), verdict.alias("verdict"), F.when(key % 2 == 0, 200).alias("status"), (key % 5 == 0).alias("deferred"),
+                              old.alias("old_status"), lifecycle.with_verdict(old, verdict).alias("new_status"))
+    return lifecycle.tallies(checked).drop("closed_ids").withColumn("reopened_ids", F.md5(F.array_join(F.col("reopened_ids").cast("array<string>"), ",").cast("binary")))
+
+
+@query(_VOTES + """
+SELECT count(*) FILTER (o = 'override') AS override, count(*) FILTER (o = 'tied') AS tied, count(*) FILTER (o = 'below_threshold') AS below_threshold, count(*) FILTER (o = 'none') AS none, count(*) AS total
+FROM (SELECT CASE WHEN value IS NULL THEN 'none' WHEN value = flag THEN 'tied' WHEN w >= 0.65 * total THEN 'override' ELSE 'below_threshold' END AS o
+ FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'N' ELSE 'A' END AS flag FROM orders) LEFT JOIN (SELECT * FROM r WHERE rn = 1) ON o_orderkey = l_orderkey)
+""")
+def consensus_tallies(t: Tables) -> DataFrame:
+    return consensus.outcome_tallies(consensus_override(t))
+
+
+@query("""
+SELECT list_sort(list(DISTINCT CAST(user_id AS VARCHAR)) FILTER (n >= 8)) AS tripped, CAST(sum(n) AS BIGINT) AS failures FROM (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1)
+""")
+def breaker_summary(t: Tables) -> DataFrame:
+    fails = t.events.where("event_type = 'error'").groupBy(F.col("user_id").cast("string").alias("host")).agg(F.count(F.lit(1)).alias("fails"))
+    return A.breaker_summary(fails, 8)
+
+
+@query("""
+WITH s AS (SELECT c_nationkey AS slug, CASE WHEN c_acctbal > 0 THEN 'ok' ELSE 'not_found' END AS status, CAST(floor(abs(c_acctbal)) AS INTEGER) * 10000 + CAST(c_custkey % 10000 AS INTEGER) AS n FROM customer WHERE c_nationkey < 12),
+n AS (SELECT slug, arg_max(status, n) AS status, max(n) AS jobs_found FROM s GROUP BY 1)
+SELECT 'gh' AS ats, CAST(n_nationkey AS VARCHAR) AS slug, coalesce(n.status, 'old') AS status, CASE WHEN n.slug IS NULL THEN DATE '2000-01-01' ELSE DATE '2001-08-01' END AS last_checked,
+ coalesce(jobs_found, 0) AS jobs_found FROM nation LEFT JOIN n ON n_nationkey = n.slug
+""")
+def slug_upsert(t: Tables) -> DataFrame:
+    old = t.nation.select(F.lit("gh").alias("ats"), F.col("n_nationkey").cast("string").alias("slug"), F.lit("old").alias("status"), F.lit("2000-01-01").cast("date").alias("last_checked"), F.lit(0).alias("jobs_found"))
+    found = (F.floor(F.abs("c_acctbal")).cast("int") * 10000 + (F.col("c_custkey") % 10000).cast("int")).alias("jobs_found")
+    scans = t.customer.where("c_nationkey < 12").select(F.lit("gh").alias("ats"), F.col("c_nationkey").cast("string").alias("slug"), F.when(F.col("c_acctbal") > 0, "ok").otherwise("not_found").alias("status"), found)
+    return state.slug_status(old, scans, F.lit("2001-08-01").cast("date"))

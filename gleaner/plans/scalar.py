@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleaner import config as C
 from gleaner.functions import rules, stats, text, urls
 from gleaner.operators import consensus
-from gleaner.plans.registry import Tables, case, query
+from gleaner.plans.registry import Tables, case, query, whole_word
 from gleaner.sources.feeds import anchors
 
 # Substitute vocabularies: the test tables hold no postings.
@@ -41,16 +41,17 @@ def record_build(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, strlen(text) > 2000 AS truncated, CASE WHEN strlen(text) > 2000 THEN strlen(text) ELSE 0 END::BIGINT AS original_bytes,
- md5(CASE WHEN strlen(text) > 2000 THEN substr(text, 1, 400) ELSE text END) AS preview FROM documents
+WITH j AS (SELECT doc_id, '{"text":' || CAST(to_json(coalesce(text, '')) AS VARCHAR) || '}' AS j FROM documents)
+SELECT doc_id, strlen(j) > 2000 AS truncated, CASE WHEN strlen(j) > 2000 THEN strlen(j) ELSE 0 END::BIGINT AS original_bytes,
+ md5(CASE WHEN strlen(j) > 2000 THEN substr(j, 1, 400) ELSE j END) AS preview FROM j
 """)
 def raw_payload_cap(t: Tables) -> DataFrame:
-    json = F.to_json(F.struct("text"))
-    over = F.octet_length("text") > 2000
-    marked = text.capped_json(json, 0)
-    preview = F.when(over, F.substring("text", 1, 400)).otherwise(F.col("text"))
-    return t.documents.withColumn("_m", marked).where(F.get_json_object("_m", "$._truncated") == "true").select(
-        "doc_id", over.alias("truncated"), F.when(over, F.octet_length("text")).otherwise(0).cast("long").alias("original_bytes"), F.md5(preview.cast("binary")).alias("preview"))
+    marked = text.capped_json(F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("text"))), 2000)
+    over = F.coalesce(F.get_json_object("_m", "$._truncated") == "true", F.lit(False))
+    preview = F.when(over, F.get_json_object("_m", "$._preview")).otherwise(F.col("_m"))
+    return t.documents.withColumn("_m", marked).select(
+        "doc_id", over.alias("truncated"), F.when(over, F.get_json_object("_m", "$._original_bytes")).otherwise("0").cast("long").alias("original_bytes"),
+        F.md5(preview.cast("binary")).alias("preview"))
 
 
 @query("""
@@ -130,10 +131,13 @@ def text_preprocess_full(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.md5(text.preprocess(F.col("html")).cast("binary")).alias("clean"))
 
 
-@query(r"SELECT doc_id, regexp_matches(text, '\bthe\b', 'i') AS has_the, regexp_matches(text, '\bwith\b', 'i') AS has_with, regexp_matches(text, '\bLicense\b', 'i') AS has_license FROM documents WHERE lang = 'en'")
+_HAS = ", ".join(f"regexp_matches(text, '{whole_word(rf'\b{w}\b')}', 'i') AS has_{w.lower()}" for w in ("the", "with", "License"))
+
+
+@query(f"SELECT doc_id, {_HAS} FROM documents")
 def word_boundary_match(t: Tables) -> DataFrame:
     c = F.col("text")
-    return t.documents.where("lang = 'en'").select("doc_id", text.has_term(c, "the").alias("has_the"), text.has_term(c, "with").alias("has_with"), text.has_term(c, "License").alias("has_license"))
+    return t.documents.select("doc_id", text.has_term(c, "the").alias("has_the"), text.has_term(c, "with").alias("has_with"), text.has_term(c, "License").alias("has_license"))
 
 
 @query(f"SELECT p_partkey, {case('p_type', P_TYPE_RULES, 'Other')} AS level FROM part")
@@ -147,12 +151,12 @@ def first_match_rules(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
 
 
-_LABEL_SQL = ", ".join(f"CASE WHEN regexp_matches(text, '{p.replace('(?i)', '')}', 'i') THEN '{n}' END" for n, p in LABELS)
+_LABEL_SQL = ", ".join(f"CASE WHEN regexp_matches(text, '{whole_word(p.replace('(?i)', ''))}', 'i') THEN '{n}' END" for n, p in LABELS)
 
 
-@query(f"SELECT doc_id, array_to_string(list_filter([{_LABEL_SQL}], lambda x: x IS NOT NULL), ',') AS labels FROM documents WHERE lang = 'en'")
+@query(f"SELECT doc_id, array_to_string(list_filter([{_LABEL_SQL}], lambda x: x IS NOT NULL), ',') AS labels FROM documents")
 def multi_label_array(t: Tables) -> DataFrame:
-    return t.documents.where("lang = 'en'").select("doc_id", F.array_join(rules.multi_label(F.col("text"), LABELS), ",").alias("labels"))
+    return t.documents.select("doc_id", F.array_join(rules.multi_label(F.col("text"), LABELS), ",").alias("labels"))
 
 
 _CONFIDENCE_SQL = " ".join(
@@ -175,10 +179,10 @@ def banded_inference(t: Tables) -> DataFrame:
 
 @query(r"""
 SELECT doc_id, md5(substr(regexp_replace(text, '(?i)(bearer|api[_-]?key|token|authorization|secret|password)(\s*[:=]?\s*)[A-Za-z0-9._\-]{6,}', '\1\2<redacted>', 'g'), 1, 500)) AS message
-FROM documents WHERE contains(text, 'token')
+FROM documents
 """)
 def secret_redact(t: Tables) -> DataFrame:
-    return t.documents.where(F.col("text").contains("token")).select("doc_id", F.md5(text.redact(F.col("text")).cast("binary")).alias("message"))
+    return t.documents.select("doc_id", F.md5(text.redact(F.col("text")).cast("binary")).alias("message"))
 
 
 @query(r"""

@@ -261,3 +261,64 @@ def test_fuzzy_pairs_equal_all_pairs_of_a_brand(spark, sf_dir):
     assert len(want) > 1000 and got.keys() == want.keys()
     for k, (ratio, score, *rest) in want.items():
         assert abs(got[k][0] - ratio) < 1e-3 and abs(got[k][1] - score) < 1e-3 and got[k][2:] == rest
+
+
+def test_versions_survive_a_half_written_one(spark, tmp_path):
+    table = state.VersionedTable(spark, f"file://{tmp_path}/h")
+    table.write(spark.range(3))
+    spark.range(9).write.parquet(f"file://{tmp_path}/h/v2")
+    (tmp_path / "h" / "v2" / "_SUCCESS").unlink()
+    assert table.version() == 1 and table.read().count() == 3
+    assert table.write(spark.range(4)) == 2 and table.read().count() == 4
+
+
+def test_run_log_and_narrow_payload(spark):
+    from gleaner.schema import RUN_LOG
+
+    log = spark.createDataFrame([], RUN_LOG)
+    by_source = spark.createDataFrame([("lever", 3), ("adzuna", 1)], "source_name string, n long")
+    now = F.lit("2024-06-30 01:02:03").cast("timestamp")
+    got = state.logged(state.logged(log, now, by_source, 2, ["x"], 1.5), now, by_source.limit(0), 0, [], 0).collect()
+    assert sorted(r.published for r in got) == [0, 2] and {r.published: r.source_counts for r in got} == {2: {"lever": 3, "adzuna": 1}, 0: {}}
+    jobs = spark.createDataFrame([("a", 1, "active", "active", DAY), ("b", 2, "active", "active", DAY)], "external_id string, wp_post_id int, lifecycle_status string, last_lifecycle_verdict string, last_seen_date date")
+    assert [r.external_id for r in state.pushed(jobs, spark.createDataFrame([("b",), ("b",), ("z",)], "external_id string")).collect()] == ["b"]
+
+
+def test_refused_heads_are_asked_again_by_get(spark):
+    rows = [("HEAD", 403), ("HEAD", 405), ("HEAD", 501), ("HEAD", 404), ("GET", 403), ("HEAD", None)]
+    got = [r.m for r in spark.createDataFrame(rows, "method string, status int").select(lifecycle.method_after(F.col("method"), F.col("status")).alias("m")).collect()]
+    assert got == ["GET", "GET", "GET", None, None, None]
+
+
+def test_hints_fill_only_what_is_empty(spark):
+    from gleaner.operators import enrich
+
+    schema = "is_remote string, llm_remote string, salary_min double, salary_max double, llm_salary_hint string, remote_confidence string, salary_confidence string"
+    rows = [("unknown", "remote", None, None, "$100,000 - $120,000", "unverified", "unverified"), ("onsite", "remote", 5.0, 6.0, "$100,000 - $120,000", "unverified", "unverified"), (None, None, None, None, None, "unverified", "unverified")]
+    got = [tuple(r) for r in enrich.from_hints(spark.createDataFrame(rows, schema)).select("is_remote", "salary_min", "remote_confidence", "salary_confidence").collect()]
+    assert got == [("remote", 100000.0, "inferred", "inferred"), ("onsite", 5.0, "unverified", "unverified"), (None, None, "unverified", "unverified")]
+
+
+def test_tallies(spark):
+    from gleaner.operators import aggregates
+
+    df = spark.createDataFrame([("groq", "page"), ("groq", "aggregator"), (None, None)], "llm_provider string, enrichment_source string")
+    assert {r.provider: r.n for r in aggregates.provider_counts(df).collect()} == {"groq": 2, "none": 1}
+    assert tuple(aggregates.enrichment_tallies(df).first()) == (1, 1, 3)
+
+
+def test_locations_add_up():
+    merge = resolve.merge_locations
+    assert merge("", "Austin") == "Austin" and merge("Austin", None) == "Austin" and merge(" Austin ", "Austin") == "Austin"
+    assert merge("A; B", "C") == "A; B; C" and merge("A; B; C", "B") == "A; B; C" and merge("A; B; C", "D") == "Multiple Locations (4)"
+    assert merge("Multiple Locations (4)", "A") == "Multiple Locations (5)" and merge("Multiple Locations (4)", " ") == "Multiple Locations (4)"
+
+
+def test_rows_are_numbered_over_partitions(spark):
+    from gleaner.operators import aggregates
+
+    df = spark.range(1000).withColumn("k", F.xxhash64("id")).repartition(7)
+    got = aggregates.numbered(df, ["k", "id"], "n").collect()
+    assert [r.id for r in sorted(got, key=lambda r: r.n)] == [r.id for r in sorted(got, key=lambda r: (r.k, r.id))]
+    assert sorted(r.n for r in got) == list(range(1, 1001))
+    assert aggregates.numbered(df.limit(0), ["k"], "n").count() == 0
