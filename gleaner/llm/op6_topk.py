@@ -1,14 +1,12 @@
 """Exact top-k inner products over an impact-ordered, score-at-a-time index.
 
-A block of candidates is cut into posting segments by quantised impact, the size of a
-component: the layer of the highest impacts comes first. Queries take the layers in falling
-order of impact and add to accumulators. What the layers not yet taken could still add to a
-candidate is bounded by the highest impact left times the query's weight in the components
-the candidate has not been seen in. A query stops only when these bounds prove which
-candidates can be members; those are rescored exactly.
-
-A layer is applied to many queries at once as a matrix product, in doubles, which are exact
-for these integers.
+The postings of a component, the rows in which it isn't zero, are cut into segments by
+quantised impact, the size of the component; rows of no impact have no posting. A query takes
+the segments of all components by falling bound on what they can add to a score, its weight
+in the component times the segment's highest impact, and adds to accumulators. What the
+segments not yet taken can still change is bounded by the highest impact left in each
+component. A query stops only when this bound proves that few rows can be members; those are
+rescored exactly, and later segments are not touched.
 
 Queries are a stated set and meet all candidates block by block: query blocks are dealt
 to every candidate block, and each pair of blocks returns at most k rows a query.
@@ -26,9 +24,8 @@ from gleaner.runtime import ship
 
 K, EVERY, SCALE = 20, 20, 64
 BLOCK, QUERIES = 8192, 2048
-#: Shares of all postings in which the layers of highest impact end.
-LAYERS = (0.25, 0.55, 1.0)
-AT_ONCE = 256
+#: Impacts a component is quantised to, and parts of the segments after which a query looks for proof.
+LEVELS, LOOKS = 8, 6
 
 
 class ImpactIndex:
@@ -36,55 +33,57 @@ class ImpactIndex:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order].astype(np.int64)
         impact = np.abs(self.vectors)
-        sizes = np.sort(impact, axis=None)[::-1] if impact.size else np.zeros(1, np.int64)
-        levels = sorted({int(sizes[min(len(sizes) - 1, int(len(sizes) * s))]) for s in LAYERS[:-1]} - {0}, reverse=True) + [0]
-        self.layers = []
-        taken = np.zeros(impact.shape, bool)
-        for level in levels:
-            new = (impact >= level) & ~taken
-            taken |= new
-            left = int(impact[~taken].max()) if not taken.all() else 0
-            self.layers.append((np.where(new, self.vectors, 0).astype(np.float64).T, new.astype(np.float64).T, left))
+        top = impact.max(axis=0) if impact.size else np.zeros(self.vectors.shape[1], np.int64)
+        #: Segments (component, rows, their values, highest impact, highest impact of the component's next).
+        self.segments: list[tuple] = []
+        for d in np.flatnonzero(top):
+            level = -(-impact[:, d] * LEVELS // top[d])
+            own = []
+            for step in range(LEVELS, 0, -1):
+                rows = np.flatnonzero(level == step)
+                if len(rows):
+                    own.append((d, rows, self.vectors[rows, d].astype(np.float64), int(impact[rows, d].max())))
+            after = [s[3] for s in own[1:]] + [0]
+            self.segments += [(*s, left) for s, left in zip(own, after)]
+        self.component = np.array([s[0] for s in self.segments], np.int64)
+        self.highest = np.array([s[3] for s in self.segments], np.float64)
+        self.left = np.array([s[4] for s in self.segments], np.float64)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query (ids, scores) of its k best, ties to smaller ids, without rows of its own id."""
-        out = []
-        for i in range(0, len(queries), AT_ONCE):
-            out += self._search(queries[i : i + AT_ONCE].astype(np.int64), own[i : i + AT_ONCE], k)
-        return out
+        return [self._search(q, o, k) for q, o in zip(queries.astype(np.int64), own)]
 
-    def _search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    def _search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.ids)
-        result: list = [(self.ids[:0], np.zeros(0, np.int64))] * len(queries)
-        if not n:
-            return result
-        live = np.arange(len(queries))
-        q = queries.astype(np.float64)
-        weight = np.abs(q)
-        score, unseen = np.zeros((len(q), n)), np.repeat(weight.sum(axis=1)[:, None], n, axis=1)
-        mine = [np.flatnonzero(self.ids == o) for o in own]
-        for layer, mask, left in self.layers:
-            score += q[live] @ layer
-            unseen -= weight[live] @ mask
-            slack = unseen * left
-            low = score - slack
-            for at, i in enumerate(live):
-                low[at, mine[i]] = -np.inf
-            floor = np.partition(low, n - k, axis=1)[:, n - k] if n > k else np.full(len(live), -np.inf)
-            possible = score + slack >= floor[:, None]
-            proven = (possible.sum(axis=1) <= max(8 * k, n // 50)) | (left == 0)
-            for at in np.flatnonzero(proven):
-                i = live[at]
-                members = np.flatnonzero(possible[at])
-                members = members[self.ids[members] != own[i]]
-                exact = self.vectors[members] @ queries[i]
-                best = np.lexsort((self.ids[members], -exact))[:k]
-                result[i] = self.ids[members][best], exact[best]
-            stay = ~proven
-            live, score, unseen = live[stay], score[stay], unseen[stay]
-            if not len(live):
-                break
-        return result
+        mine = slice(*np.searchsorted(self.ids, [own, own + 1]))
+        score = np.zeros(n)  # sums of integers below 2**53 are exact
+        weight = np.abs(query).astype(np.float64)
+        bound = weight[self.component] * self.highest
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        drop = bound[order] - weight[self.component[order]] * self.left[order]
+        taken = 0
+        rest = drop.sum()  # for each component the weight times the highest impact not yet taken
+        possible = np.ones(n, bool)
+        for look in range(1, LOOKS + 1):
+            until = len(order) * look // LOOKS
+            for i in order[taken:until].tolist():
+                d, rows, values, *_ = self.segments[i]
+                score[rows] += values * query[d]
+            rest -= drop[taken:until].sum()
+            taken = until
+            if n > k:
+                low = score.copy()
+                low[mine] = -np.inf
+                floor = np.partition(low, n - k)[n - k]
+                possible = score + rest >= floor - rest - 0.5
+                if possible.sum() <= max(8 * k, n // 50):
+                    break
+        members = np.flatnonzero(possible)
+        members = members[self.ids[members] != own]
+        exact = self.vectors[members] @ query
+        best = np.lexsort((self.ids[members], -exact))[:k]
+        return self.ids[members][best], exact[best]
 
 
 def _padded(column, width: int) -> np.ndarray:
@@ -121,7 +120,8 @@ def top_k(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, b
     rows without a vec_id take no part; an empty vector scores 0 with all. Rows that repeat a
     vec_id are all candidates of other queries; a query leaves out the rows of its own id, and
     repeated query rows answer once. An empty table gives an empty result; other columns are
-    ignored.
+    ignored. The work is the number of queries times the number of rows, by contract: every
+    candidate block is sent to every ``QUERIES`` queries.
     """
     spark = rows.sparkSession
     ship(spark)
