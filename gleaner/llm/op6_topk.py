@@ -24,8 +24,9 @@ from gleaner.runtime import ship
 
 K, EVERY, SCALE = 20, 20, 64
 BLOCK, QUERIES = 8192, 2048
-#: Impacts a component is quantised to, and parts of the segments after which a query looks for proof.
-LEVELS, LOOKS = 8, 6
+#: Impacts a component is quantised to, shares of the segments after which a query looks for proof, and
+#: queries that take the segments together.
+LEVELS, LOOKS, AT_ONCE = 8, (0.5, 0.7, 0.85, 1.0), 64
 
 
 class ImpactIndex:
@@ -47,43 +48,56 @@ class ImpactIndex:
             self.segments += [(*s, left) for s, left in zip(own, after)]
         self.component = np.array([s[0] for s in self.segments], np.int64)
         self.highest = np.array([s[3] for s in self.segments], np.float64)
-        self.left = np.array([s[4] for s in self.segments], np.float64)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query (ids, scores) of its k best, ties to smaller ids, without rows of its own id."""
-        return [self._search(q, o, k) for q, o in zip(queries.astype(np.int64), own)]
+        out = []
+        for i in range(0, len(queries), AT_ONCE):
+            out += self._search(queries[i : i + AT_ONCE].astype(np.int64), own[i : i + AT_ONCE], k)
+        return out
 
-    def _search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         n = len(self.ids)
-        mine = slice(*np.searchsorted(self.ids, [own, own + 1]))
-        score = np.zeros(n)  # sums of integers below 2**53 are exact
-        weight = np.abs(query).astype(np.float64)
-        bound = weight[self.component] * self.highest
+        result: list = [(self.ids[:0], np.zeros(0, np.int64))] * len(queries)
+        live = np.arange(len(queries))
+        q = queries.astype(np.float64)
+        score = np.zeros((n, len(queries)))  # sums of integers below 2**53 are exact
+        weight = np.abs(q)
+        # One order for queries that go together: by what a segment can add to any of them.
+        bound = weight.max(axis=0)[self.component] * self.highest
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        drop = bound[order] - weight[self.component[order]] * self.left[order]
+        left = np.zeros(q.shape[1])
+        np.maximum.at(left, self.component, self.highest)
         taken = 0
-        rest = drop.sum()  # for each component the weight times the highest impact not yet taken
-        possible = np.ones(n, bool)
-        for look in range(1, LOOKS + 1):
-            until = len(order) * look // LOOKS
+        for look in LOOKS:
+            until = int(len(order) * look)
             for i in order[taken:until].tolist():
-                d, rows, values, *_ = self.segments[i]
-                score[rows] += values * query[d]
-            rest -= drop[taken:until].sum()
+                d, rows, values, _, after = self.segments[i]
+                score[rows] += np.multiply.outer(values, q[live, d])
+                left[d] = after
             taken = until
-            if n > k:
-                low = score.copy()
-                low[mine] = -np.inf
-                floor = np.partition(low, n - k)[n - k]
-                possible = score + rest >= floor - rest - 0.5
-                if possible.sum() <= max(8 * k, n // 50):
-                    break
-        members = np.flatnonzero(possible)
-        members = members[self.ids[members] != own]
-        exact = self.vectors[members] @ query
-        best = np.lexsort((self.ids[members], -exact))[:k]
-        return self.ids[members][best], exact[best]
+            rest = weight[live] @ left  # what the highest impacts not yet taken can add or take away
+            stay = np.zeros(len(live), bool)
+            for at, i in enumerate(live.tolist()):
+                column = score[:, at]
+                possible = np.ones(n, bool)
+                if n > k:
+                    low = column.copy()
+                    low[slice(*np.searchsorted(self.ids, [own[i], own[i] + 1]))] = -np.inf
+                    possible = column >= np.partition(low, n - k)[n - k] - 2 * rest[at] - 0.5
+                if look < 1 and possible.sum() > max(8 * k, n // 50):
+                    stay[at] = True
+                    continue
+                members = np.flatnonzero(possible)
+                members = members[self.ids[members] != own[i]]
+                exact = self.vectors[members] @ queries[i]
+                best = np.lexsort((self.ids[members], -exact))[:k]
+                result[i] = self.ids[members][best], exact[best]
+            if not stay.any():
+                break
+            if not stay.all():
+                live, score = live[stay], np.ascontiguousarray(score[:, stay])
+        return result
 
 
 def _padded(column, width: int) -> np.ndarray:
