@@ -17,7 +17,7 @@ from gleaner.llm.common import SPACE, spread_join, table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-BINS = 1 << 16
+BINS = 1 << 13
 #: Least quality weight. Bins are even for rows of this weight; none holds more than 1 / (BINS * LEAST) of a source's rows
 #: by expectation whatever their weights.
 LEAST = 0.2

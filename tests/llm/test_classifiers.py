@@ -269,3 +269,54 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert {r.doc_id for r in seen[2].collect()} == {r.doc_id for r in seen[1].collect()}
     assert sum(r.length for r in seen[4].collect()) > 0
     assert seen[4].select("doc_id").distinct().count() == seen[3].select("doc_id").distinct().count()
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    folder = str(tmp_path)
+    documents(spark, []).write.parquet(f"{folder}/documents.parquet")
+    label_table(spark, []).write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_pipeline_run_equals_brute_force(spark, tmp_path):
+    import math
+    from collections import Counter, defaultdict
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from gleaner.llm.op2_mixing import _keyed
+    from tests.llm.test_minhash import brute
+    from tests.llm.test_packing_mixing import water
+
+    rows, labels = corpus(160, seed=9)
+    rows += [(5000 + i, rows[2][1], "s1") for i in range(3)] + [(6000, 'keep this line with a token = "abcdefabcdef0123456789" please and read on.', "s2")]
+    rows += [(7000, None, None), (7001, "", "s3")]
+    folder = str(tmp_path)
+    documents(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    label_table(spark, labels).write.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    # Quality by the fitted field over whole texts; one document of each group; masks; the mix; tokens.
+    field = op5_quality.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    good = [r for r in rows if field.scores([r[1] or ""])[0] >= 0.5]
+    first = brute(good, 5, 80)
+    single = [r for r in good if first[r[0]] == r[0]]
+    mark = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12,}""", re.I)
+    clean = [(d, t and mark.sub("[SECRET]", t), s) for d, t, s in single]
+    keyed = [(r.source, r._key, r.doc_id, r._size) for r in _keyed(documents(spark, clean).select("doc_id", "source", "text"), 7).collect()]
+    size = defaultdict(int)
+    for s, _, _, n in keyed:
+        size[s] += n
+    texts, want = {d: t or "" for d, t, _ in clean}, Counter()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for s, target in water(size).items():
+        epochs = math.floor(target + 0.5) // max(size[s], 1)
+        left = math.floor(target + 0.5) - epochs * size[s]
+        for _, d, n in sorted((k, d, n) for x, k, d, n in keyed if x == s):
+            part = max(0, min(n, left))
+            left -= n
+            copies = [texts[d]] * epochs + ([texts[d]] if part == n and n else [re.match(r"(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){%d}" % part, texts[d])[0]] if part else [])
+            for t in copies:
+                want[d, len(tokenizer.encode(t, add_special_tokens=False).ids) + 1] += 1
+    got = Counter((r.doc_id, r.doc_tokens) for r in corpus_pipeline.run(spark, folder).collect() if r.start == 0)
+    assert got == want and len(good) < len(rows) and len(single) < len(good)
