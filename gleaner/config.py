@@ -150,6 +150,17 @@ def published_gates() -> dict[str, Gate]:
     }
 
 
+# Names that sources and classes are shown by.
+SOURCE_NAMES = {
+    "greenhouse": "Greenhouse", "lever": "Lever", "ashby": "Ashby", "onemodel": "Niche Board", "included_ai": "Niche Board", "siop": "Niche Board",
+    "google_alerts": "RSS Alert", "talkwalker": "RSS Alert", "jsearch": "JSearch", "jooble": "Jooble", "adzuna": "Adzuna", "usajobs": "USAJobs",
+    "jobspy_linkedin": "LinkedIn", "jobspy_indeed": "Indeed", "jobspy_glassdoor": "Glassdoor", "jobspy_zip_recruiter": "ZipRecruiter",
+}
+RELEVANCE_NAMES = {"RELEVANT": "Relevant", "PARTIALLY_RELEVANT": "Partial"}
+#: Sources whose posting is itself where one applies.
+TERMINAL_SOURCES = ("jobspy_linkedin",)
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Weighted terms by tier; ``load`` reads the published YAML layout."""

@@ -39,6 +39,23 @@ def freshness(days: Column) -> Column:
     return F.when(days.isNull(), "unknown").when(days <= 3, "fresh").when(days <= 7, "recent").when(days <= 14, "aging").otherwise("old")
 
 
+def freshness_label(posted: Column, first_seen: Column, as_of: Column) -> Column:
+    """Text for the age of a row; that it was only seen, not posted, is said."""
+    days = days_since(posted, first_seen, as_of)
+    seen = F.when(F.nullif(posted, F.lit("")).isNull(), "Seen ").otherwise("")
+    text = F.when(days == 0, "Today").when(days == 1, "1 day ago").otherwise(F.concat(days.cast("string"), F.lit(" days ago")))
+    return F.when(days.isNull(), "Unknown").otherwise(F.concat(seen, text))
+
+
+def freshness_order(days: Column) -> Column:
+    """Sort key: unknown ages come last."""
+    return F.coalesce(days, F.lit(99999))
+
+
+def salary_order(low: Column) -> Column:
+    return F.coalesce(low.cast("int"), F.lit(0))
+
+
 def from_millis(ms: Column) -> Column:
     return F.to_date(F.timestamp_millis(ms))
 

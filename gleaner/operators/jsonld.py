@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
+#: Lists and graphs inside each other that are opened.
+DEPTH = 5
 COUNTRIES = {"usa": "US", "united states": "US", "united states of america": "US", "uk": "GB", "united kingdom": "GB", "canada": "CA", "australia": "AU"}
 
 
@@ -16,14 +18,17 @@ def _is_posting(v: Column) -> Column:
 
 
 def postings(html: Column) -> Column:
-    """All JobPosting nodes of a page: at the top, in a list or in @graph, one level deep or two."""
+    """All JobPosting nodes of a page: at the top, in lists or in @graph, up to ``DEPTH`` of these inside each other."""
     blocks = F.transform(F.regexp_extract_all(html, F.lit(BLOCK), F.lit(1)), F.try_parse_json)
     none = F.array().cast("array<variant>")
     level = lambda v: F.flatten(F.array(
         F.array(v), F.coalesce(F.try_variant_get(v, "$", "array<variant>"), none), F.coalesce(F.try_variant_get(v, "$['@graph']", "array<variant>"), none)))
-    nodes = F.flatten(F.transform(F.array_compact(blocks), level))
-    deeper = F.flatten(F.transform(F.filter(nodes, lambda v: v.isNotNull()), level))
-    return F.filter(deeper, lambda v: v.isNotNull() & _is_posting(v))
+    # Each step replaces a list or graph by what it holds and leaves postings as they are.
+    inner = lambda v: F.when(_is_posting(v), F.array(v)).otherwise(F.slice(level(v), F.lit(2), F.lit(1 << 30)))
+    nodes = F.array_compact(blocks)
+    for _ in range(DEPTH):
+        nodes = F.filter(F.flatten(F.transform(nodes, inner)), lambda v: v.isNotNull())
+    return F.filter(nodes, _is_posting)
 
 
 def facts(node: Column) -> Column:
@@ -48,10 +53,15 @@ def extracted(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     return found.select(key, facts(F.col("p")).alias("f")).select(key, "f.*")
 
 
-def posting_json(title: Column, description: Column, company: Column, posted: Column, **optional: Column) -> Column:
+def employment_type(seniority: Column | None) -> Column:
+    full = F.lit("FULL_TIME")
+    return full if seniority is None else F.when(seniority == "Intern", "INTERN").otherwise(full)
+
+
+def posting_json(title: Column, description: Column, company: Column, posted: Column, seniority: Column | None = None, **optional: Column) -> Column:
     """A JobPosting document; absent values leave their key out."""
     return F.to_json(F.struct(
         F.lit("https://schema.org/").alias("@context"), F.lit("JobPosting").alias("@type"), title.alias("title"), description.alias("description"),
         F.struct(F.lit("Organization").alias("@type"), company.alias("name")).alias("hiringOrganization"), posted.cast("string").alias("datePosted"),
-        F.date_add(posted, 30).cast("string").alias("validThrough"), *[v.alias(k) for k, v in optional.items()],
+        F.date_add(posted, 30).cast("string").alias("validThrough"), employment_type(seniority).alias("employmentType"), *[v.alias(k) for k, v in optional.items()],
     ))

@@ -7,7 +7,9 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from gleaner import config as C
 from gleaner.functions.text import html_escape
+from gleaner.functions.urls import host, is_aggregator
 
 
 def payload(df: DataFrame, fields: list[str]) -> Column:
@@ -52,6 +54,64 @@ def message(title: Column, company: Column, url: Column) -> Column:
     return F.concat(F.substring(title, 1, 250), F.lit(" @ "), company, F.lit("\n"), url)
 
 
+def relevance(kind: Column) -> Column:
+    """The name a class is shown by; everything else was decided automatically."""
+    return F.coalesce(F.create_map(*[F.lit(x) for pair in C.RELEVANCE_NAMES.items() for x in pair])[kind], F.lit("Auto"))
+
+
+def source_label(source: Column) -> Column:
+    """The name a source is shown by: known ones by a map, other scraped sites by their own, capitalised."""
+    known = F.create_map(*[F.lit(x) for pair in C.SOURCE_NAMES.items() for x in pair])[source]
+    site = F.regexp_extract(source, "^jobspy_(.*)$", 1)
+    scraped = F.when(source.startswith("jobspy_"), F.concat(F.upper(F.substring(site, 1, 1)), F.substring(site, F.lit(2), F.length(site))))
+    return F.when(F.coalesce(source, F.lit("")) == "", "Unknown").otherwise(F.coalesce(known, scraped, source))
+
+
+def meta(df: DataFrame, allowed: list[str], key: str = "external_id", most: int = 500) -> DataFrame:
+    """(key, meta_key, meta_value): the allowed columns that are there, as texts of at most ``most`` characters."""
+    names = [c for c in allowed if c in df.columns]
+    pairs = F.array(*[F.struct(F.lit(c).alias("meta_key"), F.substring(F.col(c).cast("string"), 1, most).alias("meta_value")) for c in names])
+    return df.select(key, F.explode(pairs).alias("m")).select(key, "m.*").where("meta_value is not null")
+
+
+def holders(posts: DataFrame, metas: DataFrame, name: str, values: list[str], statuses: tuple[str, ...] = ("publish", "archived")) -> DataFrame:
+    """Posts of these statuses that hold one of ``values`` under the meta key ``name``."""
+    hit = metas.where((F.col("meta_key") == name) & F.col("meta_value").isin(*values)).select("post_id").distinct()
+    return posts.where(F.col("status").isin(*statuses)).join(hit, "post_id", "left_semi")
+
+
+def due(posts: DataFrame, metas: DataFrame, name: str, before: str, most: int = 100) -> DataFrame:
+    """Published posts whose meta value ``name`` lies before a cutoff, oldest first, at most ``most``."""
+    old = metas.where((F.col("meta_key") == name) & (F.col("meta_value") < before)).groupBy("post_id").agg(F.min("meta_value").alias("_at"))
+    return posts.where("status = 'publish'").join(old, "post_id").orderBy("_at", "post_id").limit(most).drop("_at")
+
+
+def status_counts(posts: DataFrame) -> DataFrame:
+    """One row: how many posts are published and archived, and all together."""
+    return posts.agg(F.count_if(F.col("status") == "publish").alias("published"), F.count_if(F.col("status") == "archived").alias("archived"), F.count(F.lit(1)).alias("total"))
+
+
+def unresolved(df: DataFrame) -> DataFrame:
+    """Rows whose apply URL still leads to an aggregator, but for sources where that is the page to apply at."""
+    return df.where(is_aggregator(host(F.coalesce("apply_url", F.lit("")))) & ~F.coalesce("source_name", F.lit("")).isin(*C.TERMINAL_SOURCES)).select("external_id", "source_name", "apply_url")
+
+
+def shadowed(df: DataFrame, stage: str, path: str) -> None:
+    """Append a decision log of one stage as lines of JSON."""
+    df.select(F.lit(stage).alias("stage"), F.current_timestamp().alias("at"), *df.columns).write.mode("append").json(path)
+
+
+def dashboard(series: DataFrame) -> DataFrame:
+    """One row (payload): ``series(series, stat_key, stat_value, place)`` as JSON, ready to be pushed."""
+    each = series.groupBy("series").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "stat_key", "stat_value"))), lambda r: F.struct(r["stat_key"].alias("key"), r["stat_value"].alias("value"))).alias("rows"))
+    return each.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("series", "rows"))))).alias("payload"))
+
+
+def digest_text(df: DataFrame) -> DataFrame:
+    """A plain line per record."""
+    return df.select("external_id", F.concat_ws(" — ", "title", "company").alias("line"))
+
+
 def digest(df: DataFrame) -> DataFrame:
     """(html): one escaped line per record, by key."""
     line = F.concat(F.lit("<li>"), html_escape(F.col("title")), F.lit(" — "), html_escape(F.col("company")), F.lit("</li>"))
@@ -103,8 +163,11 @@ def facets(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def filtered(df: DataFrame, checked: dict[str, list[str]], query: str = "", text: str = "title") -> DataFrame:
-    """Rows in every checked facet that hold the query in any case; nothing checked is no filter."""
+    """Rows in every checked facet that hold the query in any case; with nothing or all of a facet checked it is no filter."""
     for c, values in checked.items():
-        if values:
+        if not values:
+            continue
+        other = df.where(F.col(c).isNotNull() & (F.col(c).cast("string") != "") & ~F.col(c).isin(*values))
+        if not other.isEmpty():
             df = df.where(F.col(c).isin(*values))
     return df.where(F.lower(F.col(text)).contains(query.lower())) if query else df

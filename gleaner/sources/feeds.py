@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
+import json
+from collections.abc import Callable
+from datetime import date
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -207,6 +212,51 @@ def changed_pages(pages: DataFrame, seen: DataFrame) -> DataFrame:
     return hashed.join(seen.select(F.col("slug").alias("board"), F.col("status").alias("hash")), ["board", "hash"], "left_anti")
 
 
+def gathered(spark: SparkSession, reads: dict[str, Callable[[], DataFrame]], monday_only: tuple[str, ...] = ("usajobs",), day: date | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """(all records in the order of ``reads`` with ``arrival``, error by source).
+
+    A source that fails to read is left out and named; one that runs weekly is read on Mondays.
+    """
+    parts, errors = [], {}
+    for place, (name, read) in enumerate(reads.items()):
+        if name in monday_only and day is not None and day.weekday() != 0:
+            continue
+        try:
+            part = read()
+            part.limit(1).collect()
+        except Exception as error:  # whatever a source does, the others go on
+            errors[name] = f"{type(error).__name__}: {error}"[:500]
+            continue
+        parts.append(part.withColumn("arrival", F.lit(place << 48) + F.monotonically_increasing_id()))
+    empty = spark.createDataFrame([], RECORD).withColumn("arrival", F.lit(0).cast("long"))
+    return union(parts or [empty]), errors
+
+
+def first_filled(*reads: Callable[[], DataFrame]) -> DataFrame:
+    """The first of several ways to read a source that gives a record; the last one if none does."""
+    for read in reads[:-1]:
+        part = read()
+        if not part.isEmpty():
+            return part
+    return reads[-1]()
+
+
+def requests_of(queries: list[str], **dims: list[str]) -> list[dict[str, str]]:
+    """Every combination of queries with the other dimensions of a feed, queries innermost."""
+    names = [*dims, "query"]
+    return [dict(zip(names, values)) for values in itertools.product(*dims.values(), queries)]
+
+
+def known_slugs(path: str, found: dict[str, list[str]] | None = None) -> dict[str, list[str]]:
+    """The slug lists by system in a JSON file, with newly ``found`` ones merged in and written back."""
+    file = Path(path)
+    known = json.loads(file.read_text()) if file.exists() else {}
+    if found:
+        known |= {ats: sorted({*known.get(ats, ()), *slugs}) for ats, slugs in found.items()}
+        file.write_text(json.dumps(known, indent=1, sort_keys=True))
+    return known
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

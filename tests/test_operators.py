@@ -322,3 +322,66 @@ def test_rows_are_numbered_over_partitions(spark):
     assert [r.id for r in sorted(got, key=lambda r: r.n)] == [r.id for r in sorted(got, key=lambda r: (r.k, r.id))]
     assert sorted(r.n for r in got) == list(range(1, 1001))
     assert aggregates.numbered(df.limit(0), ["k"], "n").count() == 0
+
+
+def test_display_names(spark):
+    from gleaner.operators import publish
+
+    rows = [(None, None), ("", "RELEVANT"), ("jobspy_linkedin", "PARTIALLY_RELEVANT"), ("jobspy_monster", "NOT_RELEVANT"), ("siop", None), ("lever", None), ("else", None)]
+    got = [tuple(r) for r in spark.createDataFrame(rows, "s string, k string").select(publish.source_label(F.col("s")), publish.relevance(F.col("k"))).collect()]
+    assert [a for a, _ in got] == ["Unknown", "Unknown", "LinkedIn", "Monster", "Niche Board", "Lever", "else"]
+    assert [b for _, b in got] == ["Auto", "Relevant", "Partial", "Auto", "Auto", "Auto", "Auto"]
+
+
+def test_ages_in_words_and_in_order(spark):
+    from gleaner.functions import stats
+
+    rows = [("2024-06-30", None), (None, "2024-06-29"), ("2024-06-01", "2024-06-02"), (None, None), ("never", None)]
+    df = spark.createDataFrame(rows, "p string, f string")
+    day = F.lit(DAY)
+    got = [tuple(r) for r in df.select(stats.freshness_label(F.col("p"), F.col("f"), day), stats.freshness_order(stats.days_since(F.col("p"), F.col("f"), day))).collect()]
+    assert got == [("Today", 0), ("Seen 1 day ago", 1), ("29 days ago", 29), ("Unknown", 99999), ("Unknown", 99999)]
+    assert [r[0] for r in spark.createDataFrame([(5.9,), (None,)], "x double").select(stats.salary_order(F.col("x"))).collect()] == [5, 0]
+
+
+def test_receiver_statements(spark):
+    from gleaner.operators import publish
+
+    posts = spark.createDataFrame([(1, "publish"), (2, "archived"), (3, "draft")], "post_id long, status string")
+    jobs = spark.createDataFrame([(1, "a" * 600, "2024-01-01"), (2, "b", None), (3, "c", "2023-01-01")], "post_id long, external_id string, last_seen_active string")
+    metas = publish.meta(jobs, ["external_id", "last_seen_active", "none"], "post_id")
+    assert {(r.post_id, r.meta_key, len(r.meta_value)) for r in metas.collect()} == {
+        (1, "external_id", 500), (1, "last_seen_active", 10), (2, "external_id", 1), (3, "external_id", 1), (3, "last_seen_active", 10)}
+    assert [r.post_id for r in publish.holders(posts, metas, "external_id", ["b", "c"]).collect()] == [2]
+    assert [r.post_id for r in publish.due(posts, metas, "last_seen_active", "2024-02-01").collect()] == [1]
+    assert tuple(publish.status_counts(posts).first()) == (1, 1, 3)
+
+
+def test_all_checked_is_no_filter(spark):
+    from gleaner.operators import publish
+
+    df = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z")], "f string, title string")
+    assert publish.filtered(df, {"f": ["a", "b"]}).count() == 3 and publish.filtered(df, {"f": ["a"]}).count() == 1 and publish.filtered(df, {"f": []}, "Z").count() == 1
+
+
+def test_unresolved_urls_and_logs(spark, tmp_path):
+    from gleaner.operators import publish
+
+    df = spark.createDataFrame([("a", "jooble", "https://jooble.org/1"), ("b", "jobspy_linkedin", "https://www.linkedin.com/jobs/view/1"), ("c", "jooble", "https://acme.com"), ("d", None, None)],
+                               "external_id string, source_name string, apply_url string")
+    assert [r.external_id for r in publish.unresolved(df).collect()] == ["a"]
+    publish.shadowed(df.select("external_id"), "keyword", f"{tmp_path}/log")
+    publish.shadowed(df.select("external_id"), "final", f"{tmp_path}/log")
+    assert sorted(r.stage for r in spark.read.json(f"{tmp_path}/log").collect()) == ["final"] * 4 + ["keyword"] * 4
+    series = spark.createDataFrame([("s", 2, "b", 1), ("s", 1, "a", 5), ("t", 1, "c", 2)], "series string, place int, stat_key string, stat_value long")
+    assert publish.dashboard(series).first().payload == '{"s":[{"key":"a","value":5},{"key":"b","value":1}],"t":[{"key":"c","value":2}]}'
+
+
+def test_postings_deep_in_lists_and_graphs(spark):
+    from gleaner.operators import jsonld
+
+    html = '<script type="application/ld+json">[[{"@graph":[{"@type":"WebPage"},{"@graph":[{"@type":"JobPosting","datePosted":"2024-03-02"}]}]}]]</script>'
+    got = jsonld.extracted(spark.createDataFrame([(1, html), (2, "none")], "id int, html string"), "id").collect()
+    assert [(r.id, r.date_posted) for r in got] == [(1, "2024-03-02")]
+    made = spark.range(1).select(jsonld.posting_json(F.lit("t"), F.lit("d"), F.lit("c"), F.lit(DAY), F.lit("Intern")).alias("j")).first().j
+    assert '"employmentType":"INTERN"' in made and '"validThrough":"2024-07-30"' in made

@@ -1,5 +1,7 @@
 """Connectors on literal payloads, and streams on the events table."""
 
+import datetime
+
 import io
 import json
 from urllib import error
@@ -137,3 +139,25 @@ def test_foreach_batch_merge(spark, sf_dir, tmp_path):
     jobs.drained_batches(jobs.events(spark, sf_dir), str(tmp_path / "check"), upsert, "append")
     users = duckdb.sql(f"SELECT count(DISTINCT user_id) FROM '{sf_dir}/events.parquet'").fetchall()[0][0]
     assert table.read().count() == users
+
+
+def test_sources_are_gathered_apart(spark, tmp_path):
+    from gleaner.sources import feeds
+
+    one = lambda i: lambda: spark.createDataFrame([(f"{i}",)], "external_id string").selectExpr("external_id", "'t' AS title", "'c' AS company")
+
+    def broken():
+        raise ValueError("no answer")
+
+    reads = {"lever": one("a"), "adzuna": broken, "usajobs": one("b"), "jooble": one("c")}
+    df, errors = feeds.gathered(spark, reads, day=datetime.date(2024, 6, 25))  # a Tuesday
+    assert [r.external_id for r in df.orderBy("arrival").collect()] == ["a", "c"] and errors == {"adzuna": "ValueError: no answer"}
+    assert feeds.gathered(spark, reads, day=datetime.date(2024, 6, 24))[0].count() == 3
+    assert feeds.gathered(spark, {"adzuna": broken})[0].count() == 0
+    assert feeds.first_filled(lambda: spark.range(0), lambda: spark.range(2), lambda: spark.range(9)).count() == 2
+    assert feeds.first_filled(lambda: spark.range(0), lambda: spark.range(0)).count() == 0
+    assert feeds.requests_of(["x", "y"], country=["us", "ca"]) == [
+        {"country": "us", "query": "x"}, {"country": "us", "query": "y"}, {"country": "ca", "query": "x"}, {"country": "ca", "query": "y"}]
+    path = str(tmp_path / "slugs.json")
+    assert feeds.known_slugs(path) == {} and feeds.known_slugs(path, {"lever": ["b", "a"]}) == {"lever": ["a", "b"]}
+    assert feeds.known_slugs(path, {"lever": ["a", "c"], "ashby": ["z"]}) == {"lever": ["a", "b", "c"], "ashby": ["z"]} == feeds.known_slugs(path)
