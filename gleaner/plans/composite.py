@@ -92,7 +92,21 @@ def dedup_clusters(t: Tables) -> DataFrame:
     return resolve.cluster(parts)
 
 
-@query()
+_HTML = ", ".join(f"({i}, '{h}')" for i, h in FIXTURE)
+
+
+@query(f"""
+WITH f(id, html) AS (VALUES {_HTML}),
+b AS (SELECT id, TRY_CAST(nullif(regexp_extract(html, 'ld\\+json">(.*?)</script>', 1), '') AS JSON) AS j FROM f),
+n AS (SELECT id, unnest([j, j->'$[0]', j->'$[1]', j->'$."@graph"[0]', j->'$."@graph"[1]']) AS n, unnest([0, 1, 2, 3, 4]) AS place FROM b),
+p AS (SELECT id, arg_min(n, place) AS n FROM n WHERE 'JobPosting' IN (n->>'$."@type"', n->>'$."@type"[0]') GROUP BY 1),
+a AS (SELECT *, coalesce(n->'$.jobLocation.address', n->'$.jobLocation[0].address') AS a FROM p),
+c AS (SELECT *, trim(coalesce(a->>'$.addressCountry.name', a->>'$.addressCountry')) AS land, coalesce(TRY_CAST(n->>'$.baseSalary.value.minValue' AS DOUBLE), TRY_CAST(n->>'$.baseSalary.value.value' AS DOUBLE)) AS low FROM a)
+SELECT id, nullif(concat_ws(', ', a->>'$.addressLocality', a->>'$.addressRegion'), '') AS location,
+ CASE WHEN lower(land) IN ('usa', 'united states') THEN 'US' WHEN length(land) = 2 THEN upper(land) END AS location_country, low AS salary_min,
+ coalesce(TRY_CAST(n->>'$.baseSalary.value.maxValue' AS DOUBLE), low) AS salary_max, CASE WHEN n->>'$.jobLocationType' = 'TELECOMMUTE' THEN 'remote' END AS is_remote,
+ nullif(regexp_extract(coalesce(n->>'$.datePosted', ''), '^(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), '') AS date_posted FROM c
+""")
 def jsonld_extract(t: Tables) -> DataFrame:
     return jsonld.extracted(t.spark.createDataFrame(list(FIXTURE), "id int, html string"), "id")
 

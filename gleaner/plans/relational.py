@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.config import Lexicon
+from gleaner.functions import stats
 from gleaner.operators import aggregates as A
 from gleaner.operators import consensus, lifecycle, publish, resolve, scoring, state
 from gleaner.plans.registry import Tables, query
@@ -382,3 +383,52 @@ def slug_upsert(t: Tables) -> DataFrame:
     found = (F.floor(F.abs("c_acctbal")).cast("int") * 10000 + (F.col("c_custkey") % 10000).cast("int")).alias("jobs_found")
     scans = t.customer.where("c_nationkey < 12").select(F.lit("gh").alias("ats"), F.col("c_nationkey").cast("string").alias("slug"), F.when(F.col("c_acctbal") > 0, "ok").otherwise("not_found").alias("status"), found)
     return state.slug_status(old, scans, F.lit("2001-08-01").cast("date"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 8 = 0 THEN 'LinkedIn' WHEN p_partkey % 8 = 1 THEN 'Monster' WHEN p_partkey % 8 = 2 THEN 'Niche Board' WHEN p_partkey % 8 = 3 THEN 'Unknown' ELSE p_brand END AS source,
+ CASE WHEN p_type = 'ECONOMY' THEN 'Relevant' WHEN p_type = 'PROMO' THEN 'Partial' ELSE 'Auto' END AS relevance FROM part
+""")
+def display_names(t: Tables) -> DataFrame:
+    k = F.col("p_partkey") % 8
+    source = F.when(k == 0, "jobspy_linkedin").when(k == 1, "jobspy_monster").when(k == 2, "siop").when(k == 3, "").otherwise(F.col("p_brand"))
+    kind = F.when(F.col("p_type") == "ECONOMY", "RELEVANT").when(F.col("p_type") == "PROMO", "PARTIALLY_RELEVANT").otherwise("NOT_RELEVANT")
+    return t.part.select("p_partkey", publish.source_label(source).alias("source"), publish.relevance(kind).alias("relevance"))
+
+
+_AGES = "greatest(0, date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-01'))"
+
+
+@query(f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'Seen ' ELSE '' END || CASE {_AGES} WHEN 0 THEN 'Today' WHEN 1 THEN '1 day ago' ELSE {_AGES} || ' days ago' END AS age, {_AGES} AS place FROM orders
+""")
+def freshness_labels(t: Tables) -> DataFrame:
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    posted, seen, now = F.when(F.col("o_orderkey") % 3 != 0, day), day, F.lit("2001-08-01").cast("date")
+    return t.orders.select("o_orderkey", stats.freshness_label(posted, seen, now).alias("age"), stats.freshness_order(stats.days_since(posted, seen, now)).cast("long").alias("place"))
+
+
+@query("""
+SELECT o_orderkey AS post_id, 'o_orderpriority' AS meta_key, substr(o_orderpriority, 1, 3) AS meta_value FROM orders WHERE o_orderpriority IS NOT NULL
+UNION ALL SELECT o_orderkey, 'o_orderstatus', substr(o_orderstatus, 1, 3) FROM orders WHERE o_orderstatus IS NOT NULL
+""")
+def meta_rows(t: Tables) -> DataFrame:
+    return publish.meta(t.orders.withColumnRenamed("o_orderkey", "post_id"), ["o_orderpriority", "o_orderstatus", "absent"], "post_id", 3)
+
+
+@query("""
+SELECT o_orderkey AS post_id FROM orders WHERE o_orderstatus = 'O' AND strftime(o_orderdate, '%Y-%m-%d') < '2000-01-01' ORDER BY strftime(o_orderdate, '%Y-%m-%d'), o_orderkey LIMIT 100
+""")
+def due_posts(t: Tables) -> DataFrame:
+    posts = t.orders.select(F.col("o_orderkey").alias("post_id"), F.when(F.col("o_orderstatus") == "O", "publish").otherwise("draft").alias("status"))
+    metas = t.orders.select(F.col("o_orderkey").alias("post_id"), F.lit("last_seen_active").alias("meta_key"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("meta_value"))
+    return publish.due(posts, metas, "last_seen_active", "2000-01-01").select("post_id")
+
+
+@query("""
+SELECT o_orderkey AS post_id FROM orders WHERE o_orderstatus IN ('O', 'F') AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')
+""")
+def posts_by_meta(t: Tables) -> DataFrame:
+    posts = t.orders.select(F.col("o_orderkey").alias("post_id"), F.when(F.col("o_orderstatus") == "O", "publish").when(F.col("o_orderstatus") == "F", "archived").otherwise("draft").alias("status"))
+    metas = t.lineitem.select(F.col("l_orderkey").alias("post_id"), F.lit("flag").alias("meta_key"), F.col("l_returnflag").alias("meta_value"))
+    return publish.holders(posts, metas, "flag", ["R"]).select("post_id")
