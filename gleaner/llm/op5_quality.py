@@ -23,7 +23,7 @@ from gleaner.llm.textvec import Batch, chunks, mix, runs
 #: Most labelled rows the field is fitted on.
 SAMPLE = 2000
 #: Most lines of a row the field is fitted on; longer rows are scored but not learned from.
-LINES = 2000
+LINES = 400
 ROUNDS = 60
 #: Classes a line's characters are counted in.
 _SPACE, _LOWER, _UPPER, _LETTER, _DIGIT, _STOP, _SHOUT, _BAR, _SYMBOL, _OTHER = range(10)
@@ -70,7 +70,7 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     size = (end - start).astype(np.float64)
     solid = np.maximum(size - counts[:, _SPACE], 1)
     letters = counts[:, _LOWER] + counts[:, _UPPER] + counts[:, _LETTER]
-    own = np.zeros((len(start), OWN))
+    own = np.zeros((len(start), OWN), np.float32)
     own[:, 0] = np.log1p(size) / 5
     own[:, 1] = counts[:, _UPPER] / np.maximum(letters, 1)
     for i, k in enumerate((_DIGIT, _STOP, _SHOUT, _BAR, _SYMBOL, _OTHER)):
@@ -106,7 +106,7 @@ def with_neighbours(own: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     before, after = np.roll(own, 1, axis=0), np.roll(own, -1, axis=0)
     before[first] = 0
     after[last] = 0
-    return np.hstack([own, before, after, first[:, None], last[:, None], np.ones((len(own), 1))])
+    return np.hstack([own, before, after, first[:, None], last[:, None], np.ones((len(own), 1), np.float32)])
 
 
 class Chains:
@@ -209,14 +209,14 @@ class Field:
 
 
 def _features(frames):
-    """(label, lines, features and sizes as half floats) of each training row of at most LINES lines."""
+    """(label, lines, features and sizes as scoring has them) of each training row of at most LINES lines."""
     for frame in frames:
         frame = frame.filter(pa.array([t.count("\n") < LINES for t in frame.column("text").to_pylist()], pa.bool_()))
         texts = frame.column("text").to_pylist()
         for a, b in chunks(texts):
             own, sizes, lengths = line_features(texts[a:b])
             at = np.concatenate([[0], np.cumsum(lengths)])
-            packed = np.hstack([own, np.minimum(sizes, 60000)[:, None]]).astype(np.float16)
+            packed = np.hstack([own, sizes[:, None]]).astype(np.float32)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": frame.column("doc_id").slice(a, b - a),
                 "label": frame.column("label").slice(a, b - a), "lines": pa.array(lengths, pa.int64()),
@@ -237,9 +237,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     labels_seen = np.array([r.label for r in rows])
     if len(set(labels_seen.tolist())) < 2:
         return field
-    packed = np.concatenate([np.frombuffer(r.packed, np.float16).reshape(-1, OWN + 1) for r in rows]).astype(np.float64)
+    packed = np.concatenate([np.frombuffer(r.packed, np.float32).reshape(-1, OWN + 1) for r in rows])
     lengths = np.array([r.lines for r in rows])
-    return field.fit(with_neighbours(packed[:, :OWN], lengths), packed[:, OWN], lengths, labels_seen)
+    return field.fit(with_neighbours(packed[:, :OWN], lengths), packed[:, OWN].astype(np.float64), lengths, labels_seen)
 
 
 def score(docs: DataFrame, field: Field) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN = "array<struct<start:int,end:int,value:string>>"
+#: Matches that are placed together.
+BLOCK = 64
 PLACED = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
@@ -38,8 +40,23 @@ def located(text: Column, matches: Column, pattern: str, valid: Callable[[Column
         grown = F.concat(acc["out"], F.array(F.struct(*fields)))
         return F.struct(end.alias("at"), F.when(valid(x["m"]), grown).otherwise(acc["out"]).alias("out"))
 
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), nothing.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, walked).otherwise(nothing)
+    def through(blocks: Column) -> Column:
+        """Spans block by block, so that no array grows with all the matches of a long text."""
+        sizes = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.length(x["m"])))
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        starts = F.aggregate(sizes, first, lambda acc, n: F.struct(
+            (acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, starts, lambda b, at: F.aggregate(
+            b, F.struct(at.alias("at"), nothing.alias("out")), step, lambda acc: acc["out"])))
+
+    blocked = _bound(pairs, lambda p: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")), lambda i: F.slice(p, i * BLOCK + 1, F.lit(BLOCK))))
+    return F.when(F.size(matches) > 0, _bound(blocked, through)).otherwise(nothing)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is named there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def placed(spans: Column, kind: str, rank: int, first_by_kind: bool = False) -> Column:

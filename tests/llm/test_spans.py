@@ -72,7 +72,7 @@ def check(rows, result, rules, kind_first):
 def test_secrets_equal_plain_scanning(spark, seed):
     from gleaner.llm.op1_secrets import scan
 
-    rows = awkward() + fuzz(seed)
+    rows = awkward() + fuzz(seed) + [(9000, " ".join(f"token={i:012d}abcd x{'0a' * 9}{i}" for i in range(300)), "s")]
     check(rows, scan(documents(spark, rows)), SECRETS, False)
 
 
@@ -109,7 +109,7 @@ def test_secrets_of_an_empty_table(spark):
 def test_personal_data_equals_plain_scanning(spark, seed):
     from gleaner.llm.op9_pii import scan
 
-    rows = awkward() + fuzz(seed)
+    rows = awkward() + fuzz(seed) + [(9000, " ".join(f"u{i}@x{i}.org 10.0.{i % 300}.1 +1 (555) 010-{i:04d}" for i in range(300)), "s")]
     check(rows, scan(documents(spark, rows)), PERSONAL, True)
 
 
