@@ -40,10 +40,12 @@ def batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """mapInArrow with this package at hand on the executors.
 
     ``run`` maps an iterator of record batches; Arrow keeps 64-bit ids exact beside nulls.
-    Batches of wide rows come in slices of about ``SLICE`` bytes, so that a worker never holds
-    a whole one as Python objects.
+    Batches are held to about ``SLICE`` bytes in the session, whose default of 64 MB would be
+    held several times over by JVM and worker; where a session's batches are larger all the
+    same, they are read in slices.
     """
     ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE))
 
     def sliced(frames):
         for frame in frames:
