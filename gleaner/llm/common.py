@@ -94,11 +94,12 @@ def spread_join(rows: DataFrame, small: DataFrame, on: list[str], by: Column, pa
     """rows joined with a far smaller table on keys of which one may hold a large share of rows.
 
     Rows of a key are dealt over ``parts`` tasks by ``by``; the small side, unique in its
-    keys, is repeated for each.
+    keys, is repeated for each. Repeats compress well, so adaptive execution would take them
+    for small enough to broadcast when they aren't; hence the hint.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(parts)))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 #: Most keys that are broadcast to filter a wide table: 64-bit keys, some 70 bytes each when hashed.
