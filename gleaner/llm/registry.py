@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from gleaner.llm.op10_licenses import op10_licenses
+from gleaner.llm.op11_decontaminate import SQL as OP11_SQL
+from gleaner.llm.op11_decontaminate import op11_decontaminate
+from gleaner.llm.op12_spelling import SQL as OP12_SQL
+from gleaner.llm.op12_spelling import op12_spelling
+from gleaner.llm.op13_lexical import SQL as OP13_SQL
+from gleaner.llm.op13_lexical import op13_lexical
 from gleaner.llm.op1_secrets import op1_secrets
 from gleaner.llm.op2_mixing import op2_mixing
 from gleaner.llm.op3_embeddings import op3_embeddings
@@ -32,6 +38,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_pii": op9_pii,
         "op10_licenses": op10_licenses,
+        "op11_decontaminate": op11_decontaminate,
+        "op12_spelling": op12_spelling,
+        "op13_lexical": op13_lexical,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -39,4 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_topk": OP6_SQL,
+        "op11_decontaminate": OP11_SQL,
+        "op12_spelling": OP12_SQL,
+        "op13_lexical": OP13_SQL,
     }
