@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -79,6 +80,93 @@ def weighted_ratio(a: str, b: str) -> float:
     return max(best, 0.95 * scale * (100.0 if shared else partial(sa, sb)))
 
 
+_BUCKETS = 40
+
+
+def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(counts of characters by bucket, lengths)."""
+    bags = np.zeros((len(texts), _BUCKETS), np.int16)
+    for i, text in enumerate(texts):
+        for ch in text:
+            code = ord(ch)
+            bags[i, code - 97 if 97 <= code < 123 else 26 + code % (_BUCKETS - 26)] += 1
+    return bags, np.array([len(t) for t in texts], np.float32)
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(a), len(b)), np.int16)
+    for k in range(_BUCKETS):
+        if a[:, k].any() and b[:, k].any():
+            out += np.minimum.outer(a[:, k], b[:, k])
+    return out.astype(np.float32)
+
+
+def _most_indel(a: list[str], b: list[str]) -> np.ndarray:
+    """What ``indel`` of each two texts can be at most, as their common characters are an upper bound of a common subsequence."""
+    (x, n), (y, m) = _bags(a), _bags(b)
+    total = np.add.outer(n, m)
+    return np.where(total == 0, 100, 200 * _shared(x, y) / np.maximum(total, 1))
+
+
+def _most_weighted(a: list[str], b: list[str]) -> np.ndarray:
+    """What ``weighted_ratio`` can be at most, from common characters, common words and lengths without repeated spaces."""
+    (x, _), (y, _) = _bags(a), _bags(b)
+    n, m = (np.array([len(" ".join(t.split())) for t in side], np.float32) for side in (a, b))
+    shared, short = _shared(x, y), np.minimum.outer(n, m)
+    out = np.maximum(200 * shared / np.maximum(np.add.outer(n, m), 1), 0.9 * 200 * shared / np.maximum(short + shared, 1))
+    words: dict[str, list[int]] = {}
+    for j, text in enumerate(b):
+        for w in set(text.split()):
+            words.setdefault(w, []).append(j)
+    for i, text in enumerate(a):
+        for w in set(text.split()):
+            if w in words:
+                out[i, words[w]] = np.maximum(out[i, words[w]], 95)
+    return np.where(short == 0, 0, np.minimum(out, 100))
+
+
+def similar(left: list[tuple[str, str]], right: list[tuple[str, str]], least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, company similarity, title similarity) of all pairs of (company, title) whose similarities are ``least`` or more in sum.
+
+    Each distinct company and title is bounded once against each of the other side, and only pairs
+    whose bounds suffice are scored, titles first.
+    """
+    empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    if not left or not right:
+        return empty
+    (ca, c_left), (cb, c_right) = (np.unique([folded(c) for c, _ in side], return_inverse=True) for side in (left, right))
+    (ta, t_left), (tb, t_right) = (np.unique([" ".join(sorted(folded(t).split())) for _, t in side], return_inverse=True) for side in (left, right))
+    companies, titles = _Ratios(ca.tolist(), cb.tolist(), weighted_ratio, _most_weighted), _Ratios(ta.tolist(), tb.tolist(), indel, _most_indel)
+    out = [empty]
+    step = max(1, 4_000_000 // len(right))
+    for first in range(0, len(left), step):
+        cl, tl = c_left[first : first + step], t_left[first : first + step]
+        i, j = np.nonzero(companies.most[np.ix_(cl, c_right)] + titles.most[np.ix_(tl, t_right)] >= least)
+        t = titles.exact(tl[i], t_right[j])
+        may = companies.most[cl[i], c_right[j]] + t >= least
+        i, j, t = i[may], j[may], t[may]
+        c = companies.exact(cl[i], c_right[j])
+        may = c + t >= least
+        out.append((i[may] + first, j[may], c[may], t[may]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+class _Ratios:
+    """Ratios of two lists of texts: an upper bound of each, and exact ones once they are asked for."""
+
+    def __init__(self, a: list[str], b: list[str], ratio, bound):
+        self.a, self.b, self.ratio = a, b, ratio
+        self.most = bound(a, b) + 1e-3  # room for rounding
+        self.known = np.full(self.most.shape, np.nan)
+
+    def exact(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        asked = np.unique((i.astype(np.int64) * len(self.b) + j)[np.isnan(self.known[i, j])])
+        for k in asked.tolist():
+            x, y = divmod(k, len(self.b))
+            self.known[x, y] = self.ratio(self.a[x], self.b[y])
+        return self.known[i, j]
+
+
 @F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel(x or "", y or "") for x, y in zip(a, b)])

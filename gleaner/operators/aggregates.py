@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.stats import exclusive_quantile
+from gleaner.runtime import stored
 
 
 def counted(df: DataFrame, column: Column, default: str, kind: str) -> DataFrame:
@@ -108,12 +109,12 @@ def chunked(df: DataFrame, order: list[str], size: int = 20) -> DataFrame:
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """df with each row's place from 1 in a total ``order``, without bringing all rows into one task.
 
-    Rows are dealt by range and sorted within their partitions; each partition then starts
-    after the rows of those before it. Only one count a partition is gathered.
+    Rows are dealt by range, sorted within their partitions and written with partition and place
+    there, so that counting them and numbering them see the same ranges; each partition
+    then starts after the rows of those before it. Only one count a partition is gathered.
     """
     parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # A fixed number of range partitions is not coalesced, so both uses below see the same ones.
-    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = stored(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftrightunsigned("_at", 33)
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))

@@ -3,16 +3,28 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions.similarity import token_sort_ratio, wratio
+from gleaner.functions.similarity import similar
 from gleaner.functions.text import city, normalize_company, normalize_title
 from gleaner.functions.urls import apply_score
+from gleaner.operators.aggregates import numbered
+from gleaner.runtime import ship, stored
 
 DUPLICATE, FLAG, SAME_COMPANY, SAME_COMPANY_SIMILARITY, SHOWN = 85, 70, 75, 95, 3
+#: Company and title similarity of less than this in sum can't be flagged in any city, with room for rounding.
+LEAST_SUM = (FLAG - 20) / 0.4 - 1e-6
+#: What they must be in unlike cities to be flagged, and to be duplicates of one company.
+LEAST_APART, LEAST_APART_DUPLICATE = FLAG / 0.4 - 1e-6, SAME_COMPANY / 0.4 - 1e-6
+MANY = "Multiple Locations"
+#: Records that are compared in one round, and of those they are compared with in one task.
+CHUNK, BLOCK = 4096, 4096
 
 
 def composite(company: Column, title: Column, city_a: Column, city_b: Column) -> Column:
@@ -33,22 +45,47 @@ def prepared(df: DataFrame) -> DataFrame:
     })
 
 
-def blocks(df: DataFrame) -> DataFrame:
-    """A row for each company token of a record; every pair worth scoring shares one."""
-    tokens = F.array_distinct(F.filter(F.split("_c", " "), lambda t: t != ""))
-    return df.withColumn("block", F.explode(F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit("")))))
+def _rows(df: DataFrame, side: str, extra: dict[str, Column] | None = None) -> DataFrame:
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return prepared(df).select(
+        text("external_id").alias(f"{side}_key"), text("_c").alias(f"{side}_c"), text("_n").alias(f"{side}_n"), text("location").alias(f"{side}_location"),
+        F.col("_u").cast("int").alias(f"{side}_u"), *[c.alias(f"{side}_{n}") for n, c in (extra or {}).items()])
 
 
-def scored_pairs(left: DataFrame, right: DataFrame, key: str = "external_id", block: str | None = None) -> DataFrame:
-    """Distinct pairs of left and right records of a block, by default a company token, with their similarity and outcome."""
-    names = [key, "_c", "_n", "_y", "_u", "block"]
-    placed = (lambda df: df.withColumn("block", F.col(block))) if block else blocks
-    a = placed(prepared(left)).select(*[F.col(n).alias(f"a_{n}") for n in names])
-    b = placed(prepared(right)).select(*[F.col(n).alias(f"b_{n}") for n in names])
-    pairs = a.join(b, (F.col("a_block") == F.col("b_block")) & (F.col(f"a_{key}") != F.col(f"b_{key}"))).drop("a_block", "b_block").distinct()
-    out = pairs.withColumn("company_similarity", wratio("a__c", "b__c")).withColumn("title_similarity", token_sort_ratio("a__n", "b__n"))
-    score = composite(F.col("company_similarity"), F.col("title_similarity"), F.col("a__y"), F.col("b__y"))
-    return out.withColumn("score", score).withColumn("outcome", outcome(F.col("score"), F.col("company_similarity")))
+def _met(left: DataFrame, right: DataFrame, by: Column, run: Callable, schema: str, left_block: int = CHUNK, right_block: int = BLOCK) -> DataFrame:
+    """``run(left frame, right frame)`` of every block of ``left`` with every block of ``right``, whose rows are dealt by ``by``.
+
+    The rule lets pairs match that share next to nothing (LEAST_SUM), so no key that both sides
+    must share is selective; what is sent is rows times blocks of the other side, and only pairs
+    above the bound come back.
+    """
+    ship(left.sparkSession)
+    n, m = (max(1, -(-df.count() // size)) for df, size in ((left, left_block), (right, right_block)))
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    a = left.withColumn("_l", F.pmod(F.xxhash64("l_key"), F.lit(n)).cast("int")).withColumn("_r", every(m))
+    b = right.withColumn("_r", F.pmod(F.xxhash64(by), F.lit(m)).cast("int")).withColumn("_l", every(n))
+    return a.groupBy("_l", "_r").cogroup(b.groupBy("_l", "_r")).applyInPandas(run, schema)
+
+
+def scored_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of left and right records of unlike ids that score ``FLAG`` or more, with similarities and outcome.
+
+    Records have external_id, company, title, location and apply_url; nulls read as empty.
+    Rows: a_ and b_ external_id, url quality; company_similarity, title_similarity, score, outcome.
+    """
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        i, j, c, t = similar(list(zip(a["l_c"], a["l_n"])), list(zip(b["r_c"], b["r_n"])), LEAST_SUM)
+        out = pd.DataFrame({
+            "a_external_id": a["l_key"].to_numpy()[i], "a__u": a["l_u"].to_numpy()[i], "a_city": a["l_location"].to_numpy()[i],
+            "b_external_id": b["r_key"].to_numpy()[j], "b__u": b["r_u"].to_numpy()[j], "b_city": b["r_location"].to_numpy()[j],
+            "company_similarity": c, "title_similarity": t})
+        return out[out["a_external_id"] != out["b_external_id"]]
+
+    schema = "a_external_id string, a__u int, a_city string, b_external_id string, b__u int, b_city string, company_similarity double, title_similarity double"
+    out = _met(_rows(left, "l"), _rows(right, "r"), F.col("r_key"), run, schema)
+    score = composite(F.col("company_similarity"), F.col("title_similarity"), city(F.col("a_city")), city(F.col("b_city")))
+    scored = out.withColumn("score", score).where(F.col("score") >= FLAG).drop("a_city", "b_city")
+    return scored.withColumn("outcome", outcome(F.col("score"), F.col("company_similarity")))
 
 
 def best_match(pairs: DataFrame, key: str = "external_id") -> DataFrame:
@@ -95,58 +132,13 @@ def merged_locations(locations: Column) -> Column:
     return F.when(F.size(distinct) > SHOWN, F.format_string("Multiple Locations (%d)", F.size(distinct))).otherwise(F.array_join(distinct, "; "))
 
 
-class Pool:
-    """The clusters so far. Similarities of titles are taken once for each distinct pair of texts."""
-
-    def __init__(self, company_ratio, title_ratio):
-        self.company_ratio, self.title_ratio = company_ratio, title_ratio
-        self.seeds: list[tuple[str, str]] = []  # company and title that a cluster is compared by
-        self.places: list[Places] = []
-        self.primary: list[tuple[int, str]] = []  # quality of its URL, and key
-        self.members: list[list[tuple[str, str, float]]] = []
-
-    @staticmethod
-    def weighed(company: float, title: float, here: str, there: str) -> float:
-        if here and there:
-            return 0.4 * company + 0.4 * title + (20.0 if here == there else 0.0)
-        return (company + title) / 2
-
-    def closest(self, company: str, title: str, here: str) -> tuple[int, float, float]:
-        """(cluster, score, company similarity) of the first best cluster, by falling bound on its score."""
-        bounds = []
-        for i, (_, t) in enumerate(self.seeds):
-            there = city_of(self.places[i].text)
-            ratio = self.title_ratio(title, t)
-            bounds.append((-self.weighed(100.0, ratio, here, there), i, ratio, there))
-        best = (-1, -1.0, 0.0)
-        for bound, i, ratio, there in sorted(bounds):
-            if -bound < best[1]:
-                break
-            c = self.company_ratio(company, self.seeds[i][0])
-            score = self.weighed(c, ratio, here, there)
-            if (score, -i) > (best[1], -best[0]):
-                best = (i, score, c)
-        return best
-
-    def take(self, key: str, company: str, title: str, location: str, quality: int) -> None:
-        i, score, similarity = self.closest(company, title, city_of(location))
-        verdict = "new" if i < 0 else verdict_of(score, similarity)
-        if verdict == "duplicate":
-            self.places[i].add(location)
-            self.members[i].append((key, verdict, score))
-            if quality > self.primary[i][0]:
-                self.primary[i] = (quality, key)
-            return
-        self.seeds.append((company, title))
-        self.places.append(Places(location))
-        self.primary.append((quality, key))
-        self.members.append([(key, "flagged" if verdict == "flagged" else "kept", max(score, 0.0))])
-
-    def rows(self) -> list[tuple]:
-        return [
-            (key, primary, state, float(score), places.text)
-            for members, places, (_, primary) in zip(self.members, self.places, self.primary) for key, state, score in members
-        ]
+@dataclass
+class Cluster:
+    position: int
+    record: int
+    key: str
+    location: str
+    quality: int
 
 
 def city_of(location: str) -> str:
@@ -160,30 +152,179 @@ def verdict_of(score: float, company: float) -> str:
     return "flagged" if score >= FLAG else "new"
 
 
-def cluster(df: DataFrame, key: str = "external_id", arrival: str = "arrival", block: str | None = None) -> DataFrame:
-    """Greedy clustering in order of arrival, each record against all that are kept so far.
+def _candidates(loose: bool) -> Callable:
+    """For each record of a chunk those of a block that it may match, with both similarities.
 
-    Returns (key, primary, outcome, score, location). The fold is sequential by its contract
-    and takes one task. With ``block`` it takes a task a block, exact only where no records
-    of different blocks are similar: equal cities or companies alone let two records match,
-    so neither a company's token nor any other single field is such a key.
+    Where both cities are known and can't come to be equal the sum must be larger. A record that
+    may take over a cluster of another city is marked: then it is compared by that city, so
+    all its pairs are needed, which ``loose`` gives.
+    """
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        i, j, c, t = similar(list(zip(a["l_c"], a["l_n"])), list(zip(b["r_c"], b["r_n"])), LEAST_SUM)
+        nth, own, record, quality = a["l_nth"].to_numpy()[i], a["l_key"].to_numpy()[i], b["r_id"].to_numpy()[j], b["r_u"].to_numpy()[j]
+        cities = [np.array([city_of(x) for x in side], object) for side in (a["l_location"], b["r_location"])]
+        here, there = cities[0][i], cities[1][j]
+        changing = np.array([not x or ";" in x or x.startswith(MANY.lower()) for x in cities[0]], bool)[i]
+        apart = ~changing & (there != "") & (here != there)
+        earlier = (own != b["r_key"].to_numpy()[j]) & ((record < nth) | ~b["r_mate"].to_numpy()[j])
+        takes = earlier & apart & (record > 0) & (c + t >= LEAST_APART_DUPLICATE) & (quality < a["l_u"].to_numpy()[i])
+        enough = earlier & (loose | ~apart | (c + t >= LEAST_APART))
+        out = pd.DataFrame({"l_nth": nth, "id": record, "c": c, "t": t, "takes": takes})
+        return out[enough]
+    return run
+
+
+class Fold:
+    """Records of a chunk in order of arrival against stored records and clusters near them."""
+
+    def __init__(self, near: pd.DataFrame, first: int, size: int):
+        near = near.sort_values("id")
+        self.first, self.near = first, near["id"].to_numpy(np.int64)
+        n = len(near) + size
+        self.alive, self.city, self.order = np.zeros(n, bool), np.full(n, "", object), np.zeros(n, np.int64)
+        self.clusters: dict[int, Cluster] = {}
+        self.stored: dict[int, str] = {}
+        self.by_key: dict[str, int] = {}
+        self.touched: set[int] = set()
+        self.events: list[tuple] = []
+        for k, row in enumerate(near.itertuples(index=False)):
+            self.alive[k], self.city[k] = True, city_of(row.location)
+            if row.id < 0:
+                self.stored[k], self.order[k] = row.key, -row.id - (1 << 40)  # the pool is in front
+            else:
+                self.order[k] = row.place
+                self.clusters[row.place] = Cluster(row.place, row.id, row.key, row.location, row.quality)
+                self.by_key.setdefault(row.key, row.place)
+
+    def at(self, record: np.ndarray | int) -> np.ndarray | int:
+        """Where a record is in the arrays: those near the chunk first, then the chunk by arrival."""
+        return np.where(record > self.first, len(self.near) + record - self.first - 1, np.searchsorted(self.near, record))
+
+    def stands(self, held: Cluster) -> None:
+        k = int(self.at(held.record))
+        self.alive[k], self.city[k], self.order[k] = True, city_of(held.location), held.position
+        self.by_key.setdefault(held.key, held.position)
+        self.touched.add(held.position)
+
+    def take(self, nth: int, key: str, location: str, quality: int, ids: np.ndarray, c: np.ndarray, t: np.ndarray) -> None:
+        here, score, k = city_of(location), 0.0, -1
+        if len(ids):
+            at = self.at(ids)
+            live = self.alive[at]
+            at, c, t = at[live], c[live], t[live]
+        if len(ids) and len(at):
+            there = self.city[at]
+            scores = np.where((there == "") | (not here), 0.5 * c + 0.5 * t, 0.4 * c + 0.4 * t + np.where(there == here, 20.0, 0.0))
+            score = scores.max()
+            best = np.flatnonzero(scores == score)
+            best = best[np.argmin(self.order[at[best]])]
+            k, company = int(at[best]), c[best]
+        verdict = verdict_of(score, company) if k >= 0 else "new"
+        if verdict != "duplicate":
+            self.clusters[nth] = Cluster(nth, nth, key, location, quality)
+            self.stands(self.clusters[nth])
+            self.events.append((nth, nth, None, "flagged" if verdict == "flagged" else "kept", score if verdict == "flagged" else 0.0))
+            return
+        # A stored record that the batch has kept as well stands for that cluster.
+        position = self.by_key.get(self.stored[k]) if k in self.stored else int(self.order[k])
+        if position is None:
+            self.events.append((nth, None, self.stored[k], "duplicate", score))
+            return
+        held = self.clusters[position]
+        held.location = merge_locations(held.location, location)
+        if quality > held.quality:
+            self.alive[int(self.at(held.record))] = False
+            if self.by_key.get(held.key) == position:
+                del self.by_key[held.key]
+            held.record, held.key, held.quality = nth, key, quality
+        self.events.append((nth, position, None, "duplicate", score))
+        self.stands(held)
+
+
+def _fold(first: int, size: int) -> Callable:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        near, fold = [], None
+        for frame in frames:
+            near.append(frame[frame["nth"] == 0])
+            rows = frame[frame["nth"] > 0]
+            if not len(rows):
+                continue
+            fold = fold or Fold(pd.concat(near), first, size)
+            for r in rows.itertuples(index=False):
+                fold.take(r.nth, r.key, r.location, r.quality, *(np.asarray([] if x is None else x) for x in (r.ids, r.c, r.t)))
+            yield pd.DataFrame(fold.events, columns=["nth", "position", "pool", "outcome", "score"]).assign(record=None, location=None, quality=None)
+            fold.events = []
+        if fold:
+            held = [(c.position, c.record, c.location, c.quality) for c in map(fold.clusters.get, fold.touched)]
+            yield pd.DataFrame(held, columns=["position", "record", "location", "quality"]).assign(nth=None, pool=None, outcome=None, score=None)
+    return run
+
+
+_FOLDED = "nth long, position long, pool string, outcome string, score double, record long, location string, quality int"
+
+
+def cluster(df: DataFrame, pool: DataFrame | None = None, arrival: str = "arrival", chunk: int = CHUNK) -> DataFrame:
+    """Greedy clustering in order of arrival: each record against all that are stored or kept so far.
+
+    ``df`` and ``pool`` have external_id, company, title, location and apply_url. A record joins
+    the best of ``pool`` and of the clusters' primaries at once, the first of equals with the pool in
+    front, if that scores as a duplicate; a better apply URL makes it the primary of its cluster,
+    and later records are compared with it. A stored record is never changed; one that the
+    batch has kept under the same id stands for that cluster. Ids that are equal are not compared.
+
+    Rows: key, primary in the end, outcome on arrival (kept, flagged, duplicate), score, location,
+    stored (whether the primary is of the pool); one for each row of ``df``. Ties of ``arrival`` go by external_id, and
+    those of the pool by its arrival if it has one. Nulls read as empty; empty tables give empty results.
+
+    What a record does depends on all before it, so records go in chunks by arrival. All
+    similarities of a chunk to the pool, the clusters and itself are taken by all tasks, in
+    blocks; one task then folds the numbers that can matter. It holds the chunk and the records
+    near it, and reads candidates a batch of rows at a time.
     """
-    from gleaner.functions.similarity import folded, token_sort, weighted_ratio
-
-    own = F.col(block).cast("string") if block else F.lit("")
-    ready = prepared(df).select(
-        F.col(key).cast("string").alias("key"), F.col(arrival).cast("long").alias("arrival"), "_c", "_n", F.coalesce("location", F.lit("")).alias("location"),
-        F.col("_u").cast("int").alias("_u"), own.alias("block"),
-    )
-
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["arrival", "key"])
-        pool = Pool(weighted_ratio, token_sort)
-        for key, company, title, location, quality in zip(frame["key"], frame["_c"], map(folded, frame["_n"]), frame["location"], frame["_u"]):
-            pool.take(key, company, title, location, quality)
-        return pd.DataFrame(pool.rows(), columns=["key", "primary", "outcome", "score", "location"])
-
-    return ready.groupBy("block").applyInPandas(fold, "key string, primary string, outcome string, score double, location string")
+    total_order = ["l_arrival", "l_key", "l_n", "l_c", "l_location", "l_u"]
+    ready = numbered(_rows(df, "l", {"arrival": F.col(arrival).cast("long")}), total_order, "l_nth").drop("l_arrival")
+    total = ready.count()
+    known = None
+    if pool is not None:
+        stored_order = F.col("arrival").cast("long") if "arrival" in pool.columns else F.lit(0).cast("long")
+        known = numbered(_rows(pool, "l", {"arrival": stored_order}), total_order, "l_nth").drop("l_arrival").withColumn("l_nth", -F.col("l_nth"))
+        known = known.withColumn("position", F.col("l_nth"))
+    state = ready.limit(0).withColumn("position", F.col("l_nth"))
+    side = lambda of, mate: of.select(F.col("l_nth").alias("r_id"), F.lit(mate).alias("r_mate"), *[F.col(f"l_{c}").alias(f"r_{c}") for c in ("key", "c", "n", "location", "u")])
+    events = None
+    for first in range(0, total, chunk):
+        rows = ready.where((F.col("l_nth") > first) & (F.col("l_nth") <= first + chunk))
+        standing = state if known is None else state.unionByName(known)
+        met = lambda a, b, loose: _met(a, b, F.col("r_id"), _candidates(loose), "l_nth long, id long, c double, t double, takes boolean", chunk)
+        right = side(standing, False).unionByName(side(rows, True))
+        pairs = stored(met(rows, right, False))
+        marked = pairs.where("takes").select("l_nth").distinct()
+        if not marked.isEmpty():
+            taking = stored(rows.join(marked, "l_nth", "left_semi"))
+            pairs = stored(pairs.unionByName(met(taking, right, True)).unionByName(met(rows, side(taking, True), True)).select("l_nth", "id", "c", "t").distinct())
+        lists = pairs.groupBy("l_nth").agg(F.collect_list(F.struct("id", "c", "t")).alias("x"))
+        chunk_rows = rows.join(lists, "l_nth", "left").select(
+            F.lit(0).cast("long").alias("id"), F.col("l_nth").alias("nth"), F.col("l_nth").alias("place"), F.col("l_key").alias("key"), F.col("l_location").alias("location"),
+            F.col("l_u").alias("quality"), F.col("x.id").alias("ids"), F.col("x.c").alias("c"), F.col("x.t").alias("t"))
+        near = standing.join(pairs.select(F.col("id").alias("l_nth")).distinct(), "l_nth", "left_semi")
+        if known is not None:  # and clusters under the ids of stored records among them
+            near = near.unionByName(state.join(near.where("l_nth < 0").select("l_key").distinct(), "l_key", "left_semi")).distinct()
+        near = near.select(
+            F.col("l_nth").alias("id"), F.lit(0).cast("long").alias("nth"), F.col("position").alias("place"), F.col("l_key").alias("key"), F.col("l_location").alias("location"),
+            F.col("l_u").alias("quality"), *[F.lit(None).cast(f"array<{kind}>").alias(c) for c, kind in (("ids", "long"), ("c", "double"), ("t", "double"))])
+        folded = stored(near.unionByName(chunk_rows).repartition(1).sortWithinPartitions("nth").mapInPandas(_fold(first, chunk), _FOLDED))
+        events = folded if events is None else events.unionByName(folded)
+        touched = folded.where("record is not null").select("position", F.col("record").alias("l_nth"), F.col("location").alias("l_location"), F.col("quality").alias("l_u"))
+        texts = ready.select("l_nth", "l_key", "l_c", "l_n")
+        state = stored(state.join(touched.select("position"), "position", "left_anti").unionByName(touched.join(texts, "l_nth")))
+    if events is None:
+        return ready.select(F.col("l_key").alias("key"), F.col("l_key").alias("primary"), F.lit("kept").alias("outcome"), F.lit(0.0).alias("score"),
+                            F.col("l_location").alias("location"), F.lit(False).alias("stored"))
+    primaries = state.select("position", F.col("l_key").alias("_primary"), F.col("l_location").alias("_location"))
+    done = ready.select("l_nth", "l_key", "l_location").join(events.where("nth is not null").withColumnRenamed("nth", "l_nth").drop("record", "location", "quality"), "l_nth")
+    return done.join(primaries, "position", "left").select(
+        F.col("l_key").alias("key"), F.coalesce("_primary", "pool").alias("primary"), "outcome", "score",
+        F.coalesce("_location", "l_location").alias("location"), F.col("position").isNull().alias("stored"))
 
 
 def url_upgrades(matches: DataFrame, key: str = "external_id") -> DataFrame:

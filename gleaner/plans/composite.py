@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.config import Gate, Lexicon
-from gleaner.functions.similarity import indel_ratio
 from gleaner.operators import enrich, jsonld, resolve, scoring
 from gleaner.plans.registry import Tables, query, whole_word
+from gleaner.runtime import shared_dir
 from gleaner.streaming import jobs
 
 # A substitute lexicon; the test documents hold no postings.
@@ -61,35 +60,30 @@ def keyword_score_spans(t: Tables) -> DataFrame:
     return scoring.score_records(_records(t), SPANS).select("doc_id", "keyword_score", "fit_score", "decision", "keywords_matched")
 
 
+def _parts(t: Tables) -> DataFrame:
+    return t.part.select(F.col("p_partkey").cast("string").alias("external_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("company"),
+                         F.concat("p_type", F.lit(", XX")).alias("location"), F.lit("https://x.example").alias("apply_url"), F.col("p_partkey").alias("arrival"))
+
+
 @query()
 def fuzzy_pairs(t: Tables) -> DataFrame:
-    parts = t.part.select(F.col("p_partkey").cast("string").alias("external_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("company"),
-                          F.concat("p_type", F.lit(", XX")).alias("location"), F.lit("").alias("apply_url"))
-    # Records of one brand meet; one stands for all copies of a text, and they are listed beside it.
-    texts = parts.groupBy("title", "company", "location", "apply_url").agg(F.min("external_id").alias("external_id"), F.sort_array(F.collect_list("external_id")).alias("copies"))
-    pairs = resolve.scored_pairs(texts, texts, block="company")
+    """Pairs of unlike texts that score 70 or more, one record standing for all of a text, and the membership of the others."""
+    texts = ["title", "company", "location", "apply_url"]
+    first = _parts(t).withColumn("text_id", F.min("external_id").over(Window.partitionBy(*texts)))
+    stands = first.where("external_id = text_id")
+    pairs = resolve.scored_pairs(stands, stands)
     best = resolve.best_match(pairs).select("a_external_id", F.col("b_external_id").alias("best_id"))
-    copies = texts.select(F.col("external_id").alias("left_id"), "title", "copies")
-    out = pairs.join(best, "a_external_id").select(
+    scored = pairs.join(best, "a_external_id").select(
         F.col("a_external_id").alias("left_id"), F.col("b_external_id").alias("right_id"), F.round("company_similarity", 4).alias("company_similarity"),
         F.round("title_similarity", 4).alias("title_similarity"), F.round("score", 4).alias("score"), "outcome", (F.col("b_external_id") == F.col("best_id")).alias("best"))
-    right = copies.select(F.col("left_id").alias("right_id"), F.col("title").alias("_t"), F.col("copies").alias("right_copies"))
-    return (
-        out.join(copies, "left_id").join(right, "right_id")
-        .select("left_id", "right_id", F.round(indel_ratio("title", "_t"), 4).alias("ratio"), "company_similarity", "title_similarity", "score", "outcome", "best",
-                F.col("copies").alias("left_copies"), "right_copies")
-        # A text of several records and no other of its brand still shows its copies.
-        .unionByName(texts.where(F.size("copies") > 1).select(
-            F.col("external_id").alias("left_id"), F.col("external_id").alias("right_id"), *[F.lit(100.0).alias(c) for c in ("ratio", "company_similarity", "title_similarity", "score")],
-            F.lit("duplicate").alias("outcome"), F.lit(False).alias("best"), F.col("copies").alias("left_copies"), F.col("copies").alias("right_copies")))
-    )
+    return scored.unionByName(first.where("external_id <> text_id").select(
+        F.col("external_id").alias("left_id"), F.col("text_id").alias("right_id"), *[F.lit(100.0).alias(c) for c in ("company_similarity", "title_similarity", "score")],
+        F.lit("copy").alias("outcome"), F.lit(False).alias("best")))
 
 
 @query()
 def dedup_clusters(t: Tables) -> DataFrame:
-    parts = t.part.select(F.col("p_partkey").cast("string").alias("external_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("company"),
-                          F.concat("p_type", F.lit(", XX")).alias("location"), F.lit("https://x.example").alias("apply_url"), F.col("p_partkey").alias("arrival"))
-    return resolve.cluster(parts)
+    return resolve.cluster(_parts(t))
 
 
 _HTML = ", ".join(f"({i}, '{h}')" for i, h in FIXTURE)
@@ -124,20 +118,8 @@ def enrich_confidence(t: Tables) -> DataFrame:
     return j.select("doc_id", F.when(F.col("quality").isNotNull(), enrich.lattice(found, present, conf)).otherwise(conf).alias("confidence"))
 
 
-def _shared(t: Tables) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set on one machine."""
-    folder = t.spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.match(r"local(\[|$)", t.spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        import tempfile
-
-        folder = f"file://{tempfile.mkdtemp(prefix='gleaner-stream-')}"
-    return f"{folder.rstrip('/')}/streams/{uuid.uuid4().hex}"
-
-
 def _drained(t: Tables, df: DataFrame) -> DataFrame:
-    base = _shared(t)
+    base = f"{shared_dir(t.spark)}/streams/{uuid.uuid4().hex}"
     jobs.drained(df, f"{base}/checkpoint", f"{base}/out")
     return t.spark.read.schema(df.schema).parquet(f"{base}/out")
 

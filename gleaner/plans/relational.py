@@ -116,9 +116,14 @@ def priority_budget(t: Tables) -> DataFrame:
     return A.within_budget(t.orders, [F.asc("o_orderpriority"), F.desc(F.floor(F.col("o_totalprice") / 10000)), F.asc("o_orderkey")], 300).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
-@query("SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) / 20) AS BIGINT) AS batch FROM orders")
+@query("SELECT *, CAST(floor((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) / 20) AS BIGINT) AS batch FROM orders")
 def batch_chunking(t: Tables) -> DataFrame:
-    return A.chunked(t.orders, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "batch")
+    return A.chunked(t.orders, ["o_orderdate", "o_orderkey"])
+
+
+@query("SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount) AS place FROM lineitem")
+def numbered_rows(t: Tables) -> DataFrame:
+    return A.numbered(t.lineitem, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"], "place")
 
 
 @query("SELECT user_id, event_id, rn FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn <= 20")

@@ -1,12 +1,14 @@
-"""What every operator with Python workers needs: this package on the executors."""
+"""What operators need of a session: this package on the executors, and tables that all of them see."""
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -23,3 +25,27 @@ def ship(spark: SparkSession) -> None:
             z.write(path, path.relative_to(root.parent))
     sc.addPyFile(str(archive))
     _shipped.add(sc.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    A temporary one is set only where that is unset in a session of one machine; a cluster without it is an error.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    current = spark._jsc.sc().getCheckpointDir()
+    if current.isEmpty():
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-"))
+        current = spark._jsc.sc().getCheckpointDir()
+    return current.get().rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written once in the shared folder and read back: later uses see the same rows, and plans their true size."""
+    path = f"{shared_dir(df.sparkSession)}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
