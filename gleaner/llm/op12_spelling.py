@@ -23,6 +23,9 @@ from gleaner.llm.common import batches, table
 LEAST_LENGTH, LEAST_COUNT, PREFIX = 5, 3, 3
 #: One run in so many is misspelt by the contract; distinct words that a task holds before it puts them out.
 MISSPELT, HELD = 97, 200_000
+#: How a bigram's rank, position and word length are summed to one number; beyond these sizes sums may meet by chance, which verifying mends.
+LONGEST = 1 << 21
+PLACE = LONGEST * LONGEST
 
 _RUN = re.compile(rf"[A-Za-zÀ-ÿ]{{{LEAST_LENGTH},}}")  # maximal, as no shorter run can give a word
 _ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -71,15 +74,25 @@ def prefix_of(word: str, order: dict[str, int]) -> list[tuple[str, int]]:
     return [(word[i : i + 2], i) for rank, i in grams if rank <= last]
 
 
+def letters(word: str) -> int:
+    """Whether each letter, of 64 classes, stands in the word an odd number of times; one edit changes two bits at most."""
+    bits = 0
+    for ch in word:
+        bits ^= 1 << (ord(ch) & 63)
+    return bits - ((bits >> 63) << 64)
+
+
 def _prefixes(order):
+    """A row for each bigram of a word's prefix; ``place`` holds the bigram's rank, its position and the word's length."""
     def run(frames):
         for frame in frames:
-            rows = [(w, n, g, i, len(w)) for w, n in zip(frame.column("word").to_pylist(), frame.column("n").to_pylist()) for g, i in prefix_of(w, order.value)]
+            rows = []
+            for w, n in zip(frame.column("word").to_pylist(), frame.column("n").to_pylist()):
+                bits = letters(w)
+                rows += [(w, n, bits, order.value[g] * PLACE + i * LONGEST + len(w)) for g, i in prefix_of(w, order.value)]
             for at in range(0, len(rows), 50_000):
-                word, n, gram, position, length = zip(*rows[at : at + 50_000])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(word), pa.array(n, pa.int64()), pa.array(gram), pa.array(position, pa.int32()), pa.array(length, pa.int32())],
-                    ["word", "n", "gram", "position", "length"])
+                word, n, bits, place = zip(*rows[at : at + 50_000])
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n, pa.int64()), pa.array(bits, pa.int64()), pa.array(place, pa.int64())], ["word", "n", "bits", "place"])
     return run
 
 
@@ -93,15 +106,15 @@ def near(words: DataFrame) -> DataFrame:
     # One row a bigram: at most 8,100 of the letters that words are made of.
     counted = grams.groupBy("gram").count().orderBy("count", "gram").toArrow().column("gram").to_pylist()
     order = spark.sparkContext.broadcast({g: i for i, g in enumerate(counted)})
-    index = table(batches(words.select("word", "n"), _prefixes(order), "word string, n long, gram string, position int, length int"))
+    index = table(batches(words.select("word", "n"), _prefixes(order), "word string, n long, bits long, place long"))
     # Where the bigram can stand in the other word: same length and place, or one longer and as far or one further.
-    places = F.array(*[F.struct((F.col("position") + p).alias("position"), (F.col("length") + l).alias("length")) for p, l in ((0, 0), (0, 1), (1, 1))])
-    probe = index.select(F.col("word").alias("a"), F.col("n").alias("n_a"), "gram", F.explode(places).alias("at"), F.col("length").alias("own"))
-    probe = probe.select("a", "n_a", "gram", "at.position", "at.length", "own")
-    other = index.withColumnsRenamed({"word": "b", "n": "n_b"})
-    pairs = probe.join(other, ["gram", "position", "length"])
+    steps = F.array(F.lit(0), F.lit(1), F.lit(LONGEST + 1))
+    probe = index.select(F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("own"), "place", F.explode(steps).alias("step"))
+    probe = probe.select("a", "n_a", "own", (F.col("place") + F.col("step")).alias("place"), (F.col("step") > 0).alias("longer"))
+    pairs = probe.join(index.select(F.col("word").alias("b"), F.col("n").alias("n_b"), "bits", "place"), "place")
+    few = F.bit_count(F.col("own").bitwiseXOR(F.col("bits"))) <= 2  # cheap, and lets no pair of one edit go
     return (
-        pairs.where(((F.col("own") < F.col("length")) | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1))
+        pairs.where(few & (F.col("longer") | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1))
         .select("a", "n_a", "b", "n_b").distinct()
     )
 
