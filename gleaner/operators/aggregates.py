@@ -86,14 +86,68 @@ def zero_streak(runs: DataFrame, order: str, total: str, last: int = 10) -> Data
     return newest.agg(F.coalesce(F.min(F.when(F.col(total) > 0, F.col("rn"))) - 1, F.count(F.lit(1))).cast("long").alias("streak"))
 
 
+def streaks(events: DataFrame, key: str, order: list[str], failed: Column, span: int = 10_000) -> DataFrame:
+    """events with ``place``, from 1 in a total ``order``, and ``fails``: how many rows of their key have failed in a row up to them.
+
+    A key may hold most rows: they are cut into spans of places, summed up as one row a key and
+    span (was there a success, and how many failed since), and only these rows of a key meet.
+    """
+    placed = stored(numbered(events.withColumn("_failed", F.coalesce(failed, F.lit(False))), order, "place")).withColumn("_span", F.floor((F.col("place") - 1) / span))
+    within = Window.partitionBy(key, "_span").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    cut = placed.withColumn("_island", F.count_if(~F.col("_failed")).over(within))
+    run = Window.partitionBy(key, "_span", "_island").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    cut = cut.withColumn("fails", F.count_if("_failed").over(run))
+    spans = cut.groupBy(key, "_span").agg(F.max("_island").alias("_resets"), F.max_by("fails", "place").alias("_tail"))
+    before = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, 0)
+    spans = spans.withColumn("_group", F.count_if(F.col("_resets") > 0).over(before))
+    after = Window.partitionBy(key, "_group").orderBy("_span").rowsBetween(Window.unboundedPreceding, 0)
+    spans = spans.withColumn("_through", F.sum("_tail").over(after))
+    carried = spans.withColumn("_carry", F.coalesce(F.lag("_through").over(Window.partitionBy(key).orderBy("_span")), F.lit(0)))
+    same = cut[key].eqNullSafe(carried[key]) & (cut["_span"] == carried["_span"])
+    joined = cut.join(carried.select(key, "_span", "_carry"), same).drop(carried[key]).drop(carried["_span"])
+    return joined.withColumn("fails", F.col("fails") + F.when(F.col("_island") == 0, F.col("_carry")).otherwise(0)).drop("_failed", "_span", "_island", "_carry")
+
+
 def breaker(events: DataFrame, key: str, order: list[str], failed: Column, trip: int = 5) -> DataFrame:
     """events with consecutive failures so far and whether the breaker is open; success resets."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    island = F.sum(F.when(failed, 0).otherwise(1)).over(w)
-    out = events.withColumn("_island", island)
-    inner = Window.partitionBy(key, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    fails = F.sum(F.when(failed, 1).otherwise(0)).over(inner)
-    return out.withColumn("fails", fails).withColumn("open", F.col("fails") >= trip).drop("_island")
+    return streaks(events, key, order, failed).withColumn("open", F.col("fails") >= trip).drop("place")
+
+
+def guarded(events: DataFrame, key: str, order: list[str], failed: Column, trip: int = 5, budget: int = 300) -> DataFrame:
+    """events, each a wish to fetch in order of priority, with what becomes of it: fetched, breaker or budget.
+
+    A key that fails ``trip`` times in a row is refused from then on and spends nothing; of the
+    rest the first ``budget`` are fetched. A null or empty key is never refused by its failures.
+    ``failed`` is what the fetch would give.
+
+    Until the budget is spent a key is refused after the first place where its streak is full,
+    whatever the others do, so places of refusal come from streaks; the budget ends at the place of
+    the last fetch it pays for, and no key is refused for failures after it.
+    """
+    named = F.coalesce(F.col(key).cast("string"), F.lit("")) != ""
+    run = stored(streaks(events, key, order, failed).withColumn("_named", named))
+    tripped = run.where(F.col("_named") & (F.col("fails") >= trip)).groupBy(key).agg(F.min("place").alias("_trip"))
+    known = run.join(tripped, key, "left")
+    wanted = F.col("_trip").isNull() | (F.col("place") <= F.col("_trip"))
+    # The first ``budget`` places that ask: a bounded number of rows, and one value.
+    end = known.where(wanted).orderBy("place").limit(budget).agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("last")).first()
+    last = F.lit(end.last if end.n == budget else None).cast("long")
+    if budget <= 0:
+        last = F.lit(0).cast("long")
+    spent = F.coalesce(F.col("place") > last, F.lit(False))
+    refused = F.col("_trip").isNotNull() & (F.col("place") > F.col("_trip")) & F.coalesce(F.col("_trip") <= last, F.lit(True))
+    return known.withColumn("outcome", F.when(refused, "breaker").when(spent, "budget").otherwise("fetched")).drop("_trip", "_named", "fails")
+
+
+def guard_snapshot(done: DataFrame, key: str, failed: Column, trip: int = 5, budget: int = 300) -> DataFrame:
+    """One row over ``guarded`` rows: keys that are refused, failures since each key's last success, fetches paid and the budget."""
+    fetched = done.where("outcome = 'fetched'").withColumn("_failed", F.coalesce(failed, F.lit(False)))
+    success = fetched.where("not _failed").groupBy(key).agg(F.max("place").alias("_ok"))
+    open_ = fetched.join(success, key, "left").where(F.col("_failed") & (F.col("place") > F.coalesce("_ok", F.lit(0)))).groupBy(key).agg(F.count(F.lit(1)).alias("fails"))
+    named = F.coalesce(F.col(key).cast("string"), F.lit("")) != ""
+    spent = done.agg(F.count_if(F.col("outcome") == "fetched").alias("used"))
+    return open_.where(named).agg(F.count_if(F.col("fails") >= trip).alias("tripped"), F.coalesce(F.sum("fails"), F.lit(0)).alias("failures")).join(
+        spent, how="cross").withColumn("budget", F.lit(budget).cast("long"))
 
 
 def within_budget(df: DataFrame, order: list[Column], budget: int) -> DataFrame:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.functions.rules import best_confidence
 from gleaner.functions.text import extract_location, extract_salary, html_to_text, missing, remote_status
 from gleaner.functions.urls import body_redirect, host, is_aggregator
+from gleaner.operators.jsonld import extracted
+from gleaner.operators.state import assigned
+from gleaner.runtime import stored
 
 
 def lattice(found: Column, present: Column, confidence: Column) -> Column:
@@ -91,3 +97,45 @@ def priority(tier: Column, score: Column, source: Column) -> list[Column]:
     """Fetch order: relevance tier, score bucket, aggregators first."""
     aggregator = source.isin("jooble", "adzuna", "jsearch", "google_alerts").cast("int")
     return [F.desc_nulls_last(tier), F.desc(F.floor(score / 10)), F.desc(aggregator)]
+
+
+def backfill_candidates(jobs: DataFrame) -> DataFrame:
+    """(external_id, apply_url) of active rows whose link is an aggregator's."""
+    link = F.coalesce("apply_url", F.lit(""))
+    return jobs.where((F.col("is_active") == 1) & (link != "") & is_aggregator(host(link))).select("external_id", "apply_url")
+
+
+def backfilled(jobs: DataFrame, asking: Callable | None = None, gap: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """(the rows with links that left the aggregators, (external_id, url, target) of every link tried).
+
+    Looking at the second alone is the dry run: nothing is written here.
+    """
+    from gleaner.sources import chain
+
+    links = stored(chain.landed(backfill_candidates(jobs), "external_id", "apply_url", asking or chain.ask, gap))
+    moved = links.where("target is not null").select("external_id", F.col("target").alias("apply_url"))
+    return assigned(jobs, moved, "external_id", ["apply_url"]), links
+
+
+def page_observations(df: DataFrame, pages: DataFrame, confidence: float = 0.85) -> DataFrame:
+    """(external_id, field, seq, source, value, confidence): what JSON-LD postings on pages that aren't an aggregator's say of the rows of ``df``."""
+    own = pages.where(~is_aggregator(host(F.coalesce("final_url", "apply_url", F.lit("")))))
+    found = extracted(own.select("apply_url", "html"), "apply_url")
+    said = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in found.columns if c != "apply_url"])
+    return df.select("external_id", "apply_url").join(found, "apply_url").select("external_id", F.explode(said).alias("o")).select(
+        "external_id", F.col("o.field").alias("field"), F.lit(99).alias("seq"), F.lit("schema_org").alias("source"), F.col("o.value").alias("value"),
+        F.lit(confidence).alias("confidence")).where("value is not null")
+
+
+def heard(df: DataFrame) -> DataFrame:
+    """The arrangement that each description says, as observations of both fields it speaks of."""
+    said = best_confidence(F.coalesce("description", F.lit("")))
+    fields = F.explode(F.array(F.lit("is_remote"), F.lit("work_arrangement"))).alias("field")
+    return df.select("external_id", said.alias("s"), fields).select(
+        "external_id", "field", F.lit(9).alias("seq"), F.lit("text_classifier").alias("source"), F.col("s.value").alias("value"), F.col("s.confidence").alias("confidence")).where("value is not null")
+
+
+def heard_tallies(df: DataFrame) -> DataFrame:
+    """One row: descriptions that say an arrangement, each arrangement, and those that say none."""
+    said = df.select(best_confidence(F.coalesce("description", F.lit("")))["value"].alias("v"))
+    return said.agg(F.count("v").alias("classified"), *[F.count_if(F.col("v") == x).alias(x) for x in ("remote", "hybrid", "onsite")], F.count_if(F.col("v").isNull()).alias("no_signal"))

@@ -5,30 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.runtime import stored
+
 BLOCK = r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
-#: Lists and graphs inside each other that are opened.
-DEPTH = 5
 COUNTRIES = {"usa": "US", "united states": "US", "united states of america": "US", "uk": "GB", "united kingdom": "GB", "canada": "CA", "australia": "AU"}
 
 
 def _is_posting(v: Column) -> Column:
     kind = F.coalesce(F.try_variant_get(v, "$['@type']", "string"), F.lit(""))
     kinds = F.coalesce(F.try_variant_get(v, "$['@type']", "array<string>"), F.array().cast("array<string>"))
-    return (kind == "JobPosting") | F.array_contains(kinds, "JobPosting")
+    return (F.lower(kind) == "jobposting") | F.exists(kinds, lambda k: F.lower(k) == "jobposting")
+
 
+def postings(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, path, node): every JobPosting node of the pages' JSON-LD blocks as JSON, where it stands in document order.
 
-def postings(html: Column) -> Column:
-    """All JobPosting nodes of a page: at the top, in lists or in @graph, up to ``DEPTH`` of these inside each other."""
-    blocks = F.transform(F.regexp_extract_all(html, F.lit(BLOCK), F.lit(1)), F.try_parse_json)
-    none = F.array().cast("array<variant>")
-    level = lambda v: F.flatten(F.array(
-        F.array(v), F.coalesce(F.try_variant_get(v, "$", "array<variant>"), none), F.coalesce(F.try_variant_get(v, "$['@graph']", "array<variant>"), none)))
-    # Each step replaces a list or graph by what it holds and leaves postings as they are.
-    inner = lambda v: F.when(_is_posting(v), F.array(v)).otherwise(F.slice(level(v), F.lit(2), F.lit(1 << 30)))
-    nodes = F.array_compact(blocks)
-    for _ in range(DEPTH):
-        nodes = F.filter(F.flatten(F.transform(nodes, inner)), lambda v: v.isNotNull())
-    return F.filter(nodes, _is_posting)
+    Lists and ``@graph`` values are opened a level a round until none is left, however deep they
+    lie; a posting isn't opened. Blocks that aren't JSON say nothing, null pages have no blocks.
+    """
+    blocks = pages.select(key, F.posexplode(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(BLOCK), F.lit(1))).alias("i", "block"))
+    nodes = blocks.select(key, F.array("i").alias("path"), F.try_parse_json(F.trim("block")).alias("v")).where("v is not null")
+    found = None
+    while True:
+        seen = stored(nodes.select(key, "path", F.to_json("v").alias("node"), _is_posting(F.col("v")).alias("hit")))
+        hits = seen.where("hit").drop("hit")
+        found = hits if found is None else found.unionByName(hits)
+        v = F.parse_json("node")
+        graph = F.try_variant_get(v, "$['@graph']", "variant")
+        inner = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(graph.isNotNull(), F.array(graph)))
+        nodes = seen.where("not hit").select(key, "path", F.posexplode(inner).alias("i", "v")).select(key, F.concat("path", F.array("i")).alias("path"), "v").where("v is not null")
+        if seen.where("not hit").where(F.size(inner) > 0).isEmpty():
+            return found
 
 
 def facts(node: Column) -> Column:
@@ -48,9 +55,9 @@ def facts(node: Column) -> Column:
 
 
 def extracted(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """(key, fact columns) of the first posting of each page that has one."""
-    found = pages.select(key, F.try_element_at(postings(F.coalesce(html, F.lit(""))), F.lit(1)).alias("p")).where("p is not null")
-    return found.select(key, facts(F.col("p")).alias("f")).select(key, "f.*")
+    """(key, fact columns) of the first posting of each page that has one; rows that share a key are one page."""
+    first = postings(pages, key, html).groupBy(key).agg(F.min_by("node", "path").alias("node"))
+    return first.select(key, facts(F.parse_json("node")).alias("f")).select(key, "f.*")
 
 
 def employment_type(seniority: Column | None) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.stats import days_between
 from gleaner.functions.urls import host, is_aggregator, verdict
+from gleaner.runtime import stored
 
 CLOSE_AFTER, ARCHIVE_AFTER, PICKS, CALLS = 7, 21, 500, 150
 
@@ -66,6 +69,39 @@ def method_after(method: Column, status: Column) -> Column:
     return F.when((method == "HEAD") & status.isin(403, 405, 501), "GET")
 
 
+def checked(jobs: DataFrame, boards: DataFrame, listed: DataFrame, as_of: Column, statuses: Callable[[DataFrame], DataFrame], most: int = PICKS, calls: int = CALLS) -> DataFrame:
+    """The due rows of a run with their verdicts, by board, by page, or put off: what ``tallies`` counts.
+
+    ``boards(ats, slug)`` can be trusted and ``listed(ats, slug, jid)`` are their jobs. Rows that no
+    board decides and whose link isn't an aggregator's are asked for, the first ``calls`` of
+    them in the order of the picks; ``statuses`` maps these rows to (external_id, status).
+    """
+    due_first = [F.col("last_lifecycle_check").asc_nulls_first(), F.col("external_id")]
+    parts = picks(jobs, as_of, most=most).withColumn("_b", board_key(F.col("external_id")))
+    page = F.coalesce(F.nullif("apply_url", F.lit("")), F.col("source_url"), F.lit("")) if "source_url" in jobs.columns else F.coalesce("apply_url", F.lit(""))
+    parts = parts.select("*", "_b.*").drop("_b").withColumn("apply_url", page)
+    rows = stored(membership(parts, boards, listed, ["ats", "slug"], ["ats", "slug", "jid"]))
+    away = is_aggregator(host(F.col("apply_url"))) | (host(F.col("apply_url")) == "")
+    asked = stored(with_budget(rows.where(F.col("verdict").isNull() & ~away), due_first, calls).select("external_id", "apply_url", "deferred"))
+    answers = statuses(asked.where("not deferred").select("external_id", "apply_url"))
+    joined = rows.withColumnRenamed("verdict", "_board").join(asked.drop("apply_url"), "external_id", "left").join(answers, "external_id", "left")
+    put_off = F.coalesce("deferred", F.lit(False))
+    by_page = F.when(F.col("deferred").isNotNull(), verdict(F.col("status"))).otherwise("unknown")
+    return joined.select(
+        "external_id", F.when(~put_off, F.coalesce("_board", by_page)).alias("verdict"), "status", put_off.alias("deferred"), F.col("lifecycle_status").alias("old_status"),
+    ).withColumn("new_status", with_verdict(F.col("old_status"), F.col("verdict")))
+
+
+def rechecked(jobs: DataFrame, done: DataFrame, as_of: Column) -> DataFrame:
+    """The stored rows after a check: date and verdict of those that were looked at, status where a verdict says one."""
+    seen = done.where("not deferred").select("external_id", F.col("verdict").alias("_v"), F.col("new_status").alias("_s"))
+    j = jobs.join(seen, "external_id", "left")
+    return j.withColumns({
+        "lifecycle_status": F.coalesce("_s", "lifecycle_status"), "last_lifecycle_verdict": F.coalesce("_v", "last_lifecycle_verdict"),
+        "last_lifecycle_check": F.when(F.col("_v").isNotNull(), as_of.cast("date")).otherwise(F.col("last_lifecycle_check")),
+    }).select(*jobs.columns)
+
+
 def tallies(checked: DataFrame) -> DataFrame:
     """One row of counts over ``checked(external_id, verdict, status, deferred, old_status, new_status)`` and the ids that changed."""
     changed = F.col("old_status") != F.col("new_status")

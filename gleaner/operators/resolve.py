@@ -331,3 +331,11 @@ def url_upgrades(matches: DataFrame, key: str = "external_id") -> DataFrame:
     """Duplicates whose apply URL is better than that of the stored record they match."""
     return matches.where((F.col("outcome") == "duplicate") & (F.col("a__u") > F.col("b__u"))).select(
         F.col(f"a_{key}").alias(key), F.col(f"b_{key}").alias("against"), F.col("a__u").alias("new_score"), F.col("b__u").alias("old_score"))
+
+
+def upgraded(jobs: DataFrame, known: DataFrame) -> DataFrame:
+    """The stored ``jobs`` with the best apply URL of the duplicates ``known(external_id, against, apply_url)`` where it is better than their own."""
+    best = known.groupBy(F.col("against").alias("external_id")).agg(
+        F.min(F.struct((-apply_score(F.col("apply_url"))).alias("u"), "external_id", F.col("apply_url").alias("url"))).alias("_best"))
+    better = -F.col("_best.u") > apply_score(F.coalesce("apply_url", F.lit("")))
+    return jobs.join(best, "external_id", "left").withColumn("apply_url", F.when(better, F.col("_best.url")).otherwise(F.col("apply_url"))).select(*jobs.columns)

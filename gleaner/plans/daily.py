@@ -12,6 +12,7 @@ from gleaner.config import Lexicon
 from gleaner.functions import rules
 from gleaner.functions.text import normalize_company
 from gleaner.operators import aggregates, classifier, consensus, enrich, lifecycle, publish, resolve, scoring, state
+from gleaner.runtime import stored
 
 
 @dataclass
@@ -36,7 +37,7 @@ def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answer
     day = F.lit(as_of)
     by_source = batch.groupBy("source_name").agg(F.count(F.lit(1)).alias("n"))
     if "arrival" not in batch.columns:  # the order of the batch itself: sources as united, rows as read
-        batch = batch.withColumn("arrival", F.monotonically_increasing_id())
+        batch = stored(batch.withColumn("arrival", F.monotonically_increasing_id()))  # written, so that a lost executor can't number anew
     scored = scoring.score_records(batch, lexicon).cache()
     rejects = F.col("decision").isin("auto_reject", "low_score")
     rejected = scored.where(rejects)
@@ -48,24 +49,16 @@ def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answer
         "vendors_mentioned": F.array_join(rules.multi_label(F.coalesce("description", F.lit(""))), ","),
         "company_normalized": normalize_company(F.col("company")),
     })
-    # Resolution within the batch, then against what is stored.
-    clusters = resolve.cluster(labelled)
-    primaries = labelled.drop("location").join(clusters.where("key = primary").select(F.col("key").alias("external_id"), "location"), "external_id")
-    primaries, clusters = primaries.cache(), clusters.cache()
-    duplicates = clusters.where("key <> primary")
+    # Resolution: each record against what is stored and what the batch has kept, the best of both at once.
     texts = [F.coalesce(c, F.lit("")).alias(c) for c in ("company", "title", "location", "apply_url")]
-    records = lambda df: df.select("external_id", *texts, F.lit("").alias("pool"))
-    matches = resolve.best_match(resolve.scored_pairs(records(primaries), records(lifecycle.dedup_pool(jobs, day)), block="pool")).where("outcome = 'duplicate'")
-    matches = matches.cache()
-    known = matches.select(F.col("a_external_id").alias("external_id"))
-    duplicates = duplicates.unionByName(matches.join(primaries.select(F.col("external_id").alias("a_external_id"), "location"), "a_external_id").select(
-        F.col("a_external_id").alias("key"), F.col("b_external_id").alias("primary"), "outcome", "score", "location"))
-    urls = resolve.url_upgrades(matches).join(primaries.select("external_id", F.col("apply_url").alias("url")), "external_id")
-    better = urls.groupBy(F.col("against").alias("external_id")).agg(F.min(F.struct(-F.col("new_score"), F.col("external_id"), "url"))["url"].alias("_url"))
-    jobs = jobs.join(better, "external_id", "left").withColumn("apply_url", F.coalesce("_url", "apply_url")).select(*jobs.columns)
-    primaries = primaries.join(known, "external_id", "left_anti")
+    pool = lifecycle.dedup_pool(jobs, day).select("external_id", *texts)
+    clusters = resolve.cluster(labelled.select("external_id", *texts, "arrival"), pool).cache()
+    duplicates = clusters.where("key <> primary or stored")
+    primaries = labelled.drop("location").join(clusters.where("key = primary and not stored").select(F.col("key").alias("external_id"), "location"), "external_id")
+    known = clusters.where("stored").select(F.col("key").alias("external_id"), F.col("primary").alias("against"))
+    jobs = resolve.upgraded(jobs, labelled.join(known, "external_id").select("external_id", "against", "apply_url"))
     # Votes on the arrangement, by source prior and by the descriptions' own words, of all members of a cluster.
-    members = labelled.join(clusters.select(F.col("key").alias("external_id"), "primary"), "external_id").withColumn("external_id", F.col("primary"))
+    members = labelled.join(clusters.where("not stored").select(F.col("key").alias("external_id"), "primary"), "external_id").withColumn("external_id", F.col("primary"))
     own = consensus.observations(members, "external_id", ("is_remote", "work_arrangement"))
     said = rules.best_confidence(F.coalesce("description", F.lit("")))
     heard = members.select("external_id", F.lit("is_remote").alias("field"), F.lit(9).alias("seq"), F.lit("text_classifier").alias("source"),
@@ -78,8 +71,8 @@ def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answer
     if pages is not None:
         enriched = enrich.from_pages(enriched, pages)
     enriched = enrich.assumed(enriched)
-    stored = [c for c in jobs.columns if c in enriched.columns]
-    merged = state.merge(jobs, enriched.select(*stored), "external_id", day)
+    names = [c for c in jobs.columns if c in enriched.columns]
+    merged = state.merge(jobs, enriched.select(*names), "external_id", day)
     archived = lifecycle.archived(merged, day)
     active = archived.where("is_active = 1")
     published = enriched.select("external_id", publish.payload(enriched, [c for c in enriched.columns if c not in ("raw_data", "arrival")]).alias("payload"), "publish")

@@ -111,6 +111,31 @@ def breaker_trip(t: Tables) -> DataFrame:
     return A.breaker(t.events, "user_id", ["ts", "event_id"], F.col("event_type") == "error", 3).select("event_id", "user_id", "fails", "open")
 
 
+_GUARD = """
+WITH p AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS place, event_type = 'error' AS failed FROM events),
+i AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY place ROWS UNBOUNDED PRECEDING) AS g FROM p),
+f AS (SELECT *, sum(CASE WHEN failed THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, g ORDER BY place ROWS UNBOUNDED PRECEDING) AS fails FROM i),
+t AS (SELECT user_id, min(place) AS trip FROM f WHERE fails >= 2 GROUP BY 1),
+k AS (SELECT f.*, trip FROM f LEFT JOIN t USING (user_id)),
+e AS (SELECT max(place) AS last FROM (SELECT place FROM k WHERE trip IS NULL OR place <= trip ORDER BY place LIMIT 5000)),
+o AS (SELECT k.*, CASE WHEN trip IS NOT NULL AND place > trip AND trip <= last THEN 'breaker' WHEN place > last THEN 'budget' ELSE 'fetched' END AS outcome FROM k, e)
+"""
+
+
+@query(_GUARD + "SELECT event_id, user_id, place, outcome FROM o")
+def fetch_guardrails(t: Tables) -> DataFrame:
+    return A.guarded(t.events, "user_id", ["ts", "event_id"], F.col("event_type") == "error", 2, 5000).select("event_id", "user_id", "place", "outcome")
+
+
+@query(_GUARD + """, s AS (SELECT user_id, max(place) AS ok FROM o WHERE outcome = 'fetched' AND NOT failed GROUP BY 1),
+c AS (SELECT user_id, count(*) AS n FROM o LEFT JOIN s USING (user_id) WHERE outcome = 'fetched' AND failed AND place > coalesce(ok, 0) GROUP BY 1)
+SELECT count_if(n >= 2)::BIGINT AS tripped, coalesce(sum(n), 0)::BIGINT AS failures, (SELECT count(*) FROM o WHERE outcome = 'fetched') AS used, 5000::BIGINT AS budget FROM c
+""")
+def guardrail_snapshot(t: Tables) -> DataFrame:
+    failed = F.col("event_type") == "error"
+    return A.guard_snapshot(A.guarded(t.events, "user_id", ["ts", "event_id"], failed, 2, 5000), "user_id", failed, 2, 5000)
+
+
 @query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, floor(o_totalprice / 10000) DESC, o_orderkey LIMIT 300")
 def priority_budget(t: Tables) -> DataFrame:
     return A.within_budget(t.orders, [F.asc("o_orderpriority"), F.desc(F.floor(F.col("o_totalprice") / 10000)), F.asc("o_orderkey")], 300).select("o_orderkey", "o_orderpriority", "o_totalprice")
