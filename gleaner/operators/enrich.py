@@ -130,9 +130,9 @@ def page_observations(df: DataFrame, pages: DataFrame, confidence: float = 0.85)
 def heard(df: DataFrame) -> DataFrame:
     """The arrangement that each description says, as observations of both fields it speaks of."""
     said = best_confidence(F.coalesce("description", F.lit("")))
-    fields = F.explode(F.array(F.lit("is_remote"), F.lit("work_arrangement"))).alias("field")
-    return df.select("external_id", said.alias("s"), fields).select(
-        "external_id", "field", F.lit(9).alias("seq"), F.lit("text_classifier").alias("source"), F.col("s.value").alias("value"), F.col("s.confidence").alias("confidence")).where("value is not null")
+    one = df.select("external_id", said["value"].alias("value"), said["confidence"].alias("confidence")).where("value is not null")
+    return one.select("external_id", F.explode(F.array(F.lit("is_remote"), F.lit("work_arrangement"))).alias("field"), F.lit(9).alias("seq"),
+                      F.lit("text_classifier").alias("source"), "value", "confidence")
 
 
 def heard_tallies(df: DataFrame) -> DataFrame:

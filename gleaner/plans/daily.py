@@ -15,6 +15,10 @@ from gleaner.operators import aggregates, classifier, consensus, enrich, lifecyc
 from gleaner.runtime import stored
 
 
+#: Fields that sources, descriptions and pages vote on.
+VOTED = ("is_remote", "work_arrangement")
+
+
 @dataclass
 class Outcome:
     """What a run leaves: the new state, what to publish, what was rejected, and the day's figures."""
@@ -27,12 +31,12 @@ class Outcome:
     by_source: DataFrame
 
 
-def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answers: DataFrame | None = None, pages: DataFrame | None = None) -> Outcome:
+def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answers: DataFrame | None = None, pages: DataFrame | None = None, log: str | None = None) -> Outcome:
     """One day: score, route, classify, label, resolve, vote, enrich, merge, archive, aggregate.
 
     ``batch`` has the record schema, ``jobs`` the stored one (both may be empty). ``answers``
     are classifier responses and ``pages`` fetched pages; without them the keyword fallback
-    and the descriptions decide.
+    and the descriptions decide. Decisions are appended under ``log`` if it is given.
     """
     day = F.lit(as_of)
     by_source = batch.groupBy("source_name").agg(F.count(F.lit(1)).alias("n"))
@@ -59,21 +63,36 @@ def run(batch: DataFrame, jobs: DataFrame, lexicon: Lexicon, as_of: date, answer
     jobs = resolve.upgraded(jobs, labelled.join(known, "external_id").select("external_id", "against", "apply_url"))
     # Votes on the arrangement, by source prior and by the descriptions' own words, of all members of a cluster.
     members = labelled.join(clusters.where("not stored").select(F.col("key").alias("external_id"), "primary"), "external_id").withColumn("external_id", F.col("primary"))
-    own = consensus.observations(members, "external_id", ("is_remote", "work_arrangement"))
-    said = rules.best_confidence(F.coalesce("description", F.lit("")))
-    heard = members.select("external_id", F.lit("is_remote").alias("field"), F.lit(9).alias("seq"), F.lit("text_classifier").alias("source"),
-                             said["value"].alias("value"), said["confidence"].alias("confidence")).where("value is not null")
-    votes = consensus.vote(own.unionByName(heard), "external_id").where("field = 'is_remote'").select("external_id", F.col("value").alias("_v"), F.col("confidence").alias("_c"))
-    voted = primaries.join(votes, "external_id", "left").withColumn("is_remote", consensus.applied(F.col("is_remote"), F.col("_v"), F.col("_c"))["value"]).drop("_v", "_c")
+    observed = consensus.observations(members, "external_id", VOTED).unionByName(enrich.heard(members))
+    if pages is not None:
+        observed = observed.unionByName(enrich.page_observations(members, pages))
+    votes = consensus.vote(observed.where(F.col("field").isin(*VOTED)), "external_id")
+    voted = primaries
+    for field in VOTED:
+        own = votes.where(F.col("field") == field).select("external_id", F.col("value").alias("_v"), F.col("confidence").alias("_c"))
+        voted = voted.join(own, "external_id", "left").withColumn(field, consensus.applied(F.col(field), F.col("_v"), F.col("_c"))["value"]).drop("_v", "_c")
     blank = F.lit("unverified")
     enriched = enrich.from_hints(voted.withColumns({"remote_confidence": blank, "salary_confidence": blank, "location_confidence": blank}))
     enriched = enrich.from_description(enriched)
-    if pages is not None:
-        enriched = enrich.from_pages(enriched, pages)
+    if pages is not None:  # rows that were enriched lately keep what they have
+        lately = jobs.where(~enrich.stale(F.col("enrichment_date"), day)).select("external_id")
+        due = enrich.from_pages(enriched.join(lately, "external_id", "left_anti"), pages).withColumn("enrichment_date", day.cast("string"))
+        enriched = due.unionByName(enriched.join(lately, "external_id", "left_semi"), allowMissingColumns=True)
     enriched = enrich.assumed(enriched)
     names = [c for c in jobs.columns if c in enriched.columns]
     merged = state.merge(jobs, enriched.select(*names), "external_id", day)
     archived = lifecycle.archived(merged, day)
     active = archived.where("is_active = 1")
+    if log:
+        publish.shadowed(rejected.select("external_id", "title", "company", "keyword_score", "decision"), "keyword_filter", log)
+        publish.shadowed(routed.select("external_id", "llm_classification", "llm_confidence", "publish"), "classifier", log)
     published = enriched.select("external_id", publish.payload(enriched, [c for c in enriched.columns if c not in ("raw_data", "arrival")]).alias("payload"), "publish")
     return Outcome(archived, published, rejected, duplicates, aggregates.snapshot(active, day), by_source)
+
+
+def sweep(table: state.VersionedTable, as_of: date) -> DataFrame:
+    """The archival of a day without a batch, written as a new version; (external_id, old, new) of the rows whose status changed."""
+    before = table.read()
+    after = lifecycle.archived(before, F.lit(as_of))
+    table.write(after)
+    return state.transitions(before, table.read(), "external_id", "lifecycle_status")

@@ -72,3 +72,37 @@ def test_a_posting_already_stored_under_another_id_is_not_new(spark):
     assert state.keys() == {"jooble_5", "lever_beta_1"} and state["jooble_5"].apply_url == "https://acme.com/lever_acme_9"
     assert [(r.key, r.primary) for r in out.duplicates.collect()] == [("lever_acme_9", "jooble_5")]
     assert [r.external_id for r in out.published.collect()] == ["lever_beta_1"]
+
+
+def stored_jobs(spark, *rows):
+    names = [c.split()[0] for c in JOBS.split(", ")]
+    kinds = dict(c.split() for c in JOBS.split(", "))
+    if not rows:
+        return spark.createDataFrame([], JOBS)
+    return spark.range(len(rows)).select(*[F.element_at(F.array(*[F.lit(r.get(c)).cast(kinds[c]) for r in rows]), (F.col("id") + 1).cast("int")).alias(c) for c in names])
+
+
+def test_pages_vote_and_fresh_rows_are_left(spark, tmp_path):
+    rows = [("lever_acme_1", "People Analytics Manager", "Acme", "Austin, TX", "people analytics", "lever", "onsite"),
+            ("lever_beta_1", "People Analytics Lead", "Beta", "Reno, NV", "people analytics hybrid schedule", "lever", "unknown")]
+    posting = '<script type="application/ld+json">{"@type":"JobPosting","jobLocationType":"TELECOMMUTE"}</script>'
+    pages = spark.createDataFrame([(f"https://{c}.com/lever_{c}_1", f"https://{c}.com/lever_{c}_1", posting) for c in ("acme", "beta")], "apply_url string, final_url string, html string")
+    lately = {"external_id": "lever_beta_1", "title": "x", "company": "Beta", "location": "Reno, NV", "is_active": 1, "enrichment_date": "2024-06-28", "enrichment_source": "aggregator",
+              "first_seen_date": datetime.date(2024, 6, 1), "last_seen_date": datetime.date(2024, 6, 28)}
+    out = daily.run(batch(spark, rows), stored_jobs(spark, lately), LEXICON, DAY, pages=pages, log=str(tmp_path / "log"))
+    state = {r.external_id: r for r in out.jobs.collect()}
+    assert state["lever_acme_1"].enrichment_source == "page" and state["lever_acme_1"].enrichment_date == "2024-06-30"
+    assert state["lever_beta_1"].enrichment_date == "2024-06-28" and state["lever_beta_1"].enrichment_source == "aggregator"
+    assert state["lever_beta_1"].work_arrangement in ("hybrid", "remote")
+    assert spark.read.json(str(tmp_path / "log")).groupBy("stage").count().count() >= 1
+
+
+def test_a_sweep_without_a_batch(spark, tmp_path):
+    from gleaner.operators.state import VersionedTable
+
+    day = lambda d: datetime.date(2024, 6, d)
+    row = lambda key, seen: {"external_id": key, "is_active": 1, "lifecycle_status": "active", "first_seen_date": day(1), "last_seen_date": day(seen)}
+    table = VersionedTable(spark, f"file://{tmp_path}/jobs")
+    table.write(stored_jobs(spark, row("fresh", 29), row("quiet", 20), row("gone", 2)))
+    assert sorted((r.external_id, r.old, r.new) for r in daily.sweep(table, DAY).collect()) == [("gone", "active", "likely_closed"), ("quiet", "active", "likely_closed")]
+    assert {r.external_id: r.is_active for r in table.read().collect()} == {"fresh": 1, "quiet": 1, "gone": 0} and table.version() == 2
