@@ -11,7 +11,7 @@ from gleaner.config import Gate, Lexicon
 from gleaner.operators import enrich, jsonld, resolve, scoring
 from gleaner.plans.registry import Tables, query, whole_word
 from gleaner.runtime import shared_dir
-from gleaner.streaming import jobs
+from gleaner.streaming import expiry, jobs
 
 # A substitute lexicon; the test documents hold no postings.
 LEXICON = Lexicon(
@@ -124,6 +124,13 @@ def _drained(t: Tables, df: DataFrame) -> DataFrame:
     return t.spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
+def _updated(t: Tables, df: DataFrame) -> DataFrame:
+    """All rows that a stateful stream puts out until it has read everything; each micro-batch has a folder of its own, so a batch that is run again replaces it."""
+    base = f"{shared_dir(t.spark)}/streams/{uuid.uuid4().hex}"
+    jobs.drained_batches(df, f"{base}/checkpoint", lambda frame, batch: frame.write.mode("overwrite").parquet(f"{base}/out/batch={batch}"))
+    return t.spark.read.schema(df.schema).parquet(f"{base}/out").select(*df.columns)
+
+
 @query("""
 WITH w AS (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2), m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)
 SELECT CAST(day AS DATE) AS day, event_type, n, total FROM w, m WHERE day + INTERVAL 1 DAY <= mark
@@ -146,3 +153,55 @@ def stream_session(t: Tables) -> DataFrame:
 @query("SELECT DISTINCT event_id FROM events")
 def stream_dedup(t: Tables) -> DataFrame:
     return _drained(t, jobs.deduplicated(jobs.events(t.spark, t.folder)).select("event_id"))
+
+
+def _keyed(t: Tables) -> DataFrame:
+    return jobs.events(t.spark, t.folder).select(F.col("user_id").cast("string").alias("key"), "ts", F.col("event_type").alias("value"), F.col("event_id").alias("tie"))
+
+
+_E = "WITH e AS (SELECT CAST(user_id AS VARCHAR) AS key, epoch_us(ts) // 1000 AS ms, event_type AS value, event_id FROM events), m AS (SELECT max(ms) - 3600000 AS mark FROM e)"
+
+
+@query(_E + """, n AS (SELECT *, lag(ms) OVER o AS before, lead(ms) OVER o AS after FROM e WINDOW o AS (PARTITION BY key ORDER BY ms, event_id)),
+s AS (SELECT key, ms + 43200000 AS ms, 'likely_closed' AS status FROM n, m WHERE coalesce(after, mark) - ms >= 43200000
+ UNION ALL SELECT key, ms + 129600000, 'archived' FROM n, m WHERE coalesce(after, mark) - ms >= 129600000
+ UNION ALL SELECT key, ms, 'active' FROM n WHERE before IS NULL OR ms - before >= 43200000) SELECT * FROM s
+""")
+def stream_inactivity(t: Tables) -> DataFrame:
+    return _updated(t, expiry.idle(_keyed(t), 0.5, 1.5))
+
+
+@query(_E + """, f AS (SELECT key, min(ms) AS ms FROM e GROUP BY 1),
+p AS (WITH RECURSIVE p(key, ms) AS (SELECT key, ms FROM f UNION ALL SELECT p.key, (SELECT min(e.ms) FROM e WHERE e.key = p.key AND e.ms >= p.ms + 172800000) FROM p WHERE p.ms IS NOT NULL)
+ SELECT key, ms FROM p WHERE ms IS NOT NULL)
+SELECT e.key, count(*) AS asked, (SELECT count(*) FROM p WHERE p.key = e.key) AS passed FROM e GROUP BY 1
+""")
+def stream_freshness(t: Tables) -> DataFrame:
+    return _updated(t, expiry.gated(_keyed(t), 2)).groupBy("key").agg(F.count(F.lit(1)).alias("asked"), F.count_if("passed").alias("passed"))
+
+
+@query(_E + """, n AS (SELECT *, max(CASE WHEN value = 'error' THEN ms END) OVER (PARTITION BY key ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING) AS missed FROM e)
+SELECT key, ms, count(*) AS asked, count_if(missed IS NULL OR ms >= missed + 2592000000) AS passed FROM n WHERE value <> 'error' GROUP BY 1, 2
+""")
+def stream_negative_cache(t: Tables) -> DataFrame:
+    return _updated(t, expiry.gated(_keyed(t), 30, "error")).groupBy("key", "ms").agg(F.count(F.lit(1)).alias("asked"), F.count_if("passed").alias("passed"))
+
+
+_ISLANDS = _E + """, i AS (SELECT *, sum(CASE WHEN value = '{reset}' THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING) AS g FROM e),
+k AS (SELECT *, count(*) FILTER (value <> '{reset}') OVER (PARTITION BY key, g ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING) AS fails FROM i)
+"""
+
+
+@query(_ISLANDS.format(reset="purchase") + """, l AS (SELECT *, coalesce(lag(fails) OVER (PARTITION BY key ORDER BY ms, event_id), 0) AS earlier FROM k)
+SELECT key, ms, CASE WHEN value = 'purchase' THEN earlier % 3 ELSE (fails - 1) % 3 + 1 END AS n,
+ CASE WHEN value = 'purchase' THEN 'done' WHEN fails % 3 = 0 THEN 'dropped' ELSE 'waiting' END AS outcome FROM l
+""")
+def stream_retries(t: Tables) -> DataFrame:
+    return _updated(t, expiry.retried(_keyed(t), "purchase", 3))
+
+
+@query(_E + """, i AS (SELECT *, sum(CASE WHEN value = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY key ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING) AS g FROM e),
+k AS (SELECT *, count(*) FILTER (value = 'error') OVER (PARTITION BY key, g ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING) AS n FROM i) SELECT key, ms, n, n >= 2 AS alert FROM k
+""")
+def stream_canary(t: Tables) -> DataFrame:
+    return _updated(t, expiry.streaked(_keyed(t), "error", 2))
