@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,9 @@ from gleaner.config import Lexicon
 from gleaner.functions import stats
 from gleaner.operators import aggregates as A
 from gleaner.operators import consensus, lifecycle, publish, resolve, scoring, state
+from gleaner.operators.outbox import Outbox
 from gleaner.plans.registry import Tables, query
+from gleaner.runtime import shared_dir
 
 
 
@@ -146,6 +150,25 @@ def batch_chunking(t: Tables) -> DataFrame:
     return A.chunked(t.orders, ["o_orderdate", "o_orderkey"])
 
 
+def _receive(run: str, batch: int, rows: list[dict]) -> list[dict]:
+    """A receiver for the query below: refuses every seventh batch, and every ninth row of the others."""
+    if batch % 7 == 3:
+        raise OSError("refused")
+    return [{"o_orderkey": r["o_orderkey"], "post_id": int(r["o_orderkey"]) + 5} for r in rows if int(r["o_orderkey"]) % 9]
+
+
+@query("""
+WITH b AS (SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) / 20) AS BIGINT) AS batch FROM orders)
+SELECT batch, CAST(o_orderkey AS VARCHAR) AS o_orderkey, batch % 7 <> 3 AND o_orderkey % 9 <> 0 AS ok, CASE WHEN batch % 7 <> 3 AND o_orderkey % 9 <> 0 THEN o_orderkey + 5 END AS post_id,
+ CASE WHEN batch % 7 = 3 THEN 'OSError: refused' END AS error FROM b
+""")
+def outbox_send(t: Tables) -> DataFrame:
+    box = Outbox(t.spark, f"{shared_dir(t.spark)}/outbox/{uuid.uuid4().hex}", "o_orderkey")
+    box.prepare("day", t.orders, ["o_orderdate", "o_orderkey"])
+    box.send("day", _receive, 4000)
+    return box.outcomes("day")
+
+
 @query("SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount) AS place FROM lineitem")
 def numbered_rows(t: Tables) -> DataFrame:
     return A.numbered(t.lineitem, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"], "place")
