@@ -218,3 +218,13 @@ class Lexicon:
             negative=tuple(terms("negative_auto_reject")), reducers=reducers, cosignal_terms=frozenset(terms("tier3_title")),
             boost_companies=frozenset(boost), **settings,
         )
+
+
+def missing_settings(settings: dict[str, str | None], required: tuple[str, ...]) -> list[str]:
+    """The required settings that are absent or blank, in order."""
+    return [name for name in required if not (settings.get(name) or "").strip()]
+
+
+def insecure_settings(settings: dict[str, str | None], addresses: tuple[str, ...]) -> list[str]:
+    """Addresses that are set and aren't https."""
+    return [name for name in addresses if (v := (settings.get(name) or "").strip()) and not v.lower().startswith("https://")]

@@ -120,8 +120,9 @@ def extract_salary(text: Column) -> Column:
     """struct<min, max> from the first pattern whose first match has two plausible amounts."""
     tries = []
     for p in C.SALARY_PATTERNS:
-        a, b = _salary_value(F.regexp_extract(text, p, 1)), _salary_value(F.regexp_extract(text, p, 2))
-        tries.append(F.when(a.isNotNull() & b.isNotNull(), F.struct(F.least(a, b).alias("min"), F.greatest(a, b).alias("max"))))
+        amounts = F.transform(F.array(F.regexp_extract(text, p, 1), F.regexp_extract(text, p, 2)), _salary_value)
+        plausible = F.forall(amounts, lambda v: v.isNotNull())
+        tries.append(F.when(plausible, F.struct(F.array_min(amounts).alias("min"), F.array_max(amounts).alias("max"))))
     return F.coalesce(*tries)
 
 
@@ -186,7 +187,14 @@ def hash_id(text: Column, length: int = 16) -> Column:
 
 
 def capped_json(json: Column, limit: int = 50_000) -> Column:
-    """The JSON text, or a marker with size and a preview where it has more than ``limit`` bytes."""
-    marker = F.to_json(F.struct(
-        F.lit(True).alias("_truncated"), F.octet_length(json).alias("_original_bytes"), F.substring(json, 1, 400).alias("_preview")))
+    """The JSON text, or a marker with size and a preview where it has more than ``limit`` bytes.
+
+    The preview is an object of the first five keys with 100 characters of each value as text, cut
+    to 400 in all; what isn't an object has none.
+    """
+    quoted = lambda v: F.regexp_extract(F.to_json(F.array(v)), r"(?s)^\[(.*)\]$", 1)
+    fields = F.slice(F.map_entries(F.from_json(json, "map<string,string>")), 1, 5)
+    shown = F.transform(fields, lambda e: F.concat(quoted(e["key"]), F.lit(": "), quoted(F.coalesce(F.substring(e["value"], 1, 100), F.lit("null")))))
+    preview = F.when(F.size(fields) > 0, F.substring(F.concat(F.lit("{"), F.array_join(shown, ", "), F.lit("}")), 1, 400)).otherwise("")
+    marker = F.to_json(F.struct(F.lit(True).alias("_truncated"), F.octet_length(json).alias("_original_bytes"), preview.alias("_preview")))
     return F.when(F.octet_length(json) > limit, marker).otherwise(json)

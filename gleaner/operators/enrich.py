@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner import config as C
 from gleaner.functions.rules import best_confidence
 from gleaner.functions.text import extract_location, extract_salary, html_to_text, missing, remote_status
 from gleaner.functions.urls import body_redirect, host, is_aggregator
@@ -135,7 +136,7 @@ def heard(df: DataFrame) -> DataFrame:
                       F.lit("text_classifier").alias("source"), "value", "confidence")
 
 
-def heard_tallies(df: DataFrame) -> DataFrame:
-    """One row: descriptions that say an arrangement, each arrangement, and those that say none."""
-    said = df.select(best_confidence(F.coalesce("description", F.lit("")))["value"].alias("v"))
+def heard_tallies(df: DataFrame, text: str = "description", patterns: Sequence[tuple[str, str, float]] = C.ARRANGEMENT_PATTERNS) -> DataFrame:
+    """One row: texts that say an arrangement, each arrangement, and those that say none."""
+    said = df.select(best_confidence(F.coalesce(text, F.lit("")), patterns)["value"].alias("v"))
     return said.agg(F.count("v").alias("classified"), *[F.count_if(F.col("v") == x).alias(x) for x in ("remote", "hybrid", "onsite")], F.count_if(F.col("v").isNull()).alias("no_signal"))

@@ -28,6 +28,11 @@ def board_snapshot(scans: DataFrame) -> DataFrame:
     ).where((F.col("mapped") > 0) | ((F.col("listed") == 0) & (F.col("errors") == 0)))
 
 
+def board_jobs(scans: DataFrame) -> DataFrame:
+    """(ats, slug, jid): the job ids on each board that can be trusted, of ``scans`` with a row a listed job."""
+    return scans.where("ok and jid is not null").join(board_snapshot(scans), ["ats", "slug"], "left_semi").select("ats", "slug", F.col("jid").cast("string").alias("jid")).distinct()
+
+
 def membership(rows: DataFrame, boards: DataFrame, jobs: DataFrame, board: list[str], job: list[str]) -> DataFrame:
     """rows with a verdict: on its board active, off a known board closed, board unknown null."""
     known = boards.select(*board).distinct().withColumn("_board", F.lit(True))

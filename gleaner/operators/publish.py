@@ -167,7 +167,6 @@ def filtered(df: DataFrame, checked: dict[str, list[str]], query: str = "", text
     for c, values in checked.items():
         if not values:
             continue
-        other = df.where(F.col(c).isNotNull() & (F.col(c).cast("string") != "") & ~F.col(c).isin(*values))
-        if not other.isEmpty():
-            df = df.where(F.col(c).isin(*values))
+        every = df.where(F.col(c).isNotNull() & (F.col(c).cast("string") != "")).agg(F.bool_and(F.col(c).isin(*values)))
+        df = df.where(F.col(c).isin(*values) | F.coalesce(every.scalar(), F.lit(True)))
     return df.where(F.lower(F.col(text)).contains(query.lower())) if query else df

@@ -93,9 +93,15 @@ def pushed(table: DataFrame, keys: DataFrame, key: str = "external_id", columns:
     return table.join(keys.select(key).distinct(), key, "left_semi").select(key, *columns)
 
 
-def slug_status(table: DataFrame, scans: DataFrame, as_of: Column) -> DataFrame:
-    """The slug table after scans(ats, slug, status, jobs_found): one row a slug, the latest status wins."""
-    new = scans.groupBy("ats", "slug").agg(F.max_by("status", F.coalesce("jobs_found", F.lit(0))).alias("status"), F.max("jobs_found").alias("jobs_found"))
+def slug_status(table: DataFrame, scans: DataFrame, as_of: Column, order: str = "checked_at") -> DataFrame:
+    """The slug table after scans(ats, slug, status, jobs_found, checked_at): one row a slug, as its latest scan has it.
+
+    Scans of the same time go by jobs found, null as none, then by status, so the result doesn't depend
+    on the order of rows. Without a column ``order`` all scans are of one time.
+    """
+    at = F.col(order) if order in scans.columns else F.lit(0)
+    new = scans.groupBy("ats", "slug").agg(F.max(F.struct(at.alias("at"), F.coalesce("jobs_found", F.lit(0)).alias("n"), "status", "jobs_found")).alias("_s"))
+    new = new.select("ats", "slug", "_s.status", "_s.jobs_found")
     new = new.withColumn("last_checked", as_of.cast("date"))
     return table.join(new, ["ats", "slug"], "left_anti").unionByName(new.select(*table.columns))
 

@@ -86,23 +86,34 @@ def dedup_clusters(t: Tables) -> DataFrame:
     return resolve.cluster(_parts(t))
 
 
-_HTML = ", ".join(f"({i}, '{h}')" for i, h in FIXTURE)
+#: A page's posting as JSON, of its number; pages of a seventh have one that doesn't parse.
+_NODE = """'{"@type":' || CASE page_id % 3 WHEN 0 THEN '"JobPosting"' WHEN 1 THEN '["Thing","jobposting"]' ELSE '"WebPage"' END || ',"datePosted":"20' || (page_id % 90 + 10) || '-03-01T00:00:00Z",'
+ || '"baseSalary":{"value":{"minValue":' || page_id * 100 || CASE WHEN page_id % 2 = 0 THEN ',"maxValue":' || page_id * 150 ELSE '' END || '}},"jobLocationType":"'
+ || CASE WHEN page_id % 4 = 0 THEN 'TELECOMMUTE' ELSE 'x' END || '","jobLocation":[{"address":{"addressLocality":"Town ' || page_id % 11 || '","addressCountry":"' || CASE WHEN page_id % 5 = 0 THEN 'United States' ELSE 'de' END || '"}}]}'
+ || CASE WHEN page_id % 7 = 6 THEN '}' ELSE '' END"""
+#: It lies as many lists deep, and as many graphs in these, as its number says.
+_PAGE = f"""html || '<script type="application/ld+json">' || repeat('[', page_id % 13) || repeat('{{"@graph":[{{"@type":"Organization"}},', page_id % 4) || {_NODE} || repeat(']}}', page_id % 4) || repeat(']', page_id % 13) || '</script>'"""
 
 
 @query(f"""
-WITH f(id, html) AS (VALUES {_HTML}),
-b AS (SELECT id, TRY_CAST(nullif(regexp_extract(html, 'ld\\+json">(.*?)</script>', 1), '') AS JSON) AS j FROM f),
-n AS (SELECT id, unnest([j, j->'$[0]', j->'$[1]', j->'$."@graph"[0]', j->'$."@graph"[1]']) AS n, unnest([0, 1, 2, 3, 4]) AS place FROM b),
-p AS (SELECT id, arg_min(n, place) AS n FROM n WHERE 'JobPosting' IN (n->>'$."@type"', n->>'$."@type"[0]') GROUP BY 1),
-a AS (SELECT *, coalesce(n->'$.jobLocation.address', n->'$.jobLocation[0].address') AS a FROM p),
-c AS (SELECT *, trim(coalesce(a->>'$.addressCountry.name', a->>'$.addressCountry')) AS land, coalesce(TRY_CAST(n->>'$.baseSalary.value.minValue' AS DOUBLE), TRY_CAST(n->>'$.baseSalary.value.value' AS DOUBLE)) AS low FROM a)
-SELECT id, nullif(concat_ws(', ', a->>'$.addressLocality', a->>'$.addressRegion'), '') AS location,
- CASE WHEN lower(land) IN ('usa', 'united states') THEN 'US' WHEN length(land) = 2 THEN upper(land) END AS location_country, low AS salary_min,
+WITH h AS (SELECT page_id, CAST(page_id AS BIGINT) AS n, {_PAGE} AS html FROM pages),
+b AS (SELECT page_id, TRY_CAST(nullif(regexp_extract(html, 'ld\\+json">(.*?)</script>', 1), '') AS JSON) AS j FROM h),
+a AS (WITH RECURSIVE r(page_id, path, j) AS (SELECT page_id, [0], j FROM b WHERE j IS NOT NULL
+  UNION ALL SELECT page_id, list_append(path, i), l[i + 1] FROM (SELECT page_id, path, l, unnest(range(len(l))) AS i FROM (
+   SELECT page_id, path, CASE WHEN json_type(j) = 'ARRAY' THEN CAST(j AS JSON[]) WHEN json_type(j->'$."@graph"') = 'ARRAY' THEN CAST(j->'$."@graph"' AS JSON[]) ELSE [] END AS l FROM r
+   WHERE NOT (lower(coalesce(j->>'$."@type"', '')) = 'jobposting' OR coalesce(list_contains(list_transform(TRY_CAST(j->'$."@type"' AS VARCHAR[]), lambda x: lower(x)), 'jobposting'), false)))))
+ SELECT * FROM r),
+p AS (SELECT page_id, arg_min(j, path) AS n FROM a
+ WHERE lower(coalesce(j->>'$."@type"', '')) = 'jobposting' OR coalesce(list_contains(list_transform(TRY_CAST(j->'$."@type"' AS VARCHAR[]), lambda x: lower(x)), 'jobposting'), false) GROUP BY 1),
+c AS (SELECT *, n->'$.jobLocation[0].address' AS d, TRY_CAST(n->>'$.baseSalary.value.minValue' AS DOUBLE) AS low FROM p)
+SELECT page_id, nullif(concat_ws(', ', d->>'$.addressLocality', d->>'$.addressRegion'), '') AS location,
+ CASE WHEN lower(d->>'$.addressCountry') = 'united states' THEN 'US' WHEN length(d->>'$.addressCountry') = 2 THEN upper(d->>'$.addressCountry') END AS location_country, low AS salary_min,
  coalesce(TRY_CAST(n->>'$.baseSalary.value.maxValue' AS DOUBLE), low) AS salary_max, CASE WHEN n->>'$.jobLocationType' = 'TELECOMMUTE' THEN 'remote' END AS is_remote,
  nullif(regexp_extract(coalesce(n->>'$.datePosted', ''), '^(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), '') AS date_posted FROM c
 """)
 def jsonld_extract(t: Tables) -> DataFrame:
-    return jsonld.extracted(t.spark.createDataFrame(list(FIXTURE), "id int, html string"), "id")
+    pages = t.pages.withColumn("page_id", F.col("page_id").cast("int")).selectExpr("page_id", f"{_PAGE} AS html")
+    return jsonld.extracted(pages.withColumn("page_id", F.col("page_id").cast("long")), "page_id")
 
 
 @query("""

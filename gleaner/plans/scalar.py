@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner import config as C
 from gleaner.functions import rules, stats, text, urls
-from gleaner.operators import consensus
+from gleaner.operators import consensus, enrich
 from gleaner.plans.registry import Tables, case, query, whole_word
 from gleaner.sources.feeds import anchors
 
@@ -16,10 +16,6 @@ P_TYPE_RULES = ((r"\beconomy\b", "Low"), (r"\b(promo|standard)\b", "Mid"), (r"\b
 DOC_RULES = ((r"licen[cs]ed?\b", "License"), (r"rights\s+reserved", "Rights"), (r"\b(idiot|moron|scum)\b", "Abuse"), (r"[$%&#]{3}", "Noise"), (r"\bthe\b", "English"))
 LABELS = (("the", r"(?i)\bthe\b"), ("of", r"(?i)\bof\b"), ("license", r"(?i)licen[cs]e"), ("und", r"(?i)\bund\b"), ("les", r"(?i)\bles\b"), ("token", r"(?i)\btoken\b"))
 CONFIDENCES = ((r"\bno\s+the\b", "onsite", 0.90), (r"\bof\s+the\b", "remote", 0.85), (r"\bin\s+the\b", "hybrid", 0.85), (r"\bthe\b", "remote", 0.60), (r"\bde\b", "onsite", 0.60))
-SALARIES = (
-    (1, "Salary: $120,000 - $180,000 a year"), (2, "pay $90K to $120K"), (3, "$180,000 - $120,000"), (4, "from $100,000 – 150,000"),
-    (5, "compensation: 95,000 to 130,000"), (6, "range $5 - $7"), (7, "no money here"), (8, "$ 85k-$99k plus"),
-)
 
 
 @query("SELECT l_orderkey, l_quantity, l_shipmode FROM (SELECT l_orderkey, l_quantity, l_returnflag AS l_shipmode, l_shipdate FROM lineitem) WHERE l_shipdate >= TIMESTAMP '2000-01-01' AND l_quantity < 5")
@@ -40,18 +36,24 @@ def record_build(t: Tables) -> DataFrame:
         text.dedup_key(F.col("p_name")).alias("title_key"), text.salary_range(low, high).alias("salary_range"), F.lit("unknown").alias("is_remote"))
 
 
-@query("""
-WITH j AS (SELECT doc_id, '{"text":' || CAST(to_json(coalesce(text, '')) AS VARCHAR) || '}' AS j FROM documents)
+_TEXT = "CAST(to_json({}) AS VARCHAR)"
+
+
+@query(f"""
+WITH p AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(n_chars, 0) AS n FROM documents),
+j AS (SELECT *, '{{"id":' || doc_id || ',"text":' || {_TEXT.format("text")} || ',"lang":' || {_TEXT.format("lang")} || ',"source":' || {_TEXT.format("source")} || ',"n":' || n || ',"more":"no"}}' AS j FROM p)
 SELECT doc_id, strlen(j) > 2000 AS truncated, CASE WHEN strlen(j) > 2000 THEN strlen(j) ELSE 0 END::BIGINT AS original_bytes,
- md5(CASE WHEN strlen(j) > 2000 THEN substr(j, 1, 400) ELSE j END) AS preview FROM j
+ CASE WHEN strlen(j) > 2000 THEN substr('{{"id": "' || doc_id || '", "text": ' || {_TEXT.format("substr(text, 1, 100)")} || ', "lang": ' || {_TEXT.format("substr(lang, 1, 100)")}
+  || ', "source": ' || {_TEXT.format("substr(source, 1, 100)")} || ', "n": "' || n || '"}}', 1, 400) ELSE md5(j) END AS preview FROM j
 """)
 def raw_payload_cap(t: Tables) -> DataFrame:
-    marked = text.capped_json(F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("text"))), 2000)
+    blank = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    whole = F.to_json(F.struct(F.col("doc_id").alias("id"), blank("text"), blank("lang"), blank("source"), F.coalesce("n_chars", F.lit(0)).alias("n"), F.lit("no").alias("more")))
+    marked = text.capped_json(whole, 2000)
     over = F.coalesce(F.get_json_object("_m", "$._truncated") == "true", F.lit(False))
-    preview = F.when(over, F.get_json_object("_m", "$._preview")).otherwise(F.col("_m"))
     return t.documents.withColumn("_m", marked).select(
         "doc_id", over.alias("truncated"), F.when(over, F.get_json_object("_m", "$._original_bytes")).otherwise("0").cast("long").alias("original_bytes"),
-        F.md5(preview.cast("binary")).alias("preview"))
+        F.when(over, F.get_json_object("_m", "$._preview")).otherwise(F.md5(F.col("_m").cast("binary"))).alias("preview"))
 
 
 @query("""
@@ -195,9 +197,6 @@ def number_sweep(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", s["min"].alias("low"), s["max"].alias("high")).where("low is not null")
 
 
-_SALARY_SQL = ", ".join(f"({i}, '{s}')" for i, s in SALARIES)
-
-
 def _salary_try(p: str) -> str:
     p = p.replace("'", "''")
     v = lambda g: f"TRY_CAST(replace(regexp_extract(s, '{p}', {g}), ',', '') AS DOUBLE)"
@@ -205,14 +204,47 @@ def _salary_try(p: str) -> str:
     return f"SELECT id, {k(v(1))} AS a, {k(v(2))} AS b FROM t"
 
 
+#: How a line of an order names two amounts, by its key.
+PHRASES = ("Salary: $%s - $%s a year", "pay $%sK to $%sK", "from $%s – %s", "compensation: %s to %s", "range $%s to %s and more", "no money here (%s, %s)", "$ %sk-$%sk plus")
+_LINES = " ".join(f"WHEN {i} THEN '{a}' || lo || '{b}' || hi || '{c}'" for i, (a, b, c) in enumerate(p.split("%s") for p in PHRASES))
+
+
 @query(f"""
-WITH t(id, s) AS (VALUES {_SALARY_SQL}), c AS ({' UNION ALL '.join(f"SELECT {i} AS o, * FROM ({_salary_try(p)})" for i, p in enumerate(C.SALARY_PATTERNS))}),
+WITH o AS (SELECT o_orderkey AS id, CAST(CAST(floor(o_totalprice) AS BIGINT) % 900 AS VARCHAR) AS small, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS big FROM orders),
+a AS (SELECT id, CASE WHEN id % 7 IN (1, 6) THEN small WHEN id % 2 = 0 AND length(big) > 3 THEN substr(big, 1, length(big) - 3) || ',' || substr(big, length(big) - 2) ELSE big END AS lo,
+ CASE WHEN id % 7 IN (1, 6) THEN '1' || small ELSE '120,000' END AS hi FROM o),
+t AS (SELECT id, CASE id % 7 {_LINES} END AS s FROM a),
+c AS ({' UNION ALL '.join(f"SELECT {i} AS o, * FROM ({_salary_try(p)})" for i, p in enumerate(C.SALARY_PATTERNS))}),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY o) AS rn FROM c WHERE a BETWEEN 10000 AND 1000000 AND b BETWEEN 10000 AND 1000000)
-SELECT CAST(t.id AS INTEGER) AS id, least(a, b) AS low, greatest(a, b) AS high FROM t LEFT JOIN r ON t.id = r.id AND rn = 1
+SELECT t.id, least(a, b) AS low, greatest(a, b) AS high FROM t LEFT JOIN r ON t.id = r.id AND rn = 1
 """)
 def salary_regex_coalesce(t: Tables) -> DataFrame:
+    key, whole = F.col("o_orderkey"), F.floor("o_totalprice").cast("long")
+    thousands, big = (key % 7).isin(1, 6), whole.cast("string")
+    small = (whole % 900).cast("string")
+    comma = F.regexp_replace(big, r"(\d)(\d{3})$", "$1,$2")
+    low = F.when(thousands, small).when(key % 2 == 0, comma).otherwise(big)
+    high = F.when(thousands, F.concat(F.lit("1"), small)).otherwise("120,000")
+    line = F.coalesce(*[F.when(key % 7 == i, F.format_string(p, low, high)) for i, p in enumerate(PHRASES)])
     s = text.extract_salary(F.col("s"))
-    return t.spark.createDataFrame(list(SALARIES), "id int, s string").select("id", s["min"].alias("low"), s["max"].alias("high"))
+    return t.orders.select(key.alias("id"), line.alias("s")).select("id", s["min"].alias("low"), s["max"].alias("high"))
+
+
+@query(f"""
+WITH v AS (SELECT split_part(CASE {_CONFIDENCE_SQL} END, ':', 1) AS v FROM documents)
+SELECT count(v) AS classified, count_if(v = 'remote')::BIGINT AS remote, count_if(v = 'hybrid')::BIGINT AS hybrid, count_if(v = 'onsite')::BIGINT AS onsite, count_if(v IS NULL)::BIGINT AS no_signal FROM v
+""")
+def text_classifier_tallies(t: Tables) -> DataFrame:
+    return enrich.heard_tallies(t.documents, "text", CONFIDENCES)
+
+
+@query("""
+SELECT CAST(page_id AS VARCHAR) AS external_id, CASE WHEN page_id % 3 = 0 THEN 'https://us.jooble.org/' || page_id ELSE url END AS apply_url FROM pages WHERE page_id % 3 = 0 AND page_id % 2 = 1
+""")
+def backfill_scan(t: Tables) -> DataFrame:
+    key = F.col("page_id")
+    link = F.when(key % 3 == 0, F.concat(F.lit("https://us.jooble.org/"), key.cast("string"))).otherwise(F.col("url"))
+    return enrich.backfill_candidates(t.pages.select(key.cast("string").alias("external_id"), link.alias("apply_url"), (key % 2).alias("is_active")))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE WHEN CAST(json_extract(props, '$.k') AS BIGINT) > 50 THEN 'high' ELSE 'low' END AS band FROM events")

@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.runtime import stored
 from gleaner.functions.stats import from_millis
 from gleaner.functions.text import blank_to_null, capped_json, hash_id, last_segment, salary_range, split_title, strip_tags, sweep_amounts
 from gleaner.functions.urls import with_scheme
@@ -215,23 +216,29 @@ def changed_pages(pages: DataFrame, seen: DataFrame) -> DataFrame:
 def gathered(spark: SparkSession, reads: dict[str, Callable[[], DataFrame]], monday_only: tuple[str, ...] = ("usajobs",), day: date | None = None) -> tuple[DataFrame, dict[str, str]]:
     """(all records in the order of ``reads`` with ``arrival``, error by source).
 
-    A source that fails to read is left out and named; one that runs weekly is read on Mondays.
+    Each source is read once, as a whole and in a job of its own, into the shared folder: one that
+    fails, in whichever partition, is left out and named, and a lost executor numbers nothing
+    anew. One that runs weekly is read on Mondays.
     """
     parts, errors = [], {}
     for place, (name, read) in enumerate(reads.items()):
         if name in monday_only and day is not None and day.weekday() != 0:
             continue
         try:
-            part = read()
-            part.limit(1).collect()
+            part = stored(read().withColumn("arrival", F.lit(place << 48) + F.monotonically_increasing_id()))
         except Exception as error:  # whatever a source does, the others go on
             errors[name] = f"{type(error).__name__}: {error}"[:500]
             continue
-        parts.append(part.withColumn("arrival", F.lit(place << 48) + F.monotonically_increasing_id()))
+        parts.append(part)
     empty = spark.createDataFrame([], RECORD).withColumn("arrival", F.lit(0).cast("long"))
     return union(parts or [empty]), errors
 
 
+def failed_requests(pages: DataFrame) -> DataFrame:
+    """(url, status, error) of requests that brought nothing usable; the pages of all others go on."""
+    return pages.where(~F.col("status").between(200, 299)).select("url", "status", F.when(F.col("status") == 0, F.col("html")).alias("error"))
+
+
 def first_filled(*reads: Callable[[], DataFrame]) -> DataFrame:
     """The first of several ways to read a source that gives a record; the last one if none does."""
     for read in reads[:-1]:

@@ -58,9 +58,13 @@ class HttpReader(DataSourceReader):
         return [Request(s) for s in self.specs]
 
     def read(self, partition: Request):
+        """One row, whatever happens: what a request dies of is its text, with status 0."""
         s = partition.spec
-        status, final, text = fetch(s["url"], s.get("body"), s.get("headers"))
-        yield s["url"], status, final, text
+        try:
+            status, final, text = fetch(s["url"], s.get("body"), s.get("headers"))
+        except Exception as error:  # a bad address or header is a failed request, not a failed source
+            status, final, text = 0, s.get("url"), f"{type(error).__name__}: {error}"[:500]
+        yield s.get("url"), status, final, text
 
 
 def pages(spark: SparkSession, specs: list[dict]):
