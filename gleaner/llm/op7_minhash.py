@@ -1,13 +1,14 @@
 """MinHash near-dedup by an LSH forest.
 
-Every document gets ``TREES`` independent MinHash orders of ``DEPTH`` values each. In one
-order, the documents that agree on the first ``BASE`` values form a region; the depth then
-adapts per region, going deeper where a region is crowded. The most central document of
-a region is compared first with all others. After that every pair that agrees on BASE
-values in some order and isn't joined yet is a candidate: all pairs of a small region, and
-those of crowded ones by an exact join on their rarest shingles. A map of parities bounds
-from below in how many shingles two documents differ; candidates that it doesn't rule out
-are confirmed on full shingle sets, which are made for these documents only.
+Every document gets ``TREES`` independent MinHash orders of ``DEPTH`` values each. Each order is
+sorted, and a document's neighbours in it are those of the longest common prefix: where few
+share its values that is a short one, where many do the order itself goes deeper, so the depth
+adapts to every region. Neighbours with ``BASE`` values in common are the first candidates.
+What they leave open is completed by region, the documents that agree on ``BASE`` values of an
+order: all pairs of a small region that aren't joined yet, and in crowded ones, at whatever
+depth, an exact join on the rarest shingles. A map of parities bounds from below in how many
+shingles two documents differ; candidates that it doesn't rule out are confirmed on full
+shingle sets, which are made for these documents only.
 
 Copies with equal shingle sets collapse to one representative before any candidate is
 made, and pairs inside a component that is already known are not verified again, so a
@@ -26,8 +27,8 @@ from gleaner.llm.components import connected_components
 from gleaner.llm.textvec import Batch, chunks, mix
 
 TREES, DEPTH, BASE = 16, 8, 5
-#: A region of more rows than this goes deeper, and its pairs come from rare shingles.
-CROWD = 64
+#: Neighbours on each side of a sorted order; a region of more rows than CROWD gets its other pairs from rare shingles.
+NEIGHBOURS, CROWD = 2, 64
 #: Most classes of equal sets that are broadcast, of three 64-bit keys each.
 FEW_CLASSES = 100_000
 #: Bits of a document's parity map, and counters of the sketch of shingle frequencies.
@@ -176,6 +177,25 @@ def _frequencies(frames):
     yield pa.RecordBatch.from_pydict({"cell": pa.array(cell, pa.int64()), "n": pa.array(total[cell], pa.int64())})
 
 
+def _neighbours(frames):
+    """Pairs of rows of a sorted order, at most NEIGHBOURS apart, that share a region."""
+    held = None
+    for frame in frames:
+        rows = np.stack([frame.column(c).to_numpy() for c in ("key", "id", "n")])
+        new = rows.shape[1]
+        if held is not None:
+            rows = np.concatenate([held, rows], axis=1)
+        size = rows.shape[1]
+        found = []
+        for step in range(1, NEIGHBOURS + 1):
+            at = np.arange(max(step, size - new), size)
+            at = at[rows[0, at] == rows[0, at - step]]
+            found.append(np.concatenate([rows[1:, at], rows[1:, at - step]]))
+        held = rows[:, -NEIGHBOURS:]
+        x, nx, y, ny = np.concatenate(found, axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (x, nx, y, ny)], ["x", "nx", "y", "ny"])
+
+
 def _prefixes(often: np.ndarray, percent: int):
     """Of each set the rarest shingles that a linked set must share one of, and how many are left from each."""
     def run(frames):
@@ -255,23 +275,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     placed = reps.select("id", "n", F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("tails").alias("tail"))).alias("t")).select(
         "id", "n", F.col("t.key").alias("key"), F.col("t.tail").alias("tail"))
     sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    crowd = F.lit(CROWD)
-    region = (
-        F.when(F.col("size") <= crowd, F.col("key"))
-        .when(F.col("size") <= crowd * 8, F.xxhash64("key", F.shiftrightunsigned("tail", 42)))
-        .when(F.col("size") <= crowd * 64, F.xxhash64("key", F.shiftrightunsigned("tail", 21)))
-        .otherwise(F.xxhash64("key", "tail"))
-    )
-    forest = table(spread_join(placed, sizes, ["key"], F.col("id")).withColumn("region", region).drop("tail"))
-    central = forest.groupBy("id").agg(F.sum("size").alias("weight"))
-    weighted = forest.join(central, "id")
-
-    def leaders(level: str) -> DataFrame:
-        best = weighted.groupBy(level).agg(F.min(F.struct(-F.col("weight"), "id", "n")).alias("lead"))
-        return spread_join(
-            weighted.select(level, F.col("id").alias("x"), F.col("n").alias("nx")),
-            best.select(level, F.col("lead.id").alias("y"), F.col("lead.n").alias("ny")), [level], F.col("x"),
-        ).select("x", "nx", "y", "ny")
+    forest = table(spread_join(placed, sizes, ["key"], F.col("id")))
+    # Every order sorted as a whole: ranges of it are dealt over the tasks, so no region is one task. Neighbours that
+    # a cut between ranges parts are left to the regions below, as all that are further apart.
+    in_order = forest.repartitionByRange("key", "tail", "id").sortWithinPartitions("key", "tail", "id").select("key", "id", "n")
+    neighbours = batches(in_order, _neighbours, "x long, nx long, y long, ny long")
 
     bits = table(matching(reps.select("id", "n", "bits"), forest.select("id").distinct(), ["id"]))
 
@@ -283,7 +291,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         left = table(_bounded(table(_ordered(pairs, percent)), bits, percent))
         return table(_verified(left, sets_of(left.select(F.explode(F.array("a", "b")).alias("id"))), percent))
 
-    first = linked(leaders("key").unionByName(leaders("region")))
+    first = linked(neighbours)
     parts = connected_components(first).withColumnRenamed("component", "part")
 
     # All other pairs that share a key, where the first links don't already join them.
@@ -308,6 +316,40 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
 
 
+def recall(docs: DataFrame, found: DataFrame, words: int, percent: int, sample: int = 64) -> tuple[int, int]:
+    """(links found, links there are) of ``sample`` documents, by comparing them with the full sets of all.
+
+    ``found`` is a result of ``near_duplicates``. The sample is taken by a hash of the id, among documents that
+    have a link according to it first, so that there is something to lose. Each task gets the sample's sets.
+    """
+    slim = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    groups = found.where("doc_id is not null").groupBy("component_id").agg(F.count(F.lit(1)).alias("size"))
+    chosen = found.where("n_shingles > 0 and doc_id is not null").join(groups, "component_id").orderBy(F.col("size") == 1, F.xxhash64("doc_id"), "doc_id").limit(sample)
+    asked = table(batches(matching(slim, chosen.select("doc_id").distinct(), ["doc_id"]), _sets(words), SETS_SCHEMA))
+    sets = [(r.id, np.array(r.shingles, np.int64)) for r in asked.collect()]  # ``sample`` documents
+    shared = docs.sparkSession.sparkContext.broadcast(sets)
+
+    def compare(frames):
+        for frame in frames:
+            ids, column = frame.column("id").to_pylist(), frame.column("shingles")
+            a, b = [], []
+            for own, other in zip(ids, column):
+                other = other.values.to_numpy(zero_copy_only=False)
+                for mine, s in shared.value:
+                    if mine != own and min(len(s), len(other)) * 100 >= percent * max(len(s), len(other)):
+                        both = len(np.intersect1d(s, other, assume_unique=True))
+                        if both and 100 * both >= percent * (len(s) + len(other) - both):
+                            a.append(mine)
+                            b.append(own)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    links = batches(batches(slim, _sets(words), SETS_SCHEMA), compare, "a long, b long").distinct()
+    component = found.select("doc_id", "component_id").distinct()
+    both = links.join(component.withColumnsRenamed({"doc_id": "a", "component_id": "ca"}), "a").join(component.withColumnsRenamed({"doc_id": "b", "component_id": "cb"}), "b")
+    out = both.agg(F.count_if(F.col("ca") == F.col("cb")).alias("found"), F.count(F.lit(1)).alias("all")).first()
+    return out.found, out.all
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles at Jaccard 0.85 over the whole of ``documents``."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=85)

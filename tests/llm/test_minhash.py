@@ -3,8 +3,11 @@
 import random
 import re
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 from gleaner.llm.components import connected_components
-from gleaner.llm.op7_minhash import near_duplicates, stage
+from gleaner.llm.op7_minhash import _neighbours, near_duplicates, recall, stage
 from tests.llm.cases import awkward, documents
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -99,6 +102,29 @@ def test_links_among_many_documents_of_one_boilerplate(spark):
     assert len(set(want.values())) == 600 and got == want
 
 
+def test_recall_is_measured_on_a_sample(spark):
+    docs = documents(spark, near_copies(3, 20))
+    found = near_duplicates(docs, 3, 85)
+    got, there = recall(docs, found, 3, 85)
+    assert got == there > 20
+    none = found.withColumn("component_id", F.col("doc_id"))
+    assert recall(docs, none, 3, 85, sample=500) == (0, recall(docs, found, 3, 85, sample=500)[1])
+
+
+def test_neighbours_of_a_sorted_order():
+    rows = {"key": [1, 1, 1, 1, 2, 3, 3], "id": [10, 11, 12, 13, 20, 30, 31], "n": [5, 6, 7, 8, 9, 1, 2]}
+    whole = pa.RecordBatch.from_pydict(rows)
+    want = {(11, 10), (12, 11), (12, 10), (13, 12), (13, 11), (31, 30)}
+    for cuts in ([7], [1, 1, 1, 1, 1, 1, 1], [3, 4], [2, 3, 2]):
+        at, frames = 0, []
+        for c in cuts:
+            frames.append(whole.slice(at, c))
+            at += c
+        got = [r for batch in _neighbours(iter(frames)) for r in batch.to_pylist()]
+        assert {(r["x"], r["y"]) for r in got} == want and len(got) == len(want)
+        assert all(dict(zip(rows["id"], rows["n"]))[r["x"]] == r["nx"] for r in got)
+
+
 def test_stage_keeps_one_of_each_group_and_the_columns(spark):
     rows = near_copies(2) + [(1, None, None), (2, "", "s")]
     docs = documents(spark, rows)
