@@ -1,13 +1,16 @@
 """License scan by conditional compression.
 
-In a candidate block, a line or paragraph with licensing words, every place where a piece of
-a template stands is a window of about the template's length. The exact difference in wording
-between template and window confirms a license and says which words are missing or added.
-What is confirmed is compressed once plainly and once with the template as a raw zstandard
-dictionary; the share of its size saved decides between templates that agree equally well.
-
-Only lines with a licensing word become blocks, a test the JVM makes on whole texts before
-any leaves it. Each block is handled alone, so nothing is shuffled.
+Paragraphs with licensing words and those beside them make a block, so a notice may be wrapped,
+commented out or run over paragraphs. In a block every place where a piece of a template stands
+is a candidate window of the template's length. It is compressed once plainly and once with
+the template as a raw zstandard dictionary, and the windows are ranked by the bytes that this saves.
+In that order the exact difference in wording confirms a license and says which words are
+missing or added; a window whose words a better one has taken is left out, so of a whole text and
+the notices within it the whole text is reported. With fewer differences than pieces one
+piece is always literal, so ranking decides between windows and never hides one.
+
+The JVM tests whole texts for licensing words before any leaves it. Each text is handled alone, so
+nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -26,10 +29,44 @@ CUE = r"licen[cs]e|copyright|all rights reserved|permission is hereby|public dom
 #: The share of a template's words that may differ.
 DIFFERENT = 0.1
 
-#: Words that, one of the two before a notice, deny it.
+#: Words that, one of the two before a notice, deny it; a name of a few words is denied from further off in its clause.
 REFUSED = {"not", "never", "isn't", "nor"}
+CLOSE, FAR, NAME = 2, 8, 5
 
 # Fixed wordings of public licenses and notices.
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+    "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+    "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+    "is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be "
+    "included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY "
+    "KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+    "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+    "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+    "IN THE SOFTWARE."
+)
+_BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission. "
+)
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+    "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+    "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+    "provided that the above copyright notice and this permission notice appear in all copies. "
+)
 TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
@@ -39,9 +76,17 @@ TEMPLATES = {
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
         "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
         "permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "MIT License", "The MIT License (MIT)",
+        _MIT,
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
+        "Apache License, Version 2.0",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+        "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+        "governing permissions and limitations under the License.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
         "the License. You may obtain a copy of the License at",
     ),
@@ -58,17 +103,36 @@ TEMPLATES = {
     "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
     "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
     "BSD-3-Clause": (
-        "Licensed under the BSD 3-Clause License.",
+        "Licensed under the BSD 3-Clause License.", "BSD 3-Clause License",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met:",
+        _BSD_START + _BSD_THIRD + _BSD_END,
     ),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.", "BSD 2-Clause License", _BSD_START + _BSD_END),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
     ),
     "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-        "provided that the above copyright notice and this permission notice appear in all copies.",
+        _ISC + "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+        "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+        _ISC.strip(),
+    ),
+    "Zlib": (
+        "Licensed under the zlib License.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for "
+        "any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+        "including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you "
+        "use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. "
+        "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+        "3. This notice may not be removed or altered from any source distribution.",
+    ),
+    "BSL-1.0": (
+        "Boost Software License - Version 1.0",
+        "Distributed under the Boost Software License, Version 1.0.",
     ),
     "CC-BY-4.0": (
         "Licensed under CC BY 4.0.",
@@ -84,6 +148,12 @@ TEMPLATES = {
     "all-rights-reserved": ("All rights reserved.",),
 }
 
+# Every license is also known by its tag; so are the texts that are named with "only" and "or later".
+TAG = "SPDX-License-Identifier: {}"
+for _name in [n for n in TEMPLATES if n != "all-rights-reserved"]:
+    _forms = [_name, f"{_name}-only", f"{_name}-or-later"] if "GPL" in _name else [_name]
+    TEMPLATES[_name] = (*TEMPLATES[_name][:-1], *(TAG.format(f) for f in _forms), TEMPLATES[_name][-1])
+
 _WORD = re.compile(r"\w+(?:[.'-]\w+)*")
 
 
@@ -109,47 +179,62 @@ class Templates:
                 self.entries.append((name, wanted, zstandard.ZstdCompressor(level=3, dict_data=data)))
         self.plain = zstandard.ZstdCompressor(level=3)
 
-    def saving(self, folded: str, entry: int) -> float:
-        """The share of the plain size that a template saves."""
-        data = folded.encode()
-        alone = len(self.plain.compress(data))
-        return (alone - len(self.entries[entry][2].compress(data))) / alone
+    def saved(self, data: bytes, entry: int) -> int:
+        """The bytes by which a template as dictionary makes a text smaller."""
+        return len(self.plain.compress(data)) - len(self.entries[entry][2].compress(data))
 
-    def placements(self, folded: list[str]) -> list[tuple]:
-        """(rank, first, last, name, saving, missing words, added words) of all templates wherever they stand, best first."""
+    def placements(self, part: list[tuple[str, int, int]]) -> list[tuple]:
+        """(first, last, name, saving, missing words, added words) of the templates that stand here, by falling bytes saved, none on words of another."""
+        folded = [w for w, _, _ in part]
         starts = set()
         for i, w in enumerate(folded):
             for piece, entry, at in self.pieces.get(w, ()):
                 if folded[i : i + len(piece)] == piece:
-                    starts.add((entry, i - at))
-        found = {}
+                    starts.add((entry, max(0, i - at)))
+        ranked = []
         for entry, start in starts:
-            name, wanted, _ = self.entries[entry]
-            slack = int(DIFFERENT * len(wanted))
-            low = max(0, start - slack)
-            window = folded[low : start + len(wanted) + slack]
-            matches = [m for m in SequenceMatcher(None, wanted, window, autojunk=False).get_matching_blocks() if m.size]
-            matches = _tight(matches, len(wanted))
-            first, last = matches[0].b, matches[-1].b + matches[-1].size
-            same = sum(m.size for m in matches)
-            missing = len(wanted) - same
-            added = last - first - same
-            if missing + added > DIFFERENT * len(wanted) or (entry, low + first, low + last) in found:
-                continue
-            covered = {i for m in matches for i in range(m.a, m.a + m.size)}
-            inside = {i for m in matches for i in range(m.b, m.b + m.size)}
-            # Another number is another version, and what is refused is not granted.
-            numbers = any(any(c.isdigit() for c in w) for i, w in enumerate(wanted) if i not in covered)
-            after = folded[low + last : low + last + 1]
-            later = wanted[-1][-1].isdigit() and after and after[0].isdigit()
-            if numbers or later or set(folded[max(0, low + first - 2) : low + first]) & REFUSED:
-                continue
-            saving = self.saving(" ".join(window[first:last]), entry)
-            found[entry, low + first, low + last] = (
-                (missing + added - same, -saving, name, low + first), low + first, low + last, name, saving,
-                " ".join(w for i, w in enumerate(wanted) if i not in covered), " ".join(window[i] for i in range(first, last) if i not in inside),
-            )
-        return sorted(found.values())
+            data = " ".join(folded[start : start + len(self.entries[entry][1])]).encode()
+            ranked.append((-self.saved(data, entry), start, entry, len(data)))
+        out, taken = [], bytearray(len(folded))
+        for saved, start, entry, size in sorted(ranked):
+            found = self.placed(folded, part, entry, start)
+            if found and not any(taken[found[0] : found[1]]):
+                first, last, denied, *words = found
+                taken[first:last] = b"\1" * (last - first)  # what is denied hides the shorter notices in it, too
+                if not denied:
+                    out.append((first, last, self.entries[entry][0], max(0, -saved) / max(size, 1), *words))
+        return out
+
+    def placed(self, folded: list[str], part: list[tuple[str, int, int]], entry: int, start: int) -> tuple | None:
+        """(first, last, whether it is denied, missing words, added words) of a template around a place, if so few of its words differ."""
+        wanted = self.entries[entry][1]
+        slack = int(DIFFERENT * len(wanted))
+        low = max(0, start - slack)
+        window = folded[low : start + len(wanted) + slack]
+        matches = [m for m in SequenceMatcher(None, wanted, window, autojunk=False).get_matching_blocks() if m.size]
+        matches = _tight(matches, len(wanted))
+        if not matches:
+            return None
+        first, last = matches[0].b, matches[-1].b + matches[-1].size
+        same = sum(m.size for m in matches)
+        if len(wanted) + last - first - 2 * same > DIFFERENT * len(wanted):
+            return None
+        covered = {i for m in matches for i in range(m.a, m.a + m.size)}
+        inside = {i for m in matches for i in range(m.b, m.b + m.size)}
+        # Another number is another version.
+        numbers = any(any(c.isdigit() for c in w) for i, w in enumerate(wanted) if i not in covered)
+        after = folded[low + last : low + last + 1]
+        later = wanted[-1][-1].isdigit() and after and after[0].isdigit()
+        if numbers or later:
+            return None
+        at, denied = low + first, False
+        for back in range(1, (FAR if len(wanted) <= NAME else CLOSE) + 1):
+            i = at - back
+            if i < 0 or back > CLOSE and part[i + 1][1] - part[i][2] > 1:  # more than a space ends the clause
+                break
+            denied = denied or folded[i] in REFUSED
+        return (low + first, low + last, denied, " ".join(w for i, w in enumerate(wanted) if i not in covered),
+                " ".join(window[i] for i in range(first, last) if i not in inside))
 
     def confirm(self, block: list[tuple[str, int, int]]) -> list[tuple]:
         """(start, end, name, saving, missing words, added words) of all licenses a block holds."""
@@ -157,13 +242,10 @@ class Templates:
         # What confirmed spans leave uncovered is searched again until nothing is found.
         while left:
             part = left.pop()
-            taken = bytearray(len(part))
             spans = []
-            for _, first, last, *rest in self.placements([w for w, _, _ in part]):
-                if not any(taken[first:last]):
-                    taken[first:last] = b"\1" * (last - first)
-                    spans.append((first, last))
-                    out.append((part[first][1], part[last - 1][2], *rest))
+            for first, last, *rest in self.placements(part):
+                spans.append((first, last))
+                out.append((part[first][1], part[last - 1][2], *rest))
             if spans:
                 at = 0
                 for first, last in [*sorted(spans), (len(part), len(part))]:
@@ -181,40 +263,29 @@ def _tight(matches: list, length: int) -> list:
     return [m for m in matches if abs((m.b - m.a) - (core.b - core.a)) <= max(1, length // 5)]
 
 
-def find(text: str, templates: Templates, cue: re.Pattern) -> list[tuple]:
-    """Licenses of one text in order of place; by paragraph first, then lines for what those miss."""
-    out: list[tuple] = []
-    lines, at = [], 0
-    for line in text.split("\n"):
-        lines.append((at, line))
-        at += len(line) + 1
-    paragraph: list[tuple[int, str]] = []
-
-    def settle() -> None:
-        hit = [(s, line) for s, line in paragraph if cue.search(line)]
-        if not hit:
-            return
-        found = []
-        for s, line in hit:
-            found += [(s + a, s + b, *rest) for a, b, *rest in templates.confirm(words_of(line))]
-        if len(paragraph) > 1:
-            first = paragraph[0][0]
-            whole = "\n".join(line for _, line in paragraph)
-            longer = [(first + a, first + b, *rest) for a, b, *rest in templates.confirm(words_of(whole))]
-            taken = bytearray(len(whole))
-            for a, b, *_ in found:
-                taken[a - first : b - first] = b"\1" * (b - a)
-            found += [f for f in longer if not any(taken[f[0] - first : f[1] - first])]
-        out.extend(found)
-
-    for start, line in lines:
-        if line.strip():
-            paragraph.append((start, line))
+def blocks(text: str, cue: re.Pattern) -> list[tuple[int, int]]:
+    """(start, end) of the runs of paragraphs with licensing words and the paragraph before and after each."""
+    paragraphs = [m.span() for m in re.finditer(r"(?:[^\n]*\S[^\n]*(?:\n|$))+", text)]
+    wanted = set()
+    for i, (start, end) in enumerate(paragraphs):
+        if cue.search(text, start, end):
+            wanted |= {i - 1, i, i + 1}
+    out: list[tuple[int, int]] = []
+    before = None
+    for i in sorted(wanted & set(range(len(paragraphs)))):
+        start, end = paragraphs[i]
+        if before == i - 1 and out:
+            out[-1] = (out[-1][0], end)
         else:
-            settle()
-            paragraph = []
-    settle()
-    return sorted(out)
+            out.append((start, end))
+        before = i
+    return out
+
+
+def find(text: str, templates: Templates, cue: re.Pattern) -> list[tuple]:
+    """(start, end, name, saving, missing words, added words) of the licenses of one text, in order of place."""
+    return sorted(
+        (start + a, start + b, *rest) for start, end in blocks(text, cue) for a, b, *rest in templates.confirm(words_of(text[start:end])))
 
 
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
@@ -223,7 +294,8 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -
     ``licenses`` lists name:start:end in order of place, in code points, end exclusive;
     ``missing`` and ``added`` count words by which they differ from their templates; a number of
     the template is never among the missing, so other versions are not reported, and neither
-    are notices that a word like "not" denies. Only paragraphs and lines with a licensing word
+    are notices that a word like "not" denies. ``best_saving`` is the largest share of a window's
+    bytes that its template saves. Only paragraphs with a licensing word and those beside them
     are searched. Null and
     empty texts hold none; rows may repeat and ids may be null. An empty table gives an empty
     result; other columns are ignored.

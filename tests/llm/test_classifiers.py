@@ -235,6 +235,32 @@ def test_exact_notices_equal_brute_force(spark):
         assert got[i].licenses == ",".join(want), (text, want)
 
 
+def test_wrapped_and_commented_texts_are_found_whole(spark, monkeypatch):
+    import textwrap
+
+    apache = next(t for t in op10_licenses.TEMPLATES["Apache-2.0"] if "AS IS" in t)
+    header = "\n".join("# " + line for line in textwrap.wrap(apache, 60))
+    paragraphs = op10_licenses._MIT.replace("conditions: ", "conditions:\n\n").replace("Software. THE", "Software.\n\nTHE")
+    bsd = textwrap.fill(op10_licenses._BSD_START + op10_licenses._BSD_END, 50).replace("\n", "\n * ")
+    rows = [
+        (1, f"#!/bin/sh\n#\n{header}\n#\necho hello", "s"), (2, f"MIT License\n\nCopyright (c) 2024 A Person\n\n{paragraphs}", "s"), (3, f"/* {bsd}\n */ int main", "s"),
+        (4, "dual licensed under the MIT License or the Apache License, Version 2.0", "s"), (5, "// SPDX-License-Identifier: Apache-2.0", "s"),
+        (6, "SPDX-License-Identifier: GPL-2.0-or-later\ncode", "s"), (7, "the MIT License", "s"), (8, "SPDX-License-Identifier: Apache-3.0", "s"),
+    ]
+    got = {r.doc_id: r for r in op10_licenses.scan(documents(spark, rows)).collect()}
+    names = {i: re.sub(r":\d+", "", got[i].licenses) for i in got}
+    assert names == {1: "Apache-2.0", 2: "MIT,MIT", 3: "BSD-2-Clause", 4: "MIT,Apache-2.0", 5: "Apache-2.0", 6: "GPL-2.0", 7: "MIT", 8: ""}
+    start, end = map(int, got[1].licenses.split(":")[1:])
+    assert rows[0][1][start:end].startswith("Licensed under") and rows[0][1][start:end].endswith("under the\n# License")
+    assert got[2].n_licenses == 2 and got[2].missing == 0 and 0.5 < got[1].best_saving < 1
+    # Without the dictionaries' savings the shorter notices within a text come first.
+    text = rows[0][1]
+    ready, cue = op10_licenses.Templates(op10_licenses.TEMPLATES), re.compile(op10_licenses.CUE, re.I)
+    whole = op10_licenses.find(text, ready, cue)
+    monkeypatch.setattr(op10_licenses.Templates, "saved", lambda self, data, entry: 0)
+    assert op10_licenses.find(text, ready, cue) != whole and len(whole) == 1
+
+
 def test_all_licenses_of_a_line_are_found(spark):
     names = ["MIT", "Apache-2.0", "GPL-3.0", "MIT", "BSD-3-Clause", "CC-BY-4.0", "MPL-2.0", "LGPL-3.0", "AGPL-3.0", "MIT", "Unlicense", "all-rights-reserved"]
     line = " ".join(op10_licenses.TEMPLATES[n][0] for n in names)
