@@ -28,7 +28,7 @@ from gleaner.llm.textvec import Batch, chunks, mix
 
 TREES, DEPTH, BASE = 16, 8, 5
 #: Neighbours on each side of a sorted order; a region of more rows than CROWD gets its other pairs from rare shingles.
-NEIGHBOURS, CROWD = 2, 64
+NEIGHBOURS, CROWD = 1, 64
 #: Most classes of equal sets that are broadcast, of three 64-bit keys each.
 FEW_CLASSES = 100_000
 #: Bits of a document's parity map, and counters of the sketch of shingle frequencies.
