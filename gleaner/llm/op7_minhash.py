@@ -3,10 +3,11 @@
 Every document gets ``TREES`` independent MinHash orders of ``DEPTH`` values each. Each order is
 sorted, and a document's neighbours in it are those of the longest common prefix: where few
 share its values that is a short one, where many do the order itself goes deeper, so the depth
-adapts to every region. Neighbours with ``BASE`` values in common are the first candidates.
-What they leave open is completed by region, the documents that agree on ``BASE`` values of an
-order: all pairs of a small region that aren't joined yet, and in crowded ones, at whatever
-depth, an exact join on the rarest shingles. A map of parities bounds from below in how many
+adapts to every region. Of its neighbours in all orders with ``BASE`` values in common, a document's
+first candidates are those of the longest prefixes, and the most central document of each
+region, the documents that agree on ``BASE`` values of an order or on more where it is crowded.
+What these leave open is completed by region: all pairs of a small one that aren't joined yet, and
+in crowded ones an exact join on the rarest shingles. A map of parities bounds from below in how many
 shingles two documents differ; candidates that it doesn't rule out are confirmed on full
 shingle sets, which are made for these documents only.
 
@@ -27,8 +28,9 @@ from gleaner.llm.components import connected_components
 from gleaner.llm.textvec import Batch, chunks, mix
 
 TREES, DEPTH, BASE = 16, 8, 5
-#: Neighbours on each side of a sorted order; a region of more rows than CROWD gets its other pairs from rare shingles.
-NEIGHBOURS, CROWD = 1, 64
+#: Neighbours that a document takes of all orders. A region of more rows than CROWD goes deeper, and gets its other pairs from
+#: rare shingles.
+NEIGHBOURS, CROWD = 2, 64
 #: Most classes of equal sets that are broadcast, of three 64-bit keys each.
 FEW_CLASSES = 100_000
 #: Bits of a document's parity map, and counters of the sketch of shingle frequencies.
@@ -178,22 +180,19 @@ def _frequencies(frames):
 
 
 def _neighbours(frames):
-    """Pairs of rows of a sorted order, at most NEIGHBOURS apart, that share a region."""
+    """Adjacent rows of a sorted order that share a region, from either end, with how many further values they share."""
     held = None
     for frame in frames:
-        rows = np.stack([frame.column(c).to_numpy() for c in ("key", "id", "n")])
-        new = rows.shape[1]
+        rows = np.stack([frame.column(c).to_numpy() for c in ("key", "tail", "id", "n")])
         if held is not None:
             rows = np.concatenate([held, rows], axis=1)
-        size = rows.shape[1]
-        found = []
-        for step in range(1, NEIGHBOURS + 1):
-            at = np.arange(max(step, size - new), size)
-            at = at[rows[0, at] == rows[0, at - step]]
-            found.append(np.concatenate([rows[1:, at], rows[1:, at - step]]))
-        held = rows[:, -NEIGHBOURS:]
-        x, nx, y, ny = np.concatenate(found, axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (x, nx, y, ny)], ["x", "nx", "y", "ny"])
+        held = rows[:, -1:]
+        same = np.flatnonzero(rows[0, 1:] == rows[0, :-1])
+        apart = rows[1, same] ^ rows[1, same + 1]
+        depth = ((apart >> 42) == 0).astype(np.int64) + ((apart >> 21) == 0) + (apart == 0)
+        (x, nx), (y, ny) = rows[2:, same], rows[2:, same + 1]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(v)) for v in ((x, y), (nx, ny), (y, x), (ny, nx), (depth, depth))], ["x", "nx", "y", "ny", "depth"])
 
 
 def _prefixes(often: np.ndarray, percent: int):
@@ -275,11 +274,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     placed = reps.select("id", "n", F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("tails").alias("tail"))).alias("t")).select(
         "id", "n", F.col("t.key").alias("key"), F.col("t.tail").alias("tail"))
     sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    forest = table(spread_join(placed, sizes, ["key"], F.col("id")))
+    crowd = F.lit(CROWD)
+    region = (
+        F.when(F.col("size") <= crowd, F.col("key"))
+        .when(F.col("size") <= crowd * 8, F.xxhash64("key", F.shiftrightunsigned("tail", 42)))
+        .when(F.col("size") <= crowd * 64, F.xxhash64("key", F.shiftrightunsigned("tail", 21)))
+        .otherwise(F.xxhash64("key", "tail"))
+    )
+    forest = table(spread_join(placed, sizes, ["key"], F.col("id")).withColumn("region", region))
     # Every order sorted as a whole: ranges of it are dealt over the tasks, so no region is one task. Neighbours that
     # a cut between ranges parts are left to the regions below, as all that are further apart.
-    in_order = forest.repartitionByRange("key", "tail", "id").sortWithinPartitions("key", "tail", "id").select("key", "id", "n")
-    neighbours = batches(in_order, _neighbours, "x long, nx long, y long, ny long")
+    in_order = forest.repartitionByRange("key", "tail", "id").sortWithinPartitions("key", "tail", "id").select("key", "tail", "id", "n")
+    adjacent = batches(in_order, _neighbours, "x long, nx long, y long, ny long, depth long")
+    nearest = F.slice(F.array_sort(F.collect_set(F.struct((-F.col("depth")).alias("d"), "y", "ny"))), 1, NEIGHBOURS)  # of two an order at most
+    neighbours = adjacent.where("x <> y").groupBy("x", "nx").agg(nearest.alias("near")).select("x", "nx", F.explode("near").alias("o")).select("x", "nx", "o.y", "o.ny")
+    weighted = forest.join(forest.groupBy("id").agg(F.sum("size").alias("weight")), "id")
+
+    def leaders(level: str) -> DataFrame:
+        best = weighted.groupBy(level).agg(F.min(F.struct(-F.col("weight"), "id", "n")).alias("lead"))
+        return spread_join(
+            weighted.select(level, F.col("id").alias("x"), F.col("n").alias("nx")),
+            best.select(level, F.col("lead.id").alias("y"), F.col("lead.n").alias("ny")), [level], F.col("x"),
+        ).select("x", "nx", "y", "ny")
 
     bits = table(matching(reps.select("id", "n", "bits"), forest.select("id").distinct(), ["id"]))
 
@@ -291,7 +307,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         left = table(_bounded(table(_ordered(pairs, percent)), bits, percent))
         return table(_verified(left, sets_of(left.select(F.explode(F.array("a", "b")).alias("id"))), percent))
 
-    first = linked(neighbours)
+    first = linked(neighbours.unionByName(leaders("key")).unionByName(leaders("region")))
     parts = connected_components(first).withColumnRenamed("component", "part")
 
     # All other pairs that share a key, where the first links don't already join them.

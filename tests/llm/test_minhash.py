@@ -112,17 +112,20 @@ def test_recall_is_measured_on_a_sample(spark):
 
 
 def test_neighbours_of_a_sorted_order():
-    rows = {"key": [1, 1, 1, 1, 2, 3, 3], "id": [10, 11, 12, 13, 20, 30, 31], "n": [5, 6, 7, 8, 9, 1, 2]}
+    one, two, three = 1 << 42, 1 << 21, 1
+    rows = {"key": [1, 1, 1, 1, 2, 3, 3], "tail": [0, one, one + two, one + two, 5, 7 * two, 7 * two + three], "id": [10, 11, 12, 13, 20, 30, 31], "n": [5, 6, 7, 8, 9, 1, 2]}
     whole = pa.RecordBatch.from_pydict(rows)
-    want = {(11, 10), (12, 11), (13, 12), (31, 30)}
+    want = {(10, 11): 0, (11, 12): 1, (12, 13): 3, (30, 31): 2}
+    want |= {(b, a): d for (a, b), d in want.items()}
     for cuts in ([7], [1, 1, 1, 1, 1, 1, 1], [3, 4], [2, 3, 2]):
         at, frames = 0, []
         for c in cuts:
             frames.append(whole.slice(at, c))
             at += c
         got = [r for batch in _neighbours(iter(frames)) for r in batch.to_pylist()]
-        assert {(r["x"], r["y"]) for r in got} == want and len(got) == len(want)
-        assert all(dict(zip(rows["id"], rows["n"]))[r["x"]] == r["nx"] for r in got)
+        assert {(r["x"], r["y"]): r["depth"] for r in got} == want and len(got) == len(want)
+        sizes = dict(zip(rows["id"], rows["n"]))
+        assert all(sizes[r["x"]] == r["nx"] and sizes[r["y"]] == r["ny"] for r in got)
 
 
 def test_stage_keeps_one_of_each_group_and_the_columns(spark):
