@@ -89,7 +89,8 @@ def _keyed(docs: DataFrame, seed: int) -> DataFrame:
 def _taken(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     """``rows(source, doc_id, _size, _key, _bin, ...)`` with _source_size, _target, _epochs and _part.
 
-    A row is taken whole _epochs times and then _part of its words.
+    A row is taken whole _epochs times and then _part of its words. Rows with a payload ``_row`` also have
+    a unique ``_id``.
     """
     same = F.coalesce(F.col("source"), F.lit("")), F.col("source").isNull()
     summed = rows.groupBy("source", "_bin").agg(F.sum("_size").alias("words"))
@@ -122,9 +123,12 @@ def _taken(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     )
     order = Window.partitionBy("_s", "_n").orderBy("_key", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
     room = F.col("_rest") - F.col("_before") - F.coalesce(F.sum("_size").over(order), F.lit(0))
-    last = joined.where(F.col("_bin") == F.col("_end")).withColumn(
-        "_part", F.greatest(F.lit(0), F.least(room, F.col("_size"))).cast("long")
-    )
+    ending = joined.where(F.col("_bin") == F.col("_end"))
+    # Whole rows stay out of the sort; those of the bins in which budgets end come back by their numbers.
+    narrow = ending.drop("_row") if "_row" in rows.columns else ending
+    last = narrow.withColumn("_part", F.greatest(F.lit(0), F.least(room, F.col("_size"))).cast("long"))
+    if "_row" in rows.columns:
+        last = last.join(ending.select("_id", "_row"), "_id")
     return clear.unionByName(last)
 
 
@@ -155,7 +159,9 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     """
     names = docs.columns
     payload = docs.select(F.col("doc_id"), F.col("source"), F.col("text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
-    rows = _taken(_keyed(payload, seed), weights, most)
+    # Texts are counted and weighed once; the plan reads what is written beside them, and numbers that are written stay.
+    keyed = table(_keyed(payload, seed).drop("text").withColumn("_id", F.monotonically_increasing_id()))
+    rows = _taken(keyed, weights, most)
     whole = F.when(F.col("_epochs") > 0, F.array_repeat(F.lit(False), F.col("_epochs").cast("int"))).otherwise(F.array().cast("array<boolean>"))
     part = F.when(F.col("_part") > 0, F.array(F.col("_part") < F.col("_size"))).otherwise(F.array().cast("array<boolean>"))
     copies = rows.select("_row", "_part", F.explode(F.concat(whole, part)).alias("_short"))
@@ -178,5 +184,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them."""
+    """The documents as often as the mix takes them, with the columns they have.
+
+    Null and empty texts are never taken. Rows without a source are a source of their own, and rows
+    without an id are drawn by their text. Rows that repeat are documents of their own; equal ones are
+    interchangeable. An empty table gives an empty one, and columns that clash with working names
+    come back as they were.
+    """
     return mixed_documents(docs)
