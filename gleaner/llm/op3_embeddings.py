@@ -15,6 +15,8 @@ so output grows with the vectors and not with their pairs.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -312,15 +314,18 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, overlap: int
         .withColumn("node", F.xxhash64("label", "h", "g"))
     )
     total = classes.count()
-    sample = classes.orderBy("node").limit(SAMPLE).select("label", "embedding").collect() if total else []
-    centroids = fit_centroids(sample, SHARD, CENTROIDS, total)
-    asked = {}
-    for r in classes.orderBy(F.xxhash64("node")).limit(AUDITED).select("node", "label", "embedding").collect():
-        asked.setdefault((r.label, len(r.embedding)), []).append((r.node, r.embedding))
-    expected = _brute_force(classes, asked, threshold)
+    centroids = fit_centroids(_drawn(classes, SAMPLE, total, 0), SHARD, CENTROIDS, total)
+    expected: dict[int, int] | None = None
     while True:
         found = table(_links(classes, centroids, threshold, overlap))
         links = found.where(F.col("other").isNull()).groupBy("node").agg(F.sum("links").alias("links"))
+        if expected is None:
+            # Half of the audit is drawn from all vectors and half from those with a link, as few may have one.
+            linked = table(classes.join(links.where("links > 0").select("node"), "node", "left_semi"))
+            asked: dict[tuple, dict] = {}
+            for r in (*_drawn(classes, AUDITED // 2, total, 1), *_drawn(linked, AUDITED // 2, linked.count(), 2)):
+                asked.setdefault((r.label, len(r.embedding)), {})[r.node] = r.embedding
+            expected = _brute_force(classes, {k: list(v.items()) for k, v in asked.items()}, threshold)
         if not sum(expected.values()):
             break
         # What was found is verified, so counts are the pairs found and recall is by pairs.
@@ -346,6 +351,30 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, overlap: int
     )
 
 
+class Drawn(NamedTuple):
+    node: int
+    label: int
+    embedding: np.ndarray
+
+
+def _drawn(classes: DataFrame, rows: int, total: int, seed: int) -> list[Drawn]:
+    """``rows`` of the classes by a hash, or all if they are fewer.
+
+    A range of the hash that holds little more than these by expectation is cut out where the rows lie, so
+    neither a task nor the driver gets many more, however many classes there are.
+    """
+    h = F.xxhash64(F.lit(seed), "node")
+    share = min(1.0, (1.2 * rows + 1000) / max(total, 1))
+    least = F.lit(True) if share >= 1 else h < F.lit(int((share - 0.5) * 2.0**64))
+    got = classes.where(least).orderBy(h, "node").limit(rows).select("node", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v")).toArrow()
+    values, at = got.column("v").combine_chunks(), 0
+    flat, out = values.flatten().to_numpy(zero_copy_only=False), []
+    for node, label, size in zip(got.column("node").to_pylist(), got.column("label").to_pylist(), values.value_lengths().to_pylist()):
+        out.append(Drawn(node, label, flat[at : at + size]))
+        at += size
+    return out
+
+
 def _brute_force(classes: DataFrame, asked: dict, threshold: float) -> dict[int, int]:
     """Links of the audited nodes, each compared with every class of its label, block by block."""
     if not asked:
