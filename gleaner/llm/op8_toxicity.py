@@ -2,8 +2,10 @@
 
 Four weighted transducers read a clause as a string of token classes. The first decides
 whether an insult or a threat is meant; the second marks what a negation reaches; the third
-what is reported speech; the last looks for patterns: a bare insult, an insult near a
-person, a threat that is followed by a person, and those that are negated or reported. Arcs
+what is reported speech and where the writer speaks again; the last looks for patterns: a bare
+insult, an insult near a person, a threat at a person, and those that are negated or reported.
+A threat is a verb that a person follows, unless a harmless object follows both; what is wished
+to a person, what a person is to have done to them, and where a person is told to go. Arcs
 carry a constant and a multiple of the token's own weight. Their composition is built once;
 the path of greatest weight through it gives a clause its pattern and its score. A word
 alone decides nothing: a threat without a person after it, or a negated insult, is another
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import batches, held_out, labelled_sample
+from gleaner.llm.common import batches, held_out, labelled_sample, table
 from gleaner.llm.textvec import Batch, chunks, folded, letters, runs
 
 #: Most labelled rows that the lexicon and the weights are learned from.
@@ -28,8 +30,9 @@ SAMPLE = 8000
 #: Most words, and most stems, that the learned lexicon holds.
 LEXICON = 2000
 STEMS = (4, 5, 6)
-#: Natural-log likelihood ratio a learned word must reach over chance.
-PROOF = 8.0
+#: Natural-log likelihood ratios over chance that a learned word may have to reach; which, cross-validation over so many folds of the
+#: training rows decides.
+PROOFS, FOLDS = (6.0, 8.0, 10.0, 13.0), 3
 #: Share of a learned word's documents that must be toxic.
 PRECISION = 0.92
 THRESHOLD = 0.7
@@ -43,20 +46,33 @@ INSULTS = (
 THREATS = "kill murder hurt destroy burn shoot stab beat crush strangle hang exterminate".split()
 PERSONS = (
     "you your yours him his her them their he she they people everyone guy woman man men women vous tu toi il elle ils "
-    "du dich dir sie er ihr ihn usted te ellos ella"
+    "du dich dir sie er ihr ihn usted te ellos ella yourself yourselves himself herself themselves"
 ).split()
 NEGATIONS = "not no never nobody isn aren wasn don doesn didn without hardly nicht kein keine pas jamais nunca".split()
 REPORTS = "said says say told wrote writes quoted claimed called reported according stated sagte dit dijo".split()
+WISHES = "hope hopes hoping wish wishes wishing pray espero ojalá hoffe hoffentlich espère".split()
+FATES = "die dies suffer bleed rot perish drown choke sterben verrecken crève crever mueras muere".split()
+DONE = "killed murdered destroyed burned burnt shot stabbed beaten crushed strangled hanged exterminated erased".split()
+PASSIVES = "be get getting".split()
+DOOMS = "hell hölle enfer infierno".split()
+GOING = "go geh fahr va vete".split()
+HARMLESS = "email emails mail message text note line letter link call chess tennis cards poker game games race match score deadline record".split()
+TURNS = "and but und aber mais et pero y".split()
+SELVES = "i ich je yo we wir nous".split()
 
 #: Classes of tokens; a break is a mark inside a clause, such as a comma.
-CLASSES = ("insult", "threat", "person", "negation", "report", "word", "break")
-_INSULT, _THREAT, _PERSON, _NEGATION, _REPORT, _PLAIN, _BREAK = range(7)
+CLASSES = ("insult", "threat", "person", "negation", "report", "word", "break", "wish", "fate", "done", "passive", "doom", "going", "harmless", "turn", "self")
+(_INSULT, _THREAT, _PERSON, _NEGATION, _REPORT, _PLAIN, _BREAK, _WISH, _FATE, _DONE, _PASSIVE, _DOOM, _GOING, _HARMLESS, _TURN, _SELF) = range(16)
+#: Classes that can make a pattern.
+LOUD = ("insult", "threat", "fate", "done", "doom")
 #: Patterns a clause can end in.
 PATTERNS = ("insult", "insult_target", "threat_target", "negated", "reported")
-#: Tokens over which a negation reaches, and at which a person is near an insult or follows a threat.
-REACH, NEAR, AFTER = 3, 3, 2
-#: Weights: a person near an insult, a threat at a person, and the share that negated and reported ones keep.
-AT_PERSON, AT_THREAT, NEGATED, REPORTED = 0.5, 0.5, 0.25, 0.5
+#: Tokens over which a negation reaches, and at which a person is near an insult or follows a threat, a harmless object
+#: follows the two, and the parts of a wish, a passive or a curse follow each other.
+REACH, NEAR, AFTER, OBJECT, LINKED = 3, 3, 2, 3, 3
+#: Weights: a person near an insult, a threat at a person, and the share that negated and reported ones keep; what a harmless
+#: object takes away is more than a threat can weigh.
+AT_PERSON, AT_THREAT, NEGATED, REPORTED, TURNED = 0.5, 0.5, 0.25, 0.5, -2.0
 
 
 class Transducer:
@@ -91,7 +107,7 @@ class Transducer:
 def _sense() -> Transducer:
     """Insults and threats are meant, or are words like others."""
     arcs = [(0, c, c, 0.0, 0.0, 0) for c in CLASSES]
-    return Transducer(arcs + [(0, c, "word", 0.0, 0.0, 0) for c in ("insult", "threat")], {0: ""})
+    return Transducer(arcs + [(0, c, "word", 0.0, 0.0, 0) for c in LOUD], {0: ""})
 
 
 def _negation() -> Transducer:
@@ -100,25 +116,29 @@ def _negation() -> Transducer:
     for left in range(REACH + 1):
         for c in CLASSES:
             to = REACH if c == "negation" else 0 if c == "break" else max(left - 1, 0)
-            hit = left > 0 and c in ("insult", "threat")
+            hit = left > 0 and c in LOUD
             arcs.append((left, c, "negated" if hit else c, 0.0, 0.0, to))
     return Transducer(arcs, dict.fromkeys(range(REACH + 1), ""))
 
 
 def _report() -> Transducer:
-    """What follows a verb of saying is reported."""
+    """What follows a verb of saying is reported, until a conjunction and a first person take over."""
     arcs = []
     for c in (*CLASSES, "negated"):
         arcs.append((0, c, c, 0.0, 0.0, 1 if c == "report" else 0))
-        arcs.append((1, c, "reported" if c in ("insult", "threat") else c, 0.0, 0.0, 1))
-    return Transducer(arcs, {0: "", 1: ""})
+        out = "reported" if c in LOUD else c
+        arcs.append((1, c, out, 0.0, 0.0, 2 if c == "turn" else 1))
+        arcs.append((2, c, out, 0.0, 0.0, 0 if c == "self" else 2 if c == "turn" else 1))
+    return Transducer(arcs, dict.fromkeys(range(3), ""))
 
 
 def _pattern() -> Transducer:
     """Which pattern a clause makes.
 
-    A state is (best pattern so far, what is near: a person, an insult without one, a threat
-    that still needs one, or nothing; tokens it stays near).
+    A state is (best pattern so far, what is open, tokens it stays open). Open are: a person, an
+    insult without one, a threat that still needs one, a threat that hit one and that a
+    harmless object may turn, a wish, a person it is for, a person to whom something is to be
+    done, and one who is told to go.
     """
     ranks = ("", "negated", "reported", *PATTERNS[:3])
     numbers: dict[tuple, int] = {}
@@ -137,34 +157,48 @@ def _pattern() -> Transducer:
     while todo:
         state = todo.pop()
         have, near, left = state
-        fade = (have, near, left - 1) if left > 1 else (have, "", 0)
+        # A threat that nothing turned counts once its object can't come any more.
+        settled = best(have, "threat_target") if near == "hit" else have
+        fade = (have, near, left - 1) if left > 1 else (settled, "", 0)
         for c in (*CLASSES, "negated", "reported"):
-            moves = []
+            constant, multiple, to = 0.0, 0.0, fade
             if c == "insult":
+                multiple = 1.0
                 if near == "person":
-                    moves.append((AT_PERSON, 1.0, (best(have, "insult_target"), near, left)))
-                elif near != "threat":
-                    moves.append((0.0, 1.0, (best(have, "insult"), "insult", NEAR)))
+                    constant, to = AT_PERSON, (best(have, "insult_target"), near, left)
+                elif near in ("hit", "wished"):  # a person is there
+                    constant, to = AT_PERSON, (best(settled, "insult_target"), "person", NEAR)
+                elif near == "threat":
+                    to = (best(have, "insult"), *fade[1:])
                 else:
-                    moves.append((0.0, 1.0, (best(have, "insult"), *fade[1:])))
+                    to = (best(have, "insult"), "insult", NEAR)
+            elif c in ("threat", "done") and near == "passive" or c == "fate" and near in ("wished", "going") or c == "doom" and near == "going":
+                constant, multiple, to = AT_THREAT, 1.0, (best(have, "threat_target"), "", 0)
             elif c == "threat":
-                moves.append((0.0, 1.0, (have, "threat", AFTER)))
+                multiple, to = 1.0, (settled, "threat", AFTER)
             elif c == "person":
                 if near == "threat":
-                    moves.append((AT_THREAT, 0.0, (best(have, "threat_target"), "person", NEAR)))
+                    constant, to = AT_THREAT, (have, "hit", OBJECT)
                 elif near == "insult":
-                    moves.append((AT_PERSON, 0.0, (best(have, "insult_target"), "person", NEAR)))
+                    constant, to = AT_PERSON, (best(have, "insult_target"), "person", NEAR)
+                elif near in ("wish", "wished"):
+                    to = (have, "wished", LINKED)
                 else:
-                    moves.append((0.0, 0.0, (have, "person", NEAR)))
+                    to = (settled, "person", NEAR)
+            elif c == "harmless" and near == "hit":
+                constant, to = TURNED, (have, "", 0)
+            elif c == "wish" and near != "threat":
+                to = (settled, "wish", LINKED)
+            elif c == "passive" and near in ("person", "wished"):
+                to = (have, "passive", LINKED)
+            elif c == "going" and near in ("", "person"):
+                to = (have, "going", LINKED)
             elif c in ("negated", "reported"):
-                moves.append((0.0, NEGATED if c == "negated" else REPORTED, (best(have, c), *fade[1:])))
-            else:
-                moves.append((0.0, 0.0, fade))
-            for constant, multiple, to in moves:
-                if near == "threat" and left <= 1 and c != "person":
-                    continue  # a threat that no person has followed is not one
-                arcs.append((numbers[state], c, c, constant, multiple, number(to)))
-    return Transducer(arcs, {n: have for (have, near, _), n in numbers.items() if near != "threat"})
+                multiple, to = NEGATED if c == "negated" else REPORTED, (best(fade[0], c), *fade[1:])
+            if near == "threat" and left <= 1 and c != "person":
+                continue  # a threat that no person has followed is not one
+            arcs.append((numbers[state], c, c, constant, multiple, number(to)))
+    return Transducer(arcs, {n: best(have, "threat_target") if near == "hit" else have for (have, near, _), n in numbers.items() if near != "threat"})
 
 
 PARTS = (_sense(), _negation(), _report(), _pattern())
@@ -238,7 +272,10 @@ class Grammar:
 
     def _tables(self):
         entries: dict[str, tuple[int, float]] = {}
-        for kind, words in ((_REPORT, REPORTS), (_NEGATION, NEGATIONS), (_PERSON, PERSONS), (_THREAT, THREATS), (_INSULT, INSULTS)):
+        for kind, words in (
+            (_TURN, TURNS), (_SELF, SELVES), (_HARMLESS, HARMLESS), (_GOING, GOING), (_DOOM, DOOMS), (_PASSIVE, PASSIVES), (_DONE, DONE), (_FATE, FATES), (_WISH, WISHES),
+            (_REPORT, REPORTS), (_NEGATION, NEGATIONS), (_PERSON, PERSONS), (_THREAT, THREATS), (_INSULT, INSULTS),
+        ):
             entries.update({w: (kind, 1.0) for w in words})
         for w, weight in self.words.items():  # a learned threat stays one
             kind = entries.get(w, (_INSULT, 0))[0]
@@ -284,7 +321,7 @@ class Grammar:
         stops = np.isin(batch.codes, [ord(c) for c in ".!?;\n。…"])
         before = np.concatenate([[0], np.cumsum(stops)])[start] + text
         clause = np.concatenate([[0], np.cumsum(before[1:] != before[:-1])])
-        loud = np.unique(clause[(kind == _INSULT) | (kind == _THREAT)])
+        loud = np.unique(clause[np.isin(kind, [CLASSES.index(c) for c in LOUD])])
         first = np.searchsorted(clause, loud, side="left")
         last = np.searchsorted(clause, loud, side="right")
         # The tokens of these clauses, with a break before those that a comma or the like precedes.
@@ -327,12 +364,8 @@ class Grammar:
         return self
 
 
-def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems that mark toxic rows of the sample beyond chance, with weights in (0, 1].
-
-    Counts documents, not occurrences. At most ``LEXICON`` of each come to the driver.
-    """
-    base = toxic / (toxic + clean)
+def counted_entries(sample: DataFrame) -> DataFrame:
+    """(entry, fold, bad, n): in how many rows of the sample, by fold, each word ("=") and stem ("^") stands, and in how many toxic ones."""
     tokens = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
     stems = F.array(*[F.lit(k) for k in STEMS])
     entries = F.concat(
@@ -340,14 +373,24 @@ def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> tuple[dict[str,
         F.array_distinct(F.flatten(F.transform(stems, lambda k: F.transform(
             F.filter(tokens, lambda w: F.length(w) >= k), lambda w: F.concat(F.lit("^"), F.substring(w, F.lit(1), k)))))),
     )
-    counted = (
-        sample.select("label", F.explode(entries).alias("entry"))
-        .groupBy("entry").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n"))
+    return (
+        sample.select("label", "fold", F.explode(entries).alias("entry"))
+        .groupBy("entry", "fold").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n"))
     )
+
+
+def learn_lexicon(counted: DataFrame, totals: dict[int, tuple[int, int]], without: int | None, least: float) -> tuple[dict[str, float], dict[str, float]]:
+    """Words and stems that mark toxic rows of the folds but one beyond chance, with weights in (0, 1].
+
+    Counts documents, not occurrences; ``totals`` has (toxic, all) rows by fold. At most ``LEXICON`` of each come to the driver.
+    """
+    bad, every = (sum(t[k] for fold, t in totals.items() if fold != without) for k in (0, 1))
+    base = bad / every
+    merged = counted.where(F.col("fold") != F.lit(-1 if without is None else without)).groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     p = F.least((F.col("bad") + 0.0) / F.col("n"), F.lit(1 - 1e-9))
     proof = F.col("bad") * F.log(F.greatest(p, F.lit(1e-9)) / base) + (F.col("n") - F.col("bad")) * F.log((1 - p) / (1 - base))
     best = (
-        counted.where((F.col("bad") >= 4) & (p >= PRECISION)).withColumn("proof", proof).where(F.col("proof") >= PROOF)
+        merged.where((F.col("bad") >= 4) & (p >= PRECISION)).withColumn("proof", proof).where(F.col("proof") >= least)
         .orderBy(F.desc("proof"), "entry").limit(2 * LEXICON).collect()
     )
     weigh = lambda r: r.bad / (r.n + 1)
@@ -355,29 +398,52 @@ def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> tuple[dict[str,
     return words, {r.entry[1:]: weigh(r) for r in best if r.entry[0] == "^"}
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
-    """A grammar learned from at most ``sample`` labelled rows outside the held-out fold.
-
-    Without a row of either label the seeds and starting weights stand.
-    """
-    chosen = labelled_sample(docs, labels, "toxic", sample).select("doc_id", "text", "label")
-    seen = {r.label: r["count"] for r in chosen.groupBy("label").count().collect()}
-    if not seen.get(0) or not seen.get(1):
-        return Grammar({}, {})
-    grammar = Grammar(*learn_lexicon(chosen, seen[1], seen[0]))
-
+def _featured(sample: DataFrame, grammars: list[Grammar]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(labels, folds, features by each grammar) of the sample's rows, in one order."""
     def run(frames):
         for frame in frames:
             texts = frame.column("text").to_pylist()
             for a, b in chunks(texts):
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": frame.column("doc_id").slice(a, b - a), "label": frame.column("label").slice(a, b - a),
-                    "x": pa.array(list(grammar.features(texts[a:b]))),
+                    "doc_id": frame.column("doc_id").slice(a, b - a), "label": frame.column("label").slice(a, b - a), "fold": frame.column("fold").slice(a, b - a),
+                    "x": pa.array(list(np.hstack([g.features(texts[a:b]) for g in grammars]))),
                 })
 
-    rows = batches(chosen, run, "doc_id long, label int, x array<double>").collect()
+    rows = batches(sample, run, "doc_id long, label int, fold int, x array<double>").collect()  # at most the sample's
     rows.sort(key=lambda r: (r.doc_id, r.label, r.x))
-    return grammar.fit(np.array([r.x for r in rows]), np.array([float(r.label) for r in rows]))
+    x = np.array([r.x for r in rows])
+    return np.array([float(r.label) for r in rows]), np.array([r.fold for r in rows]), np.split(x, len(grammars), axis=1)
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
+    """A grammar learned from at most ``sample`` labelled rows outside the held-out fold.
+
+    How much proof a learned word needs is chosen among ``PROOFS`` by cross-validation within these
+    rows: a lexicon and weights are learned without each of ``FOLDS`` folds and judged on it by log
+    loss, ties to less proof. As evidence grows with the rows, what is asked of fewer rows is
+    less in proportion. Without two rows of either label in every fold the middle one is
+    taken, and without a row of either the seeds and starting weights stand.
+    """
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    chosen = table(labelled_sample(docs, labels, "toxic", sample).select("doc_id", "text", "label", fold))
+    totals = {r.fold: (r.bad, r.n) for r in chosen.groupBy("fold").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n")).collect()}
+    if not sum(b for b, _ in totals.values()) or not sum(n - b for b, n in totals.values()):
+        return Grammar({}, {})
+    counted = table(counted_entries(chosen))
+    least = PROOFS[1]
+    if len(totals) == FOLDS and all(min(b, n - b) >= 2 for b, n in totals.values()):
+        tried = [(proof, out) for proof in PROOFS for out in range(FOLDS)]
+        y, folds, x = _featured(chosen, [Grammar(*learn_lexicon(counted, totals, out, proof * (FOLDS - 1) / FOLDS)) for proof, out in tried])
+        losses = dict.fromkeys(PROOFS, 0.0)
+        for (proof, out), own in zip(tried, x):
+            here = folds == out
+            theta = Grammar({}, {}).fit(own[~here], y[~here]).coefficients
+            p = np.clip(1 / (1 + np.exp(-np.clip(theta[0] + own[here] @ theta[1:], -30, 30))), 1e-9, 1 - 1e-9)
+            losses[proof] -= np.where(y[here] > 0, np.log(p), np.log1p(-p)).sum()
+        least = min(PROOFS, key=lambda proof: round(losses[proof], 6))
+    grammar = Grammar(*learn_lexicon(counted, totals, None, least))
+    y, _, (x,) = _featured(chosen, [grammar])
+    return grammar.fit(x, y)
 
 
 def score(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> DataFrame:

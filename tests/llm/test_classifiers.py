@@ -1,6 +1,7 @@
 """Operators 5, 8 and 10: held-out accuracy, plain recomputation, and the pipeline."""
 
 import itertools
+import math
 import random
 import re
 import zlib
@@ -122,6 +123,39 @@ def test_clause_grammar():
     assert words_run("not at all in any way scum")["insult"] == 1
 
 
+def test_wishes_passives_reflexives_and_objects():
+    for threat in ("I hope you die", "go to hell", "you people should be killed", "kill yourself", "You will be hurt", "I wish they would suffer", "you deserve to get beaten", "shoot you now"):
+        assert words_run(threat)["threat_target"] == 1.5, threat
+    for harmless in ("shoot you an email", "I will beat you at chess", "go to the shop", "I hope you win", "he was killed in an accident", "we hope the plan may die", "you will be early", "kill you in that game"):
+        assert not any(words_run(harmless).values()), harmless
+    assert words_run("you will not be hurt") == {"insult": 0, "insult_target": 0, "threat_target": 0, "negated": 0.25, "reported": 0}
+    agreed = words_run("he said it is fine and I agree you moron")
+    assert agreed["insult_target"] == 1.5 and agreed["reported"] == 0
+    assert words_run("he said that and you are a moron")["reported"] == 0.5
+    assert words_run("I will beat you at chess you idiot")["insult_target"] == 1.5
+
+
+def test_a_document_scores_as_recomputed_from_words_and_weights():
+    """Features, totals and score of a text from its clauses, by the best path of every one."""
+    grammar = op8_toxicity.Grammar({"zork": 0.6}, {"grum": 0.4})
+    grammar.coefficients = np.array([-2.0, 1.0, 1.5, 2.0, 0.3, 0.2, 0.7])
+    text = "You are a zork. He said grumble, you idiot! Nothing here; kill them all\nplain words only"
+    kinds = {"you": 2, "he": 2, "them": 2, "said": 4, "zork": 0, "idiot": 0, "grumble": 0, "kill": 1}
+    weights = {"zork": 0.6, "grumble": 0.4, "idiot": 1.0, "kill": 1.0}
+    totals, hits, clauses = dict.fromkeys(op8_toxicity.PATTERNS, 0.0), 0, re.split(r"[.!;\n]", text)
+    for clause in clauses:
+        tokens = re.findall(r"\w+|,", clause.lower())
+        path = brute_best([6 if t == "," else kinds.get(t, 5) for t in tokens], [weights.get(t, 0.0) for t in tokens])
+        name, value = max(path.items(), key=lambda kv: kv[1])
+        if name:
+            totals[name] += value
+            hits += 1
+    x = [*(math.log1p(totals[p]) for p in op8_toxicity.PATTERNS), hits / len(clauses)]
+    assert np.allclose(grammar.features([text])[0], x) and hits == 3
+    z = -2.0 + np.dot(x, [1.0, 1.5, 2.0, 0.3, 0.2, 0.7])
+    assert abs(grammar.scores([text])[0] - 1 / (1 + math.exp(-z))) < 1e-12
+
+
 def brute_best(kinds, weights):
     """The best path by trying every path of the cascade, one transducer after another."""
     best = {}
