@@ -40,18 +40,33 @@ def quartiles(df: DataFrame, group: Column, value: Column) -> DataFrame:
     return out.where(F.size("a") >= 3).select("stat_key", *[exclusive_quantile(F.col("a"), q).alias(f"p{q * 25}") for q in (1, 2, 3)])
 
 
+def running(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """df with the sum of ``value`` through each row in a total ``order``, without bringing all rows into one task.
+
+    Ranges of the order are written with their number and summed; each then starts with the sum of
+    those before it. Only one sum a range is gathered.
+    """
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = stored(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    sums = placed.groupBy("_part").agg(F.sum(value).alias("_n"))
+    before = sums.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.sum(value).over(within)).drop("_part", "_before")
+
+
 def quartiles_at_scale(df: DataFrame, group: Column, value: Column) -> DataFrame:
-    """``quartiles`` without collecting a group: ranks from windows over distinct amounts."""
+    """``quartiles`` without collecting or sorting a group in one task: ranks from running counts of distinct amounts."""
     counts = df.select(group.alias("stat_key"), value.alias("v")).where("v is not null").groupBy("stat_key", "v").agg(F.count(F.lit(1)).alias("c"))
-    order = Window.partitionBy("stat_key").orderBy("v")
-    ranked = counts.withColumn("through", F.sum("c").over(order)).withColumn("n", F.sum("c").over(Window.partitionBy("stat_key")))
+    ranked = stored(running(counts, ["stat_key", "v"], "c", "through"))
+    groups = ranked.groupBy("stat_key").agg((F.max("through") - F.min(F.col("through") - F.col("c"))).alias("n"), F.min(F.col("through") - F.col("c")).alias("_start"))
+    ranked = ranked.join(groups.where("n >= 3"), "stat_key").withColumn("through", F.col("through") - F.col("_start"))
     out = []
     for q in (1, 2, 3):
         j = F.greatest(F.lit(1), F.least(F.floor(F.lit(q) * (F.col("n") + 1) / 4), F.col("n") - 1))
         d = q * (F.col("n") + 1) - 4 * j
         at = lambda k: F.min(F.when(F.col("through") >= k, F.col("v")))
         out += [at(j).alias(f"lo{q}"), at(j + 1).alias(f"hi{q}"), F.max(d).alias(f"d{q}")]
-    return ranked.where("n >= 3").groupBy("stat_key").agg(*out).select(
+    return ranked.groupBy("stat_key").agg(*out).select(
         "stat_key", *[((F.col(f"lo{q}") * (4 - F.col(f"d{q}")) + F.col(f"hi{q}") * F.col(f"d{q}")) / 4).cast("long").alias(f"p{q * 25}") for q in (1, 2, 3)])
 
 
@@ -71,6 +86,11 @@ def snapshot(active: DataFrame, day: Column, extra: list[DataFrame] = ()) -> Dat
     return reduce(DataFrame.unionByName, parts).select(day.alias("stat_date"), "stat_type", "stat_key", "stat_value")
 
 
+def stat_slice(stats: DataFrame, day: Column, kind: str) -> DataFrame:
+    """(stat_key, stat_value) of one day and type of the stored statistics, largest first, ties by key."""
+    return stats.where((F.col("stat_date") == day) & (F.col("stat_type") == kind)).select("stat_key", "stat_value").orderBy(F.desc("stat_value"), "stat_key")
+
+
 def wide(stats: DataFrame, key: str, kinds: list[str]) -> DataFrame:
     return stats.groupBy(key).pivot("stat_type", kinds).agg(F.max("stat_value"))
 

@@ -82,6 +82,19 @@ def daily_snapshot_eav(t: Tables) -> DataFrame:
     )
 
 
+@query("""
+SELECT event_type AS stat_key, count(*) AS stat_value FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10' GROUP BY 1 ORDER BY 2 DESC, 1
+""")
+def stat_slice(t: Tables) -> DataFrame:
+    """One slice of the statistics of all days, as a chart reads it."""
+    return A.stat_slice(daily_snapshot_eav(t), F.lit("2024-01-10").cast("date"), "type_count")
+
+
+@query("SELECT *, sum(l_quantity) OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount ROWS UNBOUNDED PRECEDING) AS through FROM lineitem")
+def running_sum(t: Tables) -> DataFrame:
+    return A.running(t.lineitem, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"], "l_quantity", "through")
+
+
 @query("SELECT * FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1 ORDER BY 1 DESC LIMIT 14) ORDER BY 1")
 def trend_last_n(t: Tables) -> DataFrame:
     return A.latest(t.events.groupBy(day().alias("day")).agg(F.count(F.lit(1)).alias("n")), "day", 14)

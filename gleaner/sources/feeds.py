@@ -254,6 +254,15 @@ def requests_of(queries: list[str], **dims: list[str]) -> list[dict[str, str]]:
     return [dict(zip(names, values)) for values in itertools.product(*dims.values(), queries)]
 
 
+def discovered(candidates: DataFrame, asking: Callable | None = None, gap: float = 1.0) -> dict[str, list[str]]:
+    """The slugs by system of ``candidates(ats, slug, url)`` whose board answers 200, ready to be merged into the known ones."""
+    from gleaner.sources import chain
+
+    rows = candidates.withColumn("_id", F.concat_ws("/", "ats", "slug"))
+    got = rows.join(chain.visited(rows, "_id", "url", chain.page_answer, asking or chain.ask, gap), "_id").where("status = 200")
+    return {r.ats: sorted(r.slugs) for r in got.groupBy("ats").agg(F.collect_set("slug").alias("slugs")).collect()}
+
+
 def known_slugs(path: str, found: dict[str, list[str]] | None = None) -> dict[str, list[str]]:
     """The slug lists by system in a JSON file, with newly ``found`` ones merged in and written back."""
     file = Path(path)

@@ -135,3 +135,14 @@ def test_a_lifecycle_run(spark):
     assert (t.newly_closed, t.reopened) == (2, 1)
     new = {r.external_id: r for r in lifecycle.rechecked(jobs, done, day).collect()}
     assert new["x4"].lifecycle_status == "active" and new["x4"].last_lifecycle_check == DAY and new["x7"].last_lifecycle_check == old and new["x8"].last_lifecycle_verdict is None
+
+
+def test_slugs_whose_board_answers(spark):
+    from gleaner.sources import feeds
+
+    rows = [("lever", "a", "https://x/a"), ("lever", "b", "https://x/b"), ("gh", "c", "https://y/c"), ("gh", "d", "")]
+
+    def asking(method, url, timeout):
+        return Answer({"https://x/a": 200, "https://x/b": 404, "https://y/c": 200}.get(url), url)
+
+    assert feeds.discovered(spark.createDataFrame(rows, "ats string, slug string, url string"), asking, 0) == {"lever": ["a"], "gh": ["c"]}
