@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.plans import composite, relational, scalar  # noqa: F401  each registers its queries
+from gleaner.plans import composite, postings, relational, scalar  # noqa: F401  each registers its queries
 from gleaner.plans.registry import QUERIES, SQL
 
 

@@ -192,7 +192,7 @@ def stream_freshness(t: Tables) -> DataFrame:
 
 
 @query(_E + """, n AS (SELECT *, max(CASE WHEN value = 'error' THEN ms END) OVER (PARTITION BY key ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING) AS missed FROM e)
-SELECT key, ms, count(*) AS asked, count_if(missed IS NULL OR ms >= missed + 2592000000) AS passed FROM n WHERE value <> 'error' GROUP BY 1, 2
+SELECT key, ms, count(*) AS asked, count_if(missed IS NULL OR ms >= missed + 2592000000)::BIGINT AS passed FROM n WHERE value <> 'error' GROUP BY 1, 2
 """)
 def stream_negative_cache(t: Tables) -> DataFrame:
     return _updated(t, expiry.gated(_keyed(t), 30, "error")).groupBy("key", "ms").agg(F.count(F.lit(1)).alias("asked"), F.count_if("passed").alias("passed"))
