@@ -17,6 +17,17 @@ def counted(df: DataFrame, column: Column, default: str, kind: str) -> DataFrame
     return df.groupBy(key.alias("stat_key")).agg(F.count(F.lit(1)).alias("stat_value")).select(F.lit(kind).alias("stat_type"), "stat_key", "stat_value")
 
 
+def counted_by(df: DataFrame, by: Column, key: Column, kind: str, count: Column | None = None) -> DataFrame:
+    """(stat_date, stat_type, stat_key, stat_value): ``count``, by default rows, of each day and key."""
+    value = F.count(F.lit(1)) if count is None else count
+    return df.groupBy(by.alias("stat_date"), key.alias("stat_key")).agg(value.alias("stat_value")).select("stat_date", F.lit(kind).alias("stat_type"), "stat_key", "stat_value")
+
+
+def tallied(df: DataFrame, by: list[str], conditions: dict[str, Column]) -> DataFrame:
+    """One row a group, or one in all: rows as n, and how many meet each condition, null as not met."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in conditions.items()])
+
+
 def top(df: DataFrame, column: Column, n: int) -> DataFrame:
     """The n most frequent values by count then name; blanks take a place and are then dropped."""
     counts = df.groupBy(F.coalesce(column, F.lit("")).alias("stat_key")).agg(F.count(F.lit(1)).alias("stat_value"))
@@ -212,8 +223,8 @@ def provider_counts(df: DataFrame) -> DataFrame:
 
 def enrichment_tallies(df: DataFrame) -> DataFrame:
     """One row: rows enriched from a page, and those that an aggregator alone speaks for."""
-    source = F.coalesce("enrichment_source", F.lit(""))
-    return df.agg(F.count_if(source == "page").alias("enriched"), F.count_if(source == "aggregator").alias("aggregator_only"), F.count(F.lit(1)).alias("total"))
+    source = F.col("enrichment_source")
+    return tallied(df, [], {"enriched": source == "page", "aggregator_only": source == "aggregator"}).select("enriched", "aggregator_only", F.col("n").alias("total"))
 
 
 def cube_counts(df: DataFrame, *columns: str) -> DataFrame:

@@ -72,13 +72,10 @@ UNION ALL SELECT CAST(ts AS DATE), 'total_active', 'all', count(*) FROM events G
 UNION ALL SELECT CAST(ts AS DATE), 'users', 'distinct', count(DISTINCT user_id) FROM events GROUP BY 1
 """)
 def daily_snapshot_eav(t: Tables) -> DataFrame:
-    e = t.events.withColumn("stat_date", day())
-    part = lambda g, kind, key, agg: g.agg(agg.alias("stat_value")).select("stat_date", F.lit(kind).alias("stat_type"), key.alias("stat_key"), "stat_value")
-    n = F.count(F.lit(1))
+    e = t.events
     return (
-        part(e.groupBy("stat_date", "event_type"), "type_count", F.col("event_type"), n)
-        .unionByName(part(e.groupBy("stat_date"), "total_active", F.lit("all"), n))
-        .unionByName(part(e.groupBy("stat_date"), "users", F.lit("distinct"), F.countDistinct("user_id")))
+        A.counted_by(e, day(), F.col("event_type"), "type_count").unionByName(A.counted_by(e, day(), F.lit("all"), "total_active"))
+        .unionByName(A.counted_by(e, day(), F.lit("distinct"), "users", F.countDistinct("user_id")))
     )
 
 
@@ -105,9 +102,8 @@ SELECT l_linestatus, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS retu
  CAST(sum(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END) AS BIGINT) AS large FROM lineitem GROUP BY 1
 """)
 def conditional_tallies(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_linestatus").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("returned"), F.count_if(F.col("l_discount") > 0.05).alias("discounted"),
-        F.sum((F.col("l_quantity") > 25).cast("long")).alias("large"))
+    return A.tallied(t.lineitem, ["l_linestatus"], {
+        "returned": F.col("l_returnflag") == "R", "discounted": F.col("l_discount") > 0.05, "large": F.col("l_quantity") > 25})
 
 
 @query("""

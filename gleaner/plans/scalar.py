@@ -120,6 +120,26 @@ def title_split(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", s["title"].alias("title"), s["company"].alias("company"), text.last_segment(F.concat("p_name", F.lit(" - "), "p_brand")).alias("last_segment"))
 
 
+_AT = [f"position('{sep}' IN x)" for sep in C.TITLE_SEPARATORS]
+_FIRST = " ".join(f"WHEN {at} > 0 THEN trim(substr(x, 1, {at} - 1))" for at in _AT)
+_REST = " ".join(f"WHEN {at} > 0 THEN trim(substr(x, {at} + {len(sep)}))" for at, sep in zip(_AT, C.TITLE_SEPARATORS))
+_SEPARATORS = ", ".join(f"'{sep}'" for sep in C.TITLE_SEPARATORS)
+
+
+@query(f"""
+WITH t AS (SELECT p_partkey, p_name || list_extract([{_SEPARATORS}], p_partkey % 6 + 1) || p_brand || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE list_extract([{_SEPARATORS}], p_partkey // 6 % 6 + 1) || p_type END AS x FROM part)
+SELECT p_partkey, CASE {_FIRST} END AS title, CASE {_REST} END AS company FROM t
+""")
+def title_separators(t: Tables) -> DataFrame:
+    """Texts with one or two separators, split at the first by priority."""
+    at = lambda i: F.element_at(F.array(*[F.lit(sep) for sep in C.TITLE_SEPARATORS]), (i % 6 + 1).cast("int"))
+    key = F.col("p_partkey")
+    more = F.when(key % 5 == 0, "").otherwise(F.concat(at(F.floor(key / 6)), "p_type"))
+    parts = t.part.select("p_partkey", F.concat("p_name", at(key), "p_brand", more).alias("x"))
+    s = text.split_title(F.col("x"))
+    return parts.select("p_partkey", s["title"].alias("title"), s["company"].alias("company"))
+
+
 @query(r"""
 SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'),
  '[‐-―−­]', '-', 'g'), '[‘’]', '''', 'g'), '[“”]', '"', 'g'), '''s\b', '', 'g'), '\s+', ' ', 'g'))) AS clean FROM documents
