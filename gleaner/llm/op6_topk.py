@@ -8,8 +8,10 @@ segments not yet taken can still change is bounded by the highest impact left in
 component. A query stops only when this bound proves that few rows can be members; those are
 rescored exactly, and later segments are not touched.
 
-Queries are a stated set and meet all candidates block by block: query blocks are dealt
-to every candidate block, and each pair of blocks returns at most k rows a query.
+Queries are a stated set and meet all candidates block by block. Candidates stay where their block
+is indexed; queries come to them by broadcast, a bounded number of bytes at a time, so candidates
+are shuffled once for each of these portions. A block returns at most k rows a query. Queries
+that go together are those of like heaviest components, for which one order of segments suits.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from gleaner.llm.common import table
 from gleaner.runtime import ship
 
 K, EVERY, SCALE = 20, 20, 64
-BLOCK, QUERIES = 8192, 2048
+#: Rows of a candidate block; bytes of the queries that are broadcast at once.
+BLOCK, PORTION = 8192, 32 << 20
 #: Impacts a component is quantised to, shares of the segments after which a query looks for proof, and
 #: queries that take the segments together.
 LEVELS, LOOKS, AT_ONCE = 8, (0.5, 0.7, 0.85, 1.0), 64
@@ -51,9 +54,15 @@ class ImpactIndex:
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query (ids, scores) of its k best, ties to smaller ids, without rows of its own id."""
-        out = []
-        for i in range(0, len(queries), AT_ONCE):
-            out += self._search(queries[i : i + AT_ONCE].astype(np.int64), own[i : i + AT_ONCE], k)
+        out: list = [None] * len(queries)
+        if not len(queries):
+            return out
+        heaviest = np.abs(queries).argmax(axis=1) if queries.shape[1] else np.zeros(len(queries), np.int64)
+        order = np.argsort(heaviest, kind="stable")
+        for i in range(0, len(order), AT_ONCE):
+            rows = order[i : i + AT_ONCE]
+            for at, found in zip(rows.tolist(), self._search(queries[rows].astype(np.int64), own[rows], k)):
+                out[at] = found
         return out
 
     def _search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -100,32 +109,33 @@ class ImpactIndex:
         return result
 
 
-def _padded(column, width: int) -> np.ndarray:
-    out = np.zeros((len(column), width), np.int64)
-    for i, v in enumerate(column):
-        out[i, : len(v)] = v
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Lists of integers as rows; those that are shorter than ``width`` are filled with 0, longer ones cut."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out = np.zeros((len(sizes), width), np.int64)
+    fits = place < width
+    out[row[fits], place[fits]] = column.flatten().to_numpy(zero_copy_only=False)[fits]
     return out
 
 
-def _search_block(k: int):
+def _search_block(asked, k: int):
     def run(rows: pa.Table) -> pa.Table:
-        is_query = np.array(rows.column("query").to_pylist(), bool)
-        ids = rows.column("vec_id").to_numpy()
-        lists = rows.column("v").to_pylist()
-        width = max(map(len, lists), default=0)
-        vectors = _padded(lists, width)
-        index = ImpactIndex(ids[~is_query], vectors[~is_query])
+        ids, queries = asked.value
+        # A component that one side lacks adds nothing to a score.
+        index = ImpactIndex(rows.column("vec_id").to_numpy(), _matrix(rows.column("v").combine_chunks(), queries.shape[1]))
         q, d, s = [], [], []
-        asked = ids[is_query]
-        for own, (found, score) in zip(asked.tolist(), index.search(vectors[is_query], asked, k)):
-            q += [own] * len(found)
-            d += found.tolist()
-            s += score.tolist()
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(d, pa.int64()), "score": pa.array(s, pa.int64())})
+        for own, (found, score) in zip(ids.tolist(), index.search(queries, ids, k)):
+            q.append(np.full(len(found), own))
+            d.append(found)
+            s.append(score)
+        whole = lambda parts: pa.array(np.concatenate([*parts, np.zeros(0, np.int64)]).astype(np.int64))
+        return pa.table({"query_id": whole(q), "vec_id": whole(d), "score": whole(s)})
     return run
 
 
-def top_k(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, block: int = BLOCK) -> DataFrame:
+def top_k(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, block: int = BLOCK, portion: int = PORTION) -> DataFrame:
     """For each row of ``rows(vec_id, embedding)`` whose vec_id ``every`` divides, its k best others.
 
     Components are floor(scale * x); the score is their integer inner product, missing
@@ -134,8 +144,8 @@ def top_k(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, b
     rows without a vec_id take no part; an empty vector scores 0 with all. Rows that repeat a
     vec_id are all candidates of other queries; a query leaves out the rows of its own id, and
     repeated query rows answer once. An empty table gives an empty result; other columns are
-    ignored. The work is the number of queries times the number of rows, by contract: every
-    candidate block is sent to every ``QUERIES`` queries.
+    ignored. The work is the number of queries times the number of rows, by contract; rows are
+    shuffled once for every ``portion`` bytes of queries.
     """
     spark = rows.sparkSession
     ship(spark)
@@ -147,17 +157,17 @@ def top_k(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, b
     )
     blocks = max(1, -(-scaled.count() // block))
     candidates = scaled.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)))
-    queries = scaled.where(F.col("vec_id") % every == 0)
-    slices = max(1, -(-queries.count() // QUERIES))
-    # Each candidate block meets each slice of the queries in a task of its own.
-    queries = queries.withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.lit(slices))).dropDuplicates(["vec_id"])
-    dealt = candidates.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).select(
-        "block", "slice", "vec_id", "v", F.lit(False).alias("query")
-    ).unionByName(
-        queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
-            "block", "slice", "vec_id", "v", F.lit(True).alias("query"))
-    )
-    found = dealt.groupBy("block", "slice").applyInArrow(_search_block(k), "query_id long, vec_id long, score long")
+    queries = table(scaled.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]))
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width")).first()
+    portions = max(1, -(-size.n * max(1, size.width or 0) * 8 // portion))
+    found = None
+    for i in range(portions if size.n else 0):
+        part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(portions)) == i).toArrow()  # about ``portion`` bytes
+        asked = spark.sparkContext.broadcast((part.column("vec_id").to_numpy(), _matrix(part.column("v").combine_chunks(), size.width)))
+        one = candidates.groupBy("block").applyInArrow(_search_block(asked, k), "query_id long, vec_id long, score long")
+        found = one if found is None else found.unionByName(one)
+    if found is None:
+        found = spark.createDataFrame([], "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"

@@ -106,6 +106,15 @@ def test_few_candidates_and_none(spark):
     got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(table(spark, rows)).collect()}
     assert got == best(rows, 20)
     assert top_k(table(spark, [])).count() == 0
+    assert top_k(table(spark, [(1, [1.0], 1), (3, None, 1)])).count() == 0
+    lone = [(20, [], 1), (40, [], 1), (7, [3.0], 1)]
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(table(spark, lone)).collect()} == best(lone, 20)
+
+
+def test_queries_in_portions_meet_all_rows(spark):
+    rows = [r for r in vectors(6) if r[0] != 906]
+    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(table(spark, rows), k=20, block=100, portion=512).collect()}
+    assert got == best(rows, 20)
 
 
 def test_index_stops_early_and_stays_exact():
