@@ -20,7 +20,7 @@ from gleaner.llm.textvec import Batch, chunks
 
 #: Code points below this are cut by table; the rest by the library.
 TABLE_END = 0x0530
-CACHE = 700_000
+CACHE = 300_000
 _GAP, _BLANK, _LETTER, _NUMBER, _OTHER, _UNKNOWN = range(6)
 
 

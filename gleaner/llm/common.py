@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +56,21 @@ def batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
             for i in range(0, frame.num_rows, step):
                 yield frame.slice(i, step)
 
-    return df.mapInArrow(lambda frames: run(sliced(frames)), schema)
+    def task(frames):
+        yield from run(sliced(frames))
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Return what a finished task has freed to the machine; workers live on and would keep it beside the next stage's JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def table(df: DataFrame) -> DataFrame:

@@ -31,6 +31,8 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 #: Windows numbered by one task; partition ids stand above this many bits.
 LOCAL_BITS = 40
 _ROWS = 20_000
+#: Characters that are encoded together.
+TAKEN = 400_000
 
 
 class Capacities:
@@ -107,7 +109,7 @@ def _packer(tokenizer: str | None, window: int, end: int):
             at, held = 0, 0
             for i, text in enumerate(texts):
                 held += len(text)
-                if held < 1_000_000 and i + 1 < len(texts):
+                if held < TAKEN and i + 1 < len(texts):
                     continue
                 ids, counts = encoder.encode(texts[at : i + 1])
                 full: list[tuple] = []
