@@ -65,6 +65,11 @@ CLASSES = ("insult", "threat", "person", "negation", "report", "word", "break",
 (_INSULT, _THREAT, _PERSON, _NEGATION, _REPORT, _PLAIN, _BREAK, _WISH, _FATE, _DONE, _PASSIVE, _DOOM, _GOING, _HARMLESS, _TURN, _SELF) = range(16)
 #: Classes that can make a pattern.
 LOUD = ("insult", "threat", "fate", "done", "doom")
+#: Classes that mean something only beside one of others in their clause.
+PARTNERS = (
+    ((_TURN, _SELF), (_REPORT,)), ((_HARMLESS,), (_THREAT,)), ((_FATE,), (_WISH, _GOING)), ((_DOOM,), (_GOING,)), ((_DONE,), (_PASSIVE,)),
+    ((_PASSIVE,), (_THREAT, _DONE)), ((_WISH, _GOING), (_FATE, _DOOM)),
+)
 #: Patterns a clause can end in.
 PATTERNS = ("insult", "insult_target", "threat_target", "negated", "reported")
 #: Tokens over which a negation reaches, and at which a person is near an insult or follows a threat, a harmless object
@@ -321,6 +326,12 @@ class Grammar:
         stops = np.isin(batch.codes, [ord(c) for c in ".!?;\n。…"])
         before = np.concatenate([[0], np.cumsum(stops)])[start] + text
         clause = np.concatenate([[0], np.cumsum(before[1:] != before[:-1])])
+        # Tokens whose partners aren't in their clause can make no pattern there and are plain words.
+        for alone, partners in PARTNERS:
+            near = np.zeros(int(clause[-1]) + 1, bool)
+            near[clause[np.isin(kind, partners)]] = True
+            plain = np.isin(kind, alone) & ~near[clause]
+            kind[plain], weight[plain] = _PLAIN, 0.0
         loud = np.unique(clause[np.isin(kind, [CLASSES.index(c) for c in LOUD])])
         first = np.searchsorted(clause, loud, side="left")
         last = np.searchsorted(clause, loud, side="right")
@@ -332,10 +343,14 @@ class Grammar:
         broken[1:] = (marks[start[1:]] > marks[start[:-1]]) & (clause[1:] == clause[:-1])
         places = np.flatnonzero(broken[token])
         which = np.repeat(np.arange(len(loud)), length)
-        found, value = AUTOMATON.best(
-            np.insert(kind[token], places, _BREAK), np.insert(weight[token], places, 0.0),
-            length + np.bincount(which[places], minlength=len(loud)),
-        )
+        kinds, weights = np.insert(kind[token], places, _BREAK), np.insert(weight[token], places, 0.0)
+        length = length + np.bincount(which[places], minlength=len(loud))
+        # Plain words before all others change nothing, and of a run of them no more than the longest reach does.
+        at, start_at = np.arange(len(kinds)), np.repeat(np.cumsum(length) - length, length)
+        spoken = np.maximum.accumulate(np.where(kinds != _PLAIN, at, -1))
+        keep = (kinds != _PLAIN) | ((spoken >= start_at) & (at - spoken <= max(REACH, NEAR, AFTER, OBJECT, LINKED) + 1))
+        which = np.repeat(np.arange(len(loud)), length)
+        found, value = AUTOMATON.best(kinds[keep], weights[keep], np.bincount(which[keep], minlength=len(loud)))
         sure = found < len(PATTERNS)
         np.add.at(out, (text[first[sure]], found[sure]), value[sure])
         hits = np.bincount(text[first[sure]], minlength=batch.n)
