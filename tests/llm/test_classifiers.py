@@ -156,6 +156,30 @@ def test_a_document_scores_as_recomputed_from_words_and_weights():
     assert abs(grammar.scores([text])[0] - 1 / (1 + math.exp(-z))) < 1e-12
 
 
+def test_plain_words_out_of_reach_change_nothing():
+    rng = random.Random(14)
+    words = ["you", "idiot", "kill", "not", "said", "and", "i", "hope", "die", "be", "killed", "go", "hell", "email", ","] + ["plain"] * 25
+    grammar = op8_toxicity.Grammar({}, {})
+    h, kinds, weights, *_ = grammar._tables()
+    table = dict(zip(h.tolist(), zip(kinds.tolist(), weights.tolist())))
+    for _ in range(150):
+        clause = [rng.choice(words) for _ in range(rng.randint(1, 40))]
+        tokens = [w for w in clause if w != ","]
+        if not tokens:
+            continue
+        kind = [(6, 0.0) if w == "," else table.get(int(op8_toxicity._hash_words([w])[0]), (5, 0.0)) for w in clause]
+        while kind and kind[0][0] == 6:  # a mark before the first word parts nothing
+            kind.pop(0)
+        kind = [k for i, k in enumerate(kind) if k[0] != 6 or (i + 1 < len(kind) and kind[i + 1][0] != 6)]  # one break for several marks
+        for alone, partners in op8_toxicity.PARTNERS:
+            if not any(k in partners for k, _ in kind):
+                kind = [(5, 0.0) if k in alone else (k, w) for k, w in kind]
+        want = op8_toxicity.clause_patterns([k for k, _ in kind], [w for _, w in kind])
+        loud = any(op8_toxicity.CLASSES[k] in op8_toxicity.LOUD for k, _ in kind)
+        got = words_run(" ".join(clause))
+        assert got == {p: round(v, 6) if loud else 0 for p, v in want.items()}, clause
+
+
 def brute_best(kinds, weights):
     """The best path by trying every path of the cascade, one transducer after another."""
     best = {}
