@@ -9,9 +9,9 @@ call carries the run and the batch number, by which a receiver can tell a repeat
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +20,25 @@ from gleaner.operators.state import assigned, enqueued, retried
 from gleaner.runtime import ship
 
 SIZE, WAVE = 20, 1000
+#: Answers that a task puts out at a time.
+FRAME = 2000
 _ANSWERS = "batch long, {key} string, ok boolean, post_id long, error string"
 
 
+def _whole(frames: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
+    """(number, rows) of every batch in frames that are sorted by it, also of those that lie across frames."""
+    number, rows = None, []
+    for frame in frames:
+        for row in frame.to_pylist():
+            if row["batch"] != number and rows:
+                yield number, rows
+                rows = []
+            number = row.pop("batch")
+            rows.append(row)
+    if rows:
+        yield number, rows
+
+
 class Outbox:
     """The runs under ``path``. ``key`` is the column that rows are told by and answers name."""
 
@@ -45,12 +61,13 @@ class Outbox:
     def prepare(self, run: str, rows: DataFrame, order: list[str], size: int = SIZE) -> DataFrame:
         """The run's rows with their batch number; those that a former call of the same run wrote, if there are any.
 
-        Of rows that share a key the first in order goes out. Null keys are not sent.
+        Of rows that share a key the first in order goes out. Null keys are not sent. Files hold
+        ranges of batches in order, so that a wave reads little else than its own rows.
         """
         folder = f"{self.path}/{run}/batches"
         if not self._done(folder):
             first = rows.where(F.col(self.key).isNotNull()).groupBy(self.key).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("r")).select("r.*")
-            chunked(first, order, size).write.mode("overwrite").parquet(folder)
+            chunked(first, order, size).repartitionByRange("batch").sortWithinPartitions("batch").write.mode("overwrite").parquet(folder)
         return self.spark.read.parquet(folder)
 
     def send(self, run: str, send: Callable[[str, int, list[dict]], Iterable[dict]], wave: int = WAVE) -> DataFrame:
@@ -61,25 +78,35 @@ class Outbox:
         """
         key, schema = self.key, _ANSWERS.format(key=self.key)
         batches = self.spark.read.parquet(f"{self.path}/{run}/batches")
+        tasks = self.spark.sparkContext.defaultParallelism
         ship(self.spark)
 
-        def one(frame: pd.DataFrame) -> pd.DataFrame:
-            number, keys = int(frame["batch"].iloc[0]), frame[key].astype(str)
+        def one(number: int, rows: list[dict]) -> list[dict]:
+            keys, got, why = [str(r[key]) for r in rows], {}, None
             try:
-                got = {str(r[key]): r.get("post_id") for r in send(run, number, frame.drop(columns="batch").to_dict("records"))}
-                why = None
+                got = {str(r[key]): r.get("post_id") for r in send(run, number, rows)}
             except (OSError, ValueError) as error:
-                got, why = {}, f"{type(error).__name__}: {error}"[:500]
-            return pd.DataFrame({"batch": number, key: keys, "ok": [k in got for k in keys], "post_id": pd.array([got.get(k) for k in keys], "Int64"), "error": why})
+                why = f"{type(error).__name__}: {error}"[:500]
+            return [{"batch": number, key: k, "ok": k in got, "post_id": got.get(k), "error": why} for k in keys]
+
+        def task(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            to = pa.schema([("batch", pa.int64()), (key, pa.string()), ("ok", pa.bool_()), ("post_id", pa.int64()), ("error", pa.string())])
+            answers: list[dict] = []
+            for number, rows in _whole(frames):
+                answers += one(number, rows)
+                if len(answers) >= FRAME:
+                    yield pa.RecordBatch.from_pylist(answers, to)
+                    answers = []
+            yield pa.RecordBatch.from_pylist(answers, to)
 
         last = batches.agg(F.max("batch")).first()[0]
         for first in range(0, 0 if last is None else last + 1, wave):
-            part = batches.where((F.col("batch") >= first) & (F.col("batch") < first + wave))
+            part = batches.where((F.col("batch") >= first) & (F.col("batch") < first + wave))  # numbers have no gaps
             folder = f"wave={first}"
             if self._done(f"{self.path}/{run}/intents/{folder}"):
                 continue
-            part.select("batch").distinct().write.mode("overwrite").parquet(f"{self.path}/{run}/intents/{folder}")
-            part.groupBy("batch").applyInPandas(one, schema).write.mode("overwrite").parquet(f"{self.path}/{run}/answers/{folder}")
+            self.spark.range(first, min(first + wave, last + 1), 1, 1).toDF("batch").write.mode("overwrite").parquet(f"{self.path}/{run}/intents/{folder}")
+            part.repartition(tasks, "batch").sortWithinPartitions("batch").mapInArrow(task, schema).write.mode("overwrite").parquet(f"{self.path}/{run}/answers/{folder}")
         return self.answers(run)
 
     def answers(self, run: str) -> DataFrame:

@@ -78,3 +78,24 @@ def test_nothing_to_send(spark, tmp_path):
     box = Outbox(spark, f"file://{tmp_path}/box")
     box.prepare("none", spark.createDataFrame([], "external_id string, id long"), ["id"])
     assert box.send("none", posted("nowhere")).count() == 0 and box.totals("none").first().rows == 0
+
+
+def test_receivers_get_whole_batches_of_exact_values(spark, tmp_path):
+    def send(run, batch, rows):
+        with open(f"{tmp_path}/{batch}", "a") as f:
+            f.write(f"{len(rows)} {sorted((r['id'], repr(r['n'])) for r in rows)}\n")
+        return []
+
+    rows = spark.range(100, 2600).select(F.col("id").cast("string").alias("external_id"), "id", F.when(F.col("id") % 2 == 0, (1 << 60) + 1).alias("n"))
+    box = Outbox(spark, f"file://{tmp_path}/box")
+    batches = box.prepare("one", rows, ["id"])
+    spans = sorted(tuple(r) for r in batches.groupBy(F.input_file_name()).agg(F.min("id").alias("a"), F.max("id").alias("b")).select("a", "b").collect())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # batches lie across frames
+    try:
+        box.send("one", send, wave=60)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for b in range(125):
+        want = sorted((i, repr((1 << 60) + 1 if i % 2 == 0 else None)) for i in range(100 + 20 * b, 120 + 20 * b))
+        assert (tmp_path / str(b)).read_text() == f"20 {want}\n"
