@@ -282,7 +282,7 @@ def routing(t: Tables) -> DataFrame:
     status = _case(k, 200, 404, 410, 403, 503, None)
     return t.orders.select(
         "o_orderkey", publish.qualifies(k % 101, kind).alias("qualifies"), rules.publish_decision(kind, k % 97).alias("route"), urls.verdict(status).alias("verdict"),
-        enrich.stale(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("2001-08-01").cast("date")).alias("stale"), rules.keyword_fallback(F.round("o_totalprice").cast("int") % 100)["kind"].alias("fallback"))
+        enrich.stale(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("2001-08-01").cast("date")).alias("stale"), rules.keyword_fallback(F.rint("o_totalprice").cast("int") % 100)["kind"].alias("fallback"))
 
 
 @query("""
