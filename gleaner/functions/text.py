@@ -186,6 +186,16 @@ def hash_id(text: Column, length: int = 16) -> Column:
     return F.substring(F.sha2(text.cast("binary"), 256), 1, length)
 
 
+def whole_json(text: Column) -> Column:
+    """The variant of a text that is one JSON value as a whole, else null.
+
+    The parser takes the first value and leaves what follows it. What is one element of a list as
+    well as the value of a key has nothing after it: none but itself ends both.
+    """
+    whole = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull() & F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    return F.when(whole, F.try_parse_json(text))
+
+
 def capped_json(json: Column, limit: int = 50_000) -> Column:
     """The JSON text, or a marker with size and a preview where it has more than ``limit`` bytes.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gleaner import config as C
 from gleaner.functions.rules import keyword_fallback
 from gleaner.functions.stats import clamp
+from gleaner.functions.text import whole_json
 
 KINDS = ("RELEVANT", "PARTIALLY_RELEVANT", "NOT_RELEVANT")
 PROVIDERS = ("groq", "gemini", "openai")
@@ -25,7 +26,7 @@ def parsed(raw: Column) -> Column:
     is clamped to 0..100; the hints are each checked on their own.
     """
     bare = F.regexp_replace(F.regexp_replace(F.trim(raw), r"^```[A-Za-z]*\s*", ""), r"\s*```$", "")
-    v = F.try_parse_json(bare)
+    v = whole_json(bare)
     get = lambda path: F.try_variant_get(v, path, "string")
     kind = F.upper(F.trim(F.coalesce(get("$.classification"), F.lit(""))))
     confidence = F.try_variant_get(v, "$.confidence", "double").cast("int")

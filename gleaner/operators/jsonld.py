@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.functions.text import whole_json
 from gleaner.runtime import stored
 
 BLOCK = r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
@@ -24,7 +25,7 @@ def postings(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     lie; a posting isn't opened. Blocks that aren't JSON say nothing, null pages have no blocks.
     """
     blocks = pages.select(key, F.posexplode(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(BLOCK), F.lit(1))).alias("i", "block"))
-    nodes = blocks.select(key, F.array("i").alias("path"), F.try_parse_json(F.trim("block")).alias("v")).where("v is not null")
+    nodes = blocks.select(key, F.array("i").alias("path"), whole_json(F.trim("block")).alias("v")).where("v is not null")
     found = None
     while True:
         seen = stored(nodes.select(key, "path", F.to_json("v").alias("node"), _is_posting(F.col("v")).alias("hit")))

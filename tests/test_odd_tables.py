@@ -3,6 +3,7 @@
 import datetime
 
 import duckdb
+from pyspark.sql import functions as F
 
 from gleaner.plans import catalogue
 
@@ -28,3 +29,26 @@ def equals_sql(name, spark, folder, table, df):
 def test_halves_of_prices_are_rounded_as_casts_do(spark, tmp_path):
     rows = orders((i, price) for i, price in enumerate([24.5, 25.5, 49.5, 50.5, 124.5, 149.5, 24.49, 49.51, 1e6 + 0.5]))
     equals_sql("routing", spark, tmp_path, "orders", spark.createDataFrame(rows, ORDER))
+
+
+def test_what_follows_a_json_value_makes_it_none(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", "<p></p>") for i in (468, 832, 1560, 364, 13, 26, 20, 2184)], "page_id long, url string, html string")
+    equals_sql("jsonld_extract", spark, tmp_path, "pages", pages)
+
+
+def test_whole_json_is_one_value(spark):
+    from gleaner.functions.text import whole_json
+
+    good = ['{"a":1}', "[1, 2]", " 3 ", '"x"', "null", "[]", "{}"]
+    bad = ['{"a":1}}', "[1]]", "1 2", "1, 2", '1, "k": 2', "1] [2", '1}, {"v": 2', "", "] [1", "[1", '{"a":1} x', "1,", None]
+    df = spark.createDataFrame([(x,) for x in good + bad], "x string")
+    got = {r.x: r.v for r in df.select("x", whole_json(F.col("x")).isNotNull().alias("v")).collect()}
+    assert [x for x in good if not got[x]] == [] and [x for x in bad if got[x]] == []
+
+
+def test_an_answer_with_more_after_it_is_none(spark):
+    from gleaner.operators.classifier import parsed
+
+    answer = '{"classification":"relevant","confidence":80}'
+    df = spark.createDataFrame([(answer,), (f"```json\n{answer}\n```",), (answer + "}",), (answer + " that is all",)], "raw string")
+    assert [r[0] for r in df.select(parsed(F.col("raw"))["confidence"]).collect()] == [80, 80, None, None]
