@@ -110,25 +110,32 @@ def salary_range(low: Column, high: Column) -> Column:
     )
 
 
-def _salary_value(s: Column) -> Column:
-    v = F.regexp_replace(s, ",", "").try_cast("double")
-    v = F.when(v < 1000, v * 1000).otherwise(v)
-    return F.when(v.between(10_000, 1_000_000), v)
+def _salary_values(texts: Column) -> Column:
+    """Amounts of an array of numbers as text, null where they are no plausible salary.
+
+    Each step binds its values, and what is empty isn't cast: a cast that fails costs an exception.
+    """
+    amounts = F.transform(texts, lambda s: F.nullif(F.translate(s, ",", ""), F.lit("")).try_cast("double"))
+    amounts = F.transform(amounts, lambda v: F.when(v < 1000, v * 1000).otherwise(v))
+    return F.transform(amounts, lambda v: F.when(v.between(10_000, 1_000_000), v))
 
 
 def extract_salary(text: Column) -> Column:
     """struct<min, max> from the first pattern whose first match has two plausible amounts."""
+    def both(amounts: Column) -> Column:
+        plausible = F.forall(amounts, lambda v: v.isNotNull())
+        return F.when(plausible, F.struct(F.array_min(amounts).alias("min"), F.array_max(amounts).alias("max")))
+
     tries = []
     for p in C.SALARY_PATTERNS:
-        amounts = F.transform(F.array(F.regexp_extract(text, p, 1), F.regexp_extract(text, p, 2)), _salary_value)
-        plausible = F.forall(amounts, lambda v: v.isNotNull())
-        tries.append(F.when(plausible, F.struct(F.array_min(amounts).alias("min"), F.array_max(amounts).alias("max"))))
+        amounts = _salary_values(F.array(F.regexp_extract(text, p, 1), F.regexp_extract(text, p, 2)))
+        tries.append(F.transform(F.array(amounts), both)[0])  # matched once, however often the amounts are used
     return F.coalesce(*tries)
 
 
 def sweep_amounts(text: Column, number: str = r"\d[\d,]*") -> Column:
     """struct<min, max> of all plausible amounts in free text; one alone is the minimum."""
-    found = F.filter(F.transform(F.regexp_extract_all(text, F.lit(f"({number})"), F.lit(1)), _salary_value), lambda v: v.isNotNull())
+    found = F.filter(_salary_values(F.regexp_extract_all(text, F.lit(f"({number})"), F.lit(1))), lambda v: v.isNotNull())
     return F.struct(F.array_min(found).alias("min"), F.when(F.size(found) > 1, F.array_max(found)).alias("max"))
 
 

@@ -28,45 +28,46 @@ def lattice(found: Column, present: Column, confidence: Column) -> Column:
     )
 
 
+def _filled(df: DataFrame, remote: Column, salary: Column, location: Column | None = None) -> DataFrame:
+    """Empty remote, salary and location filled, as inferred; each is looked for only where it is empty, and once."""
+    no_remote, no_salary = missing(F.col("is_remote")).isNull(), F.col("salary_min").isNull()
+    looked = {"_remote": F.when(no_remote, remote), "_salary": F.when(no_salary, salary)}
+    said, paid = F.col("_remote"), F.col("_salary")
+    filled = {
+        "is_remote": F.coalesce(said, "is_remote"), "remote_confidence": F.when(said.isNotNull(), "inferred").otherwise(F.col("remote_confidence")),
+        "salary_min": F.coalesce("salary_min", paid["min"]), "salary_max": F.coalesce("salary_max", paid["max"]),
+        "salary_confidence": F.when(paid.isNotNull(), "inferred").otherwise(F.col("salary_confidence")),
+    }
+    if location is not None:
+        looked["_place"] = F.when(missing(F.col("location")).isNull(), location)
+        place = F.col("_place")
+        filled |= {"location": F.coalesce(place, "location"), "location_confidence": F.when(place.isNotNull(), "inferred").otherwise(F.col("location_confidence"))}
+    return df.withColumns(looked).withColumns(filled).drop(*looked)
+
+
 def from_description(df: DataFrame) -> DataFrame:
     """Empty remote, salary and location filled from the description, as inferred."""
     d = F.coalesce("description", F.lit(""))
-    salary = extract_salary(d)
-    remote, location = remote_status(d), extract_location(d)
-    no_remote, no_salary, no_place = missing(F.col("is_remote")).isNull(), F.col("salary_min").isNull(), missing(F.col("location")).isNull()
-    return df.withColumns({
-        "is_remote": F.when(no_remote & remote.isNotNull(), remote).otherwise(F.col("is_remote")),
-        "remote_confidence": F.when(no_remote & remote.isNotNull(), "inferred").otherwise(F.col("remote_confidence")),
-        "salary_min": F.coalesce("salary_min", salary["min"]), "salary_max": F.when(no_salary, F.coalesce("salary_max", salary["max"])).otherwise(F.col("salary_max")),
-        "salary_confidence": F.when(no_salary & salary.isNotNull(), "inferred").otherwise(F.col("salary_confidence")),
-        "location": F.when(no_place & location.isNotNull(), location).otherwise(F.col("location")),
-        "location_confidence": F.when(no_place & location.isNotNull(), "inferred").otherwise(F.col("location_confidence")),
-    })
+    return _filled(df, remote_status(d), extract_salary(d), extract_location(d))
 
 
 def from_hints(df: DataFrame) -> DataFrame:
     """Empty remote and salary filled from the classifier's hints (llm_remote, llm_salary_hint), as inferred."""
-    salary = extract_salary(F.coalesce("llm_salary_hint", F.lit("")))
-    no_remote, no_salary = missing(F.col("is_remote")).isNull(), F.col("salary_min").isNull()
-    hinted = no_remote & F.col("llm_remote").isNotNull()
-    return df.withColumns({
-        "is_remote": F.when(hinted, F.col("llm_remote")).otherwise(F.col("is_remote")),
-        "remote_confidence": F.when(hinted, "inferred").otherwise(F.col("remote_confidence")),
-        "salary_min": F.coalesce("salary_min", salary["min"]), "salary_max": F.when(no_salary, F.coalesce("salary_max", salary["max"])).otherwise(F.col("salary_max")),
-        "salary_confidence": F.when(no_salary & salary.isNotNull(), "inferred").otherwise(F.col("salary_confidence")),
-    })
+    return _filled(df, F.col("llm_remote"), extract_salary(F.coalesce("llm_salary_hint", F.lit(""))))
 
 
 def from_pages(df: DataFrame, pages: DataFrame) -> DataFrame:
     """df joined with fetched ``pages(apply_url, final_url, html)``: redirects, values and confidences."""
     p = pages.select("apply_url", F.col("final_url").alias("_final"), F.col("html").alias("_html"))
-    j = df.join(p, "apply_url", "left")
     landed = F.coalesce("_final", "apply_url")
-    moved = body_redirect(F.coalesce("_html", F.lit("")), landed)
-    target = F.when(moved != "", moved).otherwise(landed)
-    text = html_to_text(F.coalesce("_html", F.lit("")))
-    read = F.col("_html").isNotNull() & ~is_aggregator(host(landed))
-    remote, location, salary = remote_status(text), extract_location(text), extract_salary(text)
+    j = df.join(p, "apply_url", "left").withColumns({
+        "_moved": body_redirect(F.coalesce("_html", F.lit("")), landed), "_text": html_to_text(F.coalesce("_html", F.lit(""))),
+        "_read": F.col("_html").isNotNull() & ~is_aggregator(host(landed))})
+    read, text = F.col("_read"), F.col("_text")
+    said = {"_remote": remote_status(text), "_place": extract_location(text), "_salary": extract_salary(text)}
+    j = j.withColumns({name: F.when(read, value) for name, value in said.items()})
+    target = F.when(F.col("_moved") != "", F.col("_moved")).otherwise(landed)
+    remote, location, salary = map(F.col, said)
     out = {"apply_url": F.when(host(target) != host(F.col("apply_url")), target).otherwise(F.col("apply_url"))}
     for value, found, conf in (("is_remote", remote, "remote_confidence"), ("location", location, "location_confidence")):
         present = missing(F.col(value)).isNotNull()
@@ -77,7 +78,7 @@ def from_pages(df: DataFrame, pages: DataFrame) -> DataFrame:
     out["salary_max"] = F.when(read & ~present, F.coalesce("salary_max", salary["max"])).otherwise(F.col("salary_max"))
     out["salary_confidence"] = F.when(read, lattice(salary.isNotNull(), present, F.col("salary_confidence"))).otherwise(F.col("salary_confidence"))
     out["enrichment_source"] = F.when(read, "page").otherwise("aggregator")
-    return j.withColumns(out).drop("_final", "_html")
+    return j.withColumns(out).drop("_final", "_html", "_moved", "_text", "_read", *said)
 
 
 def assumed(df: DataFrame) -> DataFrame:

@@ -52,3 +52,12 @@ def test_an_answer_with_more_after_it_is_none(spark):
     answer = '{"classification":"relevant","confidence":80}'
     df = spark.createDataFrame([(answer,), (f"```json\n{answer}\n```",), (answer + "}",), (answer + " that is all",)], "raw string")
     assert [r[0] for r in df.select(parsed(F.col("raw"))["confidence"]).collect()] == [80, 80, None, None]
+
+
+def test_salaries_are_looked_for_once(spark, tmp_path):
+    from gleaner.config import SALARY_PATTERNS
+
+    rows = orders((i, i) for i in range(430))
+    equals_sql("enrichment_fill", spark, tmp_path, "orders", spark.createDataFrame(rows, ORDER))
+    plan = catalogue.queries()["enrichment_fill"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.count("regexp_extract") <= 2 * 2 * len(SALARY_PATTERNS)  # two amounts of hint and description
