@@ -20,11 +20,8 @@ from gleaner.runtime import ship, stored
 DUPLICATE, FLAG, SAME_COMPANY, SAME_COMPANY_SIMILARITY, SHOWN = 85, 70, 75, 95, 3
 #: Company and title similarity of less than this in sum can't be flagged in any city, with room for rounding.
 LEAST_SUM = (FLAG - 20) / 0.4 - 1e-6
-#: What they must be in unlike cities to be flagged, and to be duplicates of one company.
-LEAST_APART, LEAST_APART_DUPLICATE = FLAG / 0.4 - 1e-6, SAME_COMPANY / 0.4 - 1e-6
-MANY = "Multiple Locations"
-#: Records that are compared in one round, and of those they are compared with in one task.
-CHUNK, BLOCK = 4096, 4096
+#: Texts that are compared in one round, those they are compared with in one task, and records of a round.
+CHUNK, BLOCK, ROWS = 4096, 4096, 500_000
 
 
 def composite(company: Column, title: Column, city_a: Column, city_b: Column) -> Column:
@@ -152,77 +149,98 @@ def verdict_of(score: float, company: float) -> str:
     return "flagged" if score >= FLAG else "new"
 
 
-def _candidates(loose: bool) -> Callable:
-    """For each record of a chunk those of a block that it may match, with both similarities.
-
-    Where both cities are known and can't come to be equal the sum must be larger. A record that
-    may take over a cluster of another city is marked: then it is compared by that city, so
-    all its pairs are needed, which ``loose`` gives.
-    """
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        i, j, c, t = similar(list(zip(a["l_c"], a["l_n"])), list(zip(b["r_c"], b["r_n"])), LEAST_SUM)
-        nth, own, record, quality = a["l_nth"].to_numpy()[i], a["l_key"].to_numpy()[i], b["r_id"].to_numpy()[j], b["r_u"].to_numpy()[j]
-        cities = [np.array([city_of(x) for x in side], object) for side in (a["l_location"], b["r_location"])]
-        here, there = cities[0][i], cities[1][j]
-        changing = np.array([not x or ";" in x or x.startswith(MANY.lower()) for x in cities[0]], bool)[i]
-        apart = ~changing & (there != "") & (here != there)
-        earlier = (own != b["r_key"].to_numpy()[j]) & ((record < nth) | ~b["r_mate"].to_numpy()[j])
-        takes = earlier & apart & (record > 0) & (c + t >= LEAST_APART_DUPLICATE) & (quality < a["l_u"].to_numpy()[i])
-        enough = earlier & (loose | ~apart | (c + t >= LEAST_APART))
-        out = pd.DataFrame({"l_nth": nth, "id": record, "c": c, "t": t, "takes": takes})
-        return out[enough]
-    return run
+def _alike(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of a block of texts with another that may be flagged in some city, with both similarities."""
+    i, j, c, t = similar(list(zip(a["l_c"], a["l_n"])), list(zip(b["r_c"], b["r_n"])), LEAST_SUM)
+    return pd.DataFrame({"text": a["l_key"].to_numpy()[i], "other": b["r_key"].to_numpy()[j], "c": c, "t": t})
 
 
 class Fold:
-    """Records of a chunk in order of arrival against stored records and clusters near them."""
+    """Records of a chunk in order of arrival against stored records and clusters near them.
 
-    def __init__(self, near: pd.DataFrame, first: int, size: int):
+    What a record meets depends on its text, its city and what stands. The answer for a text and city is
+    kept until something changes that they could see: a cluster that is new, one of another primary, or one
+    that leaves or enters the city. So copies cost next to nothing.
+    """
+
+    def __init__(self, near: pd.DataFrame):
         near = near.sort_values("id")
-        self.first, self.near = first, near["id"].to_numpy(np.int64)
-        n = len(near) + size
-        self.alive, self.city, self.order = np.zeros(n, bool), np.full(n, "", object), np.zeros(n, np.int64)
+        room = max(1024, 2 * len(near))
+        self.n, self.text, self.city, self.order = 0, np.zeros(room, np.int64), np.full(room, "", object), np.zeros(room, np.int64)
         self.clusters: dict[int, Cluster] = {}
+        self.slot: dict[int, int] = {}
         self.stored: dict[int, str] = {}
         self.by_key: dict[str, int] = {}
+        self.slots_of: dict[str, set[int]] = {}
         self.touched: set[int] = set()
         self.events: list[tuple] = []
-        for k, row in enumerate(near.itertuples(index=False)):
-            self.alive[k], self.city[k] = True, city_of(row.location)
+        self.lists: dict[int, tuple] = {}
+        self.known: dict[tuple[int, str], tuple] = {}
+        self.changes, self.city_changes = 0, {}
+        for row in near.itertuples(index=False):
+            k = self._add(row.key, row.text, city_of(row.location), -row.id - (1 << 40) if row.id < 0 else row.place)  # the pool is in front
             if row.id < 0:
-                self.stored[k], self.order[k] = row.key, -row.id - (1 << 40)  # the pool is in front
+                self.stored[k] = row.key
             else:
-                self.order[k] = row.place
-                self.clusters[row.place] = Cluster(row.place, row.id, row.key, row.location, row.quality)
+                self.clusters[row.place], self.slot[row.place] = Cluster(row.place, row.id, row.key, row.location, row.quality), k
                 self.by_key.setdefault(row.key, row.place)
 
-    def at(self, record: np.ndarray | int) -> np.ndarray | int:
-        """Where a record is in the arrays: those near the chunk first, then the chunk by arrival."""
-        return np.where(record > self.first, len(self.near) + record - self.first - 1, np.searchsorted(self.near, record))
-
-    def stands(self, held: Cluster) -> None:
-        k = int(self.at(held.record))
-        self.alive[k], self.city[k], self.order[k] = True, city_of(held.location), held.position
-        self.by_key.setdefault(held.key, held.position)
-        self.touched.add(held.position)
-
-    def take(self, nth: int, key: str, location: str, quality: int, ids: np.ndarray, c: np.ndarray, t: np.ndarray) -> None:
-        here, score, k = city_of(location), 0.0, -1
-        if len(ids):
-            at = self.at(ids)
-            live = self.alive[at]
-            at, c, t = at[live], c[live], t[live]
-        if len(ids) and len(at):
-            there = self.city[at]
-            scores = np.where((there == "") | (not here), 0.5 * c + 0.5 * t, 0.4 * c + 0.4 * t + np.where(there == here, 20.0, 0.0))
-            score = scores.max()
-            best = np.flatnonzero(scores == score)
-            best = best[np.argmin(self.order[at[best]])]
-            k, company = int(at[best]), c[best]
+    def _add(self, key: str, text: int, city: str, order: int) -> int:
+        if self.n == len(self.text):
+            self.text, self.city, self.order = (np.concatenate([x, np.zeros_like(x)]) for x in (self.text, self.city, self.order))
+        k = self.n
+        self.text[k], self.city[k], self.order[k] = text, city, order
+        self.slots_of.setdefault(key, set()).add(k)
+        self.n, self.changes = k + 1, self.changes + 1
+        return k
+
+    def _moves(self, k: int, city: str) -> None:
+        old = self.city[k]
+        if city == old:
+            return
+        self.city[k] = city
+        if not city or not old:
+            self.changes += 1
+        else:
+            for x in (old, city):
+                self.city_changes[x] = self.city_changes.get(x, 0) + 1
+
+    def _best(self, text: int, here: str, but: set[int] | None = None) -> tuple[int, float, float]:
+        """(where, score, company similarity) of the best that stands, the first of equals; -1 without any."""
+        ids, c, t = self.lists.get(text, ((), (), ()))
+        if not len(ids) or not self.n:
+            return -1, 0.0, 0.0
+        at = np.searchsorted(ids, self.text[: self.n])
+        at[at == len(ids)] = 0
+        k = np.flatnonzero(ids[at] == self.text[: self.n])
+        if but:
+            k = k[~np.isin(k, list(but))]
+        if not len(k):
+            return -1, 0.0, 0.0
+        c, t, there = c[at[k]], t[at[k]], self.city[k]
+        scores = np.where((there == "") | (not here), 0.5 * c + 0.5 * t, 0.4 * c + 0.4 * t + np.where(there == here, 20.0, 0.0))
+        score = scores.max()
+        best = np.flatnonzero(scores == score)
+        best = best[np.argmin(self.order[k[best]])]
+        return int(k[best]), float(score), float(c[best])
+
+    def met(self, key: str, text: int, here: str) -> tuple[int, float, float]:
+        own = self.slots_of.get(key)
+        if own:  # equal ids are not compared
+            return self._best(text, here, own)
+        stamp = self.changes, self.city_changes.get(here, 0)
+        seen = self.known.get((text, here))
+        if seen is None or seen[0] != stamp:
+            seen = self.known[text, here] = stamp, self._best(text, here)
+        return seen[1]
+
+    def take(self, nth: int, key: str, location: str, quality: int, text: int) -> None:
+        k, score, company = self.met(key, text, city_of(location))
         verdict = verdict_of(score, company) if k >= 0 else "new"
         if verdict != "duplicate":
-            self.clusters[nth] = Cluster(nth, nth, key, location, quality)
-            self.stands(self.clusters[nth])
+            self.clusters[nth], self.slot[nth] = Cluster(nth, nth, key, location, quality), self._add(key, text, city_of(location), nth)
+            self.by_key.setdefault(key, nth)
+            self.touched.add(nth)
             self.events.append((nth, nth, None, "flagged" if verdict == "flagged" else "kept", score if verdict == "flagged" else 0.0))
             return
         # A stored record that the batch has kept as well stands for that cluster.
@@ -230,34 +248,42 @@ class Fold:
         if position is None:
             self.events.append((nth, None, self.stored[k], "duplicate", score))
             return
-        held = self.clusters[position]
+        held, k = self.clusters[position], self.slot[position]
         held.location = merge_locations(held.location, location)
         if quality > held.quality:
-            self.alive[int(self.at(held.record))] = False
             if self.by_key.get(held.key) == position:
                 del self.by_key[held.key]
+            self.slots_of[held.key].discard(k)
+            self.slots_of.setdefault(key, set()).add(k)
             held.record, held.key, held.quality = nth, key, quality
+            self.text[k] = text
+            self.changes += 1
+        self._moves(k, city_of(held.location))
+        self.by_key.setdefault(held.key, position)
+        self.touched.add(position)
         self.events.append((nth, position, None, "duplicate", score))
-        self.stands(held)
-
-
-def _fold(first: int, size: int) -> Callable:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        near, fold = [], None
-        for frame in frames:
-            near.append(frame[frame["nth"] == 0])
-            rows = frame[frame["nth"] > 0]
-            if not len(rows):
-                continue
-            fold = fold or Fold(pd.concat(near), first, size)
-            for r in rows.itertuples(index=False):
-                fold.take(r.nth, r.key, r.location, r.quality, *(np.asarray([] if x is None else x) for x in (r.ids, r.c, r.t)))
-            yield pd.DataFrame(fold.events, columns=["nth", "position", "pool", "outcome", "score"]).assign(record=None, location=None, quality=None)
-            fold.events = []
-        if fold:
-            held = [(c.position, c.record, c.location, c.quality) for c in map(fold.clusters.get, fold.touched)]
-            yield pd.DataFrame(held, columns=["position", "record", "location", "quality"]).assign(nth=None, pool=None, outcome=None, score=None)
-    return run
+
+
+def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    near, fold = [], None
+    for frame in frames:
+        near.append(frame[frame["nth"] == 0]) if fold is None else None
+        rows = frame[frame["nth"] > 0]
+        if not len(rows):
+            continue
+        fold = fold or Fold(pd.concat(near))
+        for r in rows.itertuples(index=False):
+            if r.ids is not None:
+                order = np.argsort(r.ids)
+                fold.lists[r.text] = tuple(np.asarray(x)[order] for x in (r.ids, r.c, r.t))
+            fold.take(r.nth, r.key, r.location, r.quality, r.text)
+            if r.last:
+                fold.lists.pop(r.text, None)
+        yield pd.DataFrame(fold.events, columns=["nth", "position", "pool", "outcome", "score"]).assign(record=None, location=None, quality=None)
+        fold.events = []
+    if fold:
+        held = [(c.position, c.record, c.location, c.quality) for c in map(fold.clusters.get, fold.touched)]
+        yield pd.DataFrame(held, columns=["position", "record", "location", "quality"]).assign(nth=None, pool=None, outcome=None, score=None)
 
 
 _FOLDED = "nth long, position long, pool string, outcome string, score double, record long, location string, quality int"
@@ -276,47 +302,53 @@ def cluster(df: DataFrame, pool: DataFrame | None = None, arrival: str = "arriva
     stored (whether the primary is of the pool); one for each row of ``df``. Ties of ``arrival`` go by external_id, and
     those of the pool by its arrival if it has one. Nulls read as empty; empty tables give empty results.
 
-    What a record does depends on all before it, so records go in chunks by arrival. All
-    similarities of a chunk to the pool, the clusters and itself are taken by all tasks, in
-    blocks; one task then folds the numbers that can matter. It holds the chunk and the records
-    near it, and reads candidates a batch of rows at a time.
+    What a record does depends on all before it, so records go in chunks by arrival, each of at most
+    ``chunk`` texts (company and title) and ``ROWS`` rows. All similarities of a chunk's texts to those of
+    the pool, of the clusters and to each other are taken by all tasks, in blocks; one task then folds the
+    chunk's rows, a batch at a time. It holds the records near the chunk, and a text's candidates from
+    its first row to its last.
     """
     total_order = ["l_arrival", "l_key", "l_n", "l_c", "l_location", "l_u"]
-    ready = numbered(_rows(df, "l", {"arrival": F.col(arrival).cast("long")}), total_order, "l_nth").drop("l_arrival")
+    ready = stored(numbered(_rows(df, "l", {"arrival": F.col(arrival).cast("long")}), total_order, "l_nth").drop("l_arrival"))
     total = ready.count()
     known = None
     if pool is not None:
         stored_order = F.col("arrival").cast("long") if "arrival" in pool.columns else F.lit(0).cast("long")
-        known = numbered(_rows(pool, "l", {"arrival": stored_order}), total_order, "l_nth").drop("l_arrival").withColumn("l_nth", -F.col("l_nth"))
-        known = known.withColumn("position", F.col("l_nth"))
+        known = stored(numbered(_rows(pool, "l", {"arrival": stored_order}), total_order, "l_nth").drop("l_arrival").withColumn("l_nth", -F.col("l_nth")))
+    every = ready if known is None else ready.unionByName(known)
+    texts = stored(every.groupBy("l_c", "l_n").agg(F.min("l_nth").alias("text")))
+    ready = stored(ready.join(texts, ["l_c", "l_n"]))
+    if known is not None:
+        known = stored(known.join(texts, ["l_c", "l_n"]).withColumn("position", F.col("l_nth")))
     state = ready.limit(0).withColumn("position", F.col("l_nth"))
-    side = lambda of, mate: of.select(F.col("l_nth").alias("r_id"), F.lit(mate).alias("r_mate"), *[F.col(f"l_{c}").alias(f"r_{c}") for c in ("key", "c", "n", "location", "u")])
-    events = None
-    for first in range(0, total, chunk):
-        rows = ready.where((F.col("l_nth") > first) & (F.col("l_nth") <= first + chunk))
+    side = lambda of, name: of.select("text").distinct().join(texts, "text").select(F.col("text").alias(f"{name}_key"), *[F.col(f"l_{c}").alias(f"{name}_{c}") for c in ("c", "n")])
+    events, last = None, 0
+    while last < total:
+        first, last = last, min(total, last + ROWS)
+        rows = ready.where((F.col("l_nth") > first) & (F.col("l_nth") <= last))
+        beyond = rows.groupBy("text").agg(F.min("l_nth").alias("nth")).orderBy("nth").offset(chunk).first()
+        if beyond is not None:
+            last = beyond.nth - 1
+            rows = rows.where(F.col("l_nth") <= last)
         standing = state if known is None else state.unionByName(known)
-        met = lambda a, b, loose: _met(a, b, F.col("r_id"), _candidates(loose), "l_nth long, id long, c double, t double, takes boolean", chunk)
-        right = side(standing, False).unionByName(side(rows, True))
-        pairs = stored(met(rows, right, False))
-        marked = pairs.where("takes").select("l_nth").distinct()
-        if not marked.isEmpty():
-            taking = stored(rows.join(marked, "l_nth", "left_semi"))
-            pairs = stored(pairs.unionByName(met(taking, right, True)).unionByName(met(rows, side(taking, True), True)).select("l_nth", "id", "c", "t").distinct())
-        lists = pairs.groupBy("l_nth").agg(F.collect_list(F.struct("id", "c", "t")).alias("x"))
-        chunk_rows = rows.join(lists, "l_nth", "left").select(
+        pairs = stored(_met(side(rows, "l"), side(standing.select("text").unionByName(rows.select("text")), "r"), F.col("r_key"), _alike, "text long, other long, c double, t double", BLOCK, BLOCK))
+        lists = pairs.groupBy("text").agg(F.collect_list(F.struct("other", "c", "t")).alias("x"))
+        ends = rows.groupBy("text").agg(F.min("l_nth").alias("_from"), F.max("l_nth").alias("_to"))
+        begins = ends.join(lists, "text").select(F.col("_from").alias("l_nth"), "x")
+        chunk_rows = rows.join(ends.select("text", "_to"), "text").join(begins, "l_nth", "left").select(
             F.lit(0).cast("long").alias("id"), F.col("l_nth").alias("nth"), F.col("l_nth").alias("place"), F.col("l_key").alias("key"), F.col("l_location").alias("location"),
-            F.col("l_u").alias("quality"), F.col("x.id").alias("ids"), F.col("x.c").alias("c"), F.col("x.t").alias("t"))
-        near = standing.join(pairs.select(F.col("id").alias("l_nth")).distinct(), "l_nth", "left_semi")
+            F.col("l_u").alias("quality"), "text", (F.col("l_nth") == F.col("_to")).alias("last"), F.col("x.other").alias("ids"), F.col("x.c").alias("c"), F.col("x.t").alias("t"))
+        near = standing.join(pairs.select(F.col("other").alias("text")).distinct(), "text", "left_semi")
         if known is not None:  # and clusters under the ids of stored records among them
-            near = near.unionByName(state.join(near.where("l_nth < 0").select("l_key").distinct(), "l_key", "left_semi")).distinct()
+            near = near.unionByName(state.join(near.where("l_nth < 0").select("l_key").distinct(), "l_key", "left_semi").select(*near.columns)).distinct()
         near = near.select(
             F.col("l_nth").alias("id"), F.lit(0).cast("long").alias("nth"), F.col("position").alias("place"), F.col("l_key").alias("key"), F.col("l_location").alias("location"),
-            F.col("l_u").alias("quality"), *[F.lit(None).cast(f"array<{kind}>").alias(c) for c, kind in (("ids", "long"), ("c", "double"), ("t", "double"))])
-        folded = stored(near.unionByName(chunk_rows).repartition(1).sortWithinPartitions("nth").mapInPandas(_fold(first, chunk), _FOLDED))
+            F.col("l_u").alias("quality"), "text", F.lit(False).alias("last"), *[F.lit(None).cast(f"array<{kind}>").alias(c) for c, kind in (("ids", "long"), ("c", "double"), ("t", "double"))])
+        folded = stored(near.unionByName(chunk_rows).repartition(1).sortWithinPartitions("nth").mapInPandas(_fold, _FOLDED))
         events = folded if events is None else events.unionByName(folded)
         touched = folded.where("record is not null").select("position", F.col("record").alias("l_nth"), F.col("location").alias("l_location"), F.col("quality").alias("l_u"))
-        texts = ready.select("l_nth", "l_key", "l_c", "l_n")
-        state = stored(state.join(touched.select("position"), "position", "left_anti").unionByName(touched.join(texts, "l_nth")))
+        names = ready.select("l_nth", "l_key", "l_c", "l_n", "text")
+        state = stored(state.join(touched.select("position"), "position", "left_anti").unionByName(touched.join(names, "l_nth")))
     if events is None:
         return ready.select(F.col("l_key").alias("key"), F.col("l_key").alias("primary"), F.lit("kept").alias("outcome"), F.lit(0.0).alias("score"),
                             F.col("l_location").alias("location"), F.lit(False).alias("stored"))

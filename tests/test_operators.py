@@ -458,3 +458,16 @@ def test_postings_deep_in_lists_and_graphs(spark):
     assert [(r.id, r.date_posted) for r in got] == [(1, "2024-03-02")]
     made = spark.range(1).select(jsonld.posting_json(F.lit("t"), F.lit("d"), F.lit("c"), F.lit(DAY), F.lit("Intern")).alias("j")).first().j
     assert '"employmentType":"INTERN"' in made and '"validThrough":"2024-07-30"' in made
+
+
+def test_rounds_are_of_texts_however_many_records_share_them(spark, monkeypatch):
+    rounds, met = [], resolve._met
+    monkeypatch.setattr(resolve, "_met", lambda *a: rounds.append(1) or met(*a))
+    some = postings(7, 12)
+    batch = [(f"{k}-{i}", *rest) for i in range(20) for k, *rest in some]
+    batch[100] = batch[3]  # ids that are equal are not compared
+    assert clustered(spark, batch, chunk=12) == compared_with_all(batch)
+    assert len(rounds) == 1
+    monkeypatch.setattr(resolve, "ROWS", 90)
+    assert clustered(spark, batch, chunk=12) == compared_with_all(batch)
+    assert len(rounds) == 1 + 3
