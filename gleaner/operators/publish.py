@@ -125,15 +125,26 @@ def ping(counts: DataFrame, errors: DataFrame, most: int = 50) -> Row:
     return Row(total=counts.agg(F.sum("n")).first()[0] or 0, errors=first, n_errors=n, truncated=n > most)
 
 
+#: Characters of long texts, as they are in memory, that one task of ``received`` joins.
+TASK_CHARS = 64_000_000
+
+
 def received(posts: DataFrame, incoming: DataFrame, key: str = "external_id") -> DataFrame:
-    """The receiver's table after an upsert: long texts cut, earliest first_seen kept, archived rows active again."""
-    a = posts.select(F.col(key).alias("_a"), F.struct(*posts.columns).alias("p"))
-    b = incoming.select(F.col(key).alias("_b"), F.struct(*incoming.columns).alias("i"))
+    """The receiver's table after an upsert: long texts cut, earliest first_seen kept, archived rows active again.
+
+    Texts are cut before they travel. Like ones compress so well that adaptive execution would take
+    partitions of gigabytes for small and join them in one task, so their number is set from the texts' length.
+    """
+    cut = lambda df: df.withColumns({c: F.substring(F.col(c), 1, most) for c, most in (("title", 200), ("content", 5000))})
+    posts, incoming = cut(posts), cut(incoming)
+    size = lambda df: df.agg(F.sum(100 + sum(F.coalesce(F.length(c), F.lit(0)) for c in ("title", "content")))).first()[0] or 0
+    tasks = max(1, -(-(size(posts) + size(incoming)) // TASK_CHARS))
+    a = posts.select(F.col(key).alias("_a"), F.struct(*posts.columns).alias("p")).repartition(tasks, "_a")
+    b = incoming.select(F.col(key).alias("_b"), F.struct(*incoming.columns).alias("i")).repartition(tasks, "_b")
     j = a.join(b, F.col("_a") == F.col("_b"), "full_outer")
     new, old = (lambda c: F.col("i").getField(c)), (lambda c: F.col("p").getField(c))
     return j.select(
-        F.coalesce("_a", "_b").alias(key), F.substring(F.coalesce(new("title"), old("title")), 1, 200).alias("title"),
-        F.substring(F.coalesce(new("content"), old("content")), 1, 5000).alias("content"),
+        F.coalesce("_a", "_b").alias(key), F.coalesce(new("title"), old("title")).alias("title"), F.coalesce(new("content"), old("content")).alias("content"),
         F.least(new("first_seen"), old("first_seen")).alias("first_seen"),
         F.when(F.col("_b").isNotNull(), "publish").otherwise(old("status")).alias("status"),
     )

@@ -61,3 +61,11 @@ def test_salaries_are_looked_for_once(spark, tmp_path):
     equals_sql("enrichment_fill", spark, tmp_path, "orders", spark.createDataFrame(rows, ORDER))
     plan = catalogue.queries()["enrichment_fill"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert 0 < plan.count("regexp_extract") <= 2 * 2 * len(SALARY_PATTERNS)  # two amounts of hint and description
+
+
+def test_long_texts_that_compress_well_are_joined_in_many_tasks(spark, tmp_path, monkeypatch):
+    from gleaner.operators import publish
+
+    monkeypatch.setattr(publish, "TASK_CHARS", 50_000, raising=False)
+    equals_sql("receiver_upsert", spark, tmp_path, "orders", spark.createDataFrame(orders((i, i) for i in range(120)), ORDER))
+    assert catalogue.queries()["receiver_upsert"](spark, str(tmp_path)).rdd.getNumPartitions() >= 9  # of 450,000 characters and more
