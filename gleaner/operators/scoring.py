@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleaner.config import Lexicon
 from gleaner.functions.text import dedup_key, has_term, normalize_company, preprocess
+from gleaner.runtime import small_batches
 
 #: Characters that match others than their own lower case when case is ignored.
 _ODD_CASE = "\u0131\u017f\u1e9e"
@@ -179,6 +180,7 @@ def score_records(df: DataFrame, lexicon: Lexicon, native: bool = False) -> Data
     if native:
         df = df.withColumn("_hits", native_hits(F.col("_t"), F.col("_d"), lexicon))
     else:
+        small_batches(df.sparkSession)
         key = F.regexp_replace(normalize_company(F.col("company")), "[^a-z0-9]", "")
         df = df.withColumn("_hits", keyword_hits(lexicon)("_t", "_d", key))
     both = F.concat_ws("\n", "_t", "_d")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.runtime import ship
+from gleaner.runtime import ship, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,7 @@ def query(sql: str | None = None):
     def add(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             ship(spark)
+            small_batches(spark)
             return build(Tables(spark, folder))
 
         QUERIES[build.__name__] = run

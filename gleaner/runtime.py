@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+#: Bytes of a record batch that a Python worker reads at once.
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -27,6 +29,11 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session's record batches to ``BATCH_BYTES``: a batch of 10,000 whole texts is held several times over by each Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 

@@ -69,3 +69,21 @@ def test_long_texts_that_compress_well_are_joined_in_many_tasks(spark, tmp_path,
     monkeypatch.setattr(publish, "TASK_CHARS", 50_000, raising=False)
     equals_sql("receiver_upsert", spark, tmp_path, "orders", spark.createDataFrame(orders((i, i) for i in range(120)), ORDER))
     assert catalogue.queries()["receiver_upsert"](spark, str(tmp_path)).rdd.getNumPartitions() >= 9  # of 450,000 characters and more
+
+
+def test_workers_read_long_texts_in_small_batches(spark):
+    import pandas as pd
+
+    from gleaner.operators import scoring
+    from gleaner.plans.composite import SPANS
+
+    @F.pandas_udf("long")
+    def together(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(texts)] * len(texts))
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    text = F.concat(F.repeat(F.lit("word "), 20_000), F.col("id").cast("string"))
+    docs = spark.range(0, 200, 1, 1).select(F.lit("the").alias("title"), text.alias("description"), F.lit("c").alias("company"), F.lit("x").alias("source_name"))
+    scored = scoring.score_records(docs, SPANS)
+    assert scored.select(F.max(together("description"))).first()[0] < 100
+    assert {r.keyword_score for r in scored.collect()} == {7}
